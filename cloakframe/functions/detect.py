@@ -3,6 +3,9 @@
 Patterns are searched in the whole text. Word boundaries, digits and white space are Unicode-aware
 (``(?U)``), which also makes them independent of the Java version. Patterns that must cover the whole
 value start with ``^`` outside any alternation, so they fail at the first character of a long text.
+
+Rules that count digits take an optional ``digits`` column, so a caller can project the digits once and
+share them among rules and maskers.
 """
 
 from __future__ import annotations
@@ -11,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from cloakframe.functions.names import is_balance_column, names_an_account
-from cloakframe.functions.text import NUMBER, digits_of, is_blank, number_body
+from cloakframe.functions.text import digits_of, is_blank
 
 # What each kind of personal datum looks like.
 EMAIL = r"(?U)\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b"
@@ -22,12 +25,41 @@ CARD = r"(?U)\b(?:\d{4}[-\s]?){3}\d{4}\b"
 IBAN = r"(?U)\b[A-Za-z]{2}\d{2}[A-Za-z0-9]{4,30}\b"
 ROUTING = r"(?U)\b\d{9}\b"
 BANK_ACCOUNT = r"(?U)\b\d{8,17}\b"
-MONEY = r"(?Ud)^(?:\$?\d{1,3}(?:,\d{3})*(?:\.\d{2})?|\d+\.\d{2}|\d+)$"
-ACCOUNT_DASHED = r"(?Ud)^(?:\d{3}-\d{5,8}|\d{2}(?:-\d{2}){2,5}-\d{4,10})$"
-ACCOUNT_GROUPED = r"(?Ud)^\d{2,4}(?:[-.\s]\d{2,8}){1,6}$"
-
+# Groups may be split by any white space, but at least one "-", "." or " " must be among the splits.
+FORMATTED_ACCOUNT = (
+    r"(?Ud)^(?:\d{3}-\d{5,8}|\d{2}(?:-\d{2}){2,5}-\d{4,10}"
+    r"|\d{2,4}(?=[^-. ]*[-. ])(?:[-.\s]\d{2,8}){1,6})$"
+)
 ABA_WEIGHTS = (3, 7, 1, 3, 7, 1, 3, 7, 1)
 
+# Money by look: grouped or plain, with two decimals or none.
+_MONEY_LOOK = r"\$?\d{1,3}(?:,\d{3})*(?:\.\d{2})?|\d+\.\d{2}|\d+"
+# Money by value: a plain number below one billion that has at most two decimals once rounded to ten.
+# A minus sign takes one of the two places. Commas may stand anywhere after the first digit.
+_WHOLE = r"(?=[0-9])[0,]*(?:[1-9],*(?:[0-9],*){0,8})?"
+
+
+def _decimals(places: int) -> str:
+    zeros, nines = f"0{{{10 - places}}}", f"9{{{10 - places}}}"
+    lead = f"[0-9]{{{places}}}"
+    return (
+        rf"(?:[0-9]{{0,{places}}}0{{0,{10 - places}}}|{lead}{zeros}[0-4][0-9]*|{lead}{nines}[5-9][0-9]*)"
+    )
+
+
+def _unsigned(places: int) -> str:
+    return rf"(?:{_WHOLE}(?:\.{_decimals(places)})?|\.(?=[0-9]){_decimals(places)})"
+
+
+_PAD = r"[\t-\r ]*"
+_PLUS, _MINUS = _unsigned(2), _unsigned(1)
+_MONEY_NUMBER = (
+    rf"{_PAD}(?:\+?{_PLUS}{_PAD}|{_PLUS}{_PAD}\+{_PAD}|-{_MINUS}{_PAD}|{_MINUS}{_PAD}-{_PAD})"
+)
+MONEY = rf"(?Ud)^(?:{_MONEY_LOOK}|{_MONEY_NUMBER})$"
+# Values that masking leaves alone whatever their column: blank or money.
+BLANK_OR_MONEY = rf"(?Ud)^(?:\s*|{_MONEY_LOOK}|{_MONEY_NUMBER})$"
+
 
 def is_email(v: Column) -> Column:
     return v.contains("@") & v.rlike(EMAIL)
@@ -55,56 +87,37 @@ def aba_checksum(nine_digits: Column) -> Column:
         (F.substring(nine_digits, i + 1, 1).try_cast("int") * w for i, w in enumerate(ABA_WEIGHTS)),
         F.lit(0),
     )
-    return F.coalesce((F.length(nine_digits) == 9) & (total % 10 == 0), F.lit(False))
+    valid = F.coalesce((F.length(nine_digits) == 9) & (total % 10 == 0), F.lit(False))
+    return F.when(nine_digits.isNotNull(), valid)
 
 
-def is_routing_number(v: Column) -> Column:
-    return v.rlike(ROUTING) & aba_checksum(digits_of(v))
+def is_routing_number(v: Column, digits: Column | None = None) -> Column:
+    return v.rlike(ROUTING) & aba_checksum(digits_of(v) if digits is None else digits)
 
 
-def is_bank_account(v: Column, name: str | Column = "") -> Column:
+def is_bank_account(v: Column, name: str | Column = "", digits: Column | None = None) -> Column:
     """A run of 8-17 digits. Names that speak of accounts need no more; others need 10+ digits in all
     and not the length of a card."""
-    n = F.length(digits_of(v))
-    unnamed = (n >= 10) & ~n.isin(15, 16)
-    named = names_an_account(name)
+    n = F.length(digits_of(v) if digits is None else digits)
+    by_name, by_length = n.between(8, 17), n.isin(10, 11, 12, 13, 14, 17)
+    run = v.rlike(BANK_ACCOUNT)
     if isinstance(name, str):
-        enough = F.lit(True) if named else unnamed
-        money = F.lit(is_balance_column(name))
-    else:
-        enough = named | unnamed
-        money = is_balance_column(name)
-    return ~money & v.rlike(BANK_ACCOUNT) & n.between(8, 17) & enough
+        if is_balance_column(name):
+            return F.when(v.isNotNull(), F.lit(False))
+        return run & (by_name if names_an_account(name) else by_length)
+    return ~is_balance_column(name) & run & F.when(names_an_account(name), by_name).otherwise(by_length)
 
 
-def is_formatted_account(v: Column) -> Column:
+def is_formatted_account(v: Column, digits: Column | None = None) -> Column:
     """Digit groups joined by ``-``, ``.`` or white space over the whole value, 6-20 digits."""
-    # Grouped values need two parts after splitting on "-", "." and " "; other white space does not split.
-    split_somewhere = v.rlike(r"[-. ]")
-    return (
-        (v.rlike(ACCOUNT_DASHED) | (v.rlike(ACCOUNT_GROUPED) & split_somewhere))
-        & F.length(digits_of(v)).between(6, 20)
-    )
-
-
-def _money_number(v: Column) -> Column:
-    """A plain number below one billion with at most two decimals; the sign of a negative fraction
-    takes one of the two places."""
-    body = number_body(v)
-    whole = F.ltrim(F.split_part(body, F.lit("."), F.lit(1)), F.lit("0"))
-    # Eleven decimals decide the rounding to ten.
-    fraction = F.concat(F.lit("0."), F.left(F.split_part(body, F.lit("."), F.lit(2)), F.lit(11)), F.lit("0"))
-    f = fraction.try_cast("decimal(12,10)")
-    short = F.when(v.contains("-"), f == f.cast("decimal(12,1)")).otherwise(f == f.cast("decimal(12,2)"))
-    return v.rlike(NUMBER) & (F.length(whole) <= 9) & short
+    return v.rlike(FORMATTED_ACCOUNT) & F.length(digits_of(v) if digits is None else digits).between(6, 20)
 
 
 def is_monetary(v: Column, name: str | Column = "") -> Column:
     """The value reads as money, or its column name says so."""
-    by_value = v.rlike(MONEY) | _money_number(v)
     if isinstance(name, str):
-        return F.lit(True) if is_balance_column(name) else by_value
-    return is_balance_column(name) | by_value
+        return F.lit(True) if is_balance_column(name) else v.rlike(MONEY)
+    return is_balance_column(name) | v.rlike(MONEY)
 
 
 def has_digit_pair(v: Column) -> Column:
@@ -113,8 +126,19 @@ def has_digit_pair(v: Column) -> Column:
     return v.rlike(r"\p{Nd}{2}")
 
 
-def contains_pii(v: Column) -> Column:
-    """Any detector fires. Money is no exception here, unlike in masking."""
+def rule_digits(v: Column) -> Column:
+    """Digits of a value that some digit rule might accept, else NULL."""
+    return F.when(has_digit_pair(v), digits_of(v))
+
+
+def contains_pii(v: Column, digits: Column | None = None) -> Column:
+    """Any detector fires. Money is no exception here, unlike in masking.
+
+    ``digits`` is ``rule_digits(v)``, projected by the caller.
+    """
+    d = rule_digits(v) if digits is None else digits
     # A routing number is nine digits between word boundaries, which the SSN rule already accepts.
-    by_digits = is_phone(v) | is_ssn(v) | is_card(v) | is_iban(v) | is_bank_account(v) | is_formatted_account(v)
-    return F.coalesce(~is_blank(v) & (is_email(v) | (has_digit_pair(v) & by_digits)), F.lit(False))
+    by_digits = (
+        is_phone(v) | is_ssn(v) | is_card(v) | is_iban(v) | is_bank_account(v, "", d) | is_formatted_account(v, d)
+    )
+    return F.coalesce(~is_blank(v) & (is_email(v) | (d.isNotNull() & by_digits)), F.lit(False))

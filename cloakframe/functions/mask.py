@@ -15,91 +15,96 @@ from cloakframe.functions.text import digits_of, is_blank
 
 
 def _last(text: Column, n: int) -> Column:
-    return F.right(text, F.lit(n))
+    return F.substring(text, -n, n)
 
 
 def _stars(n: Column) -> Column:
     return F.repeat(F.lit("*"), n)
 
 
-def mask_email(v: Column) -> Column:
+def _digits(v: Column, digits: Column | None) -> Column:
+    return digits_of(v) if digits is None else digits
+
+
+def mask_email(v: Column, digits: Column | None = None) -> Column:
     """``b*******h@example.com``; split at the first ``@`` of the value."""
     at = F.instr(v, "@")
-    local_length = at - 1
     domain = F.substring(v, at, F.length(v))
-    kept = F.concat(F.left(v, F.lit(1)), _stars(local_length - 2), F.substring(v, local_length, F.lit(1)), domain)
+    kept = F.concat(F.substring(v, 1, 1), _stars(at - 3), F.substring(v, at - 1, F.length(v)))
     return (
         F.when(at <= 1, F.lit("[MASKED_EMAIL]"))
-        .when(local_length <= 2, F.concat(F.lit("**"), domain))
-        .when(v.isNotNull(), kept)
+        .when(at <= 3, F.concat(F.lit("**"), domain))
+        .when(at.isNotNull(), kept)
     )
 
 
-def mask_phone(v: Column) -> Column:
+def mask_phone(v: Column, digits: Column | None = None) -> Column:
     """First three and last two digits."""
-    d = digits_of(v)
-    shown = F.concat(F.lit("("), F.left(d, F.lit(3)), F.lit(") ***-**"), _last(d, 2))
-    return F.when(F.length(d) >= 10, shown).when(v.isNotNull(), F.lit("[MASKED_PHONE]"))
+    d = _digits(v, digits)
+    shown = F.concat(F.lit("("), F.substring(d, 1, 3), F.lit(") ***-**"), _last(d, 2))
+    return F.when(F.length(d) >= 10, shown).when(d.isNotNull(), F.lit("[MASKED_PHONE]"))
 
 
-def mask_ssn(v: Column) -> Column:
-    d = digits_of(v)
-    return F.when(F.length(d) == 9, F.concat(F.lit("***-**-"), _last(d, 4))).when(v.isNotNull(), F.lit("[MASKED_SSN]"))
+def mask_ssn(v: Column, digits: Column | None = None) -> Column:
+    d = _digits(v, digits)
+    return F.when(F.length(d) == 9, F.concat(F.lit("***-**-"), _last(d, 4))).when(d.isNotNull(), F.lit("[MASKED_SSN]"))
 
 
-def mask_card(v: Column) -> Column:
-    d = digits_of(v)
+def mask_card(v: Column, digits: Column | None = None) -> Column:
+    d = _digits(v, digits)
     shown = F.concat(F.lit("****-****-****-"), _last(d, 4))
-    return F.when(F.length(d) >= 13, shown).when(v.isNotNull(), F.lit("[MASKED_CARD]"))
+    return F.when(F.length(d) >= 13, shown).when(d.isNotNull(), F.lit("[MASKED_CARD]"))
+
 
+# In "-bb-ccc-dddd": each character of a middle group, and of the last group those before its last four
+# (before its last two if it has three or four, all if it has fewer).
+_HIDDEN_IN_GROUPS = (
+    r"[^-](?=[^-]*-|[^-]{4,}\z)|(?<=-)[^-](?=[^-]{0,3}\z)|(?<=-[^-])[^-](?=(?:[^-]{2})?\z)"
+)
 
-def mask_formatted_account(v: Column) -> Column:
+
+def mask_formatted_account(v: Column, digits: Column | None = None) -> Column:
     """First group kept, middle groups starred, the last shows four characters (two if short)."""
     groups = F.regexp_replace(F.btrim(v, F.lit("-. ")), r"[-. ]+", "-")
-    first = F.substring_index(groups, "-", 1)
-    last = F.substring_index(groups, "-", -1)
-    n = F.length(last)
-    shown = F.when(n > 4, 4).when(n > 2, 2).otherwise(0)
-    middle = F.substring(groups, F.length(first) + 1, F.length(groups) - F.length(first) - n)
-    masked = F.concat(first, F.regexp_replace(middle, "[^-]", "*"), _stars(n - shown), F.right(last, shown))
+    first_dash = F.instr(groups, "-")
+    rest = F.regexp_replace(F.substring(groups, first_dash, F.length(groups)), _HIDDEN_IN_GROUPS, "*")
+    masked = F.concat(F.substring(groups, F.lit(1), first_dash - 1), rest)
     joint = F.when(v.contains("-"), F.lit("-")).when(v.contains("."), F.lit(".")).otherwise(F.lit(" "))
-    return F.when(F.instr(groups, "-") == 0, F.lit("[MASKED_ACCOUNT]")).when(
-        v.isNotNull(), F.replace(masked, F.lit("-"), joint)
-    )
+    return F.when(first_dash == 0, F.lit("[MASKED_ACCOUNT]")).otherwise(F.replace(masked, F.lit("-"), joint))
 
 
-def mask_bank_account(v: Column) -> Column:
-    d = digits_of(v)
+def mask_bank_account(v: Column, digits: Column | None = None) -> Column:
+    d = _digits(v, digits)
     return F.when(F.length(d) >= 8, F.concat(F.lit("****"), _last(d, 4))).when(
-        v.isNotNull(), F.lit("[MASKED_ACCOUNT]")
+        d.isNotNull(), F.lit("[MASKED_ACCOUNT]")
     )
 
 
-def mask_routing(v: Column) -> Column:
-    d = digits_of(v)
-    return F.when(F.length(d) == 9, F.concat(F.left(d, F.lit(4)), F.lit("*****"))).when(
-        v.isNotNull(), F.lit("[MASKED_ROUTING]")
+def mask_routing(v: Column, digits: Column | None = None) -> Column:
+    d = _digits(v, digits)
+    return F.when(F.length(d) == 9, F.concat(F.substring(d, 1, 4), F.lit("*****"))).when(
+        d.isNotNull(), F.lit("[MASKED_ROUTING]")
     )
 
 
-def mask_iban(v: Column) -> Column:
+def mask_iban(v: Column, digits: Column | None = None) -> Column:
     """First and last four characters of the value."""
     n = F.length(v)
-    return F.when(n >= 8, F.concat(F.left(v, F.lit(4)), _stars(n - 8), _last(v, 4))).when(
-        v.isNotNull(), F.lit("[MASKED_IBAN]")
+    return F.when(n >= 8, F.concat(F.substring(v, 1, 4), _stars(n - 8), _last(v, 4))).when(
+        n.isNotNull(), F.lit("[MASKED_IBAN]")
     )
 
 
-def mask_generic(v: Column) -> Column:
+def mask_generic(v: Column, digits: Column | None = None) -> Column:
     n = F.length(v)
-    return F.when(n <= 4, _stars(n)).otherwise(F.concat(F.left(v, F.lit(1)), _stars(n - 2), _last(v, 1)))
+    return F.when(n <= 4, _stars(n)).otherwise(F.concat(F.substring(v, 1, 1), _stars(n - 2), _last(v, 1)))
 
 
-def mask_password(v: Column) -> Column:
+def mask_password(v: Column, digits: Column | None = None) -> Column:
     return F.when(v.isNotNull(), F.lit("[REDACTED]"))
 
 
-MASKERS: dict[str, Callable[[Column], Column]] = {
+MASKERS: dict[str, Callable[[Column, Column | None], Column]] = {
     "email": mask_email,
     "phone": mask_phone,
     "ssn": mask_ssn,
@@ -111,57 +116,76 @@ MASKERS: dict[str, Callable[[Column], Column]] = {
     "formatted_account": mask_formatted_account,
     "generic": mask_generic,
 }
+# Maskers that look at the digits only.
+DIGIT_KINDS = ("phone", "ssn", "card", "bank_account", "routing")
+
 
+def mask_by_type(v: Column, kind: str | Column, digits: Column | None = None) -> Column:
+    """Apply the masker of a kind; a fixed kind costs no dispatch per row.
 
-def mask_by_type(v: Column, kind: str | Column) -> Column:
-    """Apply the masker of a kind; a fixed kind costs no dispatch per row."""
+    ``digits`` is ``digits_of(v)``, projected by the caller.
+    """
     if isinstance(kind, str):
-        return MASKERS[kind](v)
+        return MASKERS[kind](v, digits)
     ladder = None
     for name, masker in MASKERS.items():
         if name == "generic":
             continue
-        ladder = F.when(kind == name, masker(v)) if ladder is None else ladder.when(kind == name, masker(v))
+        masked = masker(v, digits)
+        ladder = F.when(kind == name, masked) if ladder is None else ladder.when(kind == name, masked)
     return ladder.otherwise(mask_generic(v))
 
 
-def _branches(v: Column, name: str | Column) -> list[tuple[Column, str]]:
+def _branches(v: Column, name: str | Column, d: Column) -> list[tuple[Column, str]]:
     """Value rules in order; the first that holds gives the class.
 
     The routing rule is absent: each value it accepts is an SSN match first.
     """
     return [
         (detect.is_email(v), "email"),
-        (~detect.has_digit_pair(v), "none"),
+        (d.isNull(), "none"),
         (detect.is_phone(v), "phone"),
         (detect.is_ssn(v), "ssn"),
         (detect.is_card(v), "card"),
         (detect.is_iban(v), "iban"),
-        (detect.is_bank_account(v, name), "bank_account"),
-        (detect.is_formatted_account(v), "formatted_account"),
+        (detect.is_bank_account(v, name, d), "bank_account"),
+        (detect.is_formatted_account(v, d), "formatted_account"),
     ]
 
 
-def mask_value(v: Column, name: str | Column) -> Column:
+def needed_digits(v: Column, name: str) -> Column | None:
+    """The digits column that ``mask_value`` shares among its steps for a fixed name, if it needs one."""
+    if names.is_balance_column(name):
+        return None
+    if names.is_sensitive_column(name):
+        return digits_of(v) if names.masking_type(name) in DIGIT_KINDS else None
+    return detect.rule_digits(v)
+
+
+def mask_value(v: Column, name: str | Column, digits: Column | None = None) -> Column:
     """Mask one value in the context of its column name.
 
     Order: null and blank stay; money by name or by value stays; sensitive names use their kind of
-    mask; then the value rules, first hit wins.
+    mask; then the value rules, first hit wins. ``digits`` is ``needed_digits(v, name)``, projected by the
+    caller so that it is computed once; without it the expression stands alone.
     """
     if isinstance(name, str) and names.is_balance_column(name):
         return v
-    unchanged = v.isNull() | is_blank(v) | detect.is_monetary(v, name)
+    unchanged = v.rlike(detect.BLANK_OR_MONEY)
     if isinstance(name, str) and names.is_sensitive_column(name):
-        return F.when(unchanged, v).otherwise(mask_by_type(v, names.masking_type(name)))
-    ladder = F.when(unchanged, v)
-    if not isinstance(name, str):
+        return F.when(unchanged, v).otherwise(mask_by_type(v, names.masking_type(name), digits))
+    if isinstance(name, str):
+        ladder = F.when(unchanged, v)
+    else:
+        ladder = F.when(names.is_balance_column(name) | unchanged, v)
         ladder = ladder.when(names.is_sensitive_column(name), mask_by_type(v, names.masking_type(name)))
-    for condition, kind in _branches(v, name):
-        ladder = ladder.when(condition, v if kind == "none" else MASKERS[kind](v))
+    d = detect.rule_digits(v) if digits is None else digits
+    for condition, kind in _branches(v, name, d):
+        ladder = ladder.when(condition, v if kind == "none" else MASKERS[kind](v, d))
     return ladder.otherwise(v)
 
 
-def pii_class(v: Column, name: str | Column = "") -> Column:
+def pii_class(v: Column, name: str | Column = "", digits: Column | None = None) -> Column:
     """Label of the ladder step a value takes: ``blank``, ``monetary``, ``sensitive_name``, a class or ``none``."""
     ladder = F.when(v.isNull() | is_blank(v), "blank").when(detect.is_monetary(v, name), "monetary")
     if isinstance(name, str):
@@ -169,6 +193,7 @@ def pii_class(v: Column, name: str | Column = "") -> Column:
             return ladder.otherwise("sensitive_name")
     else:
         ladder = ladder.when(names.is_sensitive_column(name), "sensitive_name")
-    for condition, kind in _branches(v, name):
+    d = detect.rule_digits(v) if digits is None else digits
+    for condition, kind in _branches(v, name, d):
         ladder = ladder.when(condition, kind)
     return ladder.otherwise("none")

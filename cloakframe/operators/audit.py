@@ -169,7 +169,7 @@ def plan_operators(plans: DataFrame, text: str = "plan_text") -> DataFrame:
 def plan_operator_totals(plans: DataFrame, text: str = "plan_text") -> DataFrame:
     """Operators of all plans rolled up by type."""
     return plan_operators(plans, text).groupBy("operator_type").agg(
-        F.count(F.lit(1)).alias("operator_count"),
+        F.count("*").alias("operator_count"),
         F.sum("estimated_cost").cast("decimal(38,8)").alias("total_cost"),
         F.sum("estimated_rows").cast("decimal(38,8)").alias("total_rows"),
     )

@@ -47,7 +47,7 @@ def _files(spark: SparkSession, directory: str, table: str, known: tuple[str, ..
         meta.getField("file_size").alias("bytes"),
         meta.getField("file_modification_time").alias("modified"),
     )
-    return per_file.groupBy("path", "bytes", "modified").agg(F.count(F.lit(1)).alias("n"))
+    return per_file.groupBy("path", "bytes", "modified").agg(F.count("*").alias("n"))
 
 
 def table_inventory(
@@ -102,7 +102,7 @@ def table_stats(spark: SparkSession, directory: str, table: str, tables: tuple[s
         F.lit(table).alias("table_name"),
         F.lit(SCHEMA_NAME).alias("schema_name"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
-        F.count(F.lit(1)).alias("file_count"),
+        F.count("*").alias("file_count"),
         F.coalesce(F.expr("sum(bytes) div 1024"), F.lit(0)).alias("data_space_kb"),
         F.max("modified").alias("last_update"),
     )
@@ -153,7 +153,7 @@ def column_catalog(spark: SparkSession, frames: dict[str, DataFrame]) -> DataFra
 def _profile(table: str, df: DataFrame) -> DataFrame:
     """One scan of a table: rows, and per column the values present and the longest text."""
     fields = list(df.schema)
-    present: list[Column] = [F.count(F.lit(1)).alias("rows")]
+    present: list[Column] = [F.count("*").alias("rows")]
     for i, f in enumerate(fields):
         col = F.col("`" + f.name.replace("`", "``") + "`")
         present.append(F.count(col).alias(f"n{i}"))
@@ -196,7 +196,7 @@ def key_profile(frames: dict[str, DataFrame], candidates: list[tuple[str, list[s
     for table, columns in candidates:
         complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
         per_key = frames[table].select(*columns, complete.alias("__complete")).groupBy(*columns, "__complete").agg(
-            F.count(F.lit(1)).alias("n")
+            F.count("*").alias("n")
         )
         profiles.append(
             per_key.agg(
@@ -218,7 +218,7 @@ def relationship_check(frames: dict[str, DataFrame], pairs: list[tuple[str, str,
         # One row per child value before the join: hot values never meet the shuffle in full.
         values = (
             frames[child].where(F.col(child_column).isNotNull()).groupBy(F.col(child_column).alias("k"))
-            .agg(F.count(F.lit(1)).alias("n"))
+            .agg(F.count("*").alias("n"))
         )
         parents = frames[parent].select(F.col(parent_column).alias("k")).where(F.col("k").isNotNull())
         orphans = values.join(parents, "k", "left_anti")
@@ -228,7 +228,7 @@ def relationship_check(frames: dict[str, DataFrame], pairs: list[tuple[str, str,
                 F.lit(parent_column).alias("parent_column"),
                 F.lit(child).alias("child_table"),
                 F.lit(child_column).alias("child_column"),
-                F.count(F.lit(1)).alias("orphan_keys"),
+                F.count("*").alias("orphan_keys"),
                 F.coalesce(F.sum("n"), F.lit(0)).alias("orphan_rows"),
             ).withColumn("holds", F.col("orphan_rows") == 0)
         )
@@ -237,7 +237,7 @@ def relationship_check(frames: dict[str, DataFrame], pairs: list[tuple[str, str,
 
 def _facts(facts: DataFrame, key: str) -> DataFrame:
     return facts.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__key")).agg(
-        F.count(F.lit(1)).alias("__n")
+        F.count("*").alias("__n")
     )
 
 

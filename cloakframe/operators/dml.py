@@ -19,7 +19,7 @@ def _holds(predicate: Column) -> Column:
 
 def insert_rows(target: DataFrame, source: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = source.select(*target.columns)
-    return target.unionByName(rows), rows.agg(F.count(F.lit(1)).alias(AFFECTED))
+    return target.unionByName(rows), rows.agg(F.count("*").alias(AFFECTED))
 
 
 def update_rows(target: DataFrame, predicate: Column, sets: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
@@ -64,8 +64,8 @@ def merge_rows(
     incoming, incoming_keyless = source.where(present), source.where(~present)
 
     # Source keys seen twice that some target row holds: the whole merge is refused.
-    repeated = incoming.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    refused = repeated.join(own.select(*keys), keys, "left_semi").agg(F.count(F.lit(1))).scalar()
+    repeated = incoming.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    refused = repeated.join(own.select(*keys), keys, "left_semi").agg(F.count("*")).scalar()
     checked = F.assert_true(refused == 0, F.lit("a target row matches more than one source row")).isNull()
 
     offered = incoming.select(
@@ -86,11 +86,11 @@ def merge_rows(
         ]
     )
     result = kept.unionByName(keyless)
-    touched = paired.where(matched).agg(F.count(F.lit(1)).alias("n"))
+    touched = paired.where(matched).agg(F.count("*").alias("n"))
     if insert:
         # The target side of the anti join is reduced to distinct keys, one partial row per task and key.
         new = incoming.join(own.select(*keys).distinct(), keys, "left_anti").select(*columns)
         added = new.unionByName(incoming_keyless.select(*columns))
         result = result.unionByName(added)
-        touched = touched.unionByName(added.agg(F.count(F.lit(1)).alias("n")))
+        touched = touched.unionByName(added.agg(F.count("*").alias("n")))
     return result, touched.agg(F.sum("n").alias(AFFECTED))

@@ -23,27 +23,26 @@ def _as_text(col: Column, data_type: T.DataType) -> Column:
     return col.cast("string")
 
 
-def mask_column(col: Column, name: str, data_type: T.DataType, numeric: str = "keep") -> Column:
-    """Masked form of one typed column.
-
-    Text goes through the value ladder. Numbers keep their type unless the name is sensitive or
-    ``numeric="strict"``. Dates, timestamps, booleans and binaries are masked only by name. Inside
-    arrays, maps and structs the same rules apply to the text they hold.
-    """
+def _masked_text(df_name: str, data_type: T.DataType, numeric: str) -> bool:
+    """Is the column masked as one text value?"""
     if isinstance(data_type, TEXT_TYPES):
-        return mask.mask_value(col, name)
+        return not names.is_balance_column(df_name)
+    if isinstance(data_type, (T.ArrayType, T.MapType, T.StructType)):
+        return False
+    strict = isinstance(data_type, T.NumericType) and numeric == "strict"
+    return names.is_sensitive_column(df_name) or (strict and not names.is_balance_column(df_name))
+
+
+def _mask_nested(col: Column, name: str, data_type: T.DataType, numeric: str) -> Column:
+    """The rules for text and numbers inside arrays, maps and structs."""
     if isinstance(data_type, T.ArrayType) and _holds_text(data_type):
-        return F.transform(col, lambda x: mask_column(x, name, data_type.elementType, numeric))
+        return F.transform(col, lambda x: _mask_nested(x, name, data_type.elementType, numeric))
     if isinstance(data_type, T.MapType) and _holds_text(data_type):
-        return F.transform_values(col, lambda _, x: mask_column(x, name, data_type.valueType, numeric))
+        return F.transform_values(col, lambda _, x: _mask_nested(x, name, data_type.valueType, numeric))
     if isinstance(data_type, T.StructType) and _holds_text(data_type):
-        fields = [mask_column(col.getField(f.name), f.name, f.dataType, numeric).alias(f.name) for f in data_type]
+        fields = [_mask_nested(col.getField(f.name), f.name, f.dataType, numeric).alias(f.name) for f in data_type]
         return F.when(col.isNotNull(), F.struct(*fields))
-    if isinstance(data_type, (T.ArrayType, T.MapType, T.StructType)):
-        return col
-    if names.is_sensitive_column(name):
-        return mask.mask_value(_as_text(col, data_type), name)
-    if isinstance(data_type, T.NumericType) and numeric == "strict":
+    if _masked_text(name, data_type, numeric):
         return mask.mask_value(_as_text(col, data_type), name)
     return col
 
@@ -62,58 +61,77 @@ def _quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def _masked_columns(df: DataFrame, numeric: str) -> dict[str, Column]:
+def _check(df: DataFrame, numeric: str) -> None:
     repeated = {c for c in df.columns if df.columns.count(c) > 1}
     if repeated:
         raise ValueError(f"duplicate output columns: {sorted(repeated)}")
     if numeric not in ("keep", "strict"):
         raise ValueError("numeric must be 'keep' or 'strict'")
-    return {f.name: mask_column(_quoted(f.name), f.name, f.dataType, numeric) for f in df.schema}
+
+
+def _side_by_side(df: DataFrame, numeric: str) -> DataFrame:
+    """Original columns as ``v0, v1, …`` (as text where they are masked as text) and, next to them, the
+    digits their rules share as ``d0, d1, …``. Being used several times above, the digits stay a projection of
+    their own and are computed once per value."""
+    columns = []
+    for i, f in enumerate(df.schema):
+        col = _quoted(f.name)
+        if _masked_text(f.name, f.dataType, numeric):
+            col = _as_text(col, f.dataType) if not isinstance(f.dataType, TEXT_TYPES) else col
+            digits = mask.needed_digits(col, f.name)
+            if digits is not None:
+                columns.append(digits.alias(f"d{i}"))
+        columns.append(col.alias(f"v{i}"))
+    return df.select(*columns)
+
+
+def _masked_columns(df: DataFrame, numeric: str) -> list[Column]:
+    """Masked columns over ``_side_by_side``.
+
+    Text goes through the value ladder. Numbers keep their type unless the name is sensitive or
+    ``numeric="strict"``. Dates, timestamps, booleans and binaries are masked only by name. Inside
+    arrays, maps and structs the same rules apply to the text they hold.
+    """
+    masked = []
+    for i, f in enumerate(df.schema):
+        col = F.col(f"v{i}")
+        if _masked_text(f.name, f.dataType, numeric):
+            digits = F.col(f"d{i}") if mask.needed_digits(col, f.name) is not None else None
+            col = mask.mask_value(col, f.name, digits)
+        elif not isinstance(f.dataType, TEXT_TYPES):
+            col = _mask_nested(col, f.name, f.dataType, numeric)
+        masked.append(col)
+    return masked
 
 
 def mask_table(df: DataFrame, numeric: str = "keep") -> DataFrame:
     """Mask every column; columns whose name and type need no check pass through untouched."""
-    return df.select(*[c.alias(n) for n, c in _masked_columns(df, numeric).items()])
+    _check(df, numeric)
+    masked = _masked_columns(df, numeric)
+    return _side_by_side(df, numeric).select(*[c.alias(n) for n, c in zip(df.columns, masked)])
 
 
 def with_change_flag(df: DataFrame, numeric: str = "keep", flag: str = "was_masked") -> DataFrame:
     """``mask_table`` plus a flag: does any cell of the row differ from the original?"""
+    _check(df, numeric)
     masked = _masked_columns(df, numeric)
-    types = {f.name: f.dataType for f in df.schema}
-    touched = [n for n, c in masked.items() if c is not None and _may_change(n, types[n], numeric)]
-    # The original and masked cells sit side by side first, so each ladder is evaluated once.
-    both = df.select(
-        *[_quoted(n).alias(f"o{i}") for i, n in enumerate(masked)],
-        *[c.alias(f"m{i}") for i, c in enumerate(masked.values())],
-    )
-    order = {n: i for i, n in enumerate(masked)}
-    changes = [~_original(order[n], types[n]).eqNullSafe(F.col(f"m{order[n]}")) for n in touched]
+    both = _side_by_side(df, numeric).select("*", *[c.alias(f"m{i}") for i, c in enumerate(masked)])
+    touched = [
+        i
+        for i, f in enumerate(df.schema)
+        if not isinstance(f.dataType, T.MapType)
+        and (_masked_text(f.name, f.dataType, numeric) or _holds_text(f.dataType))
+    ]
+    changes = [~F.col(f"v{i}").eqNullSafe(F.col(f"m{i}")) for i in touched]
     changed = reduce(lambda a, b: a | b, changes) if changes else F.lit(False)
-    return both.select(*[F.col(f"m{i}").alias(n) for n, i in order.items()], changed.alias(flag))
-
-
-def _original(i: int, data_type: T.DataType) -> Column:
-    col = F.col(f"o{i}")
-    return col if _holds_text(data_type) else _as_text(col, data_type)
-
-
-def _may_change(name: str, data_type: T.DataType, numeric: str) -> bool:
-    if isinstance(data_type, T.MapType):
-        return False
-    if _holds_text(data_type):
-        return not names.is_balance_column(name)
-    if isinstance(data_type, (T.ArrayType, T.StructType)):
-        return False
-    return names.is_sensitive_column(name) or (
-        isinstance(data_type, T.NumericType) and numeric == "strict" and not names.is_balance_column(name)
-    )
+    return both.select(*[F.col(f"m{i}").alias(n) for i, n in enumerate(df.columns)], changed.alias(flag))
 
 
 def masking_report(df: DataFrame, numeric: str = "keep") -> DataFrame:
     """One row: how many rows were read and how many had at least one cell masked."""
     flagged = with_change_flag(df, numeric)
     return flagged.agg(
-        F.count(F.lit(1)).alias("total_rows"),
+        F.count("*").alias("total_rows"),
         F.count_if(F.col("was_masked")).alias("masked_rows"),
     )
 
@@ -138,21 +156,34 @@ def check_column_sensitivity(catalog: DataFrame, name: str = "column_name") -> D
 def sensitive_column_counts(catalog: DataFrame, table: str = "table_name", name: str = "column_name") -> DataFrame:
     """Columns and sensitive columns per table of a catalog."""
     return catalog.groupBy(table).agg(
-        F.count(F.lit(1)).alias("column_count"),
+        F.count("*").alias("column_count"),
         F.count_if(names.is_sensitive_column(F.col(name))).alias("sensitive_count"),
     )
 
 
+def _with_digits(values: DataFrame, value: str) -> DataFrame:
+    return values.withColumn("__digits", detect.rule_digits(F.col(value)))
+
+
+def contains_pii(values: DataFrame, value: str = "v", flag: str = "contains_pii") -> DataFrame:
+    """A flag per value: does any detector fire?"""
+    return _with_digits(values, value).withColumn(flag, detect.contains_pii(F.col(value), F.col("__digits"))).drop(
+        "__digits"
+    )
+
+
 def pii_detection_report(values: DataFrame, value: str = "v", name: str | Column = "test_column") -> DataFrame:
     """Original, detector answer, masked form and whether masking changed the value."""
-    v = F.col(value)
-    shown = values.withColumn("contains_pii", detect.contains_pii(v)).withColumn(
-        "masked_value", mask.mask_value(v, name)
+    v, d = F.col(value), F.col("__digits")
+    fixed = isinstance(name, str) and names.is_sensitive_column(name)
+    shown = _with_digits(values, value).withColumns(
+        {"contains_pii": detect.contains_pii(v, d), "masked_value": mask.mask_value(v, name, None if fixed else d)}
     )
-    return shown.withColumn("was_masked", ~v.eqNullSafe(F.col("masked_value")))
+    return shown.withColumn("was_masked", ~v.eqNullSafe(F.col("masked_value"))).drop("__digits")
 
 
 def pii_class_counts(values: DataFrame, group: list[str], value: str = "v", name: str | Column = "") -> DataFrame:
     """How many values of each group take which step of the ladder."""
-    classed = values.select(*group, mask.pii_class(F.col(value), name).alias("pii_class"))
-    return classed.groupBy(*group, "pii_class").agg(F.count(F.lit(1)).alias("value_count"))
+    label = mask.pii_class(F.col(value), name, F.col("__digits"))
+    classed = _with_digits(values, value).select(*group, label.alias("pii_class"))
+    return classed.groupBy(*group, "pii_class").agg(F.count("*").alias("value_count"))

@@ -104,6 +104,6 @@ def query_stats(spark: SparkSession, sql: str, max_rows: int = DEFAULT_MAX_ROWS)
     """The statistics that do not depend on the clock, as a lazy one-row DataFrame."""
     capped = with_change_flag(spark.sql(sql).limit(max_rows), flag="__was_masked")
     counted = capped.agg(
-        F.count(F.lit(1)).alias("row_count"), F.count_if(F.col("__was_masked")).alias("masked_rows")
+        F.count("*").alias("row_count"), F.count_if(F.col("__was_masked")).alias("masked_rows")
     )
     return counted.withColumn("was_truncated", F.col("row_count") >= max_rows)

@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 
 from cloakframe.functions.text import any_of, decimal_ratio, has_text, hash_text, one_line, or_zero
 
-ROWS = F.count(F.lit(1))
 MS = "decimal(18,3)"
 
 
@@ -42,7 +41,7 @@ def statement_stats(log: DataFrame) -> DataFrame:
     would force a sort of the raw log.
     """
     return log.groupBy("query_hash", "query_text").agg(
-        ROWS.alias("execution_count"),
+        F.count("*").alias("execution_count"),
         F.sum("elapsed_us").alias("total_elapsed_us"),
         F.max("elapsed_us").alias("max_elapsed_us"),
         F.sum("cpu_us").alias("total_cpu_us"),
@@ -92,7 +91,7 @@ def slow_groups(
 def slow_groups_summary(slow: DataFrame, minimum_ms: int = 1000) -> DataFrame:
     """Totals over the listed statements only."""
     found = slow.agg(
-        ROWS.alias("total_queries"),
+        F.count("*").alias("total_queries"),
         F.count_if(F.col("avg_elapsed_ms") >= minimum_ms).alias("slow_queries"),
         F.coalesce(F.avg("avg_elapsed_ms"), F.lit(0)).cast("decimal(18,6)").alias("average_execution_ms"),
         F.coalesce(F.sum("total_cpu_ms") / 1000, F.lit(0)).cast("decimal(18,6)").alias("total_cpu_seconds"),
@@ -199,7 +198,7 @@ def usage_summary(scores: DataFrame) -> DataFrame:
     """Objects and sizes by category."""
     category = F.col("usage_category")
     found = scores.agg(
-        ROWS.alias("total_objects"),
+        F.count("*").alias("total_objects"),
         F.count_if(category == "Unused").alias("unused_objects"),
         F.count_if(category == "Heavy").alias("heavily_used_objects"),
         F.count_if(category == "Light").alias("lightly_used_objects"),
@@ -268,7 +267,7 @@ def impact_ranking(log: DataFrame, top_count: int = 25, schema_name: str = "dbo"
         F.count_if(scan).alias("user_scans"),
         F.sum("cost_units").alias("cost_units"),
         F.sum("impact_pct").alias("impact_pct"),
-        ROWS.alias("n"),
+        F.count("*").alias("n"),
         F.max(F.when(seek, F.col("used_at"))).alias("last_user_seek"),
         F.max(F.when(scan, F.col("used_at"))).alias("last_user_scan"),
     )
@@ -306,7 +305,7 @@ def impact_summary(ranking: DataFrame) -> DataFrame:
     """Counts by priority and summed improvement over the listed suggestions only."""
     priority = F.col("priority")
     found = ranking.agg(
-        ROWS.alias("total_suggestions"),
+        F.count("*").alias("total_suggestions"),
         F.count_if(priority == "High").alias("high_priority"),
         F.count_if(priority == "Medium").alias("medium_priority"),
         F.count_if(priority == "Low").alias("low_priority"),
@@ -392,7 +391,7 @@ def wait_description(kind: Column) -> Column:
 def wait_totals(log: DataFrame) -> DataFrame:
     """Waits per type, without benign types and types that never waited."""
     grouped = log.where(~F.col("wait_type").isin(*BENIGN_WAITS)).groupBy("wait_type").agg(
-        ROWS.alias("waiting_tasks_count"),
+        F.count("*").alias("waiting_tasks_count"),
         F.sum("wait_ms").alias("wait_time_ms"),
         F.max("wait_ms").alias("max_wait_time_ms"),
         F.sum("signal_ms").alias("signal_wait_time_ms"),
@@ -436,7 +435,7 @@ def wait_summary(waits: DataFrame) -> DataFrame:
     rank = F.struct("percentage_of_total", "wait_time_ms", "wait_type")
     found = waits.agg(
         F.coalesce(F.sum("wait_time_ms"), F.lit(0)).cast("decimal(28,3)").alias("total_wait_time_ms"),
-        ROWS.alias("unique_wait_types"),
+        F.count("*").alias("unique_wait_types"),
         F.coalesce(F.max_by("wait_type", rank), F.lit("None")).alias("top_wait_type"),
         F.coalesce(F.max("percentage_of_total"), F.lit(0)).cast("decimal(5,2)").alias("top_wait_percentage"),
     )
