@@ -20,11 +20,13 @@ from cloakframe.functions.text import digits_of, is_blank
 EMAIL = r"(?U)\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b"
 # An optional country code and opening bracket may precede a phone number; they never decide a match.
 PHONE = r"(?U)[0-9]{3}\)?[-.\s]?[0-9]{3}[-.\s]?[0-9]{4}"
-SSN = r"(?U)\b(?:\d{3}-\d{2}-\d{4}|\d{9})\b"
-CARD = r"(?U)\b(?:\d{4}[-\s]?){3}\d{4}\b"
-IBAN = r"(?U)\b[A-Za-z]{2}\d{2}[A-Za-z0-9]{4,30}\b"
-ROUTING = r"(?U)\b\d{9}\b"
-BANK_ACCOUNT = r"(?U)\b\d{8,17}\b"
+# The rules below begin at a word boundary. They look for digits first and check the boundary looking
+# back, because few places in a text hold digits while every word has a boundary.
+SSN = r"(?U)\d{3}(?<!\w\d{3})(?:-\d{2}-\d{4}|\d{6})\b"
+CARD = r"(?U)\d{4}(?<!\w\d{4})[-\s]?(?:\d{4}[-\s]?){2}\d{4}\b"
+IBAN = r"(?U)\d{2}(?<=\b[A-Za-z]{2}\d{2})[A-Za-z0-9]{4,30}\b"
+ROUTING = r"(?U)\d{9}(?<!\w\d{9})\b"
+BANK_ACCOUNT = r"(?U)\d{8}(?<!\w\d{8})\d{0,9}\b"
 # Groups may be split by any white space, but at least one "-", "." or " " must be among the splits.
 FORMATTED_ACCOUNT = (
     r"(?Ud)^(?:\d{3}-\d{5,8}|\d{2}(?:-\d{2}){2,5}-\d{4,10}"

@@ -153,20 +153,23 @@ def _branches(v: Column, name: str | Column, d: Column) -> list[tuple[Column, st
     ]
 
 
-def needed_digits(v: Column, name: str) -> Column | None:
-    """The digits column that ``mask_value`` shares among its steps for a fixed name, if it needs one."""
-    if names.is_balance_column(name):
-        return None
+def shares_digits(name: str) -> bool:
+    """Do the steps of ``mask_value`` for a fixed name have digits to share?"""
     if names.is_sensitive_column(name):
-        return digits_of(v) if names.masking_type(name) in DIGIT_KINDS else None
-    return detect.rule_digits(v)
+        return names.masking_type(name) in DIGIT_KINDS
+    return not names.is_balance_column(name)
+
+
+def shared_digits(v: Column, name: str) -> Column:
+    """The digits column those steps share."""
+    return digits_of(v) if names.is_sensitive_column(name) else detect.rule_digits(v)
 
 
 def mask_value(v: Column, name: str | Column, digits: Column | None = None) -> Column:
     """Mask one value in the context of its column name.
 
     Order: null and blank stay; money by name or by value stays; sensitive names use their kind of
-    mask; then the value rules, first hit wins. ``digits`` is ``needed_digits(v, name)``, projected by the
+    mask; then the value rules, first hit wins. ``digits`` is ``shared_digits(v, name)``, projected by the
     caller so that it is computed once; without it the expression stands alone.
     """
     if isinstance(name, str) and names.is_balance_column(name):

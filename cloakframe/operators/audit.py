@@ -143,27 +143,34 @@ def _decimal_or_zero(text: Column) -> Column:
 
 def plan_costs(plans: DataFrame, text: str = "plan_text") -> DataFrame:
     """Estimated cost of each plan text: its first statement cost, else 0."""
-    found = F.regexp_extract(F.col(text), 'StatementSubTreeCost="([^"]+)"', 1)
-    return plans.withColumn("estimated_cost", _decimal_or_zero(found))
+    found = plans.withColumn("__cost", F.regexp_extract(F.col(text), 'StatementSubTreeCost="([^"]+)"', 1))
+    return found.withColumn("estimated_cost", _decimal_or_zero(F.col("__cost"))).drop("__cost")
 
 
 def plan_operators(plans: DataFrame, text: str = "plan_text") -> DataFrame:
     """One row per operator element of each plan text, with its own CPU cost and row estimate."""
     keep = [c for c in plans.columns if c != text]
-    elements = plans.select(
-        *keep, F.posexplode(F.regexp_extract_all(F.col(text), F.lit(r"<RelOp\b[^>]*>"), F.lit(0)))
-    )
+    element = F.lit(r'<RelOp\b[^>]*\bPhysicalOp="[^"]+"[^>]*>')
+    elements = plans.select(*keep, F.posexplode(F.regexp_extract_all(F.col(text), element, F.lit(0))))
 
     def attribute(name: str) -> Column:
         return F.regexp_extract(F.col("col"), rf'\b{name}="([^"]+)"', 1)
 
-    return elements.select(
+    # The attributes are a projection of their own: parsing looks at each text several times.
+    found = elements.select(
         *keep,
         (F.col("pos") + 1).alias("operator_no"),
         attribute("PhysicalOp").alias("operator_type"),
-        _decimal_or_zero(attribute("EstimateCPU")).alias("estimated_cost"),
-        _decimal_or_zero(attribute("EstimateRows")).alias("estimated_rows"),
-    ).where(F.col("operator_type") != "")
+        attribute("EstimateCPU").alias("cpu"),
+        attribute("EstimateRows").alias("rows"),
+    )
+    return found.select(
+        *keep,
+        "operator_no",
+        "operator_type",
+        _decimal_or_zero(F.col("cpu")).alias("estimated_cost"),
+        _decimal_or_zero(F.col("rows")).alias("estimated_rows"),
+    )
 
 
 def plan_operator_totals(plans: DataFrame, text: str = "plan_text") -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,18 +38,25 @@ def table_list(spark: SparkSession, tables: tuple[str, ...] = TABLES) -> DataFra
     return spark.createDataFrame(rows, "table_name string, schema_name string, table_type string")
 
 
-def _files(spark: SparkSession, directory: str, table: str, known: tuple[str, ...]) -> DataFrame:
+def _files(df: DataFrame) -> DataFrame:
     """Rows, bytes and change time per file. Counting needs no column, so only footers are read."""
-    df = load_table(spark, directory, table, known)
-    meta = F.col("_metadata")
-    per_file = df.select(
-        meta.getField("file_path").alias("path"),
-        meta.getField("file_size").alias("bytes"),
-        meta.getField("file_modification_time").alias("modified"),
+    per_file = df.selectExpr(
+        "_metadata.file_path AS path", "_metadata.file_size AS bytes", "_metadata.file_modification_time AS modified"
     )
     return per_file.groupBy("path", "bytes", "modified").agg(F.count("*").alias("n"))
 
 
+def _sql_text(value: str | None) -> str:
+    """A text as a SQL literal."""
+    if value is None:
+        return "CAST(NULL AS STRING)"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _sql_name(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
 def table_inventory(
     spark: SparkSession,
     directory: str,
@@ -72,25 +79,21 @@ def table_inventory(
         return spark.createDataFrame([], schema)
     frames = []
     for t in chosen:
-        columns = load_table(spark, directory, t, tables).columns
-        sizes = _files(spark, directory, t, tables).agg(
-            F.max("modified").alias("modified_date"),
-            F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
-            F.coalesce(F.expr("sum(bytes) div 1048576"), F.lit(0)).alias("data_size_mb"),
-        )
+        df = load_table(spark, directory, t, tables)
+        columns = ", ".join(_sql_text(c) for c in df.columns)
         frames.append(
-            sizes.select(
-                F.lit(t).alias("table_name"),
-                F.lit(SCHEMA_NAME).alias("schema_name"),
-                F.lit(BASE_TABLE).alias("table_type"),
-                "modified_date",
-                "row_count",
-                "data_size_mb",
-                F.lit(declared.descriptions.get(t)).cast("string").alias("description"),
-                F.lit(t in declared.primary_keys).alias("has_primary_key"),
-                F.lit(t in declared.foreign_keys).alias("has_foreign_keys"),
-                F.lit(len(columns)).cast("bigint").alias("column_count"),
-                F.array(*[F.lit(c) for c in columns]).alias("columns"),
+            _files(df).selectExpr(
+                f"{_sql_text(t)} AS table_name",
+                f"{_sql_text(SCHEMA_NAME)} AS schema_name",
+                f"{_sql_text(BASE_TABLE)} AS table_type",
+                "max(modified) AS modified_date",
+                "coalesce(sum(n), 0) AS row_count",
+                "coalesce(sum(bytes) div 1048576, 0) AS data_size_mb",
+                f"{_sql_text(declared.descriptions.get(t))} AS description",
+                f"{t in declared.primary_keys} AS has_primary_key",
+                f"{t in declared.foreign_keys} AS has_foreign_keys",
+                f"{len(df.columns)}L AS column_count",
+                f"array({columns}) AS columns",
             )
         )
     return _union(frames).orderBy("schema_name", "table_name")
@@ -98,29 +101,28 @@ def table_inventory(
 
 def table_stats(spark: SparkSession, directory: str, table: str, tables: tuple[str, ...] = TABLES) -> DataFrame:
     """Rows, files, kilobytes and last change of one table; raises when there is no such table."""
-    return _files(spark, directory, table, tables).agg(
-        F.lit(table).alias("table_name"),
-        F.lit(SCHEMA_NAME).alias("schema_name"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
-        F.count("*").alias("file_count"),
-        F.coalesce(F.expr("sum(bytes) div 1024"), F.lit(0)).alias("data_space_kb"),
-        F.max("modified").alias("last_update"),
+    return _files(load_table(spark, directory, table, tables)).selectExpr(
+        f"{_sql_text(table)} AS table_name",
+        f"{_sql_text(SCHEMA_NAME)} AS schema_name",
+        "coalesce(sum(n), 0) AS row_count",
+        "count(*) AS file_count",
+        "coalesce(sum(bytes) div 1024, 0) AS data_space_kb",
+        "max(modified) AS last_update",
     )
 
 
 def database_info(spark: SparkSession, directory: str, tables: tuple[str, ...] = TABLES) -> DataFrame:
     """Table count, table names and total size of a directory of tables."""
     frames = [
-        _files(spark, directory, t, tables).agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")) for t in tables
+        _files(load_table(spark, directory, t, tables)).selectExpr("coalesce(sum(bytes), 0) AS bytes") for t in tables
     ]
-    sizes = _union(frames).agg((F.sum("bytes") / F.lit(1048576.0)).alias("size_mb"))
-    listed = F.array(*[F.lit(t) for t in sorted(tables)])
-    return sizes.select(
-        F.lit(directory.rstrip("/").split("/")[-1]).alias("database_name"),
-        F.size(listed).alias("table_count"),
-        listed.alias("tables"),
-        "size_mb",
-        F.lit("Query results are automatically filtered for PII protection").alias("note"),
+    listed = ", ".join(_sql_text(t) for t in sorted(tables))
+    return _union(frames).selectExpr(
+        f"{_sql_text(directory.rstrip('/').split('/')[-1])} AS database_name",
+        f"{len(tables)} AS table_count",
+        f"array({listed}) AS tables",
+        "sum(bytes) / 1048576D AS size_mb",
+        "'Query results are automatically filtered for PII protection' AS note",
     )
 
 
@@ -152,34 +154,21 @@ def column_catalog(spark: SparkSession, frames: dict[str, DataFrame]) -> DataFra
 
 def _profile(table: str, df: DataFrame) -> DataFrame:
     """One scan of a table: rows, and per column the values present and the longest text."""
-    fields = list(df.schema)
-    present: list[Column] = [F.count("*").alias("rows")]
-    for i, f in enumerate(fields):
-        col = F.col("`" + f.name.replace("`", "``") + "`")
-        present.append(F.count(col).alias(f"n{i}"))
-        if isinstance(f.dataType, T.StringType):
-            present.append(F.max(F.length(col)).alias(f"l{i}"))
-    counts = df.agg(*present)
-    items = []
-    for i, f in enumerate(fields):
-        precision, scale = _numeric_shape(f.dataType)
-        longest = F.col(f"l{i}") if isinstance(f.dataType, T.StringType) else F.lit(None).cast("int")
+    observed, items = ["count(*) AS rows"], []
+    for i, f in enumerate(df.schema):
+        is_text = isinstance(f.dataType, T.StringType)
+        observed.append(f"count({_sql_name(f.name)}) AS n{i}")
+        if is_text:
+            observed.append(f"max(length({_sql_name(f.name)})) AS l{i}")
+        precision, scale = ("NULL" if x is None else x for x in _numeric_shape(f.dataType))
         items.append(
-            F.struct(
-                F.lit(table).alias("table_name"),
-                F.lit(i + 1).alias("ordinal"),
-                F.lit(f.name).alias("column_name"),
-                F.lit(f.dataType.simpleString()).alias("data_type"),
-                F.lit(f.nullable).alias("is_nullable"),
-                longest.alias("max_length"),
-                F.lit(precision).cast("int").alias("numeric_precision"),
-                F.lit(scale).cast("int").alias("numeric_scale"),
-                F.lit(names.is_sensitive_column(f.name)).alias("is_sensitive"),
-                F.col("rows").alias("row_count"),
-                (F.col("rows") - F.col(f"n{i}")).alias("null_count"),
-            )
+            f"named_struct('table_name', {_sql_text(table)}, 'ordinal', {i + 1}, 'column_name', {_sql_text(f.name)}, "
+            f"'data_type', {_sql_text(f.dataType.simpleString())}, 'is_nullable', {f.nullable}, "
+            f"'max_length', {f'l{i}' if is_text else 'CAST(NULL AS INT)'}, "
+            f"'numeric_precision', CAST({precision} AS INT), 'numeric_scale', CAST({scale} AS INT), "
+            f"'is_sensitive', {names.is_sensitive_column(f.name)}, 'row_count', rows, 'null_count', rows - n{i})"
         )
-    return counts.select(F.inline(F.array(*items)))
+    return df.selectExpr(*observed).selectExpr(f"inline(array({', '.join(items)}))")
 
 
 def column_profile(frames: dict[str, DataFrame]) -> DataFrame:

@@ -78,9 +78,8 @@ def _side_by_side(df: DataFrame, numeric: str) -> DataFrame:
         col = _quoted(f.name)
         if _masked_text(f.name, f.dataType, numeric):
             col = _as_text(col, f.dataType) if not isinstance(f.dataType, TEXT_TYPES) else col
-            digits = mask.needed_digits(col, f.name)
-            if digits is not None:
-                columns.append(digits.alias(f"d{i}"))
+            if mask.shares_digits(f.name):
+                columns.append(mask.shared_digits(col, f.name).alias(f"d{i}"))
         columns.append(col.alias(f"v{i}"))
     return df.select(*columns)
 
@@ -96,7 +95,7 @@ def _masked_columns(df: DataFrame, numeric: str) -> list[Column]:
     for i, f in enumerate(df.schema):
         col = F.col(f"v{i}")
         if _masked_text(f.name, f.dataType, numeric):
-            digits = F.col(f"d{i}") if mask.needed_digits(col, f.name) is not None else None
+            digits = F.col(f"d{i}") if mask.shares_digits(f.name) else None
             col = mask.mask_value(col, f.name, digits)
         elif not isinstance(f.dataType, TEXT_TYPES):
             col = _mask_nested(col, f.name, f.dataType, numeric)

@@ -147,11 +147,13 @@ def _column_profile(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def _key_profile(spark: SparkSession, directory: str) -> DataFrame:
-    return catalog.key_profile(load_tables(spark, directory), CANDIDATE_KEYS)
+    used = tuple({table for table, _ in CANDIDATE_KEYS})
+    return catalog.key_profile(load_tables(spark, directory, used), CANDIDATE_KEYS)
 
 
 def _relationship_check(spark: SparkSession, directory: str) -> DataFrame:
-    return catalog.relationship_check(load_tables(spark, directory), FOREIGN_KEYS)
+    used = tuple({table for child, _, parent, _ in FOREIGN_KEYS for table in (child, parent)})
+    return catalog.relationship_check(load_tables(spark, directory, used), FOREIGN_KEYS)
 
 
 def _table_inventory(spark: SparkSession, directory: str) -> DataFrame:
@@ -169,7 +171,7 @@ def _database_info(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def _exists_flags(spark: SparkSession, directory: str) -> DataFrame:
-    t = load_tables(spark, directory)
+    t = load_tables(spark, directory, ("customer", "orders", "events"))
     urgent = t["orders"].where(F.col("o_orderpriority") == "1-URGENT")
     return catalog.with_exists_flags(
         t["customer"].select("c_custkey", "c_mktsegment"),
@@ -182,7 +184,7 @@ def _exists_flags(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def _scalar_subquery_counts(spark: SparkSession, directory: str) -> DataFrame:
-    t = load_tables(spark, directory)
+    t = load_tables(spark, directory, ("part", "lineitem"))
     return catalog.with_counts(
         t["part"].select("p_partkey", "p_brand"),
         {

@@ -12,6 +12,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The JVM never compiles methods above 8000 bytes. Stages that would exceed it (many masked columns)
+    # run as projections split into small methods instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -31,6 +34,8 @@ def local_session(cores: int | str = "*", app_name: str = "cloakframe", memory:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Recording a Python call site for every column costs more than building the column.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)
