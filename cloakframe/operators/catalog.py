@@ -8,12 +8,12 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cloakframe.functions import names
-from cloakframe.sources.tables import TABLES, load_table
+from cloakframe.sources.tables import TABLES, load_table, table_path
 
 SCHEMA_NAME = "default"
 BASE_TABLE = "BASE TABLE"
@@ -38,12 +38,15 @@ def table_list(spark: SparkSession, tables: tuple[str, ...] = TABLES) -> DataFra
     return spark.createDataFrame(rows, "table_name string, schema_name string, table_type string")
 
 
-def _files(df: DataFrame) -> DataFrame:
-    """Rows, bytes and change time per file. Counting needs no column, so only footers are read."""
-    per_file = df.selectExpr(
-        "_metadata.file_path AS path", "_metadata.file_size AS bytes", "_metadata.file_modification_time AS modified"
-    )
-    return per_file.groupBy("path", "bytes", "modified").agg(F.count("*").alias("n"))
+def _files(spark: SparkSession, directory: str, table: str) -> DataFrame:
+    """Path, length and modificationTime of each file of a table; no content is read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+    return files.load(table_path(directory, table)).select("path", "length", "modificationTime")
+
+
+def _row_count(df: DataFrame) -> Column:
+    """The number of rows as a scalar subquery; counting needs no column, so only footers are read."""
+    return df.agg(F.count("*")).scalar()
 
 
 def _sql_text(value: str | None) -> str:
@@ -82,13 +85,16 @@ def table_inventory(
         df = load_table(spark, directory, t, tables)
         columns = ", ".join(_sql_text(c) for c in df.columns)
         frames.append(
-            _files(df).selectExpr(
+            _files(spark, directory, t)
+            .agg(F.max("modificationTime").alias("modified"), F.sum("length").alias("bytes"))
+            .withColumn("n", _row_count(df))
+            .selectExpr(
                 f"{_sql_text(t)} AS table_name",
                 f"{_sql_text(SCHEMA_NAME)} AS schema_name",
                 f"{_sql_text(BASE_TABLE)} AS table_type",
-                "max(modified) AS modified_date",
-                "coalesce(sum(n), 0) AS row_count",
-                "coalesce(sum(bytes) div 1048576, 0) AS data_size_mb",
+                "modified AS modified_date",
+                "n AS row_count",
+                "coalesce(bytes div 1048576, 0) AS data_size_mb",
                 f"{_sql_text(declared.descriptions.get(t))} AS description",
                 f"{t in declared.primary_keys} AS has_primary_key",
                 f"{t in declared.foreign_keys} AS has_foreign_keys",
@@ -101,27 +107,31 @@ def table_inventory(
 
 def table_stats(spark: SparkSession, directory: str, table: str, tables: tuple[str, ...] = TABLES) -> DataFrame:
     """Rows, files, kilobytes and last change of one table; raises when there is no such table."""
-    return _files(load_table(spark, directory, table, tables)).selectExpr(
+    df = load_table(spark, directory, table, tables)
+    sizes = _files(spark, directory, table).agg(
+        F.count("*").alias("file_count"),
+        F.expr("coalesce(sum(length) div 1024, 0)").alias("data_space_kb"),
+        F.max("modificationTime").alias("last_update"),
+    )
+    return sizes.withColumn("n", _row_count(df)).selectExpr(
         f"{_sql_text(table)} AS table_name",
         f"{_sql_text(SCHEMA_NAME)} AS schema_name",
-        "coalesce(sum(n), 0) AS row_count",
-        "count(*) AS file_count",
-        "coalesce(sum(bytes) div 1024, 0) AS data_space_kb",
-        "max(modified) AS last_update",
+        "n AS row_count",
+        "file_count",
+        "data_space_kb",
+        "last_update",
     )
 
 
 def database_info(spark: SparkSession, directory: str, tables: tuple[str, ...] = TABLES) -> DataFrame:
     """Table count, table names and total size of a directory of tables."""
-    frames = [
-        _files(load_table(spark, directory, t, tables)).selectExpr("coalesce(sum(bytes), 0) AS bytes") for t in tables
-    ]
+    sizes = [_files(spark, directory, t).agg(F.sum("length").alias("bytes")) for t in tables]
     listed = ", ".join(_sql_text(t) for t in sorted(tables))
-    return _union(frames).selectExpr(
+    return _union(sizes).selectExpr(
         f"{_sql_text(directory.rstrip('/').split('/')[-1])} AS database_name",
         f"{len(tables)} AS table_count",
         f"array({listed}) AS tables",
-        "sum(bytes) / 1048576D AS size_mb",
+        "coalesce(sum(bytes), 0) / 1048576D AS size_mb",
         "'Query results are automatically filtered for PII protection' AS note",
     )
 
@@ -204,12 +214,12 @@ def relationship_check(frames: dict[str, DataFrame], pairs: list[tuple[str, str,
     """Child rows without a parent, per declared (child, column, parent, column)."""
     checks = []
     for child, child_column, parent, parent_column in pairs:
-        # One row per child value before the join: hot values never meet the shuffle in full.
+        # One row per value on both sides before the join: hot values never meet the shuffle in full.
         values = (
             frames[child].where(F.col(child_column).isNotNull()).groupBy(F.col(child_column).alias("k"))
             .agg(F.count("*").alias("n"))
         )
-        parents = frames[parent].select(F.col(parent_column).alias("k")).where(F.col("k").isNotNull())
+        parents = frames[parent].select(F.col(parent_column).alias("k")).where(F.col("k").isNotNull()).distinct()
         orphans = values.join(parents, "k", "left_anti")
         checks.append(
             orphans.agg(

@@ -1,15 +1,20 @@
 """INSERT, UPDATE, DELETE and MERGE as rewrites: each returns the new table and a one-row count of
-affected rows. Nothing is written or counted until the caller does so."""
+affected rows. Nothing is written or counted until the caller does so.
+
+The count is a query of its own. A caller who writes the new table anyway passes an ``Observation`` and reads
+``affected_rows`` from it after the write, without a second pass.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 AFFECTED = "affected_rows"
+_FLAG = "__affected"
 
 
 def _holds(predicate: Column) -> Column:
@@ -17,24 +22,41 @@ def _holds(predicate: Column) -> Column:
     return F.coalesce(predicate, F.lit(False))
 
 
-def insert_rows(target: DataFrame, source: DataFrame) -> tuple[DataFrame, DataFrame]:
-    rows = source.select(*target.columns)
-    return target.unionByName(rows), rows.agg(F.count("*").alias(AFFECTED))
+def _count(flagged: DataFrame) -> DataFrame:
+    return flagged.agg(F.count_if(F.col(_FLAG)).alias(AFFECTED))
+
+
+def _observed(flagged: DataFrame, observation: Observation | None) -> DataFrame:
+    if observation is None:
+        return flagged
+    return flagged.observe(observation, F.count_if(F.col(_FLAG)).alias(AFFECTED))
+
+
+def insert_rows(
+    target: DataFrame, source: DataFrame, observation: Observation | None = None
+) -> tuple[DataFrame, DataFrame]:
+    rows = source.select(*target.columns, F.lit(True).alias(_FLAG))
+    return target.unionByName(_observed(rows, observation).drop(_FLAG)), _count(rows)
 
 
-def update_rows(target: DataFrame, predicate: Column, sets: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
+def update_rows(
+    target: DataFrame, predicate: Column, sets: Mapping[str, Column], observation: Observation | None = None
+) -> tuple[DataFrame, DataFrame]:
     """All new values are computed from the old row."""
     hit = _holds(predicate)
     changed = [
         F.when(hit, sets[c]).otherwise(F.col(c)).cast(target.schema[c].dataType).alias(c) if c in sets else F.col(c)
         for c in target.columns
     ]
-    return target.select(*changed), target.agg(F.count_if(hit).alias(AFFECTED))
+    flagged = target.select(*changed, hit.alias(_FLAG))
+    return _observed(flagged, observation).drop(_FLAG), _count(flagged)
 
 
-def delete_rows(target: DataFrame, predicate: Column) -> tuple[DataFrame, DataFrame]:
-    hit = _holds(predicate)
-    return target.where(~hit), target.agg(F.count_if(hit).alias(AFFECTED))
+def delete_rows(
+    target: DataFrame, predicate: Column, observation: Observation | None = None
+) -> tuple[DataFrame, DataFrame]:
+    flagged = target.withColumn(_FLAG, _holds(predicate))
+    return _observed(flagged, observation).where(~F.col(_FLAG)).drop(_FLAG), _count(flagged)
 
 
 def _all_present(keys: list[str]) -> Column:
@@ -48,6 +70,7 @@ def merge_rows(
     update: Mapping[str, str] | None = None,
     insert: bool = True,
     delete_matched: Column | None = None,
+    observation: Observation | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Update (or delete) target rows that match a source row on ``keys``; insert source rows that match none.
 
@@ -62,10 +85,12 @@ def merge_rows(
     present = _all_present(keys)
     own, keyless = target.where(present), target.where(~present)
     incoming, incoming_keyless = source.where(present), source.where(~present)
+    # Distinct keys cross the shuffle once per task and key, however hot a key is.
+    own_keys = own.select(*keys).distinct()
 
     # Source keys seen twice that some target row holds: the whole merge is refused.
     repeated = incoming.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > 1)
-    refused = repeated.join(own.select(*keys), keys, "left_semi").agg(F.count("*")).scalar()
+    refused = repeated.join(own_keys, keys, "left_semi").agg(F.count("*")).scalar()
     checked = F.assert_true(refused == 0, F.lit("a target row matches more than one source row")).isNull()
 
     offered = incoming.select(
@@ -77,20 +102,18 @@ def merge_rows(
     paired = own.where(checked).join(offered, same_key, "left")
     matched = F.col("__matched").isNotNull()
     removed = matched & _holds(delete_matched) if delete_matched is not None else F.lit(False)
-    kept = paired.where(~removed).select(
-        *[
-            F.when(matched, F.col(f"__s_{c}")).otherwise(F.col(c)).cast(target.schema[c].dataType).alias(c)
-            if c in taken
-            else F.col(c)
-            for c in columns
-        ]
+    rewritten = [
+        F.when(matched, F.col(f"__s_{c}")).otherwise(F.col(c)).cast(target.schema[c].dataType).alias(c)
+        if c in taken
+        else F.col(c)
+        for c in columns
+    ]
+    flagged = paired.select(*rewritten, removed.alias("__removed"), matched.alias(_FLAG)).unionByName(
+        keyless.withColumns({"__removed": F.lit(False), _FLAG: F.lit(False)})
     )
-    result = kept.unionByName(keyless)
-    touched = paired.where(matched).agg(F.count("*").alias("n"))
     if insert:
-        # The target side of the anti join is reduced to distinct keys, one partial row per task and key.
-        new = incoming.join(own.select(*keys).distinct(), keys, "left_anti").select(*columns)
+        new = incoming.join(own_keys, keys, "left_anti").select(*columns)
         added = new.unionByName(incoming_keyless.select(*columns))
-        result = result.unionByName(added)
-        touched = touched.unionByName(added.agg(F.count("*").alias("n")))
-    return result, touched.agg(F.sum("n").alias(AFFECTED))
+        flagged = flagged.unionByName(added.withColumns({"__removed": F.lit(False), _FLAG: F.lit(True)}))
+    result = _observed(flagged, observation).where(~F.col("__removed")).drop("__removed", _FLAG)
+    return result, _count(flagged)
