@@ -16,6 +16,8 @@ TEXT_TYPES = (T.StringType, T.CharType, T.VarcharType)
 
 
 def _as_text(col: Column, data_type: T.DataType) -> Column:
+    if isinstance(data_type, TEXT_TYPES):
+        return col
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
         return plain_number(col)
     if isinstance(data_type, T.BooleanType):
@@ -74,56 +76,79 @@ def _side_by_side(df: DataFrame, numeric: str) -> DataFrame:
     digits their rules share as ``d0, d1, …``. Being used several times above, the digits stay a projection of
     their own and are computed once per value."""
     columns = []
-    for i, f in enumerate(df.schema):
-        col = _quoted(f.name)
-        if _masked_text(f.name, f.dataType, numeric):
-            col = _as_text(col, f.dataType) if not isinstance(f.dataType, TEXT_TYPES) else col
-            if mask.shares_digits(f.name):
-                columns.append(mask.shared_digits(col, f.name).alias(f"d{i}"))
+    for i, (f, col) in enumerate(zip(df.schema, _originals(df, numeric))):
         columns.append(col.alias(f"v{i}"))
+        if _masked_text(f.name, f.dataType, numeric) and mask.shares_digits(f.name):
+            columns.append(mask.shared_digits(col, f.name).alias(f"d{i}"))
     return df.select(*columns)
 
 
-def _masked_columns(df: DataFrame, numeric: str) -> list[Column]:
-    """Masked columns over ``_side_by_side``.
-
-    Text goes through the value ladder. Numbers keep their type unless the name is sensitive or
+def _masked_column(col: Column, f: T.StructField, digits: Column | None, numeric: str) -> Column:
+    """Text goes through the value ladder. Numbers keep their type unless the name is sensitive or
     ``numeric="strict"``. Dates, timestamps, booleans and binaries are masked only by name. Inside
-    arrays, maps and structs the same rules apply to the text they hold.
-    """
-    masked = []
-    for i, f in enumerate(df.schema):
-        col = F.col(f"v{i}")
-        if _masked_text(f.name, f.dataType, numeric):
-            digits = F.col(f"d{i}") if mask.shares_digits(f.name) else None
-            col = mask.mask_value(col, f.name, digits)
-        elif not isinstance(f.dataType, TEXT_TYPES):
-            col = _mask_nested(col, f.name, f.dataType, numeric)
-        masked.append(col)
-    return masked
+    arrays, maps and structs the same rules apply to the text they hold."""
+    if _masked_text(f.name, f.dataType, numeric):
+        return mask.mask_value(col, f.name, digits)
+    return col if isinstance(f.dataType, TEXT_TYPES) else _mask_nested(col, f.name, f.dataType, numeric)
+
+
+def _over_shared_digits(df: DataFrame, numeric: str) -> list[Column]:
+    """Masked columns over ``_side_by_side``."""
+    return [
+        _masked_column(F.col(f"v{i}"), f, F.col(f"d{i}") if mask.shares_digits(f.name) else None, numeric)
+        for i, f in enumerate(df.schema)
+    ]
+
+
+def _originals(df: DataFrame, numeric: str) -> list[Column]:
+    """The columns of a table, as text where they are masked as text."""
+    return [
+        _as_text(_quoted(f.name), f.dataType) if _masked_text(f.name, f.dataType, numeric) else _quoted(f.name)
+        for f in df.schema
+    ]
+
+
+def _may_change(f: T.StructField, numeric: str) -> bool:
+    return not isinstance(f.dataType, T.MapType) and (
+        _masked_text(f.name, f.dataType, numeric) or (_holds_text(f.dataType) and not isinstance(f.dataType, TEXT_TYPES))
+    )
+
+
+def _any_differs(df: DataFrame, before: list[Column], after: list[Column], numeric: str) -> Column:
+    pairs = [~b.eqNullSafe(a) for f, b, a in zip(df.schema, before, after) if _may_change(f, numeric)]
+    return reduce(lambda x, y: x | y, pairs) if pairs else F.lit(False)
 
 
 def mask_table(df: DataFrame, numeric: str = "keep") -> DataFrame:
     """Mask every column; columns whose name and type need no check pass through untouched."""
     _check(df, numeric)
-    masked = _masked_columns(df, numeric)
+    masked = _over_shared_digits(df, numeric)
     return _side_by_side(df, numeric).select(*[c.alias(n) for n, c in zip(df.columns, masked)])
 
 
 def with_change_flag(df: DataFrame, numeric: str = "keep", flag: str = "was_masked") -> DataFrame:
     """``mask_table`` plus a flag: does any cell of the row differ from the original?"""
     _check(df, numeric)
-    masked = _masked_columns(df, numeric)
+    masked = _over_shared_digits(df, numeric)
     both = _side_by_side(df, numeric).select("*", *[c.alias(f"m{i}") for i, c in enumerate(masked)])
-    touched = [
-        i
-        for i, f in enumerate(df.schema)
-        if not isinstance(f.dataType, T.MapType)
-        and (_masked_text(f.name, f.dataType, numeric) or _holds_text(f.dataType))
-    ]
-    changes = [~F.col(f"v{i}").eqNullSafe(F.col(f"m{i}")) for i in touched]
-    changed = reduce(lambda a, b: a | b, changes) if changes else F.lit(False)
-    return both.select(*[F.col(f"m{i}").alias(n) for i, n in enumerate(df.columns)], changed.alias(flag))
+    before, after = ([F.col(f"{x}{i}") for i in range(len(masked))] for x in "vm")
+    changed = _any_differs(df, before, after, numeric)
+    return both.select(*[c.alias(n) for n, c in zip(df.columns, after)], changed.alias(flag))
+
+
+def mask_capped(capped: DataFrame, numeric: str = "keep", flag: str | None = None) -> DataFrame:
+    """``mask_table`` for the few rows a limit leaves, optionally with the change flag.
+
+    Spark moves projections below a limit. As a single projection the masking ends up inside the top-k
+    operator, or in a scan that stops at the limit; a second projection would turn a top-k into a full sort.
+    """
+    _check(capped, numeric)
+    before = _originals(capped, numeric)
+    after = [_masked_column(c, f, None, numeric) for c, f in zip(before, capped.schema)]
+    columns = [c.alias(n) for n, c in zip(capped.columns, after)]
+    if flag is not None:
+        columns.append(_any_differs(capped, before, after, numeric).alias(flag))
+    return capped.select(*columns)
 
 
 def masking_report(df: DataFrame, numeric: str = "keep") -> DataFrame:

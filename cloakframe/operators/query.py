@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cloakframe.operators.audit import audit_safety
-from cloakframe.operators.masking import mask_table, with_change_flag
+from cloakframe.operators.masking import mask_capped, mask_table
 
 DEFAULT_MAX_ROWS = 1000
 
@@ -30,12 +30,12 @@ def bounded_query(
     args: dict | list | None = None,
     numeric: str = "keep",
 ) -> DataFrame:
-    """Any SELECT, capped at ``max_rows`` and then masked, so only rows that are returned pay for masking.
+    """Any SELECT, capped at ``max_rows`` and masked, so only rows that are returned pay for masking.
 
     ``max_rows=None`` masks the whole result, for results that are written rather than shown.
     """
     result = spark.sql(sql, args=args) if args else spark.sql(sql)
-    return mask_table(result if max_rows is None else result.limit(max_rows), numeric)
+    return mask_table(result, numeric) if max_rows is None else mask_capped(result.limit(max_rows), numeric)
 
 
 def result_message(row_count: int, max_rows: int) -> str:
@@ -86,7 +86,7 @@ def query_with_stats(spark: SparkSession, sql: str, max_rows: int = DEFAULT_MAX_
     come to the driver, as its caller asked."""
     check_safety(spark, sql)
     start = time.monotonic()
-    capped = with_change_flag(spark.sql(sql).limit(max_rows), flag="__was_masked")
+    capped = mask_capped(spark.sql(sql).limit(max_rows), flag="__was_masked")
     collected = capped.collect()
     seconds = time.monotonic() - start
     masked = sum(r["__was_masked"] for r in collected)
@@ -102,7 +102,7 @@ def query_with_stats(spark: SparkSession, sql: str, max_rows: int = DEFAULT_MAX_
 
 def query_stats(spark: SparkSession, sql: str, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
     """The statistics that do not depend on the clock, as a lazy one-row DataFrame."""
-    capped = with_change_flag(spark.sql(sql).limit(max_rows), flag="__was_masked")
+    capped = mask_capped(spark.sql(sql).limit(max_rows), flag="__was_masked")
     counted = capped.agg(
         F.count("*").alias("row_count"), F.count_if(F.col("__was_masked")).alias("masked_rows")
     )

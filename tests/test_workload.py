@@ -1,0 +1,165 @@
+from __future__ import annotations
+
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from cloakframe.operators import workload as w
+from cloakframe.plans.derived import derived
+
+LOG = "query_hash {h}, query_text string, elapsed_us bigint, cpu_us bigint, logical_reads bigint, physical_reads bigint, executed_at timestamp_ntz"
+
+
+def log(spark, rows, hash_type="string"):
+    full = [(h, t, e, c, 10, 3, None) for h, t, e, c in rows]
+    return spark.createDataFrame(full, LOG.format(h=hash_type))
+
+
+def test_averages_divide_whole_microseconds_first(spark):
+    slow = w.slow_groups(log(spark, [("a", "x", 1_000_000, 7), ("a", "x", 1_000_001, 8), ("a", "x", 1_000_001, 8)]), minimum_ms=1000)
+    row = slow.first()
+    assert row["avg_elapsed_ms"] == Decimal("1000.000")  # 3000002 div 3 = 1000000
+    assert row["avg_cpu_ms"] == Decimal("0.007")
+    assert (row["execution_count"], row["total_logical_reads"], row["avg_physical_reads"]) == (3, 30, 3)
+
+
+def test_threshold_text_and_hash(spark):
+    rows = [(bytearray(b"\x01\xff"), "a\r\n\tb" + "z" * 2000, 2_000_000, 1), (bytearray(b"\x02"), "fast", 999_999, 1)]
+    slow = w.slow_groups(log(spark, rows, "binary"), database="db")
+    row = slow.first()
+    assert slow.count() == 1
+    assert row["query_hash"] == "0x01FF" and row["database_name"] == "db"
+    assert row["query_text"] == "a   b" + "z" * 995
+
+
+def test_top_k_and_summary_scope(spark):
+    slow = w.slow_groups(log(spark, [(f"q{i}", "t", 1_000_000 * (i + 1), 1_500_000) for i in range(10)]), top_count=3)
+    assert [r["query_hash"] for r in slow.collect()] == ["q9", "q8", "q7"]
+    row = w.slow_groups_summary(slow).first()
+    assert (row["total_queries"], row["slow_queries"], row["total_logical_reads"]) == (3, 3, 30)
+    assert row["average_execution_ms"] == Decimal("9000") and row["total_cpu_seconds"] == Decimal("4.5")
+    assert row["message"] == "Found 3 slow queries with average execution time >= 1000ms"
+    assert row["analysis_timestamp"] is not None
+
+
+def test_empty_logs(spark):
+    empty = w.slow_groups(log(spark, []))
+    row = w.slow_groups_summary(empty).first()
+    assert (row["total_queries"], row["average_execution_ms"], row["total_logical_reads"]) == (0, 0, 0)
+    waits = w.wait_share(spark.createDataFrame([], "wait_type string, wait_ms bigint, signal_ms bigint"))
+    row = w.wait_summary(waits).first()
+    assert (row["unique_wait_types"], row["top_wait_type"], row["top_wait_percentage"]) == (0, "None", 0)
+    assert w.wait_bottlenecks(waits).count() == 0
+
+
+def test_statements_stay_a_hash_aggregate(spark, data_dir):
+    text = w.slow_groups(derived(spark, data_dir, "query_log"))._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in text and "HashAggregate" in text and "TakeOrderedAndProject" in text
+
+
+@pytest.mark.parametrize(
+    "uses,score,category",
+    [(0, "0", "Unused"), (1, "0.01", "Light"), (99, "0.99", "Light"), (100, "1", "Moderate"), (999, "9.99", "Moderate"),
+     (1000, "10", "Heavy"), (9999, "99.99", "Heavy"), (10000, "100", "Heavy"), (10**9, "100", "Heavy")],
+)
+def test_usage(spark, uses, score, category):
+    row = spark.range(1).select(w.usage_score(F.lit(uses)).alias("s"), w.usage_category(F.lit(uses)).alias("c")).first()
+    assert (row["s"], row["c"]) == (Decimal(score), category)
+
+
+def test_usage_scores(spark):
+    objects = spark.createDataFrame(
+        [("t", 1, "ix", 2, 8), ("t", 2, None, 0, 8), ("u", 1, "other", 9, None), ("t", 3, "gone", -1, 8)],
+        "table_name string, object_key bigint, object_name string, type_code int, size_kb bigint",
+    )
+    used = spark.createDataFrame(
+        [("t", 1, "R", "F", None), ("t", 1, "A", "O", None), ("t", 1, "N", "F", None), ("x", 1, "R", "F", None)],
+        "table_name string, object_key bigint, access string, status string, used_at timestamp_ntz",
+    )
+    scores = {(r["table_name"], r["object_key"]): r for r in w.usage_scores(objects, used).collect()}
+    assert set(scores) == {("t", 1), ("t", 2), ("u", 1)}
+    first, heap, other = scores["t", 1], scores["t", 2], scores["u", 1]
+    assert (first["user_seeks"], first["user_scans"], first["user_lookups"], first["user_updates"]) == (1, 1, 1, 2)
+    assert (heap["object_name"], heap["object_type"], heap["usage_category"]) == ("HEAP", "Heap", "Unused")
+    assert (other["object_type"], other["size_kb"]) == ("Unknown", 0)
+    assert w.usage_scores(objects, used, "u").count() == 1
+    message = w.usage_summary(w.usage_scores(objects, used)).first()["message"]
+    assert message == "Analyzed 3 indexes. Found 2 unused indexes consuming 8 KB"
+
+
+def test_suggestions(spark):
+    rows = [("t", "[a], [b]", "[c]", "[d]"), ("t", " ", "[c]", None), ("t", None, None, ""), (None, "[x]", "", "")]
+    candidates = spark.createDataFrame(
+        [(*r, access, 6000, 50, None) for r in rows for access in ("seek", "scan", "other")],
+        "table_name string, equality_columns string, inequality_columns string, included_columns string, access string, "
+        "cost_units bigint, impact_pct bigint, used_at timestamp_ntz",
+    )
+    ranked = w.impact_ranking(candidates)
+    shown = {r["suggested_index_name"]: r for r in ranked.collect()}
+    assert set(shown) == {"IX_t_a, b", "IX_t_c", "IX_t_Missing"}
+    full = shown["IX_t_a, b"]
+    assert full["create_index_statement"] == (
+        "CREATE NONCLUSTERED INDEX [IX_t_a, b] ON [dbo].[t] ([a], [b], [c]) INCLUDE ([d])"
+    )
+    assert shown["IX_t_Missing"]["create_index_statement"].endswith("ON [dbo].[t] ([Unknown])")
+    assert full["improvement_measure"] == Decimal("200.00") and full["priority"] == "Low"
+    row = w.impact_summary(ranked).first()
+    assert row["message"] == "Found 3 missing index suggestions. 0 high priority, 0 medium priority"
+    assert row["total_potential_improvement"] == Decimal("600.00")
+
+
+@pytest.mark.parametrize("value,priority", [("100000.01", "High"), ("100000", "Medium"), ("10000", "Low")])
+def test_priority(spark, value, priority):
+    assert spark.range(1).select(w.impact_priority(F.lit(Decimal(value)))).first()[0] == priority
+
+
+@pytest.mark.parametrize(
+    "kind,category,description",
+    [
+        ("LCK_M_S", "Locking", "Lock acquisition waits"),
+        ("PAGEIOLATCH_SH", "I/O", "Data page I/O waits"),  # not Latching: I/O comes first
+        ("PAGELATCH_UP", "Latching", w.OTHER_DESCRIPTION),
+        ("IOXFOO", "I/O", w.OTHER_DESCRIPTION),  # "_" is a wildcard
+        ("RESOURCE_SEMAPHORE", "Memory", "Memory grant waits"),
+        ("EXCHANGE", "Parallelism", w.OTHER_DESCRIPTION),
+        ("ASYNC_NETWORK_IO", "Network", "Network I/O waits"),
+        ("ASYNCXNETWORKXIO", "Network", w.OTHER_DESCRIPTION),
+        ("THREADPOOL", "CPU", "Worker thread waits"),
+        ("MYSTERY", "Other", w.OTHER_DESCRIPTION),
+    ],
+)
+def test_wait_labels(spark, kind, category, description):
+    row = spark.range(1).select(w.wait_category(F.lit(kind)).alias("c"), w.wait_description(F.lit(kind)).alias("d")).first()
+    assert (row["c"], row["d"]) == (category, description)
+
+
+def test_shares_cover_all_waits_but_summaries_only_the_listed(spark):
+    rows = [("LCK_M_S", 600, 100), ("WRITELOG", 300, 0), ("CXPACKET", 96, 0), ("MYSTERY", 4, 0), ("SLEEP_TASK", 10**6, 0), ("ZERO", 0, 0)]
+    waits = w.wait_share(spark.createDataFrame(rows, "wait_type string, wait_ms bigint, signal_ms bigint"), top_count=3)
+    shown = {r["wait_type"]: r for r in waits.collect()}
+    assert {k: str(r["percentage_of_total"]) for k, r in shown.items()} == {"LCK_M_S": "60.00", "WRITELOG": "30.00", "CXPACKET": "9.60"}
+    assert shown["LCK_M_S"]["resource_wait_time_ms"] == 500
+    row = w.wait_summary(waits).first()
+    assert row["total_wait_time_ms"] == 996 and row["unique_wait_types"] == 3
+    assert row["message"] == "Analyzed 3 wait types. Top wait: LCK_M_S (60.0%)"
+    assert [r["bottleneck"] for r in w.wait_bottlenecks(waits).collect()] == [
+        "Locking (60.0% of total waits)", "I/O (30.0% of total waits)", "Parallelism (9.6% of total waits)",
+    ]
+
+
+def test_the_total_reuses_the_shuffle_of_the_detail(spark, data_dir):
+    waits = w.wait_share(derived(spark, data_dir, "wait_log"))
+    waits.collect()
+    final = waits._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "ReusedExchange" in waits._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in final
+
+
+def test_a_hot_key_is_aggregated_before_the_shuffle(spark, tmp_path):
+    rows = spark.range(200_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'LCK_M_S' ELSE concat('W', id % 50) END AS wait_type", "id AS wait_ms", "0L AS signal_ms"
+    )
+    totals = w.wait_totals(rows)
+    text = totals._jdf.queryExecution().executedPlan().toString()
+    assert text.index("functions=[count(1)") < text.index("Exchange") < text.index("partial_count(1)")
