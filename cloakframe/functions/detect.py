@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from cloakframe.functions.names import is_balance_column, names_an_account
+from cloakframe.functions.names import ACCOUNT_RULE, MONEY_RULE
 from cloakframe.functions.text import digits_of, is_blank
 
 # What each kind of personal datum looks like.
@@ -34,6 +34,9 @@ FORMATTED_ACCOUNT = (
 )
 ABA_WEIGHTS = (3, 7, 1, 3, 7, 1, 3, 7, 1)
 
+# Rules of names that allow short account numbers.
+ACCOUNT_RULES = (ACCOUNT_RULE, "bank_account")
+
 # Money by look: grouped or plain, with two decimals or none.
 _MONEY_LOOK = r"\$?\d{1,3}(?:,\d{3})*(?:\.\d{2})?|\d+\.\d{2}|\d+"
 # Money by value: a plain number below one billion that has at most two decimals once rounded to ten.
@@ -97,17 +100,17 @@ def is_routing_number(v: Column, digits: Column | None = None) -> Column:
     return v.rlike(ROUTING) & aba_checksum(digits_of(v) if digits is None else digits)
 
 
-def is_bank_account(v: Column, name: str | Column = "", digits: Column | None = None) -> Column:
+def is_bank_account(v: Column, rule: str | Column = "plain", digits: Column | None = None) -> Column:
     """A run of 8-17 digits. Names that speak of accounts need no more; others need 10+ digits in all
-    and not the length of a card."""
+    and not the length of a card. ``rule`` is ``names.name_rule`` of the column name."""
     n = F.length(digits_of(v) if digits is None else digits)
     by_name, by_length = n.between(8, 17), n.isin(10, 11, 12, 13, 14, 17)
     run = v.rlike(BANK_ACCOUNT)
-    if isinstance(name, str):
-        if is_balance_column(name):
+    if isinstance(rule, str):
+        if rule == MONEY_RULE:
             return F.when(v.isNotNull(), F.lit(False))
-        return run & (by_name if names_an_account(name) else by_length)
-    return ~is_balance_column(name) & run & F.when(names_an_account(name), by_name).otherwise(by_length)
+        return run & (by_name if rule in ACCOUNT_RULES else by_length)
+    return (rule != MONEY_RULE) & run & F.when(rule.isin(*ACCOUNT_RULES), by_name).otherwise(by_length)
 
 
 def is_formatted_account(v: Column, digits: Column | None = None) -> Column:
@@ -115,11 +118,11 @@ def is_formatted_account(v: Column, digits: Column | None = None) -> Column:
     return v.rlike(FORMATTED_ACCOUNT) & F.length(digits_of(v) if digits is None else digits).between(6, 20)
 
 
-def is_monetary(v: Column, name: str | Column = "") -> Column:
-    """The value reads as money, or its column name says so."""
-    if isinstance(name, str):
-        return F.lit(True) if is_balance_column(name) else v.rlike(MONEY)
-    return is_balance_column(name) | v.rlike(MONEY)
+def is_monetary(v: Column, rule: str | Column = "plain") -> Column:
+    """The value reads as money, or the rule of its column name says so."""
+    if isinstance(rule, str):
+        return F.lit(True) if rule == MONEY_RULE else v.rlike(MONEY)
+    return (rule == MONEY_RULE) | v.rlike(MONEY)
 
 
 def has_digit_pair(v: Column) -> Column:
@@ -141,6 +144,6 @@ def contains_pii(v: Column, digits: Column | None = None) -> Column:
     d = rule_digits(v) if digits is None else digits
     # A routing number is nine digits between word boundaries, which the SSN rule already accepts.
     by_digits = (
-        is_phone(v) | is_ssn(v) | is_card(v) | is_iban(v) | is_bank_account(v, "", d) | is_formatted_account(v, d)
+        is_phone(v) | is_ssn(v) | is_card(v) | is_iban(v) | is_bank_account(v, digits=d) | is_formatted_account(v, d)
     )
     return F.coalesce(~is_blank(v) & (is_email(v) | (d.isNotNull() & by_digits)), F.lit(False))

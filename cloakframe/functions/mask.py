@@ -128,15 +128,13 @@ def mask_by_type(v: Column, kind: str | Column, digits: Column | None = None) ->
     if isinstance(kind, str):
         return MASKERS[kind](v, digits)
     ladder = None
-    for name, masker in MASKERS.items():
-        if name == "generic":
-            continue
-        masked = masker(v, digits)
+    for name in names.KINDS[:-1]:
+        masked = MASKERS[name](v, digits)
         ladder = F.when(kind == name, masked) if ladder is None else ladder.when(kind == name, masked)
     return ladder.otherwise(mask_generic(v))
 
 
-def _branches(v: Column, name: str | Column, d: Column) -> list[tuple[Column, str]]:
+def _branches(v: Column, rule: str | Column, d: Column) -> list[tuple[Column, str]]:
     """Value rules in order; the first that holds gives the class.
 
     The routing rule is absent: each value it accepts is an SSN match first.
@@ -148,55 +146,60 @@ def _branches(v: Column, name: str | Column, d: Column) -> list[tuple[Column, st
         (detect.is_ssn(v), "ssn"),
         (detect.is_card(v), "card"),
         (detect.is_iban(v), "iban"),
-        (detect.is_bank_account(v, name, d), "bank_account"),
+        (detect.is_bank_account(v, rule, d), "bank_account"),
         (detect.is_formatted_account(v, d), "formatted_account"),
     ]
 
 
-def shares_digits(name: str) -> bool:
-    """Do the steps of ``mask_value`` for a fixed name have digits to share?"""
-    if names.is_sensitive_column(name):
-        return names.masking_type(name) in DIGIT_KINDS
-    return not names.is_balance_column(name)
+def shares_digits(rule: str) -> bool:
+    """Do the steps of ``mask_by_rule`` for a fixed rule have digits to share?"""
+    return rule in DIGIT_KINDS or rule in (names.PLAIN_RULE, names.ACCOUNT_RULE)
 
 
-def shared_digits(v: Column, name: str) -> Column:
+def shared_digits(v: Column, rule: str | Column) -> Column:
     """The digits column those steps share."""
-    return digits_of(v) if names.is_sensitive_column(name) else detect.rule_digits(v)
+    if isinstance(rule, str):
+        return digits_of(v) if rule in DIGIT_KINDS else detect.rule_digits(v)
+    return F.when(rule.isin(*DIGIT_KINDS) | detect.has_digit_pair(v), digits_of(v))
 
 
-def mask_value(v: Column, name: str | Column, digits: Column | None = None) -> Column:
-    """Mask one value in the context of its column name.
+def mask_by_rule(v: Column, rule: str | Column, digits: Column | None = None) -> Column:
+    """Mask one value by the rule of its column name (``names.name_rule``).
 
     Order: null and blank stay; money by name or by value stays; sensitive names use their kind of
-    mask; then the value rules, first hit wins. ``digits`` is ``shared_digits(v, name)``, projected by the
+    mask; then the value rules, first hit wins. ``digits`` is ``shared_digits(v, rule)``, projected by the
     caller so that it is computed once; without it the expression stands alone.
     """
-    if isinstance(name, str) and names.is_balance_column(name):
-        return v
     unchanged = v.rlike(detect.BLANK_OR_MONEY)
-    if isinstance(name, str) and names.is_sensitive_column(name):
-        return F.when(unchanged, v).otherwise(mask_by_type(v, names.masking_type(name), digits))
-    if isinstance(name, str):
+    if isinstance(rule, str):
+        if rule == names.MONEY_RULE:
+            return v
         ladder = F.when(unchanged, v)
+        if rule in names.KINDS:
+            return ladder.otherwise(mask_by_type(v, rule, digits))
     else:
-        ladder = F.when(names.is_balance_column(name) | unchanged, v)
-        ladder = ladder.when(names.is_sensitive_column(name), mask_by_type(v, names.masking_type(name)))
-    d = detect.rule_digits(v) if digits is None else digits
-    for condition, kind in _branches(v, name, d):
+        ladder = F.when((rule == names.MONEY_RULE) | unchanged, v)
+        ladder = ladder.when(rule.isin(*names.KINDS), mask_by_type(v, rule, digits))
+    d = shared_digits(v, rule) if digits is None else digits
+    for condition, kind in _branches(v, rule, d):
         ladder = ladder.when(condition, v if kind == "none" else MASKERS[kind](v, d))
     return ladder.otherwise(v)
 
 
-def pii_class(v: Column, name: str | Column = "", digits: Column | None = None) -> Column:
-    """Label of the ladder step a value takes: ``blank``, ``monetary``, ``sensitive_name``, a class or ``none``."""
-    ladder = F.when(v.isNull() | is_blank(v), "blank").when(detect.is_monetary(v, name), "monetary")
-    if isinstance(name, str):
-        if names.is_sensitive_column(name):
+def mask_value(v: Column, name: str | Column) -> Column:
+    """Mask one value in the context of its column name, as one expression."""
+    return mask_by_rule(v, names.name_rule(name))
+
+
+def pii_class(v: Column, rule: str | Column = names.PLAIN_RULE, digits: Column | None = None) -> Column:
+    """Label of the step a value takes: ``blank``, ``monetary``, ``sensitive_name``, a class or ``none``."""
+    ladder = F.when(v.isNull() | is_blank(v), "blank").when(detect.is_monetary(v, rule), "monetary")
+    if isinstance(rule, str):
+        if rule in names.KINDS:
             return ladder.otherwise("sensitive_name")
     else:
-        ladder = ladder.when(names.is_sensitive_column(name), "sensitive_name")
-    d = detect.rule_digits(v) if digits is None else digits
-    for condition, kind in _branches(v, name, d):
+        ladder = ladder.when(rule.isin(*names.KINDS), "sensitive_name")
+    d = shared_digits(v, rule) if digits is None else digits
+    for condition, kind in _branches(v, rule, d):
         ladder = ladder.when(condition, kind)
     return ladder.otherwise("none")

@@ -106,5 +106,27 @@ def names_an_account(name: str | Column):
     return any_of([F.lower(name).contains(p) for p in ACCOUNT_PARTS])
 
 
+# What a name means for masking: "money" (never masked), a kind of mask (sensitive), "account" (not
+# sensitive, but short account numbers count) or "plain".
+MONEY_RULE, ACCOUNT_RULE, PLAIN_RULE = "money", "account", "plain"
+KINDS = tuple(kind for kind, _ in MASK_KINDS) + ("generic",)
+
+
+def name_rule(name: str | Column):
+    """All the name rules folded into one label."""
+    if isinstance(name, str):
+        if is_balance_column(name):
+            return MONEY_RULE
+        if is_sensitive_column(name):
+            return masking_type(name)
+        return ACCOUNT_RULE if names_an_account(name) else PLAIN_RULE
+    return (
+        F.when(is_balance_column(name), MONEY_RULE)
+        .when(is_sensitive_column(name), masking_type(name))
+        .when(names_an_account(name), ACCOUNT_RULE)
+        .otherwise(PLAIN_RULE)
+    )
+
+
 def sensitivity_message(is_sensitive: Column) -> Column:
     return F.when(is_sensitive, SENSITIVE_MESSAGE).otherwise(NOT_SENSITIVE_MESSAGE)

@@ -137,6 +137,33 @@ def audit_recommendations(log: DataFrame, text: str = "query_text", cost: str |
     return rated.withColumn("recommendations", _messages(*items))
 
 
+def audit_validation(log: DataFrame, text: str = "query_text") -> DataFrame:
+    """What validation reports besides syntax: violations, the hints of unsafe texts and complexity warnings."""
+    audited = audit_safety(audit_warnings(log, text), text)
+    none = F.array().cast("array<string>")
+    return audited.withColumns(
+        {
+            "validation_errors": F.col("violations"),
+            "validation_warnings": F.when(F.col("is_safe"), none).otherwise(F.col("warnings")),
+        }
+    )
+
+
+def audit_cost_estimate(log: DataFrame, text: str = "query_text", cost: str = "estimated_cost") -> DataFrame:
+    """Cost report per text: unsafe texts are refused, others get a usage bucket and recommendations."""
+    refusal = audit_safety(log, text).select("*", F.col("is_safe").alias("success"), F.col("message").alias("verdict"))
+    rated = audit_recommendations(refusal, text, cost)
+    safe = F.col("success")
+    done = F.concat(F.lit("Cost estimation completed. Estimated cost: "), F.col(cost).cast("string"))
+    return rated.withColumns(
+        {
+            "resource_usage": F.when(safe, F.col("resource_usage")),
+            "recommendations": F.when(safe, F.col("recommendations")),
+            "message": F.when(safe, done).otherwise(F.concat(F.lit("Query safety validation failed: "), "verdict")),
+        }
+    ).select(*log.columns, "success", "resource_usage", "recommendations", "message")
+
+
 def _decimal_or_zero(text: Column) -> Column:
     return F.coalesce(parse_decimal(text, 28, 8), F.lit(0).cast("decimal(28,8)"))
 

@@ -78,8 +78,9 @@ def _side_by_side(df: DataFrame, numeric: str) -> DataFrame:
     columns = []
     for i, (f, col) in enumerate(zip(df.schema, _originals(df, numeric))):
         columns.append(col.alias(f"v{i}"))
-        if _masked_text(f.name, f.dataType, numeric) and mask.shares_digits(f.name):
-            columns.append(mask.shared_digits(col, f.name).alias(f"d{i}"))
+        rule = names.name_rule(f.name)
+        if _masked_text(f.name, f.dataType, numeric) and mask.shares_digits(rule):
+            columns.append(mask.shared_digits(col, rule).alias(f"d{i}"))
     return df.select(*columns)
 
 
@@ -88,14 +89,14 @@ def _masked_column(col: Column, f: T.StructField, digits: Column | None, numeric
     ``numeric="strict"``. Dates, timestamps, booleans and binaries are masked only by name. Inside
     arrays, maps and structs the same rules apply to the text they hold."""
     if _masked_text(f.name, f.dataType, numeric):
-        return mask.mask_value(col, f.name, digits)
+        return mask.mask_by_rule(col, names.name_rule(f.name), digits)
     return col if isinstance(f.dataType, TEXT_TYPES) else _mask_nested(col, f.name, f.dataType, numeric)
 
 
 def _over_shared_digits(df: DataFrame, numeric: str) -> list[Column]:
     """Masked columns over ``_side_by_side``."""
     return [
-        _masked_column(F.col(f"v{i}"), f, F.col(f"d{i}") if mask.shares_digits(f.name) else None, numeric)
+        _masked_column(F.col(f"v{i}"), f, F.col(f"d{i}") if mask.shares_digits(names.name_rule(f.name)) else None, numeric)
         for i, f in enumerate(df.schema)
     ]
 
@@ -185,29 +186,42 @@ def sensitive_column_counts(catalog: DataFrame, table: str = "table_name", name:
     )
 
 
-def _with_digits(values: DataFrame, value: str) -> DataFrame:
-    return values.withColumn("__digits", detect.rule_digits(F.col(value)))
-
-
 def contains_pii(values: DataFrame, value: str = "v", flag: str = "contains_pii") -> DataFrame:
     """A flag per value: does any detector fire?"""
-    return _with_digits(values, value).withColumn(flag, detect.contains_pii(F.col(value), F.col("__digits"))).drop(
-        "__digits"
-    )
+    digits = values.withColumn("__digits", detect.rule_digits(F.col(value)))
+    return digits.withColumn(flag, detect.contains_pii(F.col(value), F.col("__digits"))).drop("__digits")
+
+
+def _with_rules(values: DataFrame, value: str, name: str | None) -> tuple[DataFrame, Column | str]:
+    """Values with the rule of their name and the digits the rules share, each computed once per row.
+
+    ``name`` names the column that holds the column names; None stands for names that say nothing.
+    """
+    rule: Column | str = names.PLAIN_RULE
+    if name is not None:
+        values = values.withColumn("__rule", names.name_rule(F.col(name)))
+        rule = F.col("__rule")
+    return values.withColumn("__digits", mask.shared_digits(F.col(value), rule)), rule
+
+
+def mask_named_values(values: DataFrame, value: str = "v", name: str = "column_name", masked: str = "masked") -> DataFrame:
+    """Mask a long table of (column name, value) rows."""
+    ruled, rule = _with_rules(values, value, name)
+    return ruled.withColumn(masked, mask.mask_by_rule(F.col(value), rule, F.col("__digits"))).drop("__rule", "__digits")
 
 
-def pii_detection_report(values: DataFrame, value: str = "v", name: str | Column = "test_column") -> DataFrame:
+def pii_detection_report(values: DataFrame, value: str = "v", name: str | None = None) -> DataFrame:
     """Original, detector answer, masked form and whether masking changed the value."""
     v, d = F.col(value), F.col("__digits")
-    fixed = isinstance(name, str) and names.is_sensitive_column(name)
-    shown = _with_digits(values, value).withColumns(
-        {"contains_pii": detect.contains_pii(v, d), "masked_value": mask.mask_value(v, name, None if fixed else d)}
+    ruled, rule = _with_rules(values, value, name)
+    shown = ruled.withColumns(
+        {"contains_pii": detect.contains_pii(v, d if name is None else None), "masked_value": mask.mask_by_rule(v, rule, d)}
     )
-    return shown.withColumn("was_masked", ~v.eqNullSafe(F.col("masked_value"))).drop("__digits")
+    return shown.withColumn("was_masked", ~v.eqNullSafe(F.col("masked_value"))).drop("__rule", "__digits")
 
 
-def pii_class_counts(values: DataFrame, group: list[str], value: str = "v", name: str | Column = "") -> DataFrame:
+def pii_class_counts(values: DataFrame, group: list[str], value: str = "v", name: str | None = None) -> DataFrame:
     """How many values of each group take which step of the ladder."""
-    label = mask.pii_class(F.col(value), name, F.col("__digits"))
-    classed = _with_digits(values, value).select(*group, label.alias("pii_class"))
+    ruled, rule = _with_rules(values, value, name)
+    classed = ruled.select(*group, mask.pii_class(F.col(value), rule, F.col("__digits")).alias("pii_class"))
     return classed.groupBy(*group, "pii_class").agg(F.count("*").alias("value_count"))

@@ -44,6 +44,23 @@ def result_message(row_count: int, max_rows: int) -> str:
     return f"Retrieved {row_count} rows (PII filtered)"
 
 
+@dataclass
+class QueryResult:
+    """Columns and masked rows of a capped query, as shown to a user."""
+
+    columns: list[str]
+    rows: list[T.Row]
+    row_count: int
+    message: str
+
+
+def execute_query(spark: SparkSession, sql: str, max_rows: int = DEFAULT_MAX_ROWS) -> QueryResult:
+    """Run a query for display: at most ``max_rows`` rows come to the driver, as the caller asked."""
+    capped = bounded_query(spark, sql, max_rows)
+    rows = capped.collect()
+    return QueryResult(capped.columns, rows, len(rows), result_message(len(rows), max_rows))
+
+
 @dataclass
 class QueryRun:
     """Rows of a capped run and its one-row statistics."""
@@ -82,8 +99,7 @@ def check_safety(spark: SparkSession, sql: str) -> str:
 
 
 def query_with_stats(spark: SparkSession, sql: str, max_rows: int = DEFAULT_MAX_ROWS) -> QueryRun:
-    """Check, run and time a query. The one operator that runs by itself: at most ``max_rows`` rows
-    come to the driver, as its caller asked."""
+    """Check, run and time a query for display, like ``execute_query``."""
     check_safety(spark, sql)
     start = time.monotonic()
     capped = mask_capped(spark.sql(sql).limit(max_rows), flag="__was_masked")

@@ -712,6 +712,17 @@ def _audit() -> dict[str, str]:
     any_hint = " OR ".join(c for c, _ in hints)
     log = ("query_log",)
     plan = ("plan_log",)
+    unsafe = f"({any_write} OR {any_danger})"
+    complexity = _listed(
+        ("complexity_level = 'VeryComplex'", "'Query is very complex and may have performance implications'"),
+        ("join_count > 5", "'Query contains ' || join_count || ' joins which may impact performance'"),
+    )
+    advice = _listed(
+        ("cost_hundredths >= 10000", _COST_ADVICE),
+        ("join_count > 3", "'Consider adding appropriate indexes for join operations'"),
+        ("subquery_count > 2", "'Consider rewriting subqueries as CTEs or joins for better performance'"),
+        ("contains(upper(query_text), 'SELECT *')", "'Avoid SELECT * and specify only required columns'"),
+    )
     operators = """
 , e AS (SELECT plan_id, regexp_extract_all(plan_text, '<RelOp\\b[^>]*>') AS found FROM plan_log),
 x AS (SELECT plan_id, generate_subscripts(found, 1) AS operator_no, unnest(found) AS el FROM e),
@@ -734,11 +745,20 @@ o AS (SELECT plan_id, CAST(operator_no AS INTEGER) AS operator_no, regexp_extrac
         ),
         "audit_warnings": with_derived(
             log,
-            f"""{_COMPLEX} SELECT query_id, complexity_level, {_listed(
-                ("complexity_level = 'VeryComplex'",
-                 "'Query is very complex and may have performance implications'"),
-                ("join_count > 5", "'Query contains ' || join_count || ' joins which may impact performance'"),
-            )} AS complexity_warnings FROM l""",
+            f"{_COMPLEX} SELECT query_id, complexity_level, {complexity} AS complexity_warnings FROM l",
+        ),
+        "audit_validation": with_derived(
+            log,
+            f"""{_COMPLEX} SELECT query_id, complexity_level, {complexity} AS complexity_warnings,
+  {_listed(*writes, *dangers)} AS validation_errors, CASE WHEN {unsafe} THEN {_listed(*hints)} ELSE '' END
+  AS validation_warnings FROM l""",
+        ),
+        "audit_cost_estimate": with_derived(
+            log,
+            f"""{_COMPLEX} SELECT query_id, {_COST} AS estimated_cost, NOT {unsafe} AS success,
+  CASE WHEN NOT {unsafe} THEN {_USAGE_OF_COST} END AS resource_usage, CASE WHEN NOT {unsafe} THEN {advice} END AS recommendations,
+  CASE WHEN {unsafe} THEN 'Query safety validation failed: Query contains unsafe operations'
+    ELSE 'Cost estimation completed. Estimated cost: ' || CAST({_COST} AS VARCHAR) END AS message FROM l""",
         ),
         "cost_rating": with_derived(
             log,
@@ -747,14 +767,7 @@ o AS (SELECT plan_id, CAST(operator_no AS INTEGER) AS operator_no, regexp_extrac
         ),
         "audit_recommendations": with_derived(
             log,
-            f"""{_COMPLEX} SELECT query_id, {_USAGE_OF_COST} AS resource_usage, {_listed(
-                ("cost_hundredths >= 10000", _COST_ADVICE),
-                ("join_count > 3", "'Consider adding appropriate indexes for join operations'"),
-                ("subquery_count > 2",
-                 "'Consider rewriting subqueries as CTEs or joins for better performance'"),
-                ("contains(upper(query_text), 'SELECT *')",
-                 "'Avoid SELECT * and specify only required columns'"),
-            )} AS recommendations FROM l""",
+            f"{_COMPLEX} SELECT query_id, {_USAGE_OF_COST} AS resource_usage, {advice} AS recommendations FROM l",
         ),
         "plan_costs": with_derived(
             plan,

@@ -102,13 +102,8 @@ def _sensitivity(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def _mask_by_type(spark: SparkSession, directory: str) -> DataFrame:
-    values = derived(spark, directory, "named_values")
-    return values.withColumn("masked", mask.mask_by_type(F.col("v"), names.masking_type(F.col("column_name"))))
-
-
-def _mask_value(spark: SparkSession, directory: str) -> DataFrame:
-    values = derived(spark, directory, "named_values")
-    return values.withColumn("masked", mask.mask_value(F.col("v"), F.col("column_name")))
+    typed = derived(spark, directory, "named_values").withColumn("kind", names.masking_type(F.col("column_name")))
+    return typed.withColumn("masked", mask.mask_by_type(F.col("v"), F.col("kind"))).drop("kind")
 
 
 def _mask_stream(spark: SparkSession, directory: str) -> DataFrame:
@@ -283,6 +278,16 @@ def _audit_recommendations(spark: SparkSession, directory: str) -> DataFrame:
     return _joined(rated, "recommendations").select("query_id", "resource_usage", "recommendations")
 
 
+def _audit_validation(spark: SparkSession, directory: str) -> DataFrame:
+    lists = ("validation_errors", "validation_warnings", "complexity_warnings")
+    audited = _joined(audit.audit_validation(_log(spark, directory)), *lists)
+    return audited.select("query_id", "complexity_level", *lists)
+
+
+def _audit_cost_estimate(spark: SparkSession, directory: str) -> DataFrame:
+    return _joined(audit.audit_cost_estimate(_log(spark, directory)), "recommendations").drop("query_text")
+
+
 def _plan_costs(spark: SparkSession, directory: str) -> DataFrame:
     costs = audit.plan_costs(derived(spark, directory, "plan_log"))
     return audit.cost_rating(costs).select("plan_id", "estimated_cost", "resource_usage")
@@ -336,7 +341,7 @@ QUERIES: dict[str, Query] = {
         bank_account=lambda: detect.is_bank_account(F.col("v")),
     ),
     "bank_account_by_name": _column_query(
-        "named_values", bank_account=lambda: detect.is_bank_account(F.col("v"), F.col("column_name"))
+        "named_values", bank_account=lambda: detect.is_bank_account(F.col("v"), names.name_rule(F.col("column_name")))
     ),
     "pii_class_counts": _table(partial(masking.pii_class_counts, group=["source"]), "field_values"),
     "is_monetary": _column_query("value_shapes", is_monetary=lambda: detect.is_monetary(F.col("v"))),
@@ -356,7 +361,7 @@ QUERIES: dict[str, Query] = {
     "mask_iban": _mask_query(mask.mask_iban),
     "mask_generic": _mask_query(mask.mask_generic),
     "mask_by_type": _mask_by_type,
-    "mask_value": _mask_value,
+    "mask_value": _table(masking.mask_named_values, "named_values"),
     # tables
     "mask_table": _table(masking.mask_table, "people"),
     "mask_documents": _table(masking.mask_table, "documents", base=True),
@@ -398,6 +403,8 @@ QUERIES: dict[str, Query] = {
     "audit_warnings": _audit_warnings,
     "cost_rating": _cost_rating,
     "audit_recommendations": _audit_recommendations,
+    "audit_validation": _audit_validation,
+    "audit_cost_estimate": _audit_cost_estimate,
     "plan_costs": _plan_costs,
     "plan_operators": _table(audit.plan_operators, "plan_log"),
     "plan_operator_totals": _table(audit.plan_operator_totals, "plan_log"),

@@ -110,6 +110,14 @@ def test_capped_and_whole_masking_agree(spark, data_dir):
     assert whole.exceptAll(capped).isEmpty() and capped.exceptAll(whole).isEmpty()
 
 
+def test_execute_query(spark, data_dir):
+    register_tables(spark, data_dir)
+    shown = query.execute_query(spark, "SELECT c_custkey, c_name FROM customer ORDER BY c_custkey", max_rows=3)
+    assert (shown.columns, shown.row_count) == (["c_custkey", "c_name"], 3)
+    assert shown.rows[2]["c_name"] == "***-**-0002"
+    assert shown.message == "Results limited to 3 rows (PII filtered)"
+
+
 def test_parameters(spark, data_dir):
     register_tables(spark, data_dir)
     one = query.bounded_query(spark, "SELECT c_custkey FROM customer WHERE c_custkey = :k", args={"k": 3})

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from cloakframe.functions import detect, mask
 from cloakframe.functions.text import parse_decimal, plain_number
+from cloakframe.operators.masking import mask_named_values, pii_class_counts, pii_detection_report
 
 # value, class in a column named "note", masked value (None: unchanged)
 CASES = [
@@ -69,10 +70,10 @@ def cases(spark):
     v = F.col("v")
     shown = df.select(
         "id",
-        mask.pii_class(v, "note").alias("pii_class"),
+        mask.pii_class(v).alias("pii_class"),
         mask.mask_value(v, "note").alias("masked"),
         mask.mask_value(v, F.lit("note")).alias("masked_by_column"),
-        mask.mask_value(v, "note", mask.shared_digits(v, "note")).alias("masked_shared"),
+        mask.mask_by_rule(v, "plain", mask.shared_digits(v, "plain")).alias("masked_shared"),
         detect.contains_pii(v).alias("contains_pii"),
         detect.is_routing_number(v).alias("routing"),
         detect.is_ssn(v).alias("ssn"),
@@ -150,6 +151,16 @@ def test_maskers(spark, masker, value, masked):
 def test_names_and_values_together(spark, name, value, masked):
     assert one(spark, lambda v: mask.mask_value(v, name), value) == masked
     assert one(spark, lambda v: mask.mask_value(v, F.lit(name)), value) == masked
+    long = spark.createDataFrame([(name, value)], "column_name string, v string")
+    assert mask_named_values(long).first()["masked"] == masked
+    assert pii_detection_report(long, name="column_name").first()["was_masked"] is (value != masked)
+
+
+def test_classes_by_name(spark):
+    rows = [("ssn", "x-1"), ("fee", "bob@example.com"), ("note", "bob@example.com"), ("account_name", "ref 12345678"), ("note", "7")]
+    long = spark.createDataFrame(rows, "column_name string, v string")
+    counts = {r["pii_class"]: r["value_count"] for r in pii_class_counts(long, [], name="column_name").collect()}
+    assert counts == {"sensitive_name": 1, "monetary": 2, "email": 1, "bank_account": 1}
 
 
 def money(text: str) -> bool:
@@ -206,7 +217,7 @@ def test_long_texts_neither_overflow_nor_crawl(spark):
         [("1" + ",111" * 200_000,), ("9" * 300_000 + "x",), ("a.b-" * 200_000,), ("12-34-" * 100_000,), (" " * 300_000 + "x",)],
         "v string",
     )
-    masked = df.select(mask.mask_value(F.col("v"), "note").alias("m"), mask.pii_class(F.col("v"), "note").alias("c"))
+    masked = df.select(mask.mask_value(F.col("v"), "note").alias("m"), mask.pii_class(F.col("v")).alias("c"))
     assert [r["c"] for r in masked.collect()] == ["monetary", "phone", "none", "none", "none"]
 
 
