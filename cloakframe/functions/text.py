@@ -67,12 +67,16 @@ def parse_decimal(text: Column, precision: int = 38, scale: int = 10) -> Column:
     return F.when(text.rlike(NUMBER), signed.try_cast(f"decimal({precision},{scale})"))
 
 
-def plain_number(value: Column) -> Column:
-    """A float as text without exponent where 18 decimals suffice: ``12345678.9``, not ``1.23456789E7``."""
-    exact = value.cast("string").try_cast("decimal(38,18)")
-    shown = F.regexp_replace(F.regexp_replace(exact.cast("string"), r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")
-    fits = (F.abs(value) >= 1e-4) & (F.abs(value) < 1e15) | (value == 0)
-    return F.when(fits, shown).otherwise(value.cast("string"))
+def plain_number(value: Column, plain_below: float = 1e15) -> Column:
+    """A float as text without exponent from 0.0001 up to ``plain_below``: ``12345678.9``, not ``1.23456789E7``.
+    Beyond, the exponent has a sign and two digits: ``1E+20``."""
+    text = value.cast("string")
+    exact = text.try_cast("decimal(38,18)").cast("string")
+    shown = F.regexp_replace(F.regexp_replace(exact, r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")
+    signed = F.regexp_replace(F.regexp_replace(text, r"\.0E", "E"), r"E([0-9])", "E+$1")
+    padded = F.regexp_replace(signed, r"E([+-])([0-9])$", "E$10$2")
+    fits = (F.abs(value) >= 1e-4) & (F.abs(value) < plain_below) | (value == 0)
+    return F.when(fits, shown).otherwise(padded)
 
 
 def decimal_ratio(numerator: Column, denominator: Column, scale: int, precision: int = 18) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cloakframe.functions import names
+from cloakframe.operators.hot_keys import all_present, key_counts, left_lookup
 from cloakframe.sources.tables import TABLES, load_table, table_path
 
 SCHEMA_NAME = "default"
@@ -193,8 +194,7 @@ def key_profile(frames: dict[str, DataFrame], candidates: list[tuple[str, list[s
     """
     profiles = []
     for table, columns in candidates:
-        complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
-        per_key = frames[table].select(*columns, complete.alias("__complete")).groupBy(*columns, "__complete").agg(
+        per_key = frames[table].select(*columns, all_present(columns).alias("__complete")).groupBy(*columns, "__complete").agg(
             F.count("*").alias("n")
         )
         profiles.append(
@@ -215,10 +215,7 @@ def relationship_check(frames: dict[str, DataFrame], pairs: list[tuple[str, str,
     checks = []
     for child, child_column, parent, parent_column in pairs:
         # One row per value on both sides before the join: hot values never meet the shuffle in full.
-        values = (
-            frames[child].where(F.col(child_column).isNotNull()).groupBy(F.col(child_column).alias("k"))
-            .agg(F.count("*").alias("n"))
-        )
+        values = key_counts(frames[child].select(F.col(child_column).alias("k")), ["k"])
         parents = frames[parent].select(F.col(parent_column).alias("k")).where(F.col("k").isNotNull()).distinct()
         orphans = values.join(parents, "k", "left_anti")
         checks.append(
@@ -228,31 +225,29 @@ def relationship_check(frames: dict[str, DataFrame], pairs: list[tuple[str, str,
                 F.lit(child).alias("child_table"),
                 F.lit(child_column).alias("child_column"),
                 F.count("*").alias("orphan_keys"),
-                F.coalesce(F.sum("n"), F.lit(0)).alias("orphan_rows"),
+                F.coalesce(F.sum("__rows"), F.lit(0)).alias("orphan_rows"),
             ).withColumn("holds", F.col("orphan_rows") == 0)
         )
     return _union(checks)
 
 
-def _facts(facts: DataFrame, key: str) -> DataFrame:
-    return facts.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__key")).agg(
-        F.count("*").alias("__n")
-    )
-
+# Per new column: facts, the key of the facts, the own key it is compared with.
+Checks = dict[str, tuple[DataFrame, str, str]]
 
-def with_exists_flags(df: DataFrame, checks: dict[str, tuple[DataFrame, str, str]]) -> DataFrame:
-    """``EXISTS`` as a flag: per flag (facts, fact key, own key), true where facts hold the key."""
-    for flag, (facts, fact_key, own_key) in checks.items():
-        counts = _facts(facts, fact_key)
-        joined = df.join(counts, df[own_key] == counts["__key"], "left")
-        df = joined.withColumn(flag, F.col("__n").isNotNull()).drop("__key", "__n")
-    return df
 
+def with_counts(df: DataFrame, checks: Checks, unique: bool = False) -> DataFrame:
+    """Correlated ``COUNT(*)`` as a column: facts grouped by key and looked up, 0 where there are none.
 
-def with_counts(df: DataFrame, checks: dict[str, tuple[DataFrame, str, str]]) -> DataFrame:
-    """Correlated ``COUNT(*)`` as a column: grouped facts joined back, 0 where there are none."""
+    ``unique=True`` says that the own keys do not repeat (see ``left_lookup``).
+    """
     for name, (facts, fact_key, own_key) in checks.items():
-        counts = _facts(facts, fact_key)
-        joined = df.join(counts, df[own_key] == counts["__key"], "left")
-        df = joined.withColumn(name, F.coalesce(F.col("__n"), F.lit(0))).drop("__key", "__n")
+        counts = key_counts(facts, [fact_key]).withColumnRenamed("__rows", "__n")
+        found = left_lookup(df, counts, own_key, fact_key, unique)
+        df = found.withColumn(name, F.coalesce(F.col("__n"), F.lit(0))).drop("__n")
     return df
+
+
+def with_exists_flags(df: DataFrame, checks: Checks, unique: bool = False) -> DataFrame:
+    """``EXISTS`` as a flag: true where the facts hold the own key."""
+    counted = with_counts(df, checks, unique)
+    return counted.withColumns({flag: F.col(flag) > 0 for flag in checks})

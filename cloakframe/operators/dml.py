@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from cloakframe.operators.hot_keys import all_present, hot_among, key_counts
+
 AFFECTED = "affected_rows"
 _FLAG = "__affected"
 
@@ -59,10 +61,6 @@ def delete_rows(
     return _observed(flagged, observation).where(~F.col(_FLAG)).drop(_FLAG), _count(flagged)
 
 
-def _all_present(keys: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-
-
 def merge_rows(
     target: DataFrame,
     source: DataFrame,
@@ -77,21 +75,26 @@ def merge_rows(
     ``update`` maps target columns to source columns; by default every column that is no key is taken from
     the source. Null keys match nothing. A target row with more than one match raises.
 
-    Built from a left and an anti join rather than a full outer one: adaptive execution can split a hot
-    key in both, and null keys, which would all meet in one task, are kept out of the shuffle.
+    Built from a left and an anti join rather than a full outer one, so that no hot key meets in one task:
+    a hot target key is split by adaptive execution in the left join and is a single row in the anti join; a hot
+    source key repeats, so in a merge that is not refused it matches nothing and its rows are inserted without a
+    join, as are rows with null keys.
     """
     columns = target.columns
     taken = dict(update) if update is not None else {c: c for c in columns if c not in keys}
-    present = _all_present(keys)
+    present = all_present(keys)
     own, keyless = target.where(present), target.where(~present)
-    incoming, incoming_keyless = source.where(present), source.where(~present)
-    # Distinct keys cross the shuffle once per task and key, however hot a key is.
     own_keys = own.select(*keys).distinct()
 
     # Source keys seen twice that some target row holds: the whole merge is refused.
-    repeated = incoming.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    counts = key_counts(source, keys)
+    repeated = counts.where(F.col("__rows") > 1)
     refused = repeated.join(own_keys, keys, "left_semi").agg(F.count("*")).scalar()
     checked = F.assert_true(refused == 0, F.lit("a target row matches more than one source row")).isNull()
+    hot = F.broadcast(hot_among(counts, more_than=1))
+
+    incoming = source.where(present).join(hot, keys, "left_anti").select(*source.columns)
+    alone = source.where(~present).unionByName(source.where(present).join(hot, keys, "left_semi").select(*source.columns))
 
     offered = incoming.select(
         *[F.col(k).alias(f"__k_{k}") for k in keys],
@@ -113,7 +116,7 @@ def merge_rows(
     )
     if insert:
         new = incoming.join(own_keys, keys, "left_anti").select(*columns)
-        added = new.unionByName(incoming_keyless.select(*columns))
+        added = new.unionByName(alone.select(*columns))
         flagged = flagged.unionByName(added.withColumns({"__removed": F.lit(False), _FLAG: F.lit(True)}))
     result = _observed(flagged, observation).where(~F.col("__removed")).drop("__removed", _FLAG)
     return result, _count(flagged)

@@ -18,8 +18,10 @@ TEXT_TYPES = (T.StringType, T.CharType, T.VarcharType)
 def _as_text(col: Column, data_type: T.DataType) -> Column:
     if isinstance(data_type, TEXT_TYPES):
         return col
-    if isinstance(data_type, (T.DoubleType, T.FloatType)):
+    if isinstance(data_type, T.DoubleType):
         return plain_number(col)
+    if isinstance(data_type, T.FloatType):
+        return plain_number(col, 1e7)
     if isinstance(data_type, T.BooleanType):
         return F.initcap(col.cast("string"))
     return col.cast("string")
@@ -110,13 +112,22 @@ def _originals(df: DataFrame, numeric: str) -> list[Column]:
 
 
 def _may_change(f: T.StructField, numeric: str) -> bool:
-    return not isinstance(f.dataType, T.MapType) and (
-        _masked_text(f.name, f.dataType, numeric) or (_holds_text(f.dataType) and not isinstance(f.dataType, TEXT_TYPES))
+    return _masked_text(f.name, f.dataType, numeric) or (
+        _holds_text(f.dataType) and not isinstance(f.dataType, TEXT_TYPES)
     )
 
 
+def _comparable(col: Column, data_type: T.DataType) -> Column:
+    """Maps cannot be compared; as JSON they can."""
+    return F.to_json(F.struct(col.alias("x"))) if "map<" in data_type.simpleString() else col
+
+
 def _any_differs(df: DataFrame, before: list[Column], after: list[Column], numeric: str) -> Column:
-    pairs = [~b.eqNullSafe(a) for f, b, a in zip(df.schema, before, after) if _may_change(f, numeric)]
+    pairs = [
+        ~_comparable(b, f.dataType).eqNullSafe(_comparable(a, f.dataType))
+        for f, b, a in zip(df.schema, before, after)
+        if _may_change(f, numeric)
+    ]
     return reduce(lambda x, y: x | y, pairs) if pairs else F.lit(False)
 
 

@@ -233,7 +233,8 @@ UNION ALL SELECT n_name, 'nation' FROM nation""",
 
 def register_used(spark: SparkSession, directory: str, sql: str) -> None:
     """Views for the tables a text names; the others are not even opened."""
-    used = tuple(t for t in TABLES if re.search(rf"\b{t}\b", sql))
+    named = set(re.findall(r"\b(?:FROM|JOIN)\s+(\w+)", sql, re.IGNORECASE))
+    used = tuple(t for t in TABLES if t in named)
     register_tables(spark, directory, used)
 
 

@@ -512,6 +512,10 @@ def _catalog() -> dict[str, str]:
   EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey) AS has_orders,
   EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT') AS has_urgent_orders,
   EXISTS (SELECT 1 FROM events WHERE user_id = c_custkey) AS has_events FROM customer""",
+        "repeated_key_lookups": """SELECT o_orderkey, o_custkey,
+  EXISTS (SELECT 1 FROM events WHERE user_id = o.o_custkey) AS has_events,
+  (SELECT count(*) FROM orders u WHERE u.o_custkey = o.o_custkey AND u.o_orderpriority = '1-URGENT') AS urgent_orders
+  FROM orders o""",
         "scalar_subquery_counts": """SELECT p_partkey, p_brand,
   (SELECT count(*) FROM lineitem WHERE l_partkey = p_partkey) AS line_count,
   (SELECT count(*) FROM lineitem WHERE l_partkey = p_partkey AND l_returnflag = 'R') AS returned_count FROM part""",

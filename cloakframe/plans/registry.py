@@ -175,9 +175,19 @@ def _exists_flags(spark: SparkSession, directory: str) -> DataFrame:
             "has_urgent_orders": (urgent, "o_custkey", "c_custkey"),
             "has_events": (t["events"], "user_id", "c_custkey"),
         },
+        unique=True,
     )
 
 
+def _customer_facts(spark: SparkSession, directory: str) -> DataFrame:
+    """Flags and counts for rows whose keys repeat."""
+    t = load_tables(spark, directory, ("orders", "events"))
+    urgent = t["orders"].where(F.col("o_orderpriority") == "1-URGENT")
+    orders = t["orders"].select("o_orderkey", "o_custkey")
+    flagged = catalog.with_exists_flags(orders, {"has_events": (t["events"], "user_id", "o_custkey")})
+    return catalog.with_counts(flagged, {"urgent_orders": (urgent, "o_custkey", "o_custkey")})
+
+
 def _scalar_subquery_counts(spark: SparkSession, directory: str) -> DataFrame:
     t = load_tables(spark, directory, ("part", "lineitem"))
     return catalog.with_counts(
@@ -186,6 +196,7 @@ def _scalar_subquery_counts(spark: SparkSession, directory: str) -> DataFrame:
             "line_count": (t["lineitem"], "l_partkey", "p_partkey"),
             "returned_count": (t["lineitem"].where(F.col("l_returnflag") == "R"), "l_partkey", "p_partkey"),
         },
+        unique=True,
     )
 
 
@@ -384,6 +395,7 @@ QUERIES: dict[str, Query] = {
     "keyword_rank_documents": _keyword_rank_documents,
     "exists_flags": _exists_flags,
     "scalar_subquery_counts": _scalar_subquery_counts,
+    "repeated_key_lookups": _customer_facts,
     "table_inventory": _table_inventory,
     "table_stats": _table_stats,
     "database_info": _database_info,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +25,12 @@ def load_table(spark: SparkSession, directory: str, table: str, known: tuple[str
     """One table of a directory; columns and filters prune at the scan."""
     if table not in known:
         raise TableNotFound(f"Table {table} not found")
-    return spark.read.parquet(table_path(directory, table))
+    try:
+        return spark.read.parquet(table_path(directory, table))
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            raise TableNotFound(f"Table {table} not found in {directory}") from error
+        raise
 
 
 def load_tables(spark: SparkSession, directory: str, tables: tuple[str, ...] = TABLES) -> dict[str, DataFrame]:

@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from cloakframe.operators import catalog, search
+from cloakframe.operators import catalog, hot_keys, search
 from cloakframe.sources.tables import TABLES, TableNotFound, load_table, load_tables
 
 
@@ -76,6 +76,31 @@ def test_flags_and_counts(spark):
     assert {r["k"]: r["n"] for r in counted.collect()} == {1: 2, 2: 0, None: 0}
 
 
+def test_lookups_with_hot_and_null_keys(spark, monkeypatch):
+    monkeypatch.setattr(hot_keys, "HOT_ONE_IN", 10)  # hot above a tenth of the rows
+    own = spark.range(30_000).selectExpr(
+        "id", "CASE WHEN id % 3 = 0 THEN 7L WHEN id % 3 = 1 THEN NULL WHEN id % 30 = 2 THEN 8L ELSE id END AS k"
+    )
+    facts = spark.range(30_000).selectExpr("CASE WHEN id < 5 THEN 7L ELSE id END AS f")
+    expected = own.join(facts.groupBy("f").count(), own["k"] == F.col("f"), "left").selectExpr(
+        "id", "k", "coalesce(count, 0L) AS n"
+    )
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        counted = catalog.with_counts(own, {"n": (facts, "f", "k")})
+        assert counted.exceptAll(expected).isEmpty() and expected.exceptAll(counted).isEmpty()
+        hot = hot_keys.hot_among(hot_keys.key_counts(own, ["k"]))
+        assert [r["k"] for r in hot.collect()] == [7]
+        largest = (
+            hot_keys.left_lookup(own, facts.groupBy("f").count(), "k", "f")
+            .groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        )
+        assert largest < 6_000  # 10,000 rows share a key and 10,000 have none; eight partitions
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 @pytest.fixture
 def catalogs(spark):
     tables = spark.createDataFrame(

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from cloakframe.operators import dml
+from cloakframe.operators import dml, hot_keys
 
 SCHEMA = "k bigint, v string, n int"
 
@@ -90,6 +90,17 @@ def test_affected_rows_without_a_second_pass(spark, target, kind):
     assert seen.get["affected_rows"] == affected(count) == 2
 
 
+def test_merge_inserts_hot_source_keys_without_a_join(spark, target, monkeypatch):
+    monkeypatch.setattr(hot_keys, "HOT_ONE_IN", 3)
+    source = spark.createDataFrame([(1, "m", 0)] + [(50, "hot", i) for i in range(20)], SCHEMA)
+    new, count = dml.merge_rows(target, source, ["k"])
+    assert new.where("k = 50").count() == 20 and new.count() == 25
+    assert affected(count) == 21
+    refused, _ = dml.merge_rows(target, source.unionByName(source.where("k = 50").withColumn("k", F.lit(3))), ["k"])
+    with pytest.raises(Exception, match="matches more than one source row"):
+        refused.collect()
+
+
 def test_merge_with_a_third_of_all_rows_on_one_key(spark):
     own = spark.range(60_000).selectExpr("CASE WHEN id % 3 = 0 THEN 7L ELSE id + 100 END AS k", "'t' AS v", "1 AS n")
     keyless = spark.range(60_000).selectExpr("CASE WHEN id % 3 = 0 THEN NULL ELSE id * 2 END AS k", "'s' AS v", "2 AS n")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from cloakframe.operators import masking, query
 from cloakframe.plans.derived import derived
+from cloakframe.plans.registry import QUERIES
 from cloakframe.session import work_dir
 from cloakframe.sources.tables import TableNotFound, load_table, register_tables, result_json, write_json
 from cloakframe.streaming.masking import mask_stream, read_stream
@@ -76,6 +77,21 @@ def test_typed_columns(spark):
     assert masking.masking_report(df).first()["masked_rows"] == 1
 
 
+def test_a_masked_map_counts_as_a_change(spark):
+    df = spark.createDataFrame([({"k": "123-45-6789"}, 1), ({"k": "x"}, 2), (None, 3)], "tags map<string,string>, id int")
+    flags = {r["id"]: r["was_masked"] for r in masking.with_change_flag(df).collect()}
+    assert flags == {1: True, 2: False, 3: False}
+
+
+def test_tables_kept_as_folders_of_files(spark, data_dir, tmp_path):
+    for t in ("documents", "customer"):
+        load_table(spark, data_dir, t).repartition(3).write.parquet(str(tmp_path / f"{t}.parquet"))
+    for name in ("mask_stream", "mask_table", "masking_report", "bounded_query"):
+        folders, single = (QUERIES[name](spark, d) for d in (str(tmp_path), data_dir))
+        assert folders.count() == single.count()
+        assert folders.exceptAll(single).isEmpty()
+
+
 def test_refusals(spark):
     df = spark.range(1)
     with pytest.raises(ValueError, match="duplicate"):
@@ -84,6 +100,8 @@ def test_refusals(spark):
         masking.mask_table(df, numeric="loose")
     with pytest.raises(TableNotFound):
         load_table(spark, "/nowhere", "no_such_table")
+    with pytest.raises(TableNotFound, match="customer not found in /nowhere"):
+        load_table(spark, "/nowhere", "customer")
 
 
 def test_column_names_with_odd_characters(spark):
