@@ -5,6 +5,7 @@ Loops here run over table and column *names*; the rows are only ever seen by agg
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -61,6 +62,12 @@ def _sql_name(column: str) -> str:
     return "`" + column.replace("`", "``") + "`"
 
 
+def _like(name: str, pattern: str) -> bool:
+    """SQL LIKE without regard to case: ``%`` is any text, ``_`` any character."""
+    wildcards = {"%": ".*", "_": "."}
+    return re.fullmatch("".join(wildcards.get(c, re.escape(c)) for c in pattern), name, re.I | re.S) is not None
+
+
 def table_inventory(
     spark: SparkSession,
     directory: str,
@@ -69,11 +76,14 @@ def table_inventory(
     constraints: Constraints | None = None,
     tables: tuple[str, ...] = TABLES,
 ) -> DataFrame:
-    """Each table with row count, size, change time, key flags, description and columns."""
+    """Each table with row count, size, change time, key flags, description and columns.
+
+    ``name_pattern`` is looked for anywhere in the name, with the wildcards of LIKE.
+    """
     declared = constraints or Constraints()
     chosen = [t for t in tables if schema_filter in (None, "", SCHEMA_NAME)]
     if name_pattern:
-        chosen = [t for t in chosen if name_pattern.lower() in t.lower()]
+        chosen = [t for t in chosen if _like(t, f"%{name_pattern}%")]
     schema = (
         "table_name string, schema_name string, table_type string, modified_date timestamp, row_count bigint, "
         "data_size_mb bigint, description string, has_primary_key boolean, has_foreign_keys boolean, "

@@ -434,11 +434,11 @@ def wait_share(log: DataFrame, top_count: int = 20) -> DataFrame:
 
 def wait_summary(waits: DataFrame) -> DataFrame:
     """Totals and the top type over the listed types only."""
-    rank = F.struct("percentage_of_total", "wait_time_ms", "wait_type")
+    rank = F.struct(-F.col("percentage_of_total"), -F.col("wait_time_ms"), F.col("wait_type"))
     found = waits.agg(
         F.coalesce(F.sum("wait_time_ms"), F.lit(0)).cast("decimal(28,3)").alias("total_wait_time_ms"),
         F.count("*").alias("unique_wait_types"),
-        F.coalesce(F.max_by("wait_type", rank), F.lit("None")).alias("top_wait_type"),
+        F.coalesce(F.min_by("wait_type", rank), F.lit("None")).alias("top_wait_type"),
         F.coalesce(F.max("percentage_of_total"), F.lit(0)).cast("decimal(5,2)").alias("top_wait_percentage"),
     )
     text = F.concat(

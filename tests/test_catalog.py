@@ -20,6 +20,10 @@ def test_inventory_against_counts_and_files(spark, data_dir):
 def test_inventory_filters(spark, data_dir):
     names = [r["table_name"] for r in catalog.table_inventory(spark, data_dir, "ITEM").collect()]
     assert names == ["lineitem"]
+    names = [r["table_name"] for r in catalog.table_inventory(spark, data_dir, "%o_d").collect()]
+    assert names == ["orders"]
+    names = [r["table_name"] for r in catalog.table_inventory(spark, data_dir, "%o_um").collect()]
+    assert names == ["documents"]
     assert catalog.table_inventory(spark, data_dir, schema_filter="other").count() == 0
 
 

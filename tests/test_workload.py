@@ -148,6 +148,12 @@ def test_shares_cover_all_waits_but_summaries_only_the_listed(spark):
     ]
 
 
+def test_ties_are_broken_the_same_way_everywhere(spark):
+    rows = [("B", 50, 0), ("A", 50, 0)]
+    waits = w.wait_share(spark.createDataFrame(rows, "wait_type string, wait_ms bigint, signal_ms bigint"))
+    assert waits.first()["wait_type"] == w.wait_summary(waits).first()["top_wait_type"] == "A"
+
+
 def test_the_total_reuses_the_shuffle_of_the_detail(spark, data_dir):
     waits = w.wait_share(derived(spark, data_dir, "wait_log"))
     waits.collect()
