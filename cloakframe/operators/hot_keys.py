@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 # A key is hot above one row in this many. There are fewer hot keys than this, whatever the data, so they can
 # always be broadcast.
 HOT_ONE_IN = 10_000
-SALTS = 4096
 
 
 def all_present(keys: list[str]) -> Column:
@@ -33,8 +32,9 @@ def left_lookup(df: DataFrame, lookup: DataFrame, own_key: str, lookup_key: str,
     """Left join of ``df`` to a lookup of one row per key; adds the other columns of the lookup.
 
     Rows of hot keys find their match in a broadcast of the matches of hot keys. The other rows are joined by
-    shuffle, with hot and null keys spread over the tasks by a salt that matches nothing. ``unique=True`` says
-    that no own key repeats, which spares the search for hot keys.
+    shuffle, with hot and null keys spread over the tasks by a salt that matches nothing. The salt is the input
+    partition: a task that is run again gives the same rows the same salt. ``unique=True`` says that no own key
+    repeats, which spares the search for hot keys.
     """
     values = [c for c in lookup.columns if c != lookup_key]
     keyed = lookup.select(F.col(lookup_key).alias("__key"), *[F.col(c).alias(f"__{i}") for i, c in enumerate(values)])
@@ -51,10 +51,12 @@ def left_lookup(df: DataFrame, lookup: DataFrame, own_key: str, lookup_key: str,
     salted = first.withColumns(
         {
             "__own": F.when(~aside, F.col(own_key)),
-            "__salt": F.when(aside, F.monotonically_increasing_id() % SALTS + 1).otherwise(0),
+            "__salt": F.when(aside, F.spark_partition_id() + 1).otherwise(0),
         }
     )
-    cold = keyed.withColumn("__zero", F.lit(0).cast("bigint"))
+    # Salt 0 for every key, but not as a literal: Catalyst would fold that into the join condition and shuffle by
+    # the key alone.
+    cold = keyed.withColumn("__zero", F.pmod(F.xxhash64("__key"), F.lit(1)).cast("int"))
     joined = salted.join(cold, (F.col("__own") == F.col("__key")) & (F.col("__salt") == F.col("__zero")), "left")
     found = [F.coalesce(F.col(f"__hot_{i}"), F.col(f"__{i}")).alias(c) for i, c in enumerate(values)]
     return joined.select(*df.columns, *found)

@@ -102,10 +102,11 @@ def test_merge_inserts_hot_source_keys_without_a_join(spark, target, monkeypatch
 
 
 def test_merge_with_a_third_of_all_rows_on_one_key(spark):
-    own = spark.range(60_000).selectExpr("CASE WHEN id % 3 = 0 THEN 7L ELSE id + 100 END AS k", "'t' AS v", "1 AS n")
-    keyless = spark.range(60_000).selectExpr("CASE WHEN id % 3 = 0 THEN NULL ELSE id * 2 END AS k", "'s' AS v", "2 AS n")
-    source = keyless.unionByName(spark.createDataFrame([(7, "hot", 3)], "k bigint, v string, n int"))
-    source = source.where("k IS NULL OR k <> 7 OR v = 'hot'")
+    u = "sha2(CAST(id AS STRING), 256) AS u"
+    rows = spark.range(0, 60_000, 1, 16)
+    own = rows.selectExpr("CASE WHEN id % 3 = 0 THEN 7L ELSE id + 100 END AS k", "'t' AS v", "1 AS n", u)
+    source = rows.selectExpr("CASE WHEN id % 3 = 0 THEN NULL ELSE id * 2 END AS k", "'s' AS v", "2 AS n", u)
+    source = source.unionByName(spark.createDataFrame([(7, "hot", 3, "")], "k bigint, v string, n int, u string"))
     settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
                 "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
     old = {k: spark.conf.get(k) for k in settings}
@@ -116,8 +117,10 @@ def test_merge_with_a_third_of_all_rows_on_one_key(spark):
         assert new.where("k = 7 AND v = 'hot'").count() == 20_000
         assert new.where("k IS NULL").count() == 20_000
         assert affected(count) == new.where("v IN ('s', 'hot')").count()
+        new.collect()
         text = new._jdf.queryExecution().executedPlan().toString()
         assert "FullOuter" not in text and "Cartesian" not in text
+        assert "SortMergeJoin(skew=true)" in text
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
