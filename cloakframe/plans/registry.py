@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import partial
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -110,7 +111,7 @@ def _mask_stream(spark: SparkSession, directory: str) -> DataFrame:
     # Braces make the path a pattern, which lets a stream start from a single file as well as a folder.
     path = table_path(directory, "documents").replace(".parquet", ".{parquet}")
     schema = load_table(spark, directory, "documents").schema
-    run = f"{work_dir(spark)}/mask-stream-{spark.sql('SELECT uuid()').first()[0]}"
+    run = f"{work_dir(spark)}/mask-stream-{uuid4().hex}"
     stream = read_stream(spark, path, schema)
     mask_stream(stream, f"{run}/out", f"{run}/checkpoint").awaitTermination()
     return spark.read.schema(schema).parquet(f"{run}/out")
