@@ -24,7 +24,8 @@ AGGREGATES = ("COUNT", "SUM", "AVG", "MIN", "MAX", "GROUP_CONCAT")
 
 def _messages(*items: tuple[Column, str | Column]) -> Column:
     """The texts whose condition holds, in order."""
-    return F.array_compact(F.array(*[F.when(c, F.lit(m) if isinstance(m, str) else m) for c, m in items]))
+    none = F.array().cast("array<string>")
+    return F.concat(*[F.when(c, F.array(F.lit(m) if isinstance(m, str) else m)).otherwise(none) for c, m in items])
 
 
 def _safety_columns(text: Column) -> dict[str, Column]:
