@@ -5,11 +5,12 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry_points
+from cloakframe.plans import oracle, registry
 from cloakframe.plans.oracle import ROWS_ONLY
 from oracle_compare import compare, duckdb_views
 
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
+QUERIES = registry.QUERIES
+ORACLE = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -33,6 +34,11 @@ def test_rows_only(spark, data_dir, name):
     assert QUERIES[name](spark, data_dir).count() == 1
 
 
+def test_registered():
+    assert QUERIES.items() <= entry_points.queries().items()
+    assert set(ORACLE) <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
+
+
 def test_entry(spark):
     rows = entry_points.entry(spark).collect()
     assert len(rows) == 100
