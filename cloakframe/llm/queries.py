@@ -5,20 +5,70 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from cloakframe.llm import chat_format, decontaminate
 from cloakframe.llm import quality_rules as rules
+from cloakframe.llm.common import stored
+from cloakframe.llm.oracle import SQL
 from cloakframe.sources.tables import load_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_decontaminate(spark: SparkSession, directory: str) -> DataFrame:
+    docs, items = (load_table(spark, directory, t) for t in ("documents", "benchmark"))
+    judged = decontaminate.decontaminate(docs, items)
+    listed = F.sha2(F.array_join("items", ","), 256)
+    return judged.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), listed.alias("items_sha256"),
+        "contaminated",
+    )
+
+
+def op3_chat_format(spark: SparkSession, directory: str) -> DataFrame:
+    """Formats every conversation, writes the result and derives all columns from what was written."""
+    rows = load_table(spark, directory, "conversations").select("conv_id", "turn", "role", "text")
+    odd = r"\### Assistant: </turn> ok"
+    added = spark.createDataFrame([(-7, 0, "user", odd), (-7, 1, "assistant", odd)], rows.schema)
+    records = chat_format.rows_to_records(rows.unionByName(added))
+    turns = chat_format.canonical_turns(records).drop("record")
+    written = stored(chat_format.format_turns(turns).drop("turns"), "chat")
+
+    said = F.transform("read", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    blocks = written.withColumn("read", chat_format.read_turns(F.col("formatted"))).select(
+        "conv",
+        F.size("read").alias("n"),
+        F.length("formatted").alias("chars"),
+        F.struct(
+            "block",
+            F.array_join(said, "").alias("turns"),
+            chat_format.read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss"),
+        ).alias("part"),
+    )
+    whole = blocks.groupBy("conv").agg(
+        F.sum("n").alias("n"), F.sum("chars").alias("chars"), F.sort_array(F.collect_list("part")).alias("parts")
+    )
+    loss = F.array_join("parts.loss", "")
+    return whole.select(
+        F.col("conv").alias("conv_id"),
+        F.col("n").alias("n_turns"),
+        F.sha2(F.array_join("parts.turns", ""), 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss, 256).alias("loss_sha256"),
+        F.col("chars").alias("formatted_chars"),
+    )
+
+
 def op8_quality_rules(spark: SparkSession, directory: str) -> DataFrame:
     judged = rules.quality_rules(load_table(spark, directory, "documents"))
     return judged.drop("cleaned")
 
 
 QUERIES: dict[str, Query] = {
+    "op1_decontaminate": op1_decontaminate,
+    "op3_chat_format": op3_chat_format,
     "op8_quality_rules": op8_quality_rules,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = dict(SQL)
