@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cloakframe.llm import chat_format, decontaminate
+from cloakframe.llm import chat_format, decontaminate, simhash
 from cloakframe.llm import quality_rules as rules
 from cloakframe.llm.common import stored
 from cloakframe.llm.oracle import SQL
@@ -60,6 +60,10 @@ def op3_chat_format(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def op6_simhash(spark: SparkSession, directory: str) -> DataFrame:
+    return simhash.near_duplicates(load_table(spark, directory, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, directory: str) -> DataFrame:
     judged = rules.quality_rules(load_table(spark, directory, "documents"))
     return judged.drop("cleaned")
@@ -68,6 +72,7 @@ def op8_quality_rules(spark: SparkSession, directory: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
     "op3_chat_format": op3_chat_format,
+    "op6_simhash": op6_simhash,
     "op8_quality_rules": op8_quality_rules,
 }
 
