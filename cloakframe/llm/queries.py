@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cloakframe.llm import chat_format, decontaminate, simhash
+from cloakframe.llm import chat_format, decontaminate, simhash, token_files, warc
 from cloakframe.llm import quality_rules as rules
-from cloakframe.llm.common import stored
+from cloakframe.llm.common import new_dir, stored
 from cloakframe.llm.oracle import SQL
 from cloakframe.sources.tables import load_table
 
@@ -60,10 +61,21 @@ def op3_chat_format(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def op4_token_files(spark: SparkSession, directory: str) -> DataFrame:
+    docs = load_table(spark, directory, "documents")
+    manifest = token_files.write_token_files(docs, new_dir(spark, "ids"), public_tokenizers.path("word_bpe_49k.json"))
+    return token_files.read_token_files(manifest)
+
+
 def op6_simhash(spark: SparkSession, directory: str) -> DataFrame:
     return simhash.near_duplicates(load_table(spark, directory, "documents"))
 
 
+def op7_warc(spark: SparkSession, directory: str) -> DataFrame:
+    manifest = warc.write_archives(load_table(spark, directory, "pages"), new_dir(spark, "warc"))
+    return warc.read_archives(manifest).drop("url")
+
+
 def op8_quality_rules(spark: SparkSession, directory: str) -> DataFrame:
     judged = rules.quality_rules(load_table(spark, directory, "documents"))
     return judged.drop("cleaned")
@@ -72,7 +84,9 @@ def op8_quality_rules(spark: SparkSession, directory: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
     "op3_chat_format": op3_chat_format,
+    "op4_token_files": op4_token_files,
     "op6_simhash": op6_simhash,
+    "op7_warc": op7_warc,
     "op8_quality_rules": op8_quality_rules,
 }
 
