@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cloakframe.llm import chat_format, decontaminate, simhash, token_files, warc
+from cloakframe.llm import chat_format, decontaminate, reshard, simhash, token_files, warc
 from cloakframe.llm import quality_rules as rules
 from cloakframe.llm.common import new_dir, stored
 from cloakframe.llm.oracle import SQL
@@ -67,6 +67,23 @@ def op4_token_files(spark: SparkSession, directory: str) -> DataFrame:
     return token_files.read_token_files(manifest)
 
 
+def op5_reshard(spark: SparkSession, directory: str) -> DataFrame:
+    """From twelve shards by the text's checksum to sixteen of nearly equal bytes; all shards are written and read."""
+    docs = load_table(spark, directory, "documents").select("doc_id", "text")
+    checksum = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
+    plan = reshard.plan_reshard(docs, F.pmod(checksum, F.lit(12)), 16)
+    written = reshard.rewrite(plan, new_dir(spark, "shards"), only_changed=False)
+    return reshard.with_slots(written).select(
+        "doc_id",
+        (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
+        checksum.alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op6_simhash(spark: SparkSession, directory: str) -> DataFrame:
     return simhash.near_duplicates(load_table(spark, directory, "documents"))
 
@@ -85,6 +102,7 @@ QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
     "op3_chat_format": op3_chat_format,
     "op4_token_files": op4_token_files,
+    "op5_reshard": op5_reshard,
     "op6_simhash": op6_simhash,
     "op7_warc": op7_warc,
     "op8_quality_rules": op8_quality_rules,
