@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cloakframe.llm import chat_format, decontaminate, reshard, simhash, token_files, warc
+from cloakframe.llm import chat_format, decontaminate, packing, reshard, simhash, token_files, warc
 from cloakframe.llm import quality_rules as rules
 from cloakframe.llm.common import new_dir, stored
 from cloakframe.llm.oracle import SQL
@@ -93,12 +93,22 @@ def op7_warc(spark: SparkSession, directory: str) -> DataFrame:
     return warc.read_archives(manifest).drop("url")
 
 
+def word_length() -> Column:
+    """The words of a text and one for its end."""
+    return F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")) + 1
+
+
+def op10_packing(spark: SparkSession, directory: str) -> DataFrame:
+    return packing.best_fit(load_table(spark, directory, "documents"), word_length())
+
+
 def op8_quality_rules(spark: SparkSession, directory: str) -> DataFrame:
     judged = rules.quality_rules(load_table(spark, directory, "documents"))
     return judged.drop("cleaned")
 
 
 QUERIES: dict[str, Query] = {
+    "op10_packing": op10_packing,
     "op1_decontaminate": op1_decontaminate,
     "op3_chat_format": op3_chat_format,
     "op4_token_files": op4_token_files,
