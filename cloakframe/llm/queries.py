@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cloakframe.llm import chat_format, decontaminate, packing, reshard, simhash, token_files, warc
+from cloakframe.llm import chat_format, crf_language, decontaminate, packing, reshard, simhash, token_files, warc, wrapper
 from cloakframe.llm import quality_rules as rules
 from cloakframe.llm.common import new_dir, stored
 from cloakframe.llm.oracle import SQL
@@ -27,6 +27,11 @@ def op1_decontaminate(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def op2_crf_language(spark: SparkSession, directory: str) -> DataFrame:
+    docs = load_table(spark, directory, "documents").select("doc_id", "text", "lang")
+    return crf_language.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op3_chat_format(spark: SparkSession, directory: str) -> DataFrame:
     """Formats every conversation, writes the result and derives all columns from what was written."""
     rows = load_table(spark, directory, "conversations").select("conv_id", "turn", "role", "text")
@@ -93,6 +98,11 @@ def op7_warc(spark: SparkSession, directory: str) -> DataFrame:
     return warc.read_archives(manifest).drop("url")
 
 
+def op9_wrapper(spark: SparkSession, directory: str) -> DataFrame:
+    found = wrapper.extract(load_table(spark, directory, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def word_length() -> Column:
     """The words of a text and one for its end."""
     return F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")) + 1
@@ -110,12 +120,14 @@ def op8_quality_rules(spark: SparkSession, directory: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op10_packing": op10_packing,
     "op1_decontaminate": op1_decontaminate,
+    "op2_crf_language": op2_crf_language,
     "op3_chat_format": op3_chat_format,
     "op4_token_files": op4_token_files,
     "op5_reshard": op5_reshard,
     "op6_simhash": op6_simhash,
     "op7_warc": op7_warc,
     "op8_quality_rules": op8_quality_rules,
+    "op9_wrapper": op9_wrapper,
 }
 
 ORACLE: dict[str, str] = dict(SQL)
