@@ -141,7 +141,7 @@ def links(nodes: DataFrame, bucket: int = BUCKET) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root) for every node of the edges (fp, other); root is the least node that can be reached.
+    """(node, root) for every node of the edges (fp, other) but the roots; a root is the least node that can be reached.
 
     Large-star hangs each node's larger neighbours on its least one, small-star its smaller ones; after a number of
     rounds that grows with the logarithm of the nodes, every node hangs on its root.

@@ -83,11 +83,11 @@ class Node:
 
 def _node(tag: str, attributes: str, parent: Node) -> Node:
     label, chrome = tag, tag in CHROME_TAGS
-    if chrome and tag == "header":
-        above = parent
-        while above is not None and above.tag not in CONTENT_TAGS:
-            above = above.parent
-        chrome = above is None  # the header of an article is its headline
+    around = parent
+    while around is not None and around.tag not in CONTENT_TAGS:
+        around = around.parent
+    if tag == "header":
+        chrome = around is None  # the header of an article is its headline
     if attributes and "=" in attributes:
         words: list[str] = []
         for name, *values in NAMES.findall(attributes):
@@ -97,7 +97,7 @@ def _node(tag: str, attributes: str, parent: Node) -> Node:
             else:
                 words += LETTERS.split(value)
                 label += f".{value}" if name.lower() == "class" else ""
-        if tag not in NEVER_CHROME:
+        if tag not in NEVER_CHROME or tag == "article" and around is not None:
             chrome = chrome or not CHROME_WORDS.isdisjoint(words)
     return Node(tag, label, chrome, parent)
 
