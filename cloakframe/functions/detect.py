@@ -17,7 +17,13 @@ from cloakframe.functions.names import ACCOUNT_RULE, MONEY_RULE
 from cloakframe.functions.text import digits_of, is_blank
 
 # What each kind of personal datum looks like.
-EMAIL = r"(?U)\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b"
+# An address may begin at any word boundary of a run of these characters. The run is entered at its start only, and
+# one look along it tells whether there is a boundary, so the time is linear in the length of the text.
+_LOCAL = "A-Za-z0-9._%+-"
+EMAIL = (
+    rf"(?U)(?<![{_LOCAL}])(?:\b|(?=[A-Za-z0-9_]++[.%+-]|[.%+-]++[A-Za-z0-9_]))[{_LOCAL}]++@"
+    r"[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b"
+)
 # An optional country code and opening bracket may precede a phone number; they never decide a match.
 PHONE = r"(?U)[0-9]{3}\)?[-.\s]?[0-9]{3}[-.\s]?[0-9]{4}"
 # The rules below begin at a word boundary. They look for digits first and check the boundary looking
@@ -37,7 +43,7 @@ ABA_WEIGHTS = (3, 7, 1, 3, 7, 1, 3, 7, 1)
 # Rules of names that allow short account numbers.
 ACCOUNT_RULES = (ACCOUNT_RULE, "bank_account")
 
-# Money by look: grouped or plain, with two decimals or none.
+# Money by look, grouped or plain, with two decimals or none.
 _MONEY_LOOK = r"\$?\d{1,3}(?:,\d{3})*(?:\.\d{2})?|\d+\.\d{2}|\d+"
 # Money by value: a plain number below one billion that has at most two decimals once rounded to ten.
 # A minus sign takes one of the two places. Commas may stand anywhere after the first digit.
@@ -100,9 +106,12 @@ def is_routing_number(v: Column, digits: Column | None = None) -> Column:
     return v.rlike(ROUTING) & aba_checksum(digits_of(v) if digits is None else digits)
 
 
-def is_bank_account(v: Column, rule: str | Column = "plain", digits: Column | None = None) -> Column:
+def is_bank_account(
+    v: Column, rule: str | Column = "plain", digits: Column | None = None, account_name: Column | None = None
+) -> Column:
     """A run of 8-17 digits. Names that speak of accounts need no more; others need 10+ digits in all
-    and not the length of a card. ``rule`` is ``names.name_rule`` of the column name."""
+    and not the length of a card. ``rule`` is ``names.name_rule`` of the column name; as that tells one meaning
+    only, ``account_name`` (``names.names_an_account``) says so for names like ``account_email``."""
     n = F.length(digits_of(v) if digits is None else digits)
     by_name, by_length = n.between(8, 17), n.isin(10, 11, 12, 13, 14, 17)
     run = v.rlike(BANK_ACCOUNT)
@@ -110,7 +119,8 @@ def is_bank_account(v: Column, rule: str | Column = "plain", digits: Column | No
         if rule == MONEY_RULE:
             return F.when(v.isNotNull(), F.lit(False))
         return run & (by_name if rule in ACCOUNT_RULES else by_length)
-    return (rule != MONEY_RULE) & run & F.when(rule.isin(*ACCOUNT_RULES), by_name).otherwise(by_length)
+    named = rule.isin(*ACCOUNT_RULES) if account_name is None else account_name
+    return (rule != MONEY_RULE) & run & F.when(named, by_name).otherwise(by_length)
 
 
 def is_formatted_account(v: Column, digits: Column | None = None) -> Column:

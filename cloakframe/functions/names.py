@@ -52,6 +52,7 @@ MASK_KINDS = (
 )
 ACCOUNT_PARTS = ("account", "bank", "acct")
 
+# What is said of a name.
 SENSITIVE_MESSAGE = "This column is flagged as potentially containing PII"
 NOT_SENSITIVE_MESSAGE = "This column is not flagged as sensitive"
 

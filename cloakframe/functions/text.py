@@ -41,9 +41,10 @@ def digits_of(text: Column) -> Column:
     return F.regexp_replace(text, r"\P{Nd}+", "")
 
 
-def one_line(text: Column, max_chars: int = 1000) -> Column:
-    """Carriage return, line feed and tab become spaces; then the first ``max_chars`` characters."""
-    return F.left(F.translate(text, "\r\n\t", "   "), F.lit(max_chars))
+def one_line(text: Column, max_chars: int | None = None) -> Column:
+    """Carriage return, line feed and tab become spaces; then, if asked, the first ``max_chars`` characters."""
+    line = F.translate(text, "\r\n\t", "   ")
+    return line if max_chars is None else F.left(line, F.lit(max_chars))
 
 
 def hash_text(value: Column) -> Column:
@@ -71,8 +72,17 @@ def plain_number(value: Column, plain_below: float = 1e15) -> Column:
     """A float as text without exponent from 0.0001 up to ``plain_below``: ``12345678.9``, not ``1.23456789E7``.
     Beyond, the exponent has a sign and two digits: ``1E+20``."""
     text = value.cast("string")
-    exact = text.try_cast("decimal(38,18)").cast("string")
-    shown = F.regexp_replace(F.regexp_replace(exact, r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")
+    # The shortest text has all digits; with an exponent, the point is moved.
+    sign = F.when(text.startswith("-"), "-").otherwise("")
+    first = F.regexp_extract(text, r"^-?([0-9])\.[0-9]+E", 1)
+    more = F.regexp_replace(F.regexp_extract(text, r"\.([0-9]+)E", 1), "0+$", "")
+    exponent = F.coalesce(F.regexp_extract(text, r"E(-?[0-9]+)$", 1).try_cast("int"), F.lit(0))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), first, more)
+    whole = F.rpad(F.concat(first, F.substring(more, F.lit(1), exponent)), exponent + 1, "0")
+    rest = F.substr(more, exponent + 1)
+    large = F.when(F.length(rest) > 0, F.concat(whole, F.lit("."), rest)).otherwise(whole)
+    moved = F.concat(sign, F.when(exponent < 0, small).otherwise(large))
+    shown = F.when(text.contains("E"), moved).otherwise(F.regexp_replace(text, r"\.0$", ""))
     signed = F.regexp_replace(F.regexp_replace(text, r"\.0E", "E"), r"E([0-9])", "E+$1")
     padded = F.regexp_replace(signed, r"E([+-])([0-9])$", "E$10$2")
     fits = (F.abs(value) >= 1e-4) & (F.abs(value) < plain_below) | (value == 0)

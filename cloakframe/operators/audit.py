@@ -111,6 +111,8 @@ def audit_warnings(log: DataFrame, text: str = "query_text") -> DataFrame:
 
 
 def cost_bucket(cost: Column) -> Column:
+    """A cost that is not set counts as 0."""
+    cost = F.coalesce(cost, F.lit(0))
     return (
         F.when(cost < 1, "Low").when(cost < 10, "Medium").when(cost < 100, "High").when(cost >= 100, "Very High")
     )
@@ -155,7 +157,7 @@ def audit_cost_estimate(log: DataFrame, text: str = "query_text", cost: str = "e
     refusal = audit_safety(log, text).select("*", F.col("is_safe").alias("success"), F.col("message").alias("verdict"))
     rated = audit_recommendations(refusal, text, cost)
     safe = F.col("success")
-    done = F.concat(F.lit("Cost estimation completed. Estimated cost: "), F.col(cost).cast("string"))
+    done = F.concat(F.lit("Cost estimation completed. Estimated cost: "), F.coalesce(F.col(cost).cast("string"), F.lit("0")))
     return rated.withColumns(
         {
             "resource_usage": F.when(safe, F.col("resource_usage")),
@@ -165,8 +167,13 @@ def audit_cost_estimate(log: DataFrame, text: str = "query_text", cost: str = "e
     ).select(*log.columns, "success", "resource_usage", "recommendations", "message")
 
 
+# Plan numbers keep 26 digits before the point and twelve behind it.
+PLAN_DIGITS, PLAN_DECIMALS = 38, 12
+
+
 def _decimal_or_zero(text: Column) -> Column:
-    return F.coalesce(parse_decimal(text, 28, 8), F.lit(0).cast("decimal(28,8)"))
+    number = parse_decimal(text, PLAN_DIGITS, PLAN_DECIMALS)
+    return F.coalesce(number, F.lit(0).cast(f"decimal({PLAN_DIGITS},{PLAN_DECIMALS})"))
 
 
 def plan_costs(plans: DataFrame, text: str = "plan_text") -> DataFrame:
@@ -205,6 +212,6 @@ def plan_operator_totals(plans: DataFrame, text: str = "plan_text") -> DataFrame
     """Operators of all plans rolled up by type."""
     return plan_operators(plans, text).groupBy("operator_type").agg(
         F.count("*").alias("operator_count"),
-        F.sum("estimated_cost").cast("decimal(38,8)").alias("total_cost"),
-        F.sum("estimated_rows").cast("decimal(38,8)").alias("total_rows"),
+        F.sum("estimated_cost").cast("decimal(38,12)").alias("total_cost"),
+        F.sum("estimated_rows").cast("decimal(38,12)").alias("total_rows"),
     )

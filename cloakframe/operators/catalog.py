@@ -42,8 +42,7 @@ def table_list(spark: SparkSession, tables: tuple[str, ...] = TABLES) -> DataFra
 
 def _files(spark: SparkSession, directory: str, table: str) -> DataFrame:
     """Path, length and modificationTime of each file of a table; no content is read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-    return files.load(table_path(directory, table)).select("path", "length", "modificationTime")
+    return spark.read.format("binaryFile").load(table_path(directory, table)).select("path", "length", "modificationTime")
 
 
 def _row_count(df: DataFrame) -> Column:

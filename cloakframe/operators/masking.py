@@ -37,28 +37,48 @@ def _masked_text(df_name: str, data_type: T.DataType, numeric: str) -> bool:
     return names.is_sensitive_column(df_name) or (strict and not names.is_balance_column(df_name))
 
 
-def _mask_nested(col: Column, name: str, data_type: T.DataType, numeric: str) -> Column:
-    """The rules for text and numbers inside arrays, maps and structs."""
-    if isinstance(data_type, T.ArrayType) and _holds_text(data_type):
-        return F.transform(col, lambda x: _mask_nested(x, name, data_type.elementType, numeric))
-    if isinstance(data_type, T.MapType) and _holds_text(data_type):
-        return F.transform_values(col, lambda _, x: _mask_nested(x, name, data_type.valueType, numeric))
-    if isinstance(data_type, T.StructType) and _holds_text(data_type):
-        fields = [_mask_nested(col.getField(f.name), f.name, f.dataType, numeric).alias(f.name) for f in data_type]
+def _mask_nested(col: Column, name: str, data_type: T.DataType, numeric: str, masked: bool = True) -> Column:
+    """The rules for whatever is inside arrays, maps (keys too) and structs. With ``masked=False`` the same shape
+    with every value that is masked as text shown as that text."""
+    if not _changes(name, data_type, numeric):
+        return col
+    if isinstance(data_type, T.ArrayType):
+        return F.transform(col, lambda x: _mask_nested(x, name, data_type.elementType, numeric, masked))
+    if isinstance(data_type, T.MapType):
+        values = F.transform_values(col, lambda _, x: _mask_nested(x, name, data_type.valueType, numeric, masked))
+        if not _changes(name, data_type.keyType, numeric):
+            return values
+        entries = F.transform(
+            F.map_entries(values),
+            lambda e: F.struct(_mask_nested(e["key"], name, data_type.keyType, numeric, masked).alias("key"), e["value"]),
+        )
+        # Of keys that are equal once masked, the last stays.
+        last = F.transform(F.array(entries), lambda a: F.filter(a, lambda e, i: ~_key_follows(a, e, i)))[0]
+        return F.map_from_entries(last)
+    if isinstance(data_type, T.StructType):
+        fields = [_mask_nested(col.getField(f.name), f.name, f.dataType, numeric, masked).alias(f.name) for f in data_type]
         return F.when(col.isNotNull(), F.struct(*fields))
     if _masked_text(name, data_type, numeric):
-        return mask.mask_value(_as_text(col, data_type), name)
+        text = _as_text(col, data_type)
+        return mask.mask_value(text, name) if masked else text
     return col
 
 
-def _holds_text(data_type: T.DataType) -> bool:
+def _key_follows(entries: Column, entry: Column, i: Column) -> Column:
+    """Does an equal key come after entry number ``i``?"""
+    return F.exists(F.slice(entries, i + 2, F.size(entries)), lambda later: later["key"] == entry["key"])
+
+
+def _changes(name: str, data_type: T.DataType, numeric: str) -> bool:
+    """Can masking change a value of this type in a column or field of this name? Items of arrays and maps go by
+    the name of their column or field, fields of structs by their own."""
     if isinstance(data_type, T.ArrayType):
-        return _holds_text(data_type.elementType)
+        return _changes(name, data_type.elementType, numeric)
     if isinstance(data_type, T.MapType):
-        return _holds_text(data_type.valueType)
+        return _changes(name, data_type.keyType, numeric) or _changes(name, data_type.valueType, numeric)
     if isinstance(data_type, T.StructType):
-        return any(_holds_text(f.dataType) for f in data_type)
-    return isinstance(data_type, TEXT_TYPES)
+        return any(_changes(f.name, f.dataType, numeric) for f in data_type)
+    return _masked_text(name, data_type, numeric)
 
 
 def _quoted(name: str) -> Column:
@@ -112,9 +132,7 @@ def _originals(df: DataFrame, numeric: str) -> list[Column]:
 
 
 def _may_change(f: T.StructField, numeric: str) -> bool:
-    return _masked_text(f.name, f.dataType, numeric) or (
-        _holds_text(f.dataType) and not isinstance(f.dataType, TEXT_TYPES)
-    )
+    return _changes(f.name, f.dataType, numeric)
 
 
 def _comparable(col: Column, data_type: T.DataType) -> Column:
@@ -123,11 +141,12 @@ def _comparable(col: Column, data_type: T.DataType) -> Column:
 
 
 def _any_differs(df: DataFrame, before: list[Column], after: list[Column], numeric: str) -> Column:
-    pairs = [
-        ~_comparable(b, f.dataType).eqNullSafe(_comparable(a, f.dataType))
-        for f, b, a in zip(df.schema, before, after)
-        if _may_change(f, numeric)
-    ]
+    nested = (T.ArrayType, T.MapType, T.StructType)
+    pairs = []
+    for f, b, a in zip(df.schema, before, after):
+        if _may_change(f, numeric):
+            shown = _mask_nested(b, f.name, f.dataType, numeric, masked=False) if isinstance(f.dataType, nested) else b
+            pairs.append(~_comparable(shown, f.dataType).eqNullSafe(_comparable(a, f.dataType)))
     return reduce(lambda x, y: x | y, pairs) if pairs else F.lit(False)
 
 

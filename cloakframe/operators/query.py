@@ -102,12 +102,13 @@ def query_with_stats(spark: SparkSession, sql: str, max_rows: int = DEFAULT_MAX_
     """Check, run and time a query for display, like ``execute_query``."""
     check_safety(spark, sql)
     start = time.monotonic()
-    capped = mask_capped(spark.sql(sql).limit(max_rows), flag="__was_masked")
-    collected = capped.collect()
+    # One row more than is shown tells whether the cap cut anything.
+    capped = mask_capped(spark.sql(sql).limit(max_rows + 1), flag="__was_masked")
+    fetched = capped.collect()
     seconds = time.monotonic() - start
+    collected, truncated = fetched[:max_rows], len(fetched) > max_rows
     masked = sum(r["__was_masked"] for r in collected)
     n = len(collected)
-    truncated = n >= max_rows
     limited = f" (limited to {max_rows} rows)" if truncated else ""
     message = f"Retrieved {n} rows in {round(seconds * 1000)}ms{limited} (PII filtered)"
     stats = [(n, masked, truncated, int(seconds * 1000), performance_warning(seconds), message)]
@@ -117,9 +118,13 @@ def query_with_stats(spark: SparkSession, sql: str, max_rows: int = DEFAULT_MAX_
 
 
 def query_stats(spark: SparkSession, sql: str, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    """The statistics that do not depend on the clock, as a lazy one-row DataFrame."""
+    """The statistics that do not depend on the clock, as a lazy one-row DataFrame.
+
+    Which rows a cap leaves is defined only if the text orders them uniquely.
+    """
     capped = mask_capped(spark.sql(sql).limit(max_rows), flag="__was_masked")
     counted = capped.agg(
         F.count("*").alias("row_count"), F.count_if(F.col("__was_masked")).alias("masked_rows")
     )
-    return counted.withColumn("was_truncated", F.col("row_count") >= max_rows)
+    reached = spark.sql(sql).limit(max_rows + 1).agg(F.count("*")).scalar()
+    return counted.withColumn("was_truncated", reached > max_rows)

@@ -52,12 +52,22 @@ def statement_stats(log: DataFrame) -> DataFrame:
     )
 
 
+def _listing(found: DataFrame, top_count: int | None, *order: Column | str) -> DataFrame:
+    """The first rows in an order, or all of them in none."""
+    return found if top_count is None else found.orderBy(*order).limit(top_count)
+
+
 def slow_groups(
-    log: DataFrame, top_count: int = 50, minimum_ms: int = 1000, database: str | None = None
+    log: DataFrame,
+    top_count: int | None = 50,
+    minimum_ms: int = 1000,
+    database: str | None = None,
+    text_chars: int | None = None,
 ) -> DataFrame:
     """Statements whose average elapsed time reaches the threshold, slowest first, top k.
 
-    Averages divide whole microseconds before they become milliseconds.
+    Averages divide whole microseconds before they become milliseconds. ``top_count=None`` gives all statements,
+    which is what summaries need; texts are whole unless ``text_chars`` says how much to show.
     """
     stats = statement_stats(log).withColumns(
         {
@@ -84,12 +94,12 @@ def slow_groups(
         _ms(F.col("total_cpu_us")).alias("total_worker_time_ms"),
         F.lit(database).cast("string").alias("database_name"),
     )
-    top = shown.orderBy(F.desc("avg_elapsed_ms"), "query_hash", "query_text").limit(top_count)
-    return top.withColumn("query_text", one_line(F.col("query_text")))
+    top = _listing(shown, top_count, F.desc("avg_elapsed_ms"), "query_hash", "query_text")
+    return top.withColumn("query_text", one_line(F.col("query_text"), text_chars))
 
 
 def slow_groups_summary(slow: DataFrame, minimum_ms: int = 1000) -> DataFrame:
-    """Totals over the listed statements only."""
+    """Totals over the given statements: give ``slow_groups`` without a cap."""
     found = slow.agg(
         F.count("*").alias("total_queries"),
         F.count_if(F.col("avg_elapsed_ms") >= minimum_ms).alias("slow_queries"),
@@ -162,9 +172,17 @@ def usage_counts(log: DataFrame, keys: list[str]) -> DataFrame:
     return log.groupBy(*keys).agg(*aggregates)
 
 
+def _places(*tables: DataFrame) -> list[str]:
+    return [c for c in ("database_name", "schema_name") if all(c in t.columns for t in tables)]
+
+
 def usage_scores(objects: DataFrame, log: DataFrame, table_name: str | None = None) -> DataFrame:
-    """Every object with its use counts, score and category; objects without uses score 0."""
-    keys = ["table_name", "object_key"]
+    """Every object with its use counts, score and category; objects without uses score 0.
+
+    Objects of one name in several databases or schemas are told apart by ``database_name`` and ``schema_name``,
+    where both tables have them.
+    """
+    keys = [*_places(objects, log), "table_name", "object_key"]
     if table_name:
         objects = objects.where(F.col("table_name") == table_name)
         log = log.where(F.col("table_name") == table_name)
@@ -174,6 +192,7 @@ def usage_scores(objects: DataFrame, log: DataFrame, table_name: str | None = No
     uses = F.col("user_seeks") + F.col("user_scans") + F.col("user_lookups")
     scored = filled.withColumn("uses", uses)
     return scored.select(
+        *_places(objects, log),
         "table_name",
         "object_key",
         F.coalesce("object_name", F.lit("HEAP")).alias("object_name"),
@@ -255,14 +274,24 @@ def impact_priority(improvement: Column) -> Column:
     return F.when(improvement > HIGH_ABOVE, "High").when(improvement > MEDIUM_ABOVE, "Medium").otherwise("Low")
 
 
-def impact_ranking(log: DataFrame, top_count: int = 25, schema_name: str = "dbo", database: str | None = None) -> DataFrame:
-    """Suggestions ranked by average cost x average impact x (seeks + scans), top k."""
+def impact_ranking(
+    log: DataFrame, top_count: int | None = 25, schema_name: str = "dbo", database: str | None = None
+) -> DataFrame:
+    """Suggestions ranked by average cost x average impact x (seeks + scans), top k; all with ``top_count=None``.
+
+    Schema and database come from the rows where the log has them (``schema_name``, ``database_name``), so equal
+    names in two schemas stay apart; else they are the given ones.
+    """
+    if "schema_name" not in log.columns:
+        log = log.withColumn("schema_name", F.lit(schema_name))
+    if "database_name" not in log.columns:
+        log = log.withColumn("database_name", F.lit(database).cast("string"))
     text_columns = ["equality_columns", "inequality_columns", "included_columns"]
     named = log.where(F.col("table_name").isNotNull()).withColumns(
         {c: F.coalesce(F.col(c), F.lit("")) for c in text_columns}
     )
     seek, scan = F.col("access") == "seek", F.col("access") == "scan"
-    grouped = named.groupBy("table_name", *text_columns).agg(
+    grouped = named.groupBy("database_name", "schema_name", "table_name", *text_columns).agg(
         F.count_if(seek).alias("user_seeks"),
         F.count_if(scan).alias("user_scans"),
         F.sum("cost_units").alias("cost_units"),
@@ -282,10 +311,11 @@ def impact_ranking(log: DataFrame, top_count: int = 25, schema_name: str = "dbo"
     measured = averaged.withColumn("improvement_measure", (per_use * uses).cast("decimal(18,2)"))
     table, equality = F.col("table_name"), F.col("equality_columns")
     inequality, included = F.col("inequality_columns"), F.col("included_columns")
-    top = measured.orderBy(F.desc("improvement_measure"), "table_name", *text_columns).limit(top_count)
+    names = ["database_name", "schema_name", "table_name", *text_columns]
+    top = _listing(measured, top_count, F.desc("improvement_measure"), *names)
     return top.select(
-        F.lit(database).cast("string").alias("database_name"),
-        F.lit(schema_name).alias("schema_name"),
+        "database_name",
+        "schema_name",
         "table_name",
         *text_columns,
         "improvement_measure",
@@ -296,13 +326,13 @@ def impact_ranking(log: DataFrame, top_count: int = 25, schema_name: str = "dbo"
         "last_user_seek",
         "last_user_scan",
         suggested_name(table, equality, inequality).alias("suggested_index_name"),
-        create_statement(F.lit(schema_name), table, equality, inequality, included).alias("create_index_statement"),
+        create_statement(F.col("schema_name"), table, equality, inequality, included).alias("create_index_statement"),
         impact_priority(F.col("improvement_measure")).alias("priority"),
     )
 
 
 def impact_summary(ranking: DataFrame) -> DataFrame:
-    """Counts by priority and summed improvement over the listed suggestions only."""
+    """Counts by priority and summed improvement over the given suggestions: give ``impact_ranking`` without a cap."""
     priority = F.col("priority")
     found = ranking.agg(
         F.count("*").alias("total_suggestions"),
@@ -399,8 +429,8 @@ def wait_totals(log: DataFrame) -> DataFrame:
     return grouped.where(F.col("wait_time_ms") > 0)
 
 
-def wait_share(log: DataFrame, top_count: int = 20) -> DataFrame:
-    """Wait types by their share of all waits, top k.
+def wait_share(log: DataFrame, top_count: int | None = 20) -> DataFrame:
+    """Wait types by their share of all waits, top k; all with ``top_count=None``.
 
     The total is a scalar subquery over the grouped rows, so nothing is windowed in one partition. It sums
     every column of the groups: then it asks for the same shuffle as the detail, which Spark runs once.
@@ -416,7 +446,7 @@ def wait_share(log: DataFrame, top_count: int = 20) -> DataFrame:
             "resource_wait_time_ms": F.col("wait_time_ms") - F.col("signal_wait_time_ms"),
         }
     )
-    top = shared.orderBy(F.desc("percentage_of_total"), F.desc("wait_time_ms"), "wait_type").limit(top_count)
+    top = _listing(shared, top_count, F.desc("percentage_of_total"), F.desc("wait_time_ms"), "wait_type")
     return top.select(
         "wait_type",
         "waiting_tasks_count",
@@ -433,7 +463,7 @@ def wait_share(log: DataFrame, top_count: int = 20) -> DataFrame:
 
 
 def wait_summary(waits: DataFrame) -> DataFrame:
-    """Totals and the top type over the listed types only."""
+    """Totals and the top type over the given types: give ``wait_share`` without a cap."""
     rank = F.struct(-F.col("percentage_of_total"), -F.col("wait_time_ms"), F.col("wait_type"))
     found = waits.agg(
         F.coalesce(F.sum("wait_time_ms"), F.lit(0)).cast("decimal(28,3)").alias("total_wait_time_ms"),
@@ -453,11 +483,11 @@ def wait_summary(waits: DataFrame) -> DataFrame:
     return _stamped(found.withColumn("message", text))
 
 
-def wait_bottlenecks(waits: DataFrame) -> DataFrame:
-    """The three largest categories above five percent, as text."""
+def wait_bottlenecks(waits: DataFrame, above: float = BOTTLENECK_ABOVE, top: int = BOTTLENECKS) -> DataFrame:
+    """The largest categories above a percentage, as text, over the given types: give ``wait_share`` without a cap."""
     grouped = waits.groupBy("wait_category").agg(F.sum("percentage_of_total").alias("total_percentage"))
-    main = grouped.where(F.col("total_percentage") > BOTTLENECK_ABOVE)
-    top = main.orderBy(F.desc("total_percentage"), "wait_category").limit(BOTTLENECKS)
+    main = grouped.where(F.col("total_percentage") > above)
+    largest = main.orderBy(F.desc("total_percentage"), "wait_category").limit(top)
     share = F.col("total_percentage").cast("decimal(6,1)").cast("string")
     label = F.concat(F.col("wait_category"), F.lit(" ("), share, F.lit("% of total waits)"))
-    return top.select("wait_category", F.col("total_percentage").cast("decimal(7,2)"), label.alias("bottleneck"))
+    return largest.select("wait_category", F.col("total_percentage").cast("decimal(7,2)"), label.alias("bottleneck"))

@@ -19,7 +19,7 @@ NAME_STEMS = (
     "license_number", "iban_code", "routing_no", "aba_number", "aba", "swift", "sort_code", "bsb", "account_no",
     "bank_name", "acct_no", "acct_number", "bank_acc", "account_name", "account_type", "ACCOUNT_ID", "email_value",
     "payment_card_number", "feedback_email", "account_balance", "bank_fee", "total_phone", "avg_x", "x_amt",
-    "amt_x", "max", "max_ssn", "net", "gross_pay", "max1", "summary", "c_acctbal", "note", "remark", "ip",
+    "amt_x", "max", "max_ssn", "account_email", "bank_phone", "bank_card_no", "net", "gross_pay", "max1", "summary", "c_acctbal", "note", "remark", "ip",
     "user_name", "city", "country", "k", "created_at", "shipment", "withdrawal_iban", "unit_price",
 )
 
@@ -149,8 +149,12 @@ SELECT o_orderkey AS row_id, lpad(CAST(o_orderkey * 7919 % 1000000000 AS STRING)
 UNION ALL SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN '0210-0002-1' ELSE '021000021' END FROM customer""",
     "query_log": """
 SELECT event_id AS query_id,
-  'q' || lpad(CAST(event_id % 12 AS STRING), 2, '0') || '-' || lpad(CAST(user_id % 30 AS STRING), 2, '0') AS query_hash,
-  CASE event_id % 12
+  'q' || lpad(CAST(event_id % 16 AS STRING), 2, '0') || '-' || lpad(CAST(user_id % 30 AS STRING), 2, '0') AS query_hash,
+  CASE event_id % 16
+    WHEN 12 THEN 'SELECT a' || chr(10) || '/* ' || chr(9) || 'note */ FROM t --'
+    WHEN 13 THEN 'SELECT ' || repeat('column_name, ', 120) || 'x FROM t -- ' || CAST(user_id AS STRING)
+    WHEN 14 THEN 'drop table x /* over' || chr(10) || 'lines */ where é = 1'
+    WHEN 15 THEN 'with' || chr(9) || 'r as (select count (*), max(a) over (order by b) from ( select 1) union' || chr(10) || 'select 2)'
     WHEN 0 THEN 'SELECT * FROM orders'
     WHEN 1 THEN 'select a, count(*) from t group by a'
     WHEN 2 THEN 'SELECT 1 UNION SELECT 2'
@@ -167,27 +171,30 @@ SELECT event_id AS query_id,
   CAST(round(value * 7000) AS BIGINT) AS cpu_us,
   user_id * 10 + event_id % 100 AS logical_reads,
   event_id % 17 AS physical_reads,
-  CAST(round(value * 50) AS BIGINT) AS cost_hundredths,
+  CASE WHEN event_id % 31 = 0 THEN CAST(NULL AS BIGINT) ELSE CAST(round(value * 50) AS BIGINT) END AS cost_hundredths,
   ts AS executed_at
-FROM events""",
+FROM events
+UNION ALL SELECT 1000000000 + doc_id, 'd' || CAST(doc_id % 100 AS STRING), text, 900 * (doc_id % 1000), doc_id % 900, doc_id % 50,
+  doc_id % 3, CAST(NULL AS BIGINT), TIMESTAMP '2024-01-01 00:00:00' FROM documents""",
     "usage_objects": """
-SELECT 'supplier' AS table_name, s_suppkey AS object_key, s_name AS object_name, 1 AS type_code,
+SELECT 'main' AS schema_name, 'supplier' AS table_name, s_suppkey AS object_key, s_name AS object_name, 1 AS type_code,
   CAST(length(s_name) * 8 AS BIGINT) AS size_kb FROM supplier
-UNION ALL SELECT 'part', p_partkey, CASE WHEN p_partkey % 50 = 0 THEN CAST(NULL AS STRING) ELSE p_name END,
+UNION ALL SELECT 'main', 'part', p_partkey, CASE WHEN p_partkey % 50 = 0 THEN CAST(NULL AS STRING) ELSE p_name END,
   CASE WHEN p_partkey % 50 = 0 THEN 0 ELSE 2 END, CAST(length(p_name) * 8 AS BIGINT) FROM part
-UNION ALL SELECT 'region', CAST(r_regionkey AS BIGINT), r_name, 1, CAST(length(r_name) * 8 AS BIGINT) FROM region
-UNION ALL SELECT 'flag', CAST(0 AS BIGINT), 'all', 5, CAST(8 AS BIGINT)""",
+UNION ALL SELECT 'main', 'region', CAST(r_regionkey AS BIGINT), r_name, 1, CAST(length(r_name) * 8 AS BIGINT) FROM region
+UNION ALL SELECT 'main', 'flag', CAST(0 AS BIGINT), 'all', 5, CAST(8 AS BIGINT)
+UNION ALL SELECT 'archive', 'flag', CAST(0 AS BIGINT), 'all', 5, CAST(16 AS BIGINT)
+UNION ALL SELECT 'archive', 'supplier', s_suppkey, s_name, 1, CAST(8 AS BIGINT) FROM supplier""",
     "usage_log": """
-SELECT 'supplier' AS table_name, l_suppkey AS object_key, l_returnflag AS access, l_linestatus AS status,
-  l_shipdate AS used_at FROM lineitem
-UNION ALL SELECT 'part', l_partkey, l_returnflag, l_linestatus, l_shipdate FROM lineitem
-  WHERE l_shipdate < TIMESTAMP '1995-06-01 00:00:00'
-UNION ALL SELECT 'region', CAST(n_regionkey AS BIGINT),
+SELECT CASE WHEN l_linenumber = 1 THEN 'archive' ELSE 'main' END AS schema_name, 'supplier' AS table_name,
+  l_suppkey AS object_key, l_returnflag AS access, l_linestatus AS status, l_shipdate AS used_at FROM lineitem
+UNION ALL SELECT 'main', 'part', l_partkey * 2, l_returnflag, l_linestatus, l_shipdate FROM lineitem
+UNION ALL SELECT 'main', 'region', CAST(n_regionkey AS BIGINT),
   CASE o_orderstatus WHEN 'F' THEN 'R' WHEN 'O' THEN 'A' ELSE 'N' END, o_orderstatus, o_orderdate
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-UNION ALL SELECT 'flag', CAST(0 AS BIGINT), l_returnflag, l_linestatus, l_shipdate FROM lineitem""",
+UNION ALL SELECT 'main', 'flag', CAST(0 AS BIGINT), l_returnflag, l_linestatus, l_shipdate FROM lineitem""",
     "candidate_log": """
-SELECT 'lineitem' AS table_name,
+SELECT CASE WHEN p_partkey % 3 = 0 THEN 'sales' ELSE 'dbo' END AS schema_name, 'lineitem' AS table_name,
   CASE WHEN p_type = 'ECONOMY' THEN '' ELSE '[' || p_brand || ']' END AS equality_columns,
   CASE WHEN p_brand LIKE '%7' THEN '' ELSE '[' || p_type || ']' END AS inequality_columns,
   CASE WHEN p_brand LIKE '%5' THEN '[l_tax]' ELSE '' END AS included_columns,
@@ -202,12 +209,15 @@ FROM events e JOIN (VALUES (0,'LCK_M_S',9),(1,'LCK_M_X',3),(2,'PAGEIOLATCH_SH',2
   (4,'PAGELATCH_UP',4),(5,'WRITELOG',6),(6,'CXPACKET',15),(7,'ASYNC_NETWORK_IO',5),(8,'RESOURCE_SEMAPHORE',2),
   (9,'THREADPOOL',1),(10,'SOS_SCHEDULER_YIELD',7),(11,'SLEEP_TASK',50),(12,'LAZYWRITER_SLEEP',50),
   (13,'RESOURCE_QUEUE',50),(14,'IO_COMPLETION',2),(15,'EXCHANGE',1),(16,'CMEMTHREAD',1),(17,'BACKUPIO',1),
-  (18,'NETWORK_X',1),(19,'PREEMPTIVE_X',0)) AS w(idx, wait_type, weight) ON e.user_id % 20 = w.idx""",
+  (18,'NETWORK_X',1),(19,'PREEMPTIVE_X',0),(20,'LATCH_EX',3),(21,'BACKUPBUFFER',1),(22,'OLEDB',4),(23,'TRACEWRITE',2),
+  (24,'MSQL_DQ',1),(25,'LCK_M_U',2),(26,'HADR_SYNC',5)) AS w(idx, wait_type, weight) ON e.user_id % 27 = w.idx""",
     "plan_log": """
 SELECT event_id AS plan_id,
   CASE WHEN event_id % 11 = 0 THEN '<Empty/>' ELSE
-  '<StmtSimple StatementSubTreeCost="' || CAST(event_id % 200 AS STRING) || '.25"><RelOp NodeId="0" PhysicalOp="Hash Match" EstimateRows="'
-  || CAST(user_id AS STRING) || '" EstimateCPU="0.5"><RelOp NodeId="1" PhysicalOp="'
+  '<StmtSimple' || CASE event_id % 5 WHEN 0 THEN '' ELSE ' StatementSubTreeCost="' || CAST(event_id % 200 AS STRING) ||
+    CASE event_id % 5 WHEN 1 THEN '.25' WHEN 2 THEN '.000000123' WHEN 3 THEN '56789012345678901234.5' ELSE ' units' END || '"' END
+  || '>' || chr(10) || '<RelOp NodeId="0" PhysicalOp="Hash Match" EstimateRows="'
+  || CAST(user_id AS STRING) || '" EstimateCPU="0.0000' || CAST(event_id % 97 AS STRING) || '"><RelOp NodeId="1" PhysicalOp="'
   || CASE WHEN event_id % 2 = 0 THEN 'Table Scan' ELSE 'Index Seek' END
   || '" EstimateRows="' || CAST(event_id % 1000 AS STRING) || '" EstimateCPU="0.25"></RelOp></RelOp></StmtSimple>'
   END AS plan_text

@@ -7,13 +7,49 @@ expressions are written for RE2: word boundaries are spelled out with Unicode cl
 
 from __future__ import annotations
 
-from cloakframe.operators import audit, workload
-from cloakframe.functions import names
 from cloakframe.plans import registry
 from cloakframe.plans.derived import with_derived
 from cloakframe.plans.passthrough import PASSTHROUGH, SQL_SCALARS_DUCKDB
 from cloakframe.sources.tables import TABLES
 
+# Fixed values, stated here once more, so that a slip in the lists of the code shows.
+SENSITIVE_NAMES = (
+    "email emailaddress email_address e_mail phone phonenumber phone_number mobile cellphone telephone ssn "
+    "socialsecuritynumber social_security_number creditcard credit_card cardnumber card_number password pwd "
+    "passcode pin dob dateofbirth date_of_birth birthdate address street streetaddress street_address zipcode "
+    "zip_code postalcode postal_code driverlicense driver_license license_number accountnumber account_number "
+    "bankaccount bank_account routingnumber routing_number aba aba_number iban swift sortcode sort_code bsb "
+    "accountno acct_number acct_no bank_acc"
+).split()
+BENIGN_WAITS = (
+    "CLR_SEMAPHORE LAZYWRITER_SLEEP RESOURCE_QUEUE SLEEP_TASK SLEEP_SYSTEMTASK SQLTRACE_BUFFER_FLUSH WAITFOR "
+    "LOGMGR_QUEUE CHECKPOINT_QUEUE REQUEST_FOR_DEADLOCK_SEARCH XE_TIMER_EVENT BROKER_TO_FLUSH "
+    "BROKER_TASK_STOP CLR_MANUAL_EVENT CLR_AUTO_EVENT DISPATCHER_QUEUE_SEMAPHORE FT_IFTS_SCHEDULER_IDLE_WAIT "
+    "XE_DISPATCHER_WAIT XE_DISPATCHER_JOIN SQLTRACE_INCREMENTAL_FLUSH_SLEEP"
+).split()
+WAIT_ADVICE = {
+    "CXPACKET": "Parallelism overhead - consider adjusting MAXDOP or Cost Threshold",
+    "ASYNC_NETWORK_IO": "Client not consuming data fast enough - check network or client processing",
+    "PAGEIOLATCH_SH": "Data page reads from disk - consider more memory or faster storage",
+    "PAGEIOLATCH_EX": "Data page writes to disk - check storage performance",
+    "WRITELOG": "Log file writes - consider faster storage for log files",
+    "LCK_M_S": "Shared lock waits - potential blocking or long transactions",
+    "LCK_M_X": "Exclusive lock waits - potential blocking or deadlocks",
+    "RESOURCE_SEMAPHORE": "Memory pressure - queries waiting for memory grants",
+    "THREADPOOL": "Thread pool exhaustion - too many concurrent requests",
+}
+OTHER_ADVICE = "Review wait type documentation for specific recommendations"
+OTHER_DESCRIPTION = "Various SQL Server operations"
+AGGREGATES = "COUNT SUM AVG MIN MAX GROUP_CONCAT".split()
+WRITE_OPERATIONS = "INSERT UPDATE DELETE DROP CREATE ALTER TRUNCATE MERGE".split()
+DANGEROUS_FUNCTIONS = "xp_cmdshell sp_configure OPENROWSET OPENDATASOURCE".split()
+INJECTION_PATTERNS = (
+    r";\s*(DROP|DELETE|INSERT|UPDATE)",
+    r"UNION\s+SELECT",
+    r"--\s*$",
+    r"\/\*.*\*\/",
+)
+
 # -- RE2 patterns --------------------------------------------------------------------------------
 
 _W = r"\p{L}\p{Mn}\p{Nd}\p{Pc}"
@@ -74,7 +110,7 @@ def is_balance(name: str) -> str:
 
 def is_sensitive(name: str) -> str:
     n = f"lower({name})"
-    exact = ", ".join(_q(s) for s in names.SENSITIVE_NAMES)
+    exact = ", ".join(_q(s) for s in SENSITIVE_NAMES)
     parts = "email phone ssn password address routing iban bank".split()
     account = f"({_has(n, 'account')} AND NOT {_has(n, 'name', 'type')})"
     return f"(NOT {is_balance(name)} AND ({n} IN ({exact}) OR {_has(n, *parts)} OR {account}))"
@@ -358,11 +394,20 @@ _PEOPLE = {
 }
 
 
+_KEY = "coalesce(email, 'none')"
+
+
 def _tables() -> dict[str, str]:
     changed = " OR ".join(f"{c} IS DISTINCT FROM ({m})" for c, m in _PEOPLE.items())
     documents = f"doc_id, {masked('text')} AS text, {masked('lang')} AS lang, {masked('source')} AS source, n_chars"
     return {
         "mask_table": _from("people", ", ".join(f"{m} AS {c}" for c, m in _PEOPLE.items())),
+        "mask_nested": _from(
+            "people",
+            f"person_id, {_PEOPLE['email']} AS email, {_PEOPLE['mobile_phone']} AS mobile_phone, {_PEOPLE['remark']} AS remark, "
+            f"{_PEOPLE['remark']} AS note_1, {_PEOPLE['full_name']} AS note_2, {masked(_KEY)} AS link_key, "
+            f"{_PEOPLE['remark']} AS link_value, {_PEOPLE['dob']} AS dob",
+        ),
         "masking_report": _from("people", f"count(*) AS total_rows, count(*) FILTER (WHERE {changed}) AS masked_rows"),
         "mask_documents": f"SELECT {documents} FROM documents",
         "mask_stream": f"SELECT {documents} FROM documents",
@@ -379,7 +424,8 @@ def _query() -> dict[str, str]:
         "result_json": f"""SELECT '{{"c_custkey":' || c_custkey || ',"c_name":"' || ({masked('c_name')}) ||
   '","c_mktsegment":"' || c_mktsegment || '","c_nationkey":' || c_nationkey || '}}' AS json FROM customer""",
         "query_stats": f"""SELECT count(*) AS row_count, count(*) FILTER (WHERE c_name IS DISTINCT FROM ({masked('c_name')}))
-  AS masked_rows, count(*) >= 1000 AS was_truncated FROM ({registry.STATS_SQL} LIMIT 1000) q""",
+  AS masked_rows, (SELECT count(*) FROM ({registry.STATS_SQL} LIMIT 1001) r) > 1000 AS was_truncated
+  FROM ({registry.STATS_SQL} LIMIT 1000) q""",
         **PASSTHROUGH,
         "sql_scalars": SQL_SCALARS_DUCKDB,
     }
@@ -530,27 +576,28 @@ _SLOW = f"""
     CAST(sum(physical_reads) AS BIGINT) AS total_physical_reads, max(executed_at) AS last_execution_time,
     min(executed_at) AS creation_time FROM query_log GROUP BY query_hash, query_text),
 slow AS (SELECT query_hash,
-    substr(replace(replace(replace(query_text, chr(13), ' '), chr(10), ' '), chr(9), ' '), 1, 1000) AS query_text,
+    replace(replace(replace(query_text, chr(13), ' '), chr(10), ' '), chr(9), ' ') AS query_text,
     execution_count, {_ms('el')} AS total_elapsed_ms, {_ms('el // execution_count')} AS avg_elapsed_ms,
     {_ms('mx')} AS max_elapsed_ms, {_ms('cp')} AS total_cpu_ms, {_ms('cp // execution_count')} AS avg_cpu_ms,
     total_logical_reads, total_logical_reads // execution_count AS avg_logical_reads, total_physical_reads,
     total_physical_reads // execution_count AS avg_physical_reads, last_execution_time, creation_time,
     {_ms('cp')} AS total_worker_time_ms, el // execution_count AS avg_us, cp
-  FROM g WHERE el // execution_count >= 1000000 ORDER BY avg_us DESC, query_hash, query_text LIMIT 50)"""
+  FROM g WHERE el // execution_count >= 1000000)"""
+_SLOW_TOP = "ORDER BY avg_us DESC, query_hash, query_text LIMIT 50"
 
 _USAGE = """
-, u AS (SELECT table_name, object_key, count(*) FILTER (WHERE access = 'R') AS user_seeks,
+, u AS (SELECT schema_name, table_name, object_key, count(*) FILTER (WHERE access = 'R') AS user_seeks,
     count(*) FILTER (WHERE access = 'A') AS user_scans, count(*) FILTER (WHERE access = 'N') AS user_lookups,
     count(*) FILTER (WHERE status = 'F') AS user_updates,
     max(used_at) FILTER (WHERE access = 'R') AS last_user_seek, max(used_at) FILTER (WHERE access = 'A') AS last_user_scan,
     max(used_at) FILTER (WHERE access = 'N') AS last_user_lookup,
-    max(used_at) FILTER (WHERE status = 'F') AS last_user_update FROM usage_log GROUP BY table_name, object_key),
+    max(used_at) FILTER (WHERE status = 'F') AS last_user_update FROM usage_log GROUP BY schema_name, table_name, object_key),
 j AS (SELECT o.*, coalesce(user_seeks, 0) AS user_seeks, coalesce(user_scans, 0) AS user_scans,
     coalesce(user_lookups, 0) AS user_lookups, coalesce(user_updates, 0) AS user_updates, last_user_seek,
     last_user_scan, last_user_lookup, last_user_update,
     coalesce(user_seeks, 0) + coalesce(user_scans, 0) + coalesce(user_lookups, 0) AS uses
-  FROM usage_objects o LEFT JOIN u ON o.table_name = u.table_name AND o.object_key = u.object_key),
-scores AS (SELECT table_name, object_key, coalesce(object_name, 'HEAP') AS object_name,
+  FROM usage_objects o LEFT JOIN u ON o.schema_name = u.schema_name AND o.table_name = u.table_name AND o.object_key = u.object_key),
+scores AS (SELECT schema_name, table_name, object_key, coalesce(object_name, 'HEAP') AS object_name,
     CASE type_code WHEN 0 THEN 'Heap' WHEN 1 THEN 'Clustered' WHEN 2 THEN 'Nonclustered'
       WHEN 5 THEN 'Clustered Columnstore' ELSE 'Unknown' END AS object_type,
     user_seeks, user_scans, user_lookups, user_updates, last_user_seek, last_user_scan, last_user_lookup,
@@ -562,36 +609,36 @@ scores AS (SELECT table_name, object_key, coalesce(object_name, 'HEAP') AS objec
 _MICRO_COST = "((2 * CAST(cost AS HUGEINT) * 1000000 + n * 3000) // (2 * n * 3000))"
 _MICRO_IMPACT = "((2 * CAST(impact AS HUGEINT) * 1000000 + n) // (2 * n))"
 _IMPACT = f"""
-, g AS (SELECT table_name, equality_columns, inequality_columns, included_columns,
+, g AS (SELECT schema_name, table_name, equality_columns, inequality_columns, included_columns,
     count(*) FILTER (WHERE access = 'seek') AS user_seeks, count(*) FILTER (WHERE access = 'scan') AS user_scans,
     sum(cost_units) AS cost, sum(impact_pct) AS impact, count(*) AS n,
     max(used_at) FILTER (WHERE access = 'seek') AS last_user_seek,
-    max(used_at) FILTER (WHERE access = 'scan') AS last_user_scan FROM candidate_log GROUP BY 1, 2, 3, 4),
+    max(used_at) FILTER (WHERE access = 'scan') AS last_user_scan FROM candidate_log GROUP BY 1, 2, 3, 4, 5),
 m AS (SELECT *, {_MICRO_COST} AS mc, {_MICRO_IMPACT} AS mi FROM g),
 p AS (SELECT *, (mc * mi * (user_seeks + user_scans) + 5000000000) // 10000000000 AS cents,
     CASE WHEN equality_columns <> '' THEN replace(replace(equality_columns, '[', ''), ']', '')
       WHEN inequality_columns <> '' THEN replace(replace(inequality_columns, '[', ''), ']', '') ELSE 'Missing' END AS stem
-  FROM m ORDER BY cents DESC, table_name, equality_columns, inequality_columns, included_columns LIMIT 25),
-ranking AS (SELECT 'dbo' AS schema_name, table_name, equality_columns, inequality_columns, included_columns,
+  FROM m),
+ranking AS (SELECT schema_name, table_name, equality_columns, inequality_columns, included_columns,
     {_scaled('cents', 2)} AS improvement_measure, user_seeks, user_scans, {_scaled('mc', 6)} AS avg_total_user_cost,
     {_scaled('mi', 6)} AS avg_user_impact, last_user_seek, last_user_scan,
     'IX_' || table_name || '_' || stem AS suggested_index_name,
-    'CREATE NONCLUSTERED INDEX [IX_' || table_name || '_' || stem || '] ON [dbo].[' || table_name || '] (' ||
+    'CREATE NONCLUSTERED INDEX [IX_' || table_name || '_' || stem || '] ON [' || schema_name || '].[' || table_name || '] (' ||
       CASE WHEN equality_columns <> '' AND inequality_columns <> '' THEN equality_columns || ', ' || inequality_columns
         WHEN equality_columns <> '' THEN equality_columns WHEN inequality_columns <> '' THEN inequality_columns
         ELSE '[Unknown]' END || ')' ||
       CASE WHEN included_columns <> '' THEN ' INCLUDE (' || included_columns || ')' ELSE '' END AS create_index_statement,
     CASE WHEN cents > 10000000 THEN 'High' WHEN cents > 1000000 THEN 'Medium' ELSE 'Low' END AS priority, cents FROM p)"""
+_IMPACT_TOP = "ORDER BY cents DESC, schema_name, table_name, equality_columns, inequality_columns, included_columns LIMIT 25"
 
-_BENIGN = ", ".join(_q(w) for w in workload.BENIGN_WAITS)
-_ADVICE = " ".join(f"WHEN '{k}' THEN {_q(a)}" for k, a in workload.WAIT_ADVICE.items())
+_BENIGN = ", ".join(_q(w) for w in BENIGN_WAITS)
+_ADVICE = " ".join(f"WHEN '{k}' THEN {_q(a)}" for k, a in WAIT_ADVICE.items())
 _WAITS = f"""
 , g AS (SELECT wait_type, count(*) AS n, CAST(sum(wait_ms) AS BIGINT) AS w, max(wait_ms) AS mx,
     CAST(sum(signal_ms) AS BIGINT) AS s FROM wait_log WHERE wait_type NOT IN ({_BENIGN}) GROUP BY wait_type
     HAVING sum(wait_ms) > 0),
 t AS (SELECT *, CAST(sum(w) OVER () AS BIGINT) AS total FROM g),
-c AS (SELECT *, (CAST(w AS HUGEINT) * 20000 + total) // (2 * CAST(total AS HUGEINT)) AS share FROM t
-  ORDER BY share DESC, w DESC, wait_type LIMIT 20),
+c AS (SELECT *, (CAST(w AS HUGEINT) * 20000 + total) // (2 * CAST(total AS HUGEINT)) AS share FROM t),
 waits AS (SELECT wait_type, n AS waiting_tasks_count, CAST(w AS DECIMAL(18,3)) AS wait_time_ms,
     mx AS max_wait_time_ms, s AS signal_wait_time_ms, w - s AS resource_wait_time_ms,
     {_scaled('share', 2, 5)} AS percentage_of_total, w // n AS avg_wait_time_ms,
@@ -608,8 +655,9 @@ waits AS (SELECT wait_type, n AS waiting_tasks_count, CAST(w AS DECIMAL(18,3)) A
       WHEN wait_type = 'WRITELOG' THEN 'Transaction log write waits'
       WHEN wait_type LIKE 'LCK_%' THEN 'Lock acquisition waits'
       WHEN wait_type = 'RESOURCE_SEMAPHORE' THEN 'Memory grant waits'
-      WHEN wait_type = 'THREADPOOL' THEN 'Worker thread waits' ELSE {_q(workload.OTHER_DESCRIPTION)} END AS description,
-    CASE wait_type {_ADVICE} ELSE {_q(workload.OTHER_ADVICE)} END AS recommendation, share, w FROM c)"""
+      WHEN wait_type = 'THREADPOOL' THEN 'Worker thread waits' ELSE {_q(OTHER_DESCRIPTION)} END AS description,
+    CASE wait_type {_ADVICE} ELSE {_q(OTHER_ADVICE)} END AS recommendation, share, w FROM c)"""
+_WAITS_TOP = "ORDER BY share DESC, w DESC, wait_type LIMIT 20"
 
 
 def _one_decimal(hundredths: str) -> str:
@@ -621,7 +669,7 @@ def _one_decimal(hundredths: str) -> str:
 def _workload() -> dict[str, str]:
     slow, usage = ("query_log",), ("usage_objects", "usage_log")
     return {
-        "slow_groups": with_derived(slow, f"{_SLOW} SELECT * EXCLUDE (avg_us, cp) FROM slow"),
+        "slow_groups": with_derived(slow, f"{_SLOW} SELECT * EXCLUDE (avg_us, cp) FROM slow {_SLOW_TOP}"),
         "slow_groups_summary": with_derived(
             slow,
             f"""{_SLOW} SELECT count(*) AS total_queries, count(*) FILTER (WHERE avg_us >= 1000000) AS slow_queries,
@@ -641,7 +689,7 @@ def _workload() -> dict[str, str]:
     count(*) FILTER (WHERE usage_category = 'Unused'),
     CAST(coalesce(sum(size_kb) FILTER (WHERE usage_category = 'Unused'), 0) AS BIGINT)) AS message FROM scores""",
         ),
-        "impact_ranking": with_derived(("candidate_log",), f"{_IMPACT} SELECT * EXCLUDE (cents) FROM ranking"),
+        "impact_ranking": with_derived(("candidate_log",), f"{_IMPACT} SELECT * EXCLUDE (cents) FROM ranking {_IMPACT_TOP}"),
         "impact_summary": with_derived(
             ("candidate_log",),
             f"""{_IMPACT} SELECT count(*) AS total_suggestions, count(*) FILTER (WHERE priority = 'High') AS high_priority,
@@ -650,7 +698,7 @@ def _workload() -> dict[str, str]:
   'Found ' || count(*) || ' missing index suggestions. ' || count(*) FILTER (WHERE priority = 'High') ||
   ' high priority, ' || count(*) FILTER (WHERE priority = 'Medium') || ' medium priority' AS message FROM ranking""",
         ),
-        "wait_share": with_derived(("wait_log",), f"{_WAITS} SELECT * EXCLUDE (share, w) FROM waits"),
+        "wait_share": with_derived(("wait_log",), f"{_WAITS} SELECT * EXCLUDE (share, w) FROM waits {_WAITS_TOP}"),
         "wait_summary": with_derived(
             ("wait_log",),
             f"""{_WAITS}, top AS (SELECT * FROM waits ORDER BY share DESC, w DESC, wait_type LIMIT 1)
@@ -684,7 +732,7 @@ def _count(pattern: str) -> str:
 
 _COMPLEX = f"""
 , c AS (SELECT *, {_count(r'\bJOIN\b')} AS join_count, {_count(r'\(\s*SELECT\b')} AS subquery_count,
-    {' + '.join(_count(rf'\b{fn}\s*\(') for fn in audit.AGGREGATES)} AS aggregate_count,
+    {' + '.join(_count(rf'\b{fn}\s*\(') for fn in AGGREGATES)} AS aggregate_count,
     regexp_matches(upper(query_text), '\\bOVER\\s*\\(') AS has_window_functions,
     contains(upper(query_text), 'WITH') AND contains(upper(query_text), 'UNION') AS has_recursive_cte FROM query_log),
 s AS (SELECT *, 2 * join_count + 3 * subquery_count + aggregate_count + CASE WHEN has_window_functions THEN 5 ELSE 0 END
@@ -693,7 +741,7 @@ l AS (SELECT *, CASE WHEN complexity_score <= 3 THEN 'Simple' WHEN complexity_sc
     WHEN complexity_score <= 15 THEN 'Complex' ELSE 'VeryComplex' END AS complexity_level FROM s)"""
 
 _COST = _scaled("cost_hundredths", 2)
-_USAGE_OF_COST = """CASE WHEN cost_hundredths < 100 THEN 'Low' WHEN cost_hundredths < 1000 THEN 'Medium'
+_USAGE_OF_COST = """CASE WHEN coalesce(cost_hundredths, 0) < 100 THEN 'Low' WHEN cost_hundredths < 1000 THEN 'Medium'
   WHEN cost_hundredths < 10000 THEN 'High' ELSE 'Very High' END"""
 _COST_ADVICE = "'Consider optimizing this query as it has a very high estimated cost'"
 
@@ -702,14 +750,14 @@ def _audit() -> dict[str, str]:
     t = "trim(upper(query_text))"
     writes = [
         (f"starts_with({t}, '{op} ') OR contains({t}, ' {op} ')", f"'Query contains write operation: {op}'")
-        for op in audit.WRITE_OPERATIONS
+        for op in WRITE_OPERATIONS
     ]
     dangers = [
         (f"contains({t}, '{fn.upper()}')", f"'Query contains dangerous function: {fn}'")
-        for fn in audit.DANGEROUS_FUNCTIONS
+        for fn in DANGEROUS_FUNCTIONS
     ]
     hints = [
-        (_hit(t, p), _q(f"Potential SQL injection pattern detected: {p}")) for p in audit.INJECTION_PATTERNS
+        (_hit(t, p), _q(f"Potential SQL injection pattern detected: {p}")) for p in INJECTION_PATTERNS
     ]
     any_write = " OR ".join(f"({c})" for c, _ in writes)
     any_danger = " OR ".join(f"({c})" for c, _ in dangers)
@@ -731,8 +779,8 @@ def _audit() -> dict[str, str]:
 , e AS (SELECT plan_id, regexp_extract_all(plan_text, '<RelOp\\b[^>]*>') AS found FROM plan_log),
 x AS (SELECT plan_id, generate_subscripts(found, 1) AS operator_no, unnest(found) AS el FROM e),
 o AS (SELECT plan_id, CAST(operator_no AS INTEGER) AS operator_no, regexp_extract(el, 'PhysicalOp="([^"]+)"', 1) AS operator_type,
-  CAST(regexp_extract(el, 'EstimateCPU="([^"]+)"', 1) AS DECIMAL(28,8)) AS estimated_cost,
-  CAST(regexp_extract(el, 'EstimateRows="([^"]+)"', 1) AS DECIMAL(28,8)) AS estimated_rows FROM x)"""
+  CAST(regexp_extract(el, 'EstimateCPU="([^"]+)"', 1) AS DECIMAL(38,12)) AS estimated_cost,
+  CAST(regexp_extract(el, 'EstimateRows="([^"]+)"', 1) AS DECIMAL(38,12)) AS estimated_rows FROM x)"""
     return {
         "audit_safety": with_derived(
             log,
@@ -762,7 +810,7 @@ o AS (SELECT plan_id, CAST(operator_no AS INTEGER) AS operator_no, regexp_extrac
             f"""{_COMPLEX} SELECT query_id, {_COST} AS estimated_cost, NOT {unsafe} AS success,
   CASE WHEN NOT {unsafe} THEN {_USAGE_OF_COST} END AS resource_usage, CASE WHEN NOT {unsafe} THEN {advice} END AS recommendations,
   CASE WHEN {unsafe} THEN 'Query safety validation failed: Query contains unsafe operations'
-    ELSE 'Cost estimation completed. Estimated cost: ' || CAST({_COST} AS VARCHAR) END AS message FROM l""",
+    ELSE 'Cost estimation completed. Estimated cost: ' || coalesce(CAST({_COST} AS VARCHAR), '0') END AS message FROM l""",
         ),
         "cost_rating": with_derived(
             log,
@@ -776,15 +824,15 @@ o AS (SELECT plan_id, CAST(operator_no AS INTEGER) AS operator_no, regexp_extrac
         "plan_costs": with_derived(
             plan,
             """, c AS (SELECT plan_id, coalesce(TRY_CAST(regexp_extract(plan_text, 'StatementSubTreeCost="([^"]+)"', 1)
-  AS DECIMAL(28,8)), 0) AS estimated_cost FROM plan_log) SELECT plan_id, CAST(estimated_cost AS DECIMAL(28,8)) AS estimated_cost,
+  AS DECIMAL(38,12)), 0) AS estimated_cost FROM plan_log) SELECT plan_id, CAST(estimated_cost AS DECIMAL(38,12)) AS estimated_cost,
   CASE WHEN estimated_cost < 1 THEN 'Low' WHEN estimated_cost < 10 THEN 'Medium' WHEN estimated_cost < 100 THEN 'High'
   ELSE 'Very High' END AS resource_usage FROM c""",
         ),
         "plan_operators": with_derived(plan, f"{operators} SELECT * FROM o"),
         "plan_operator_totals": with_derived(
             plan,
-            f"""{operators} SELECT operator_type, count(*) AS operator_count, CAST(sum(estimated_cost) AS DECIMAL(38,8)) AS total_cost,
-  CAST(sum(estimated_rows) AS DECIMAL(38,8)) AS total_rows FROM o GROUP BY operator_type""",
+            f"""{operators} SELECT operator_type, count(*) AS operator_count, CAST(sum(estimated_cost) AS DECIMAL(38,12)) AS total_cost,
+  CAST(sum(estimated_rows) AS DECIMAL(38,12)) AS total_rows FROM o GROUP BY operator_type""",
         ),
     }
 

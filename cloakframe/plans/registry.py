@@ -21,7 +21,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 FLAGSHIP_SQL = "SELECT c_custkey, c_name, c_acctbal FROM customer ORDER BY c_custkey LIMIT 100"
 RESULT_JSON_SQL = "SELECT c_custkey, c_name, c_mktsegment, c_nationkey FROM customer"
-STATS_SQL = "SELECT o_orderkey, c_name, o_orderpriority FROM orders JOIN customer ON o_custkey = c_custkey"
+STATS_SQL = (
+    "SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'none' ELSE c_name END AS c_name, o_orderpriority "
+    "FROM orders JOIN customer ON o_custkey = c_custkey ORDER BY o_orderkey"
+)
 SEARCH_TERM = "Ma"
 KEYWORD = "ring"
 DOCUMENT_KEYWORD = "that"
@@ -107,9 +110,25 @@ def _mask_by_type(spark: SparkSession, directory: str) -> DataFrame:
     return typed.withColumn("masked", mask.mask_by_type(F.col("v"), F.col("kind"))).drop("kind")
 
 
+def _mask_nested(spark: SparkSession, directory: str) -> DataFrame:
+    """People as structs, arrays and maps, masked and laid flat again."""
+    nested = derived(spark, directory, "people").select(
+        "person_id",
+        F.struct("email", F.struct("mobile_phone", "remark").alias("inner")).alias("contact"),
+        F.array("remark", "full_name").alias("notes"),
+        F.create_map(F.coalesce("email", F.lit("none")), "remark").alias("links"),
+        F.array(F.to_date("dob")).alias("dob"),
+    )
+    return masking.mask_table(nested).select(
+        "person_id", "contact.email", "contact.inner.mobile_phone", "contact.inner.remark",
+        F.col("notes")[0].alias("note_1"), F.col("notes")[1].alias("note_2"), F.map_keys("links")[0].alias("link_key"),
+        F.map_values("links")[0].alias("link_value"), F.col("dob")[0].alias("dob"),
+    )
+
+
 def _mask_stream(spark: SparkSession, directory: str) -> DataFrame:
     # Braces make the path a pattern, which lets a stream start from a single file as well as a folder.
-    path = table_path(directory, "documents").replace(".parquet", ".{parquet}")
+    path = table_path(directory, "documents").removesuffix("parquet") + "{parquet}"
     schema = load_table(spark, directory, "documents").schema
     run = f"{work_dir(spark)}/mask-stream-{uuid4().hex}"
     stream = read_stream(spark, path, schema)
@@ -225,7 +244,7 @@ def _slow_groups(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def _slow_groups_summary(spark: SparkSession, directory: str) -> DataFrame:
-    slow = workload.slow_groups(derived(spark, directory, "query_log"))
+    slow = workload.slow_groups(derived(spark, directory, "query_log"), top_count=None)
     return workload.slow_groups_summary(slow).drop("analysis_timestamp")
 
 
@@ -246,17 +265,17 @@ def _impact_ranking(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def _impact_summary(spark: SparkSession, directory: str) -> DataFrame:
-    ranking = workload.impact_ranking(derived(spark, directory, "candidate_log"))
+    ranking = workload.impact_ranking(derived(spark, directory, "candidate_log"), top_count=None)
     return workload.impact_summary(ranking).drop("analysis_timestamp")
 
 
 def _wait_summary(spark: SparkSession, directory: str) -> DataFrame:
-    waits = workload.wait_share(derived(spark, directory, "wait_log"))
+    waits = workload.wait_share(derived(spark, directory, "wait_log"), top_count=None)
     return workload.wait_summary(waits).drop("analysis_timestamp")
 
 
 def _wait_bottlenecks(spark: SparkSession, directory: str) -> DataFrame:
-    return workload.wait_bottlenecks(workload.wait_share(derived(spark, directory, "wait_log")))
+    return workload.wait_bottlenecks(workload.wait_share(derived(spark, directory, "wait_log"), top_count=None))
 
 
 # -- audit -------------------------------------------------------------------------------------
@@ -353,7 +372,10 @@ QUERIES: dict[str, Query] = {
         bank_account=lambda: detect.is_bank_account(F.col("v")),
     ),
     "bank_account_by_name": _column_query(
-        "named_values", bank_account=lambda: detect.is_bank_account(F.col("v"), names.name_rule(F.col("column_name")))
+        "named_values", bank_account=lambda: detect.is_bank_account(
+            F.col("v"), names.name_rule(F.col("column_name")), account_name=names.names_an_account(F.col("column_name"))
+        ),
+
     ),
     "pii_class_counts": _table(partial(masking.pii_class_counts, group=["source"]), "field_values"),
     "is_monetary": _column_query("value_shapes", is_monetary=lambda: detect.is_monetary(F.col("v"))),
@@ -379,6 +401,7 @@ QUERIES: dict[str, Query] = {
     "mask_documents": _table(masking.mask_table, "documents", base=True),
     "mask_pages": _table(masking.mask_table, "pages", base=True),
     "masking_report": _table(masking.masking_report, "people"),
+    "mask_nested": _mask_nested,
     "mask_stream": _mask_stream,
     # query
     "bounded_query": _passthrough(FLAGSHIP_SQL, query.DEFAULT_MAX_ROWS),

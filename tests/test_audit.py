@@ -131,3 +131,16 @@ def test_audits_are_narrow(spark):
     for operator in (audit.audit_safety, audit.audit_complexity, audit.audit_warnings, audit.audit_recommendations):
         text = operator(log).select(F.lit(1))._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in text
+
+
+@pytest.mark.parametrize("text", ["0.000000123", "123456789012345678901234.5", "0", "x"])
+def test_plan_numbers_are_exact(spark, text):
+    plan = f'<S StatementSubTreeCost="{text}"/>'
+    cost = audit.plan_costs(spark.createDataFrame([(plan,)], "plan_text string")).first()["estimated_cost"]
+    assert cost == (0 if text == "x" else Decimal(text))
+
+
+def test_a_cost_that_is_not_set(spark):
+    log = spark.createDataFrame([("SELECT 1", None)], "query_text string, estimated_cost decimal(18,2)")
+    row = audit.audit_cost_estimate(log).first()
+    assert (row["message"], row["resource_usage"]) == ("Cost estimation completed. Estimated cost: 0", "Low")

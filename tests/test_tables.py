@@ -189,3 +189,18 @@ def test_work_dir_follows_the_session(spark):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         work_dir(FakeSession(None, "spark://host:7077"))
     assert work_dir(FakeSession(None, "local[2]"))
+
+
+def test_nested_values(spark):
+    df = spark.range(1).selectExpr(
+        "map('bob.smith@example.com', 1, 'x', 2, 'bab.smith@example.com', 3) AS by_mail", "array(date'1990-02-03') AS dob",
+        "struct(cast('secret' AS binary) AS password, 5 AS n) AS s", "array(-1234567890L, 7L) AS ids",
+        "array(named_struct('phone', array(named_struct('email', 'ann.lee@example.com')))) AS deep", "array(1.5D) AS price",
+    )
+    kept, strict = masking.mask_table(df).first(), masking.mask_table(df, numeric="strict").first()
+    assert len(kept["by_mail"]) == 2 and sorted(kept["by_mail"].values()) == [2, 3]  # equal keys: the last stays
+    assert "bob.smith@example.com" not in kept["by_mail"] and kept["by_mail"]["x"] == 2
+    assert kept["dob"] == ["1********3"] and kept["s"]["password"] == "[REDACTED]" and kept["s"]["n"] == 5
+    assert kept["ids"] == [-1234567890, 7] and strict["ids"][0] != "-1234567890" and strict["price"] == [1.5]
+    assert "ann.lee" not in str(kept["deep"])
+    assert masking.with_change_flag(df).first()["was_masked"] is True

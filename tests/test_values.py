@@ -1,12 +1,13 @@
 from __future__ import annotations
 
 import random
+import time
 from decimal import ROUND_HALF_UP, Decimal, InvalidOperation
 
 import pytest
 from pyspark.sql import functions as F
 
-from cloakframe.functions import detect, mask
+from cloakframe.functions import detect, mask, names
 from cloakframe.functions.text import parse_decimal, plain_number
 from cloakframe.operators.masking import mask_named_values, pii_class_counts, pii_detection_report
 
@@ -233,3 +234,44 @@ def test_parse_decimal(spark):
     got = [r["d"] for r in df.select(parse_decimal(F.col("v"), 28, 2).alias("d")).collect()]
     want = [Decimal("1234.50"), Decimal("-12"), Decimal("-3"), None, None, None, Decimal(7), Decimal("0.5"), None]
     assert got == want
+
+
+# The rule as a plain pattern: right everywhere, but slow on long tokens.
+PLAIN_EMAIL = r"(?U)\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b"
+
+
+def test_email_rule_equals_the_plain_pattern(spark):
+    random.seed(11)
+    texts = ["".join(random.choices("ab.%-_@@é |c", k=random.randint(3, 14))) + random.choice(["", "@x.co", "b@y.c|", ".@a-b.com"]) for _ in range(6000)]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    differ = df.where(detect.is_email(F.col("v")) != F.col("v").rlike(PLAIN_EMAIL)).collect()
+    assert differ == []
+    assert df.where(detect.is_email(F.col("v"))).count() > 500
+
+
+@pytest.mark.parametrize("unit", ["a.", "a", ".", "a@", "a.b@c."])
+@pytest.mark.parametrize("end,found", [(" @", False), ("é@x.c", False), (" bob@example.com", True)])
+def test_email_rule_is_linear(spark, unit, end, found):
+    text = unit * (1_000_000 // len(unit)) + end
+    df = spark.createDataFrame([(text,)], "v string").select(detect.is_email(F.col("v")))
+    start = time.perf_counter()
+    assert df.first()[0] is found
+    assert time.perf_counter() - start < 10
+
+
+@pytest.mark.parametrize("name", ["account_email", "bank_phone", "bank_card_no"])
+def test_account_names_of_another_kind_allow_short_numbers(spark, name):
+    v = F.lit("ref 12345678")
+    by_name = detect.is_bank_account(v, names.name_rule(F.lit(name)), account_name=names.names_an_account(F.lit(name)))
+    assert spark.range(1).select(by_name).first()[0] is True
+
+
+@pytest.mark.parametrize(
+    "value,text",
+    [
+        (1.2345678901234567e-4, "0.00012345678901234567"), (12345678.9, "12345678.9"), (1e7, "10000000"), (-1.5e9, "-1500000000"),
+        (123456789012345.6, "123456789012345.6"), (1e-4, "0.0001"), (0.0, "0"), (-0.001, "-0.001"), (1e20, "1E+20"), (5.0, "5"),
+    ],
+)
+def test_plain_numbers_are_exact(spark, value, text):
+    assert spark.createDataFrame([(value,)], "x double").select(plain_number(F.col("x"))).first()[0] == text

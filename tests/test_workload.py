@@ -30,7 +30,9 @@ def test_threshold_text_and_hash(spark):
     row = slow.first()
     assert slow.count() == 1
     assert row["query_hash"] == "0x01FF" and row["database_name"] == "db"
-    assert row["query_text"] == "a   b" + "z" * 995
+    assert row["query_text"] == "a   b" + "z" * 2000
+    cut = w.slow_groups(log(spark, rows, "binary"), text_chars=1000).first()
+    assert cut["query_text"] == "a   b" + "z" * 995
 
 
 def test_top_k_and_summary_scope(spark):
@@ -169,3 +171,20 @@ def test_a_hot_key_is_aggregated_before_the_shuffle(spark, tmp_path):
     totals = w.wait_totals(rows)
     text = totals._jdf.queryExecution().executedPlan().toString()
     assert text.index("functions=[count(1)") < text.index("Exchange") < text.index("partial_count(1)")
+
+
+def test_summaries_cover_all_groups(spark):
+    many = log(spark, [(f"q{i}", "t" * 1500 + str(i), 2_000_000, 1) for i in range(120)])
+    assert w.slow_groups(many).count() == 50
+    assert w.slow_groups_summary(w.slow_groups(many, top_count=None)).first()["total_queries"] == 120
+    waits = spark.range(60).selectExpr("concat('W', id) AS wait_type", "id + 1 AS wait_ms", "0L AS signal_ms")
+    assert w.wait_summary(w.wait_share(waits, top_count=None)).first()["unique_wait_types"] == 60
+
+
+def test_equal_names_in_two_schemas(spark):
+    rows = [(s, "t", "[a]", "", "", "seek", 3000, 50, None) for s in ("x", "y") for _ in range(2)]
+    columns = "table_name string, equality_columns string, inequality_columns string, included_columns string, access string"
+    candidates = spark.createDataFrame(rows, f"schema_name string, {columns}, cost_units bigint, impact_pct bigint, used_at timestamp_ntz")
+    ranked = w.impact_ranking(candidates).collect()
+    assert [(r["schema_name"], r["user_seeks"]) for r in ranked] == [("x", 2), ("y", 2)]
+    assert "ON [x].[t]" in ranked[0]["create_index_statement"]
