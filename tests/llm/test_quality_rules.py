@@ -48,7 +48,7 @@ def test_lines(spark, line, fails):
 
 def test_verdict(spark):
     body = "\n".join(" ".join(f"{w}{i}" for w in GOOD.split()) + "." for i in range(6))
-    menu = "\n".join(f"Home {i} | News | Sport | Weather" for i in range(20))
+    menu = "\n".join(f"H{i} | N{i} | S{i} | W{i} | X{i}" for i in range(40))
     got = judge(spark, [body, body + "\nHome | a | b | c", menu + "\n" + body, None, "", "word " * 60, "one line of words " + " ".join(map(str, range(60)))])
     assert [r.kept for r in got] == [True, True, False, False, False, False, True]
     assert [r.base_failed for r in got] == [False, False, False, True, True, True, False]
