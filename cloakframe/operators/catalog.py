@@ -67,6 +67,11 @@ def _like(name: str, pattern: str) -> bool:
     return re.fullmatch("".join(wildcards.get(c, re.escape(c)) for c in pattern), name, re.I | re.S) is not None
 
 
+def row_counts(frames: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, row_count) of each table; only footers are read."""
+    return _union([df.agg(F.lit(t).alias("table_name"), F.count("*").alias("row_count")) for t, df in frames.items()])
+
+
 def table_inventory(
     spark: SparkSession,
     directory: str,
@@ -134,13 +139,19 @@ def table_stats(spark: SparkSession, directory: str, table: str, tables: tuple[s
 
 
 def database_info(spark: SparkSession, directory: str, tables: tuple[str, ...] = TABLES) -> DataFrame:
-    """Table count, table names and total size of a directory of tables."""
-    sizes = [_files(spark, directory, t).agg(F.sum("length").alias("bytes")) for t in tables]
+    """Table count, table names, total rows and total size of a directory of tables."""
+    sizes = [
+        _files(spark, directory, t)
+        .agg(F.sum("length").alias("bytes"))
+        .withColumn("n", _row_count(load_table(spark, directory, t, tables)))
+        for t in tables
+    ]
     listed = ", ".join(_sql_text(t) for t in sorted(tables))
     return _union(sizes).selectExpr(
         f"{_sql_text(directory.rstrip('/').split('/')[-1])} AS database_name",
         f"{len(tables)} AS table_count",
         f"array({listed}) AS tables",
+        "coalesce(sum(n), 0L) AS row_count",
         "coalesce(sum(bytes), 0) / 1048576D AS size_mb",
         "'Query results are automatically filtered for PII protection' AS note",
     )
@@ -196,6 +207,26 @@ def column_profile(frames: dict[str, DataFrame]) -> DataFrame:
     return _union([_profile(t, df) for t, df in frames.items()])
 
 
+def column_distinct_counts(frames: dict[str, DataFrame], approximate: bool = False) -> DataFrame:
+    """Different values per column, nulls not counted.
+
+    Exact counts shuffle each column's different values once; the approximate ones need no shuffle of values, which is
+    what very large tables call for.
+    """
+    frames_of = []
+    for t, df in frames.items():
+        counts = [
+            (F.approx_count_distinct(F.col(_sql_name(c))) if approximate else F.count_distinct(F.col(_sql_name(c)))).alias(f"n{i}")
+            for i, c in enumerate(df.columns)
+        ]
+        items = ", ".join(
+            f"named_struct('table_name', {_sql_text(t)}, 'column_name', {_sql_text(c)}, 'distinct_count', n{i})"
+            for i, c in enumerate(df.columns)
+        )
+        frames_of.append(df.agg(*counts).selectExpr(f"inline(array({items}))"))
+    return _union(frames_of)
+
+
 def key_profile(frames: dict[str, DataFrame], candidates: list[tuple[str, list[str]]]) -> DataFrame:
     """Which candidate keys identify rows: no null, no value twice.
 
@@ -219,13 +250,23 @@ def key_profile(frames: dict[str, DataFrame], candidates: list[tuple[str, list[s
     return _union(profiles)
 
 
-def relationship_check(frames: dict[str, DataFrame], pairs: list[tuple[str, str, str, str]]) -> DataFrame:
-    """Child rows without a parent, per declared (child, column, parent, column)."""
+def relationship_check(
+    frames: dict[str, DataFrame],
+    pairs: list[tuple[str, str, str, str]],
+    unique: dict[str, list[str]] | None = None,
+) -> DataFrame:
+    """Child rows without a parent, per declared (child, column, parent, column).
+
+    Parent columns that ``unique`` (table to key columns) declares to be keys by themselves are joined as they are;
+    others are reduced to their different values first.
+    """
     checks = []
     for child, child_column, parent, parent_column in pairs:
         # One row per value on both sides before the join: hot values never meet the shuffle in full.
         values = key_counts(frames[child].select(F.col(child_column).alias("k")), ["k"])
-        parents = frames[parent].select(F.col(parent_column).alias("k")).where(F.col("k").isNotNull()).distinct()
+        parents = frames[parent].select(F.col(parent_column).alias("k")).where(F.col("k").isNotNull())
+        if (unique or {}).get(parent) != [parent_column]:
+            parents = parents.distinct()
         orphans = values.join(parents, "k", "left_anti")
         checks.append(
             orphans.agg(

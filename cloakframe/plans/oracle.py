@@ -501,15 +501,43 @@ def _relationship_check() -> str:
     )
 
 
-def _table_inventory() -> str:
+def _table_inventory(chosen: tuple[str, ...] = TABLES) -> str:
     children = {c for c, *_ in registry.FOREIGN_KEYS}
     return " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, 'default' AS schema_name, 'BASE TABLE' AS table_type, count(*) AS row_count, "
         f"{_q('lines of orders') if t == 'lineitem' else 'CAST(NULL AS VARCHAR)'} AS description, "
         f"{t in registry.PRIMARY_KEYS} AS has_primary_key, {t in children} AS has_foreign_keys, "
         f"CAST({len(_fields(t))} AS BIGINT) AS column_count, '{'; '.join(f[0] for f in _fields(t))}' AS columns FROM {t}"
+        for t in chosen
+    )
+
+
+def _search_catalog() -> str:
+    """Names that hold "or", and an "e" somewhere after it."""
+    low = "lower(object_name)"
+    listed = " UNION ALL ".join(
+        f"SELECT 'Table' AS object_type, '{t}' AS object_name, 'default' AS schema_name, CAST(NULL AS VARCHAR) AS table_name, "
+        f"CAST(NULL AS VARCHAR) AS data_type, {_q('lines of orders') if t == 'lineitem' else 'CAST(NULL AS VARCHAR)'} AS description, "
+        f"(SELECT count(*) FROM {t}) AS row_count"
+        + "".join(
+            f" UNION ALL SELECT 'Column', '{c}', 'default', '{t}', '{kind}', NULL, (SELECT count(*) FROM {t})"
+            for c, kind in _fields(t)
+        )
         for t in TABLES
     )
+    score = f"CASE WHEN {low} LIKE 'or%e' THEN 100 WHEN {low} LIKE 'or%e%' THEN 90 WHEN {low} LIKE '%or%e%' THEN 70 ELSE 50 END"
+    order = "match_score DESC, CASE object_type WHEN 'Table' THEN 1 ELSE 2 END, object_name, table_name NULLS FIRST"
+    return f"""WITH listed AS ({listed}),
+  hits AS (SELECT *, {score} AS match_score FROM listed WHERE {low} LIKE '%or%e%' OR lower(description) LIKE '%or%e%')
+  SELECT *, CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS rank FROM hits ORDER BY rank"""
+
+
+def _distinct_counts() -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(DISTINCT {c}) AS distinct_count FROM {t}"
+        for t in registry.DISTINCT_TABLES
+        for c, _ in _fields(t)
+    )
 
 
 def _search(source: str, kind: str, term: str, described: bool) -> str:
@@ -549,6 +577,14 @@ def _catalog() -> dict[str, str]:
         "key_profile": _key_profile(),
         "relationship_check": _relationship_check(),
         "table_inventory": _table_inventory(),
+        # LIKE "%e%nt%"
+        "table_inventory_filtered": _table_inventory(("events", "documents")),
+        "search_catalog": _search_catalog(),
+        "column_distinct_counts": _distinct_counts(),
+        "table_stats": "SELECT 'lineitem' AS table_name, 'default' AS schema_name, count(*) AS row_count FROM lineitem",
+        "database_info": f"""SELECT {len(TABLES)} AS table_count, '{'; '.join(sorted(TABLES))}' AS tables,
+  CAST({' + '.join(f'(SELECT count(*) FROM {t})' for t in TABLES)} AS BIGINT) AS row_count,
+  'Query results are automatically filtered for PII protection' AS note""",
         "schema_search": with_derived(("search_tables", "search_columns", "search_indexes"), search),
         "keyword_rank": f"SELECT p_partkey, p_name, p_type, {_score('p_name', key)} AS match_score FROM part "
         f"WHERE p_name ILIKE '%{key}%' OR p_type ILIKE '%{key}%'",
@@ -678,7 +714,11 @@ def _workload() -> dict[str, str]:
   CAST(sum(total_physical_reads) AS BIGINT) AS total_physical_reads,
   'Found ' || count(*) || ' slow queries with average execution time >= 1000ms' AS message FROM slow""",
         ),
+        "slow_groups_binary": with_derived(
+            slow, f"{_SLOW} SELECT '0x' || hex(query_hash) AS query_hash, * EXCLUDE (avg_us, cp, query_hash) FROM slow {_SLOW_TOP}"
+        ),
         "usage_scores": with_derived(usage, f"{_USAGE} SELECT * FROM scores"),
+        "usage_scores_of_table": with_derived(usage, f"{_USAGE} SELECT * FROM scores WHERE table_name = 'supplier'"),
         "usage_summary": with_derived(
             usage,
             f"""{_USAGE} SELECT count(*) AS total_objects, count(*) FILTER (WHERE usage_category = 'Unused') AS unused_objects,
@@ -871,5 +911,5 @@ def oracle_sql() -> dict[str, str]:
     return {**_pii(), **_tables(), **_query(), **_catalog(), **_workload(), **_audit(), **_dml()}
 
 
-# Queries whose result depends on files or the clock.
-ROWS_ONLY = ("query_with_stats", "table_stats", "database_info")
+# Queries whose result depends on the clock.
+ROWS_ONLY = ("query_with_stats",)

@@ -28,6 +28,8 @@ STATS_SQL = (
 SEARCH_TERM = "Ma"
 KEYWORD = "ring"
 DOCUMENT_KEYWORD = "that"
+CATALOG_TERM = "or%e"
+DISTINCT_TABLES = ("nation", "customer", "supplier", "part", "orders", "documents", "labels")
 
 PRIMARY_KEYS = {
     "region": ["r_regionkey"], "nation": ["n_nationkey"], "customer": ["c_custkey"], "supplier": ["s_suppkey"],
@@ -168,7 +170,7 @@ def _key_profile(spark: SparkSession, directory: str) -> DataFrame:
 
 def _relationship_check(spark: SparkSession, directory: str) -> DataFrame:
     used = tuple({table for child, _, parent, _ in FOREIGN_KEYS for table in (child, parent)})
-    return catalog.relationship_check(load_tables(spark, directory, used), FOREIGN_KEYS)
+    return catalog.relationship_check(load_tables(spark, directory, used), FOREIGN_KEYS, PRIMARY_KEYS)
 
 
 def _table_inventory(spark: SparkSession, directory: str) -> DataFrame:
@@ -178,11 +180,26 @@ def _table_inventory(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def _table_stats(spark: SparkSession, directory: str) -> DataFrame:
-    return catalog.table_stats(spark, directory, "lineitem")
+    stats = catalog.table_stats(spark, directory, "lineitem")
+    # Files, sizes and times are not visible to SQL over views.
+    return stats.drop("file_count", "data_space_kb", "last_update")
 
 
 def _database_info(spark: SparkSession, directory: str) -> DataFrame:
-    return _joined(catalog.database_info(spark, directory), "tables")
+    return _joined(catalog.database_info(spark, directory), "tables").drop("database_name", "size_mb")
+
+
+def _table_inventory_filtered(spark: SparkSession, directory: str) -> DataFrame:
+    listed = catalog.table_inventory(spark, directory, "e%nt", catalog.SCHEMA_NAME, constraints())
+    return _joined(listed, "columns").drop("modified_date", "data_size_mb")
+
+
+def _search_catalog(spark: SparkSession, directory: str) -> DataFrame:
+    return search.search_catalog(spark, directory, CATALOG_TERM, wildcards=True, descriptions=constraints().descriptions)
+
+
+def _column_distinct_counts(spark: SparkSession, directory: str) -> DataFrame:
+    return catalog.column_distinct_counts(load_tables(spark, directory, DISTINCT_TABLES))
 
 
 def _exists_flags(spark: SparkSession, directory: str) -> DataFrame:
@@ -256,6 +273,16 @@ def _usage_scores(spark: SparkSession, directory: str) -> DataFrame:
     return workload.by_usage(_scores(spark, directory))
 
 
+def _usage_scores_of_table(spark: SparkSession, directory: str) -> DataFrame:
+    objects, log = derived(spark, directory, "usage_objects"), derived(spark, directory, "usage_log")
+    return workload.usage_scores(objects, log, "supplier")
+
+
+def _slow_groups_binary(spark: SparkSession, directory: str) -> DataFrame:
+    log = derived(spark, directory, "query_log").withColumn("query_hash", F.col("query_hash").cast("binary"))
+    return workload.slow_groups(log).drop("database_name")
+
+
 def _usage_summary(spark: SparkSession, directory: str) -> DataFrame:
     return workload.usage_summary(_scores(spark, directory)).drop("analysis_timestamp")
 
@@ -421,12 +448,17 @@ QUERIES: dict[str, Query] = {
     "scalar_subquery_counts": _scalar_subquery_counts,
     "repeated_key_lookups": _customer_facts,
     "table_inventory": _table_inventory,
+    "table_inventory_filtered": _table_inventory_filtered,
+    "search_catalog": _search_catalog,
+    "column_distinct_counts": _column_distinct_counts,
     "table_stats": _table_stats,
     "database_info": _database_info,
     # workload
     "slow_groups": _slow_groups,
+    "slow_groups_binary": _slow_groups_binary,
     "slow_groups_summary": _slow_groups_summary,
     "usage_scores": _usage_scores,
+    "usage_scores_of_table": _usage_scores_of_table,
     "usage_summary": _usage_summary,
     "impact_ranking": _impact_ranking,
     "impact_summary": _impact_summary,

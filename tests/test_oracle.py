@@ -35,7 +35,7 @@ def test_rows_only(spark, data_dir, name):
 
 
 def test_registered():
-    assert QUERIES.items() <= entry_points.queries().items()
+    assert QUERIES.keys() <= entry_points.queries().keys()
     assert set(ORACLE) <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
