@@ -21,11 +21,16 @@ def key_counts(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.where(all_present(keys)).groupBy(*keys).agg(F.count("*").alias("__rows"))
 
 
-def hot_among(counts: DataFrame, more_than: int = 0) -> DataFrame:
-    """The hot keys of ``key_counts``, fewer than ``HOT_ONE_IN``, that have more than so many rows."""
+def hot_among(counts: DataFrame, more_than: int = 0, one_in: int | None = None) -> DataFrame:
+    """The hot keys of ``key_counts`` that have more than so many rows.
+
+    A key is hot if it has more than one row in ``one_in`` (``HOT_ONE_IN`` by default); so there are fewer than that
+    many. The number decides how rows travel, never which rows there are.
+    """
+    one_in = HOT_ONE_IN if one_in is None else one_in
     total = counts.agg(F.sum("__rows")).scalar()
     rows = F.col("__rows")
-    return counts.where((rows > more_than) & (rows * HOT_ONE_IN > total)).drop("__rows")
+    return counts.where((rows > more_than) & (rows * one_in > total)).drop("__rows")
 
 
 def left_lookup(df: DataFrame, lookup: DataFrame, own_key: str, lookup_key: str, unique: bool = False) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from cloakframe.plans import registry
 from cloakframe.plans.derived import with_derived
-from cloakframe.plans.passthrough import PASSTHROUGH, SQL_SCALARS_DUCKDB
+from cloakframe.plans.passthrough import CAPPED, PASSTHROUGH, SQL_SCALARS_DUCKDB
 from cloakframe.sources.tables import TABLES
 
 # Fixed values, stated here once more, so that a slip in the lists of the code shows.
@@ -427,6 +427,10 @@ def _query() -> dict[str, str]:
   AS masked_rows, (SELECT count(*) FROM ({registry.STATS_SQL} LIMIT 1001) r) > 1000 AS was_truncated
   FROM ({registry.STATS_SQL} LIMIT 1000) q""",
         **PASSTHROUGH,
+        **{
+            name: f"SELECT {', '.join(rest)}, {', '.join(f'{masked(c)} AS {c}' for c in hidden)} FROM ({sql} LIMIT {cap}) q"
+            for name, (sql, cap, hidden, rest) in CAPPED.items()
+        },
         "sql_scalars": SQL_SCALARS_DUCKDB,
     }
 

@@ -62,6 +62,36 @@ FROM customer JOIN spend ON o_custkey = c_custkey
 WHERE cents > (SELECT max(cents) FROM spend) / 2""",
 }
 
+# Texts with personal data among their columns, under a cap and a unique order:
+# the text, the cap, the columns that masking changes and the other columns.
+CAPPED: dict[str, tuple[str, int, list[str], list[str]]] = {
+    "sql_masked_join": (
+        """
+SELECT o_orderkey, c_name, n_name, o_orderpriority, CAST(round(o_totalprice * 100) AS BIGINT) AS price_cents
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+WHERE o_orderstatus = 'O' ORDER BY price_cents DESC, o_orderkey""",
+        300,
+        ["c_name"],
+        ["o_orderkey", "n_name", "o_orderpriority", "price_cents"],
+    ),
+    "sql_masked_window": (
+        """
+WITH spend AS (SELECT o_custkey, sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS cents FROM orders GROUP BY o_custkey)
+SELECT c_custkey, c_name, c_mktsegment, rank() OVER (PARTITION BY c_nationkey ORDER BY cents DESC) AS spend_rank
+FROM customer JOIN spend ON o_custkey = c_custkey ORDER BY c_custkey""",
+        1000,
+        ["c_name"],
+        ["c_custkey", "c_mktsegment", "spend_rank"],
+    ),
+    "sql_masked_documents": (
+        """
+SELECT doc_id, text, source FROM documents WHERE lang = 'en' ORDER BY doc_id""",
+        100,
+        ["text"],
+        ["doc_id", "source"],
+    ),
+}
+
 # Scalar functions have engine-specific names, so this one has a text per engine.
 SQL_SCALARS_SPARK = """
 SELECT event_id, CAST(date_trunc('HOUR', ts) AS TIMESTAMP_NTZ) AS hour, upper(event_type) AS kind, length(event_type) AS kind_length,

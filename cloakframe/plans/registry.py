@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from cloakframe.functions import detect, mask, names
 from cloakframe.operators import audit, catalog, dml, masking, query, search, workload
 from cloakframe.plans.derived import derived, register_used
-from cloakframe.plans.passthrough import PASSTHROUGH, SQL_SCALARS_SPARK
+from cloakframe.plans.passthrough import CAPPED, PASSTHROUGH, SQL_SCALARS_SPARK
 from cloakframe.session import work_dir
 from cloakframe.sources.tables import load_table, load_tables, result_json, table_path
 from cloakframe.streaming.masking import mask_stream, read_stream
@@ -436,6 +436,7 @@ QUERIES: dict[str, Query] = {
     "query_with_stats": _query_with_stats,
     "query_stats": _query_stats,
     **{name: _passthrough(sql) for name, sql in PASSTHROUGH.items()},
+    **{name: _passthrough(sql, cap) for name, (sql, cap, *_) in CAPPED.items()},
     "sql_scalars": _passthrough(SQL_SCALARS_SPARK),
     # catalog
     "column_profile": _column_profile,
