@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cloakframe.functions import names
-from cloakframe.operators.hot_keys import all_present, key_counts, left_lookup
+from cloakframe.operators.hot_keys import all_present, hot_values, key_counts, left_lookup
 from cloakframe.sources.tables import TABLES, load_table, table_path
 
 SCHEMA_NAME = "default"
@@ -288,13 +288,22 @@ Checks = dict[str, tuple[DataFrame, str, str]]
 def with_counts(df: DataFrame, checks: Checks, unique: bool = False) -> DataFrame:
     """Correlated ``COUNT(*)`` as a column: facts grouped by key and looked up, 0 where there are none.
 
-    ``unique=True`` says that the own keys do not repeat (see ``left_lookup``).
+    ``unique=True`` says that the own keys do not repeat (see ``left_lookup``). Checks on one own key are one lookup,
+    and its hot values are looked for once.
     """
+    columns, by_key = df.columns, {}
     for name, (facts, fact_key, own_key) in checks.items():
-        counts = key_counts(facts, [fact_key]).withColumnRenamed("__rows", "__n")
-        found = left_lookup(df, counts, own_key, fact_key, unique)
-        df = found.withColumn(name, F.coalesce(F.col("__n"), F.lit(0))).drop("__n")
-    return df
+        by_key.setdefault(own_key, []).append((name, facts.select(F.col(fact_key).alias("__key"))))
+    hot = {own_key: None if unique else hot_values(df, own_key) for own_key in by_key}
+    for own_key, wanted in by_key.items():
+        rows = _union([facts.withColumn("__which", F.lit(i)) for i, (_, facts) in enumerate(wanted)])
+        counts = rows.where(F.col("__key").isNotNull()).groupBy("__key").agg(
+            *[F.count_if(F.col("__which") == i).alias(f"__n{i}") for i in range(len(wanted))]
+        )
+        df = left_lookup(df, counts, own_key, "__key", unique, hot[own_key])
+        found = {name: F.coalesce(F.col(f"__n{i}"), F.lit(0)) for i, (name, _) in enumerate(wanted)}
+        df = df.withColumns(found).drop(*[f"__n{i}" for i in range(len(wanted))])
+    return df.select(*columns, *checks)
 
 
 def with_exists_flags(df: DataFrame, checks: Checks, unique: bool = False) -> DataFrame:

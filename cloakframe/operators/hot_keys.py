@@ -33,20 +33,27 @@ def hot_among(counts: DataFrame, more_than: int = 0, one_in: int | None = None)
     return counts.where((rows > more_than) & (rows * one_in > total)).drop("__rows")
 
 
-def left_lookup(df: DataFrame, lookup: DataFrame, own_key: str, lookup_key: str, unique: bool = False) -> DataFrame:
+def hot_values(df: DataFrame, key: str) -> DataFrame:
+    """The hot values of a column, as ``__key``."""
+    return hot_among(key_counts(df.select(F.col(key).alias("__key")), ["__key"]))
+
+
+def left_lookup(
+    df: DataFrame, lookup: DataFrame, own_key: str, lookup_key: str, unique: bool = False, hot: DataFrame | None = None
+) -> DataFrame:
     """Left join of ``df`` to a lookup of one row per key; adds the other columns of the lookup.
 
     Rows of hot keys find their match in a broadcast of the matches of hot keys. The other rows are joined by
     shuffle, with hot and null keys spread over the tasks by a salt that matches nothing. The salt is the input
     partition: a task that is run again gives the same rows the same salt. ``unique=True`` says that no own key
-    repeats, which spares the search for hot keys.
+    repeats, which spares the search for hot keys; ``hot`` gives them where ``hot_values`` has been asked before.
     """
     values = [c for c in lookup.columns if c != lookup_key]
     keyed = lookup.select(F.col(lookup_key).alias("__key"), *[F.col(c).alias(f"__{i}") for i, c in enumerate(values)])
     if unique:
         found = [F.col(f"__{i}").alias(c) for i, c in enumerate(values)]
         return df.join(keyed, df[own_key] == keyed["__key"], "left").select(*[df[c] for c in df.columns], *found)
-    hot = hot_among(key_counts(df.select(F.col(own_key).alias("__key")), ["__key"]))
+    hot = hot_values(df, own_key) if hot is None else hot
     hot_matches = keyed.join(F.broadcast(hot), "__key", "left_semi")
     offered = hot.join(F.broadcast(hot_matches), "__key", "left").select(
         F.col("__key").alias("__hot_key"), *[F.col(f"__{i}").alias(f"__hot_{i}") for i in range(len(values))]
