@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,6 +66,8 @@ def op3_chat_format(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def op4_token_files(spark: SparkSession, directory: str) -> DataFrame:
+    import public_tokenizers  # only this query needs the vocabulary files
+
     docs = load_table(spark, directory, "documents")
     manifest = token_files.write_token_files(docs, new_dir(spark, "ids"), public_tokenizers.path("word_bpe_49k.json"))
     return token_files.read_token_files(manifest)
