@@ -300,7 +300,7 @@ def identify(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text", l
 
 
 def keep_identified(
-    docs: DataFrame, key_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", least: float = 0.5
+    docs: DataFrame, key_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", least: float = 0.4
 ) -> DataFrame:
     """The documents whose language is known with a score of ``least`` or more, with all their columns. Without any
     label to learn from, no document can be judged and all stay."""
