@@ -93,6 +93,9 @@ def audit_complexity(log: DataFrame, text: str = "query_text") -> DataFrame:
     return scored.withColumn("complexity_level", level)
 
 
+# The texts of warnings and advice in the functions below, as they are reported.
+
+
 def audit_warnings(log: DataFrame, text: str = "query_text") -> DataFrame:
     """Warnings a validation adds for complex texts and many joins."""
     rated = audit_complexity(log, text)

@@ -180,7 +180,7 @@ def usage_scores(objects: DataFrame, log: DataFrame, table_name: str | None = No
     """Every object with its use counts, score and category; objects without uses score 0.
 
     Objects of one name in several databases or schemas are told apart by ``database_name`` and ``schema_name``,
-    where both tables have them.
+    where both tables have them. ``is_unique`` and ``is_primary_key`` are shown where the objects have them.
     """
     keys = [*_places(objects, log), "table_name", "object_key"]
     if table_name:
@@ -197,6 +197,7 @@ def usage_scores(objects: DataFrame, log: DataFrame, table_name: str | None = No
         "object_key",
         F.coalesce("object_name", F.lit("HEAP")).alias("object_name"),
         object_type(F.col("type_code")).alias("object_type"),
+        *[c for c in ("is_unique", "is_primary_key") if c in objects.columns],
         *counts,
         "last_user_seek",
         "last_user_scan",
@@ -387,14 +388,14 @@ WAIT_ADVICE = {
     "THREADPOOL": "Thread pool exhaustion - too many concurrent requests",
 }
 OTHER_ADVICE = "Review wait type documentation for specific recommendations"
-# Description by LIKE pattern, first hit decides.
+# Description by wait type or LIKE pattern, first hit decides.
 WAIT_DESCRIPTIONS = (
     ("CXPACKET", "Parallelism coordination waits"),
-    ("ASYNC\\_NETWORK\\_IO", "Network I/O waits"),
+    ("ASYNC_NETWORK_IO", "Network I/O waits"),
     ("PAGEIOLATCH%", "Data page I/O waits"),
     ("WRITELOG", "Transaction log write waits"),
     ("LCK_%", "Lock acquisition waits"),
-    ("RESOURCE\\_SEMAPHORE", "Memory grant waits"),
+    ("RESOURCE_SEMAPHORE", "Memory grant waits"),
     ("THREADPOOL", "Worker thread waits"),
 )
 OTHER_DESCRIPTION = "Various SQL Server operations"
@@ -415,7 +416,9 @@ def wait_recommendation(kind: Column) -> Column:
 
 
 def wait_description(kind: Column) -> Column:
-    return _first([(kind.like(p), d) for p, d in WAIT_DESCRIPTIONS], OTHER_DESCRIPTION)
+    # A text without "%" stands for itself.
+    hits = [(kind.like(p) if "%" in p else kind == p, d) for p, d in WAIT_DESCRIPTIONS]
+    return _first(hits, OTHER_DESCRIPTION)
 
 
 def wait_totals(log: DataFrame) -> DataFrame:

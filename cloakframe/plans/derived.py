@@ -177,6 +177,7 @@ FROM events
 UNION ALL SELECT 1000000000 + doc_id, 'd' || CAST(doc_id % 100 AS STRING), text, 900 * (doc_id % 1000), doc_id % 900, doc_id % 50,
   doc_id % 3, CAST(NULL AS BIGINT), TIMESTAMP '2024-01-01 00:00:00' FROM documents""",
     "usage_objects": """
+SELECT *, type_code IN (1, 5) AS is_unique, type_code = 1 AS is_primary_key FROM (
 SELECT 'main' AS schema_name, 'supplier' AS table_name, s_suppkey AS object_key, s_name AS object_name, 1 AS type_code,
   CAST(length(s_name) * 8 AS BIGINT) AS size_kb FROM supplier
 UNION ALL SELECT 'main', 'part', p_partkey, CASE WHEN p_partkey % 50 = 0 THEN CAST(NULL AS STRING) ELSE p_name END,
@@ -184,7 +185,7 @@ UNION ALL SELECT 'main', 'part', p_partkey, CASE WHEN p_partkey % 50 = 0 THEN CA
 UNION ALL SELECT 'main', 'region', CAST(r_regionkey AS BIGINT), r_name, 1, CAST(length(r_name) * 8 AS BIGINT) FROM region
 UNION ALL SELECT 'main', 'flag', CAST(0 AS BIGINT), 'all', 5, CAST(8 AS BIGINT)
 UNION ALL SELECT 'archive', 'flag', CAST(0 AS BIGINT), 'all', 5, CAST(16 AS BIGINT)
-UNION ALL SELECT 'archive', 'supplier', s_suppkey, s_name, 1, CAST(8 AS BIGINT) FROM supplier""",
+UNION ALL SELECT 'archive', 'supplier', s_suppkey, s_name, 1, CAST(8 AS BIGINT) FROM supplier) o""",
     "usage_log": """
 SELECT CASE WHEN l_linenumber = 1 THEN 'archive' ELSE 'main' END AS schema_name, 'supplier' AS table_name,
   l_suppkey AS object_key, l_returnflag AS access, l_linestatus AS status, l_shipdate AS used_at FROM lineitem

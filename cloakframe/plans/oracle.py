@@ -639,7 +639,7 @@ j AS (SELECT o.*, coalesce(user_seeks, 0) AS user_seeks, coalesce(user_scans, 0)
   FROM usage_objects o LEFT JOIN u ON o.schema_name = u.schema_name AND o.table_name = u.table_name AND o.object_key = u.object_key),
 scores AS (SELECT schema_name, table_name, object_key, coalesce(object_name, 'HEAP') AS object_name,
     CASE type_code WHEN 0 THEN 'Heap' WHEN 1 THEN 'Clustered' WHEN 2 THEN 'Nonclustered'
-      WHEN 5 THEN 'Clustered Columnstore' ELSE 'Unknown' END AS object_type,
+      WHEN 5 THEN 'Clustered Columnstore' ELSE 'Unknown' END AS object_type, is_unique, is_primary_key,
     user_seeks, user_scans, user_lookups, user_updates, last_user_seek, last_user_scan, last_user_lookup,
     last_user_update, size_kb,
     CAST(CAST(least(uses, 10000) AS DECIMAL(18,0)) * 0.01 AS DECIMAL(5,2)) AS usage_score,
