@@ -170,8 +170,13 @@ def _judged(docs, items, id_col, text_col, item_col, item_text_col, window, list
             covered(F.flatten("matches.spans")).cast("long").alias("n_hit"),
             F.array_sort(F.array_distinct(F.flatten("matches.items"))).alias("items"),
             F.array_sort(F.array_distinct(F.flatten("matches.spans"))).alias("spans"),
+            # Keeps a filter on the verdict above this projection, so that nothing below is worked out twice.
+            F.monotonically_increasing_id().alias("__row"),
         )
-        .withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
+        .withColumn(
+            "contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")) & (F.col("__row") >= 0)
+        )
+        .drop("__row")
     )
 
 

@@ -142,11 +142,15 @@ def quality_rules(
         characters(with_words).alias("line_chars"),
         characters(failed).alias("lost_chars"),
         F.when(F.size(failed) == 0, F.col("__text")).otherwise(F.array_join(stay["line"], "\n")).alias("cleaned"),
+        # A number that the verdict refers to: without it a filter on the verdict would be moved below this
+        # projection, and every count in it worked out anew for each place that names it.
+        F.monotonically_increasing_id().alias("__row"),
     )
     base = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     # Compared in whole numbers, so that no rounding decides.
     little = F.col("lost_chars") * 1000 <= round(max_lost * 1000) * F.col("line_chars")
-    return counted.withColumns({"base_failed": base, "kept": ~base & little})
+    judged = counted.withColumns({"base_failed": base, "kept": ~base & little & (F.col("__row") >= 0)})
+    return judged.drop("__row")
 
 
 def keep_clean(docs: DataFrame, text_col: str = "text", **rules) -> DataFrame:
