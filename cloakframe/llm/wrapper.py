@@ -13,7 +13,7 @@ Where no wrapper can be learned (one page, nothing varies, or the content node h
 own ``article`` or ``main`` elements are taken, or else its body.
 
 Statistics are sums, least and greatest hashes per host and node, so a host with a large part of all pages is counted
-in every task; wrappers are broadcast while they are small and joined with salt beyond that.
+in every task; wrappers are broadcast while they are small, and beyond that only those of large hosts are.
 
 Results in odd cases: a null or empty html gives an empty text; a null url belongs to the host without a name; markup
 that is never closed is closed where HTML closes it or at the end; rows may repeat; an empty table gives no rows; other
@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from cloakframe.llm.common import stored
 from cloakframe.llm.files import kept
+from cloakframe.operators.hot_keys import left_lookup
 
 # Element names by what they mean to a reader of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -68,7 +69,6 @@ LETTERS = re.compile(r"[^a-z]+")
 HOLDS_MOST = 0.8
 MIN_PAGES = 3
 SMALL_BYTES = 32 << 20
-SALTS = 32
 
 
 class Node:
@@ -402,13 +402,11 @@ def _broadcast_if_small(df: DataFrame, rows: int = 100_000) -> DataFrame:
 
 
 def _with_host_rows(pages: DataFrame, lookup: DataFrame, size: Column) -> DataFrame:
-    """Pages with the columns of their host's row: a broadcast while that is small, else a join with salt, so that
-    no task gets all pages of a large host."""
+    """Pages with the columns of their host's row: a broadcast while that is small, else a join in which the rows of
+    large hosts are spread, so that no task gets all pages of one."""
     if (lookup.agg(F.sum(size)).first()[0] or 0) <= SMALL_BYTES:
         return pages.join(F.broadcast(lookup), "host", "left")
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    salted = pages.withColumn("salt", F.pmod(F.xxhash64("page_id", "html"), F.lit(SALTS)).cast("int"))
-    return salted.join(lookup.withColumn("salt", salts), ["host", "salt"], "left").drop("salt")
+    return left_lookup(pages, lookup, "host", "host")
 
 
 STATS = "array<struct<node:int,run:int,pages:long,least:long,greatest:long,chars:long>>"

@@ -9,6 +9,7 @@ import pytest
 
 from cloakframe.llm import wrapper
 from cloakframe.llm.queries import QUERIES
+from cloakframe.operators import hot_keys
 from cloakframe.sources.tables import load_table
 
 
@@ -102,10 +103,12 @@ def test_hostile_markup_ends_soon(text):
     assert time.time() - start < 20
 
 
-def test_salted_join_gives_the_same(spark, monkeypatch):
+@pytest.mark.parametrize("one_in", [2, 10_000])
+def test_large_wrappers_give_the_same(spark, monkeypatch, one_in):
     rows = [(i, f"http://h{i % 3 // 2}/", f"<body><div>menu</div><div><p>text {i}</p><p>more {i}</p></div></body>") for i in range(30)]
     want = extract(spark, rows)
     monkeypatch.setattr(wrapper, "SMALL_BYTES", -1)
+    monkeypatch.setattr(hot_keys, "HOT_ONE_IN", one_in)
     assert extract(spark, rows) == want and want[4] == "text 4\n\nmore 4"
 
 
