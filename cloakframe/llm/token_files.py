@@ -8,7 +8,8 @@ documents it wants and decompresses only those.
 Files follow each other in ascending order of the document id: a range partition each, sorted.
 
 Words between ASCII white space are encoded one by one and remembered, as the tokenizer never joins anything across
-white space; a test holds the result against the encoding of whole texts.
+white space, nor a letter or digit with the punctuation behind it; a test holds the result against the encoding of
+whole texts.
 
 Results in odd cases: a null or empty text has the end id only; null ids come first; rows with equal ids are ordered
 by text and each gets its frame; an empty table gives no file and no rows; other columns are ignored.
@@ -37,7 +38,16 @@ SKIPPABLE, SEEK_TABLE, SEEKABLE, CHECKSUMS = 0x184D2A5D, 0x184D2A5E, 0x8F92EAB1,
 ENTRY, FOOTER = "<III", "<IBI"
 ENTRY_SIZE, FOOTER_SIZE = struct.calcsize(ENTRY), struct.calcsize(FOOTER)
 END_ID = 1
-REMEMBERED = 400_000  # words a worker remembers at most
+REMEMBERED, REMEMBERED_STEMS = 500_000, 600_000  # words, and words without punctuation, that a worker remembers at most
+MARKS = b".,;:!?"
+
+
+def byte_signs() -> dict[int, str]:
+    """The sign that stands for each byte in a byte-level vocabulary: itself if it is printable in Latin-1, else the
+    next one from 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return {b: chr(b if b in printable else next(rest)) for b in range(256)}
 AT_ONCE = 500  # documents whose words are looked up together
 
 
@@ -49,7 +59,45 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
+        self.model, self.signs = self.tokenizer.model, byte_signs()
         self.ids: dict[bytes, bytes] = {}
+        self.stems: dict[str, bytes] = {}
+
+    @staticmethod
+    def parts(word: bytes) -> tuple[str, str]:
+        """A word as a stem and the punctuation behind it, which the tokenizer encodes apart where the stem ends with a
+        letter or digit that stays one. Stems of such characters go by their lower case, as they are encoded. These are
+        the letters and digits below U+0180 but for U+0130: others may turn into a letter and a mark, which joins the
+        punctuation."""
+        if word.isalpha():  # ASCII letters
+            return word.decode().lower(), ""
+        stem = word.rstrip(MARKS)
+        text, behind = stem.decode(), word[len(stem) :].decode()
+        last = text[-1:]
+        if behind and not (last.isalnum() and last < "\u0180" and last != "\u0130"):
+            text, behind = text + behind, ""
+        if "<" not in text and max(text, default="") < "\u0180" and "\u0130" not in text:
+            text = text.lower()
+        return text, behind
+
+    def _learn(self, words: set[bytes]) -> None:
+        cut = {w: self.parts(w) for w in words}
+        new = {p for pair in cut.values() for p in pair if p}.difference(self.stems)
+        if len(new) + len(self.stems) > REMEMBERED_STEMS:
+            self.stems.clear()
+            new = {p for pair in cut.values() for p in pair if p}
+        # Lower-case letters below U+0180 are one word to the tokenizer and stay as they are, so its model is asked
+        # directly; for everything else it runs as a whole.
+        plain = {p for p in new if p.isalpha() and max(p) < "\u0180" and "\u0130" not in p}
+        tokenize, signs = self.model.tokenize, self.signs
+        for p in plain:
+            found = tokenize(p if p.isascii() else p.encode().decode("latin-1").translate(signs))
+            self.stems[p] = array("I", [t.id for t in found]).tobytes()
+        listed = list(new - plain)
+        encoded = self.tokenizer.encode_batch_fast(listed, add_special_tokens=False)
+        self.stems.update((p, array("I", e.ids).tobytes()) for p, e in zip(listed, encoded, strict=True))
+        known = self.stems
+        self.ids.update((w, known[a] + known[b] if b else known[a]) for w, (a, b) in cut.items())
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [t.encode().split() for t in texts]
@@ -57,9 +105,7 @@ class Encoder:
         if len(new) + len(self.ids) > REMEMBERED:
             self.ids.clear()
             new = set(chain.from_iterable(split))
-        listed = list(new)
-        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in listed], add_special_tokens=False)
-        self.ids.update((w, array("I", e.ids).tobytes()) for w, e in zip(listed, encoded, strict=True))
+        self._learn(new)
         return [b"".join(map(self.ids.__getitem__, words)) for words in split]
 
 

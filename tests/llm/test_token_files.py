@@ -27,6 +27,9 @@ def test_words_encode_like_whole_texts():
     signs = "aBß'İΣς 0\n\t\x0b\x1c\x85\xa0é́̈ ²½한하한.,!?<|>endoftxs're ’😀"
     encoder = token_files.Encoder(open(PATH, encoding="utf-8").read())
     texts = ["".join(random.choices(signs, k=random.randint(0, 60))) for _ in range(400)]
+    marks = "aBçÇïĞǅǰŉſİIK.,;:!?'<|>²\u0307\u030c\u0301 ΣςJ"
+    texts += ["".join(random.choices(marks, k=random.randint(0, 30))) for _ in range(3000)]
+    texts += ["<|ENDOFTEXT|>, <|endoftext|>. x<|startoftext|>y! ... ?! It's, J\u030c. ÀÉ, Straße: ŒUVRE;", "A.B. A.. 'S. 'T,"]
     texts += ["a<|endoftext|>b <|endoftext|> c", "we're 'S 'ſ", " e ́ ", "ΣΑΣ ΣΑΣ.", "x" * 5000]
     for text, data in zip(texts, encoder.encode(texts), strict=True):
         assert np.frombuffer(data, "<u4").tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids, repr(text)
@@ -34,6 +37,7 @@ def test_words_encode_like_whole_texts():
 
 def test_forgetting_changes_nothing(monkeypatch):
     monkeypatch.setattr(token_files, "REMEMBERED", 3)
+    monkeypatch.setattr(token_files, "REMEMBERED_STEMS", 3)
     encoder = token_files.Encoder(open(PATH, encoding="utf-8").read())
     texts = ["one two three four", "five six", "one two"]
     for _ in range(2):
