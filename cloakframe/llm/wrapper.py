@@ -4,10 +4,12 @@ Pages of one host share a layout. For each host the page whose length is nearest
 trees of block elements of all its other pages are aligned with it by simple tree matching (the largest set of node
 pairs that keeps labels, order and ancestry). Over all pages of the host, a node of the reference whose text never
 differs is *template*, and one whose text varies is a *slot*; text of nodes that nothing matches counts as varying
-for the nearest matched ancestor. The deepest node that holds most of the varying text is the host's content node.
-A page's main text is what lies below the node aligned with it, except the parts whose tag, role or class says menu,
-header, footer, sidebar, notice, advert, form or reader comment. Template text outside ``article`` and ``main`` is
-left out too, unless nothing would remain.
+for the nearest matched ancestor. The *core* is the deepest node that holds most of the varying text. Inside an
+``article`` or ``main``, the outermost of these is the host's content node; elsewhere it is the lowest node that holds
+all varying text. A page's main text is what lies below the node aligned with it, except the parts whose tag, role or
+class says menu, header, footer, sidebar, notice, advert, form or reader comment. Where most of the varying text lies in
+several articles, only these are taken. Template text outside ``article`` and ``main`` is left out too, unless nothing
+would remain.
 
 Where no wrapper can be learned (one page, nothing varies, or the content node has no partner in the page), the page's
 own ``article`` or ``main`` elements are taken, or else its body.
@@ -314,8 +316,9 @@ def observe(matcher: Matcher, text: str) -> list[tuple[int, int, int, int]]:
     return out
 
 
-def induce(matcher: Matcher, stats: list) -> tuple[int | None, set[tuple[int, int]]]:
-    """The content node and the (node, run) of template texts, from rows (node, run, pages, least, greatest, chars)."""
+def induce(matcher: Matcher, stats: list) -> tuple[int | None, set[tuple[int, int]], bool]:
+    """The content node, the (node, run) of template texts, and whether only articles below the content node count,
+    from rows (node, run, pages, least, greatest, chars)."""
     template, varying = set(), [0] * (len(matcher.nodes) + 1)
     for place, run, pages, least, greatest, chars in stats:
         if run >= 0 and pages >= MIN_PAGES and least == greatest:
@@ -324,23 +327,37 @@ def induce(matcher: Matcher, stats: list) -> tuple[int | None, set[tuple[int, in
             varying[place] += chars
     total = sum(varying)
     if not total:
-        return None, template
+        return None, template, False
     sums = [0]
     for v in varying:
         sums.append(sums[-1] + v)
-    best = 0
-    for i, node in enumerate(matcher.nodes):  # later nodes that hold enough lie deeper
-        if sums[node.end] - sums[i] >= HOLDS_MOST * total:
-            best = i
+
+    def deepest(least: float) -> Node:
+        best = 0
+        for i, node in enumerate(matcher.nodes):  # later nodes that hold enough lie deeper
+            if sums[node.end] - sums[i] >= least:
+                best = i
+        return matcher.nodes[best]
+
+    up, around = deepest(HOLDS_MOST * total), None
+    while up is not None:
+        around = up if up.tag in CONTENT_TAGS else around
+        up = up.parent
+    if around is not None:
+        return matcher.place[id(around)], template, False
     # Single blocks are parts of the content; it is the element around them.
-    node = matcher.nodes[best]
+    node = deepest(total)
     while node.parent is not None and node.tag in ("p", "h1", "h2", "h3", "li", "blockquote", "pre"):
         node = node.parent
-    return matcher.place[id(node)], template
+    inside, end = 0, 0
+    for i, x in enumerate(matcher.nodes):
+        if i >= end and x.tag in CONTENT_TAGS:
+            inside, end = inside + sums[x.end] - sums[i], x.end
+    return matcher.place[id(node)], template, inside >= HOLDS_MOST * total
 
 
 def main_text(matcher: Matcher, text: str) -> str:
-    content, template = matcher.wrapper[1]
+    content, template, articles = matcher.wrapper[1]
     root, matched = matcher.page(text)
     tops: set[int] = {k for k, place in matched.items() if place == content} if content is not None else set()
     own: dict[int, tuple[bool, bool]] = {}  # below the content node, inside article or main
@@ -360,8 +377,8 @@ def main_text(matcher: Matcher, text: str) -> str:
     marked = [x for x in listed if x[1]]
     if tops and any(x[0] for x in listed):
         held = [x for x in listed if x[0]]
-        # A content node around an article keeps to the article.
-        held = [x for x in held if x[1]] or held
+        # A content node around articles keeps to them.
+        held = [x for x in held if x[1]] or held if articles else held
     else:
         held = marked or listed
     plain = [x for x in held if x[1] or not x[2]] or held

@@ -114,3 +114,26 @@ def test_large_wrappers_give_the_same(spark, monkeypatch, one_in):
 
 def test_empty(spark):
     assert extract(spark, []) == {}
+
+
+LONG = "A long text of the body that goes on and on. " * 20
+
+
+@pytest.mark.parametrize("around", ["article", "main", "div"])
+def test_headline_outside_the_body(spark, around):
+    def page(i):
+        return (
+            f"<body><div>My site</div><{around}><h1>Title {i}</h1><p>Intro {i}</p><div class=body><p>{i} {LONG}</p><p>{LONG} {i}</p>"
+            f"</div></{around}><div>(c) all of us</div></body>"
+        )
+
+    got = extract(spark, [(i, "http://h/", page(i)) for i in range(5)])
+    assert got == {i: f"Title {i}\n\nIntro {i}\n\n{i} {LONG.strip()}\n\n{LONG}{i}" for i in range(5)}
+
+
+def test_teasers_beside_a_body_without_article(spark):
+    def page(i):
+        return f"<body><div><h1>T{i}</h1><div><p>{i} {LONG}</p></div></div><div><article><p>teaser {i}</p></article></div></body>"
+
+    got = extract(spark, [(i, "http://h/", page(i)) for i in range(5)])
+    assert all(got[i].startswith(f"T{i}\n\n{i} A long") for i in range(5))
