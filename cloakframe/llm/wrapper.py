@@ -11,6 +11,11 @@ class says menu, header, footer, sidebar, notice, advert, form or reader comment
 several articles, only these are taken. Template text outside ``article`` and ``main`` is left out too, unless nothing
 would remain.
 
+Classes and ids count as whole names, and ids only of plain containers, for those of headings and sections are made of
+their words. No mark reaches a ``main`` below it, nor an ``article``, unless another article or main of the page has
+text: then articles in a comment list or a sidebar go with it. A form that holds half of the page's text is layout.
+Where nothing but marked text is left, names and forms stop counting, and if need be all marks.
+
 Where no wrapper can be learned (one page, nothing varies, or the content node has no partner in the page), the page's
 own ``article`` or ``main`` elements are taken, or else its body.
 
@@ -56,28 +61,36 @@ CHROME_ROLES = frozenset("navigation banner contentinfo complementary search dia
 CHROME_WORDS = frozenset(
     "ad ads advert adverts advertisement sponsor sponsored promo sidebar nav navbar navigation menu breadcrumb breadcrumbs "
     "footer masthead cookie cookies consent notice popup modal newsletter subscribe share sharing social related comment "
-    "comments disqus replies pagination pager widget toolbar skip".split()
+    "comments disqus replies pagination pager widget toolbar skip "
+    "site-header page-header site-footer page-footer main-nav main-navigation site-nav site-navigation nav-menu nav-links "
+    "nav-bar main-menu breadcrumb-nav side-bar left-sidebar right-sidebar sidebar-left sidebar-right widget-area "
+    "cookie-banner cookie-bar cookie-notice cookie-consent cookie-policy consent-banner ad-slot ad-container ad-banner "
+    "ad-wrapper banner-ad share-buttons share-links social-share social-links social-media related-posts "
+    "related-articles related-links related-content comment-list comment-form comments-area comments-section "
+    "comment-section post-comments user-comments newsletter-signup newsletter-form subscribe-form skip-link skip-links".split()
 )
+# Ids of other elements are the slugs of their texts.
+ID_TAGS = frozenset("div ul ol dl table center".split())
 CONTENT_TAGS = frozenset({"article", "main"})
 NEVER_CHROME = CONTENT_TAGS | {"html", "body"}
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|</([a-zA-Z][^\s/>]*)[^>]*>"
-    r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]{0,10000}\"|'[^']{0,10000}')*+)>|<([a-zA-Z][^\s/>]*)([^>]*)>|<[a-zA-Z/][^<>]*\Z",
+    r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>|<([a-zA-Z][^\s/>]*)([^>]*)>|<[a-zA-Z/][^<>]*\Z",
     re.S,
 )
 NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-LETTERS = re.compile(r"[^a-z]+")
 HOLDS_MOST = 0.8
 MIN_PAGES = 3
 SMALL_BYTES = 32 << 20
 
 
 class Node:
-    __slots__ = ("tag", "label", "chrome", "children", "runs", "order", "parent", "shape", "size", "end")
+    __slots__ = ("tag", "label", "chrome", "named", "children", "runs", "order", "parent", "shape", "size", "end")
 
-    def __init__(self, tag: str, label: str, chrome: bool, parent: Node | None):
+    def __init__(self, tag: str, label: str, chrome: bool, parent: Node | None, named: bool = False):
         self.tag, self.label, self.chrome, self.parent = tag, label, chrome, parent
+        self.named = named  # whether only its class or id says that it is chrome
         self.children: list[Node] = []
         self.runs: list[str] = []  # texts between child elements
         self.order: list = []  # runs and children as they come
@@ -90,18 +103,21 @@ def _node(tag: str, attributes: str, parent: Node) -> Node:
         around = around.parent
     if tag == "header":
         chrome = around is None  # the header of an article is its headline
+    named = False
     if attributes and "=" in attributes:
         words: list[str] = []
         for name, *values in NAMES.findall(attributes):
             value = next((v for v in values if v), "").lower()
             if name.lower() == "role":
                 chrome = chrome or value in CHROME_ROLES
-            else:
-                words += LETTERS.split(value)
-                label += f".{value}" if name.lower() == "class" else ""
+            elif name.lower() == "class":
+                words += value.replace("_", "-").split()
+                label += f".{value}"
+            elif tag in ID_TAGS:
+                words.append(value.strip().replace("_", "-"))
         if tag not in NEVER_CHROME or tag == "article" and around is not None:
-            chrome = chrome or not CHROME_WORDS.isdisjoint(words)
-    return Node(tag, label, chrome, parent)
+            named = not chrome and not CHROME_WORDS.isdisjoint(words)
+    return Node(tag, label, chrome or named, parent, named)
 
 
 def parse(text: str) -> Node:
@@ -278,22 +294,73 @@ class Matcher:
         return root, self.align(root)
 
 
-def runs(root: Node) -> Iterator[tuple[Node, int, str, bool]]:
-    """(node, number of the run in it, text, inside chrome) in page order."""
-    stack: list = [(root, False, iter(root.order), [0])]
+def _marked(root: Node) -> Iterator[tuple[Node, int, str, bool, bool, bool]]:
+    """(node, number of the run in it, text, inside chrome, the same without names and forms, the same if articles
+    are never reached) in page order."""
+    sizes: dict[int, int] = {}  # characters of the forms and of the whole page
+    if any(x.tag == "form" for x in _nodes(root)):
+        _size(root, sizes)
+    half = sizes.get(id(root), 0) / 2
+
+    stack: list = [(root, (False, False, False, False), iter(root.order), [0])]
     while stack:
-        node, chrome, rest, count = stack[-1]
+        node, marks, rest, count = stack[-1]
         for part in rest:
             if isinstance(part, str):
-                yield node, count[0], part, chrome
+                yield node, count[0], part, *marks[:3]
                 count[0] += 1
-            else:
-                stack.append((part, chrome or part.chrome, iter(part.order), [0]))
-                break
+                continue
+            chrome, strong, free, hidden = marks
+            if part.tag == "main":
+                chrome = strong = free = hidden = False
+            elif part.tag == "article":
+                # A form around an article never hides it; what else does, only if the page has another.
+                chrome, strong, free = hidden, strong and hidden, False
+            if part.chrome:
+                form = part.tag == "form"
+                if not (form and sizes[id(part)] >= half):
+                    chrome = free = True
+                    strong = strong or not (form or part.named)
+                    hidden = hidden or not form
+            stack.append((part, (chrome, strong, free, hidden), iter(part.order), [0]))
+            break
         else:
             stack.pop()
 
 
+def _nodes(root: Node) -> Iterator[Node]:
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        yield node
+        stack.extend(node.children)
+
+
+def _size(root: Node, sizes: dict[int, int]) -> None:
+    """Characters of text below each node."""
+    order = list(_nodes(root))
+    for node in reversed(order):  # children before parents
+        sizes[id(node)] = sum(map(len, node.runs)) + sum(sizes[id(c)] for c in node.children)
+
+
+def runs(root: Node) -> list[tuple[Node, int, str, bool]]:
+    """(node, number of the run in it, text, inside chrome) in page order."""
+    found = list(_marked(root))
+
+    def in_content(node: Node | None) -> bool:
+        while node is not None and node.tag not in CONTENT_TAGS:
+            node = node.parent
+        return node is not None
+
+    # Articles below a mark are content if no other article or main has text.
+    if any(x[3] and not x[5] for x in found) and not any(not x[3] and in_content(x[0]) for x in found):
+        return [(*x[:3], x[5]) for x in found]
+    for mark in (3, 4):
+        if not all(x[mark] for x in found):
+            return [(*x[:3], x[mark]) for x in found]
+    return [(*x[:3], False) for x in found]
+
+
 def _hash(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode("utf-8", "replace")) - (1 << 63)
 

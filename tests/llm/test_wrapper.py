@@ -137,3 +137,25 @@ def test_teasers_beside_a_body_without_article(spark):
 
     got = extract(spark, [(i, "http://h/", page(i)) for i in range(5)])
     assert all(got[i].startswith(f"T{i}\n\n{i} A long") for i in range(5))
+
+
+@pytest.mark.parametrize(
+    "page,want",
+    [
+        ("<div class='content-sidebar-wrap'><main><p>x</p></main></div>", "x"),
+        ("<div class='site no-sidebar'><p>x</p><div class='widget'>w</div></div>", "x"),
+        ("<form><nav>n</nav><div><p>a long enough text</p></div><footer>f</footer></form>", "a long enough text"),
+        ("<div class=sidebar><main><p>x y z</p><form>f</form></main></div>", "x y z"),
+        ("<div class=widget><article><p>x</p></article></div><div>y</div>", "x"),
+        ("<main><h1>h</h1><form><article>x</article></form></main>", "h\n\nx"),
+        ("<article><p>x</p></article><div class=comments><article>z</article></div>", "x"),
+        ("<article><h2 id='related-work'>r</h2><h2 id=related>s</h2><section id='social'>t</section></article>", "r\n\ns\n\nt"),
+        ("<div class='site-footer'>f</div><div class='Comment_List'>c</div><div id=sidebar>s</div><p>x</p>", "x"),
+        ("<div class=widget><p>x</p></div><nav>n</nav>", "x"), ("<nav>n</nav>", "n"),
+        (f"<div title='{'a>' * 6_000}'>x</div><p data-x=\"{'b>' * 6_000}\">y", "x\n\ny"),
+    ],
+)
+def test_marks_do_not_hide_the_text(page, want):
+    matcher = wrapper.Matcher(page)
+    matcher.wrapper = ([], wrapper.induce(matcher, []))
+    assert wrapper.main_text(matcher, f"<body>{page}</body>") == want
