@@ -2,8 +2,9 @@
 
 Pages of one host share a layout. For each host the page whose length is nearest to the mean is the *reference*; the
 trees of block elements of all its other pages are aligned with it by simple tree matching (the largest set of node
-pairs that keeps labels, order and ancestry). Over all pages of the host, a node of the reference whose text never
-differs is *template*, and one whose text varies is a *slot*; text of nodes that nothing matches counts as varying
+pairs that keeps labels, order and ancestry). A text of the reference that never differs and that half of the host's
+different pages have is *template*; any other is a *slot*. Copies of a page, by the digest of its html, count as one, so
+a group of them is no evidence of a template. Text of nodes that nothing matches counts as varying
 for the nearest matched ancestor. The *core* is the deepest node that holds most of the varying text. Inside an
 ``article`` or ``main``, the outermost of these is the host's content node; elsewhere it is the lowest node that holds
 all varying text. A page's main text is what lies below the node aligned with it, except the parts whose tag, role or
@@ -81,8 +82,10 @@ TOKEN = re.compile(
 )
 NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 HOLDS_MOST = 0.8
-MIN_PAGES = 3
+MIN_PAGES, MIN_SHARE = 3, 0.5  # of different pages
+WHOLE_PAGE, WHOLE_CHAR = 1 << 32, 1 << 20  # what a page and a character weigh; a page's copies share it
 SMALL_BYTES = 32 << 20
+COPIES_SHIPPED = 100_000
 
 
 class Node:
@@ -383,14 +386,15 @@ def observe(matcher: Matcher, text: str) -> list[tuple[int, int, int, int]]:
     return out
 
 
-def induce(matcher: Matcher, stats: list) -> tuple[int | None, set[tuple[int, int]], bool]:
+def induce(matcher: Matcher, stats: list, different: int = 0) -> tuple[int | None, set[tuple[int, int]], bool]:
     """The content node, the (node, run) of template texts, and whether only articles below the content node count,
-    from rows (node, run, pages, least, greatest, chars)."""
+    from rows (node, run, pages, least, greatest, chars) and the number of the host's different pages."""
     template, varying = set(), [0] * (len(matcher.nodes) + 1)
     for place, run, pages, least, greatest, chars in stats:
-        if run >= 0 and pages >= MIN_PAGES and least == greatest:
-            template.add((place, run))
-        elif pages > 1 and (least != greatest or run < 0):
+        if run >= 0 and least == greatest and pages >= MIN_SHARE * different:
+            if pages >= MIN_PAGES:
+                template.add((place, run))
+        else:
             varying[place] += chars
     total = sum(varying)
     if not total:
@@ -493,12 +497,33 @@ def _with_host_rows(pages: DataFrame, lookup: DataFrame, size: Column) -> DataFr
     return left_lookup(pages, lookup, "host", "host")
 
 
+def copies(pages: DataFrame) -> DataFrame:
+    """(host, digest, copies) of the pages with text."""
+    return pages.where("html <> ''").select("host", _digest().alias("digest")).groupBy("host", "digest").agg(F.count("*").alias("copies"))
+
+
+def _digest() -> Column:
+    return F.md5(F.concat("host", F.lit("\n"), "html"))
+
+
+def _with_copies(pages: DataFrame, counts: DataFrame) -> DataFrame:
+    """Pages with the number of their copies; only pages that have some are looked up."""
+    repeated = counts.where("copies > 1").select("digest", "copies")
+    keyed = pages.withColumn("digest", _digest())
+    if repeated.count() <= COPIES_SHIPPED:
+        found = keyed.join(F.broadcast(repeated), "digest", "left")
+    else:
+        found = left_lookup(keyed, repeated, "digest", "digest")
+    return found.drop("digest").withColumn("copies", F.coalesce("copies", F.lit(1)))
+
+
 STATS = "array<struct<node:int,run:int,pages:long,least:long,greatest:long,chars:long>>"
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """(host, reference, stats) for pages (page_id, url, html, host)."""
+    """(host, reference, stats, different) for pages (page_id, url, html, host)."""
     chosen = stored(references(pages), "references")
+    counts = stored(copies(pages), "copies")
 
     @F.pandas_udf("array<struct<node:int,run:int,hash:long,chars:long>>")
     def seen(texts: pd.Series, chosen: pd.Series) -> pd.Series:
@@ -508,15 +533,20 @@ def wrappers(pages: DataFrame) -> DataFrame:
             out.append([dict(zip(("node", "run", "hash", "chars"), x, strict=True)) for x in found])
         return pd.Series(out)
 
-    joined = _with_host_rows(pages.select("host", "page_id", "html"), chosen, F.octet_length("reference"))
-    found = joined.select("host", F.explode(seen("html", "reference")).alias("x")).select("host", "x.*")
+    weighed = _with_copies(pages.select("host", "html"), counts)
+    joined = _with_host_rows(weighed, chosen, F.octet_length("reference"))
+    found = joined.select("host", "copies", F.explode(seen("html", "reference")).alias("x")).select("host", "copies", "x.*")
+    # Whole numbers, so that the order of the sums decides nothing.
     sums = found.groupBy("host", "node", "run").agg(
-        F.count("*").alias("pages"), F.min("hash").alias("least"), F.max("hash").alias("greatest"), F.sum("chars").alias("chars")
+        F.round(F.sum(F.expr(f"{WHOLE_PAGE}L div copies")) / WHOLE_PAGE).cast("long").alias("pages"),
+        F.min("hash").alias("least"), F.max("hash").alias("greatest"),
+        F.sum(F.expr(f"greatest(1L, chars * {WHOLE_CHAR}L div copies)")).alias("chars"),
     )
     row = F.struct("node", "run", "pages", "least", "greatest", "chars")
     # One row per node of a reference page.
     stats = sums.groupBy("host").agg(F.sort_array(F.collect_list(row)).alias("stats"))
-    return stored(chosen.join(stats, "host", "left"), "wrappers")
+    different = counts.groupBy("host").agg(F.count("*").alias("different"))
+    return stored(chosen.join(stats, "host", "left").join(different, "host", "left"), "wrappers")
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -528,18 +558,18 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     learned = wrappers(rows)
 
     @F.pandas_udf("string")
-    def text_of(texts: pd.Series, chosen: pd.Series, stats: pd.Series) -> pd.Series:
+    def text_of(texts: pd.Series, chosen: pd.Series, stats: pd.Series, different: pd.Series) -> pd.Series:
         out = []
-        for text, reference, rows in zip(texts, chosen, stats, strict=True):
+        for text, reference, rows, n in zip(texts, chosen, stats, different, strict=True):
             matcher = _matcher(reference)
             seen = [tuple(r.values()) for r in rows] if rows is not None else []
-            if matcher.wrapper is None or matcher.wrapper[0] != seen:
-                matcher.wrapper = (seen, induce(matcher, seen))
+            if matcher.wrapper is None or matcher.wrapper[0] != (seen, n):
+                matcher.wrapper = ((seen, n), induce(matcher, seen, n))
             out.append(main_text(matcher, text))
         return pd.Series(out)
 
     size = F.octet_length("reference") + 48 * F.coalesce(F.size("stats"), F.lit(0))
     joined = _with_host_rows(rows, learned, size)
     return joined.select(
-        F.col("page_id").alias(id_col), F.col("url").alias(url_col), text_of("html", "reference", "stats").alias("text")
+        F.col("page_id").alias(id_col), F.col("url").alias(url_col), text_of("html", "reference", "stats", F.coalesce("different", F.lit(0))).alias("text")
     )

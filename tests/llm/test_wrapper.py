@@ -159,3 +159,21 @@ def test_marks_do_not_hide_the_text(page, want):
     matcher = wrapper.Matcher(page)
     matcher.wrapper = ([], wrapper.induce(matcher, []))
     assert wrapper.main_text(matcher, f"<body>{page}</body>") == want
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_copies_make_no_template(spark, monkeypatch, broadcast):
+    """Only the reference and its copies have the last paragraphs, and they keep them."""
+
+    def page(i, more=""):
+        return f"<body><div>menu</div><div><p>text {i} {'.' * (0 if more else i % 2 * 200)}</p>{more}</div></body>"
+
+    more = "".join(f"<p>paragraph {k}</p>" for k in range(5))
+    rows = [(i, "http://h/", page(i)) for i in range(20)] + [(100 + i, "http://h/", page("copied", more)) for i in range(6)]
+    if not broadcast:
+        monkeypatch.setattr(wrapper, "COPIES_SHIPPED", -1)
+    chosen = {r.reference for r in wrapper.references(spark.createDataFrame([(*r, "h") for r in rows], "page_id long, url string, html string, host string")).collect()}
+    assert chosen == {rows[-1][2]}
+    got = extract(spark, rows)
+    assert all(got[100 + i] == "\n\n".join(["text copied", *(f"paragraph {k}" for k in range(5))]) for i in range(6))
+    assert got[1] == f"text 1 {'.' * 200}"
