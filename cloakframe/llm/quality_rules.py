@@ -5,7 +5,9 @@ A line (between ``\\n``) without a word decides nothing and stays. Any other lin
 - *navigation*: at least three of ``| › » ·``, and one for every forty characters,
 - *symbols*: at least three of ``# * $ % & | < >``, and one for every twelve characters,
 - *boilerplate*: at most 300 characters, with one of the phrases in ``BOILERPLATE``,
-- *punctuation*: nowhere in it does a sentence end, and there are other lines with words.
+- *punctuation*: no sentence ends in it or in a later line of its paragraph (lines with words, none without between),
+  and there are other lines with words; so hard-wrapped prose passes. Lines in Thai or Lao, which mark no ends, pass.
+  With ``by_line`` every line must have an end of its own, by the marks of ``SENTENCE_END`` alone, as the SQL has it.
 
 Results in odd cases: a null or empty text has no words, fails the base rules and its cleaned text is null or
 empty; a text of one line is never judged by its punctuation; every row is judged alone, so repeated rows and
@@ -32,18 +34,29 @@ SYMBOLS = r"[#*$%&|<>]"
 SEPARATORS = r"[|›»·]"
 MARKS = r"[#*$%&|<>›»·]"
 SENTENCE_END = r"[.!?…。！？:;](?:[\s\"'»”’)\]]|$)"
+# Ends of other scripts, which no space need follow, and letters of scripts without any.
+OTHER_END = r"[।॥؟۔؛።፧։។៕။།༎｡．。！？]"
+NO_ENDS = r"[\u0E01-\u0E4E\u0E81-\u0ECE]"
 CHARS_PER_SEPARATOR, CHARS_PER_SYMBOL, MAX_BOILERPLATE = 40, 12, 300
 MIN_WORDS = 50
 MAX_LOST = 0.4
 
 
-def line_fails(line: Column, single: Column, marked: Column, boilerplate: tuple[str, ...] = BOILERPLATE) -> Column:
-    """Whether a line with words fails; ``single`` says that it is the only such line of its text, and
-    ``marked`` that the text has enough symbols or separators for the rules on them."""
+def unfinished_lines(lines: Column) -> Column:
+    """A letter per line: ``w`` if it has words and neither it nor a later line of its paragraph ends a sentence."""
+    ends = lambda x: x.rlike(f"{SENTENCE_END}|{OTHER_END}|{NO_ENDS}")
+    letters = F.transform(lines, lambda x: F.when(~x.rlike(HAS_WORDS), "b").when(ends(x), "e").otherwise("w"))
+    pieces = F.split(F.array_join(letters, ""), "(?<=[eb])")
+    return F.split(F.array_join(F.transform(pieces, lambda x: F.when(x.endswith("e"), F.translate(x, "w", "e")).otherwise(x)), ""), "")
+
+
+def line_fails(line: Column, unfinished: Column, marked: Column, boilerplate: tuple[str, ...] = BOILERPLATE) -> Column:
+    """Whether a line with words fails; ``unfinished`` says that it does so by its punctuation, and ``marked`` that the
+    text has enough symbols or separators for the rules on them."""
     length = F.length(line)
     separators, symbols = F.regexp_count(line, F.lit(SEPARATORS)), F.regexp_count(line, F.lit(SYMBOLS))
     return (
-        (~single & ~line.rlike(SENTENCE_END))
+        unfinished
         | ((length <= MAX_BOILERPLATE) & F.lower(line).rlike("|".join(boilerplate)))
         | (marked & (symbols >= 3) & (symbols * CHARS_PER_SYMBOL >= length))
         | (marked & (separators >= 3) & (separators * CHARS_PER_SEPARATOR >= length))
@@ -94,6 +107,7 @@ def quality_rules(
     min_words: int = MIN_WORDS,
     max_lost: float = MAX_LOST,
     boilerplate: tuple[str, ...] = BOILERPLATE,
+    by_line: bool = False,
 ) -> DataFrame:
     """One row per document: counts, verdicts and the text without the lines that fail.
 
@@ -105,18 +119,24 @@ def quality_rules(
 
     def judge(lines: Column) -> Column:
         with_words = F.filter(lines, lambda x: x.rlike(HAS_WORDS))
-        return let(
-            F.size(with_words) == 1,
-            lambda single: F.transform(
-                lines,
-                lambda x: let(
-                    x.rlike(HAS_WORDS),
-                    lambda some: F.struct(
-                        x.alias("line"), some.alias("has_words"), (some & line_fails(x, single, F.col("__marks") >= 3, boilerplate)).alias("fails")
-                    ),
+
+        def verdict(x: Column, unfinished: Column) -> Column:
+            return let(
+                x.rlike(HAS_WORDS),
+                lambda some: F.struct(
+                    x.alias("line"), some.alias("has_words"), (some & line_fails(x, unfinished, F.col("__marks") >= 3, boilerplate)).alias("fails")
                 ),
-            ),
-        )
+            )
+
+        def verdicts(single: Column) -> Column:
+            if by_line:
+                return F.transform(lines, lambda x: verdict(x, ~single & ~x.rlike(SENTENCE_END)))
+            return let(
+                unfinished_lines(lines),
+                lambda letters: F.transform(lines, lambda x, i: verdict(x, ~single & (F.get(letters, i) == "w"))),
+            )
+
+        return let(F.size(with_words) == 1, verdicts)
 
     def characters(lines: Column) -> Column:
         return F.aggregate(lines, F.lit(0).cast("long"), lambda a, x: a + F.length(x["line"]))

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+import textwrap
 
 import pytest
 
@@ -65,3 +66,23 @@ def test_keep(spark):
     kept = rules.keep_clean(df)
     assert kept.columns == df.columns and [r.cleaned for r in kept.collect()] == ["x"]
     assert rules.keep_clean(df.limit(0)).collect() == []
+
+
+def test_wrapped_and_other_scripts_are_kept(spark):
+    prose = lambda start: " ".join(" ".join(f"{w}{i}" for w in GOOD[:-2].split()) + "." for i in range(start, start + 20))
+    paragraphs = "\n\n".join([prose(0), prose(20)])
+    wrapped = ["\n".join(textwrap.fill(p, width) for p in paragraphs.split("\n\n")) for width in (40, 60, 72, 80)]
+    other = ["\n".join(f"{i} " + line * 3 + end for i in range(12)) for line, end in (
+        ("यह एक अच्छा दिन था और वे ", "गए।"), ("یہ ایک اچھا دن تھا اور وہ ", "گئے۔"), ("هل كان يوما جميلا في ", "المدينة؟"),
+        ("วันนี้ เป็น วันที่ ดี มาก ", "ครับ"), ("今天 是 很好 的 一天 ", "他说。他走了"),
+    )]
+    assert [r.n_failed_lines for r in judge(spark, wrapped + other)] == [0] * 9
+    assert all(r.kept for r in judge(spark, [*wrapped, paragraphs]))
+    assert all(r.n_failed_lines > 0 for r in judge(spark, wrapped, by_line=True))
+
+
+def test_paragraphs_without_an_end_fail(spark):
+    text = "Home\nAbout us\n\n" + GOOD + "\nit goes\non here.\nContact\nImprint\n \nMore"
+    assert judge(spark, [text])[0].cleaned == "\n" + GOOD + "\nit goes\non here.\n "
+    long = judge(spark, ["no end of it\n" * 100_000])[0]
+    assert long.n_failed_lines == 100_000
