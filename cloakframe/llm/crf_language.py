@@ -10,8 +10,9 @@ transitions are learned together, by the gradient that forward-backward gives, f
 different documents: a document's label holds for its words, and the splices show how languages follow each other.
 Probabilities of words come from forward-backward over the whole text.
 
-The model is fitted on a bounded sample: at most about ``per_language`` documents of each of the ``languages`` most
-frequent labels, of at most ``longest`` characters each, chosen by a hash. Everything else covers all rows.
+Every label is learned. The model is fitted on a bounded sample: about ``per_language`` documents of each label, chosen
+by a hash, and of a long one a window of ``longest`` characters. Beyond ``MANY`` labels, documents, windows and hashed
+tables shrink with their number, so that the sample and the model stay as large. Everything else covers all rows.
 
 Results in odd cases: a null text or one without a letter gets ``und`` and the score 0; a null label is not learned;
 without any label everything is ``und``; equal texts get equal results; no row is dropped; of ties the label that
@@ -24,12 +25,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 UNKNOWN = "und"
-PER_LANGUAGE, LANGUAGES, LONGEST = 300, 32, 50_000
-TABLE = 18  # bits of the hashed tables
+PER_LANGUAGE, LONGEST = 300, 50_000
+MANY, LEAST_DOCS, LEAST_CHARS = 32, 20, 2_000
+TABLE, LEAST_TABLE = 18, 10  # bits of the hashed tables
+SLICE = 1 << 21  # scores that are added up at once
 CHUNK = 2_000_000  # bytes of text that are scored at once
 STEPS, SEQUENCES, LENGTH, RATE = 150, 192, 40, 0.3
 ODD = 0x9E3779B97F4A7C15
@@ -41,7 +44,8 @@ WORD[ord("a") : ord("z") + 1] = WORD[128:] = True
 class Words:
     """The words of some texts and the table rows that their features have."""
 
-    def __init__(self, texts: list[str]):
+    def __init__(self, texts: list[str], bits: int = TABLE):
+        self.bits = bits
         raw = [t.lower().encode("utf-8", "replace") for t in texts]
         data = np.frombuffer(b" " + b"  ".join(raw) + b"  ", np.uint8)
         inside = WORD[data]
@@ -51,7 +55,8 @@ class Words:
         self.first = np.searchsorted(self.start, begins)  # of each text the number of its first word, and the end
         at = np.flatnonzero(inside)
         c = np.where(inside, data, 32).astype(np.uint32)
-        self.pair = (c[at - 1] << 8) | c[at]
+        pair = (c[at - 1] << 8) | c[at]
+        self.pair = pair if bits >= 16 else self._slot(pair, 0)
         self.triple = self._slot((c[at - 1] << 16) | (c[at] << 8) | c[at + 1], 1)
         self.lengths = end - self.start
         self.offset = np.concatenate(([0], np.cumsum(self.lengths)))[:-1]
@@ -62,13 +67,11 @@ class Words:
         self.suffix = self._slot((c[e - 1] << 16) | (second << 8) | third, 3)
         self.whole = self._whole(c, s, e)
 
-    @staticmethod
-    def _slot(value: np.ndarray, salt: int) -> np.ndarray:
+    def _slot(self, value: np.ndarray, salt: int) -> np.ndarray:
         mixed = (value.astype(np.uint64) + np.uint64(salt << 32)) * np.uint64(ODD)
-        return (mixed >> np.uint64(64 - TABLE)).astype(np.int32)
+        return (mixed >> np.uint64(64 - self.bits)).astype(np.int32)
 
-    @staticmethod
-    def _whole(c: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    def _whole(self, c: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """A slot per word from a polynomial of its bytes modulo 2**64, by differences of running sums."""
         base = 0x100000001B3
         power = np.full(len(c) + 1, base, np.uint64)
@@ -80,7 +83,7 @@ class Words:
         sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((c + 1).astype(np.uint64) * power[:-1])))
         value = (sums[end] - sums[start]) * inverse[start]
         value ^= value >> np.uint64(29)
-        return ((value * np.uint64(ODD)) >> np.uint64(64 - TABLE)).astype(np.int32)
+        return ((value * np.uint64(ODD)) >> np.uint64(64 - self.bits)).astype(np.int32)
 
     def __len__(self) -> int:
         return len(self.start)
@@ -91,18 +94,20 @@ class Model:
 
     def __init__(self, labels: list[str]):
         self.labels, k = labels, len(labels)
-        self.pair = np.zeros((1 << 16, k), np.float32)
-        self.triple, self.prefix, self.suffix = (np.zeros((1 << TABLE, k), np.float32) for _ in range(3))
-        self.lexicon = np.zeros((1 << TABLE, k), np.float32)
+        self.bits = max(LEAST_TABLE, TABLE - (max(0, k - 1) // MANY).bit_length())
+        self.pair = np.zeros((1 << min(16, self.bits), k), np.float32)
+        self.triple, self.prefix, self.suffix, self.lexicon = (np.zeros((1 << self.bits, k), np.float32) for _ in range(4))
         self.trust = np.ones(k, np.float32)
         self.move = np.zeros((k, k), np.float32)
 
     def scores(self, words: Words) -> np.ndarray:
-        if not len(words):
-            return np.zeros((0, len(self.labels)), np.float32)
-        grams = np.take(self.pair, words.pair, axis=0)
-        grams += np.take(self.triple, words.triple, axis=0)
-        out = np.add.reduceat(grams, words.offset, axis=0)
+        out = np.zeros((len(words), len(self.labels)), np.float32)
+        ends, step = np.append(words.offset, len(words.pair)), max(1, SLICE // len(self.labels))
+        for a in range(0, len(words), step):
+            b = min(a + step, len(words))
+            grams = np.take(self.pair, words.pair[ends[a] : ends[b]], axis=0)
+            grams += np.take(self.triple, words.triple[ends[a] : ends[b]], axis=0)
+            out[a:b] = np.add.reduceat(grams, ends[a:b] - ends[a], axis=0)
         out += self.prefix[words.prefix]
         out += self.suffix[words.suffix]
         out += self.lexicon[words.whole] * self.trust
@@ -149,11 +154,12 @@ def fit(texts: list[str], names: list[str], seed: int = 7) -> Model:
     """Learns the weights from labelled texts."""
     labels = sorted(set(names))
     model, k = Model(labels), len(labels)
-    words = Words(texts)
-    of = np.array([labels.index(n) for n in names])
+    words = Words(texts, model.bits)
+    places = {name: j for j, name in enumerate(labels)}
+    of = np.array([places[n] for n in names])
     sizes = np.diff(words.first)
     label_of_word = np.repeat(of, sizes)
-    counts = np.stack([np.bincount(words.whole[label_of_word == j], minlength=1 << TABLE) for j in range(k)], axis=1)
+    counts = np.stack([np.bincount(words.whole[label_of_word == j], minlength=1 << model.bits) for j in range(k)], axis=1)
     share = (counts + 0.1) / (counts.sum(axis=0) + 1)
     typical = np.log(share / share.mean(axis=1, keepdims=True))
     model.lexicon[:] = np.where(counts.sum(axis=1, keepdims=True) > 1, np.clip(typical, -4, 4), 0)
@@ -186,13 +192,13 @@ def fit(texts: list[str], names: list[str], seed: int = 7) -> Model:
             gradient[at, gold[at]] += 1
             if moved:
                 before, after, step = moved
-                joint = before[:, :, None] * step[None] * after[:, None, :]
-                moves -= (joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+                whole = ((before @ step) * after).sum(axis=1, keepdims=True)
+                moves -= step * ((before / whole).T @ after)
                 np.add.at(moves, (gold[at - 1], gold[at]), 1)
         per_gram = np.repeat(gradient, chosen.lengths, axis=0)
         changes = {
-            "pair": _summed(chosen.pair, per_gram, 1 << 16), "triple": _summed(chosen.triple, per_gram, 1 << TABLE),
-            "prefix": _summed(chosen.prefix, gradient, 1 << TABLE), "suffix": _summed(chosen.suffix, gradient, 1 << TABLE),
+            "pair": _summed(chosen.pair, per_gram, len(model.pair)), "triple": _summed(chosen.triple, per_gram, 1 << model.bits),
+            "prefix": _summed(chosen.prefix, gradient, 1 << model.bits), "suffix": _summed(chosen.suffix, gradient, 1 << model.bits),
             "trust": (gradient * model.lexicon[chosen.whole]).sum(axis=0), "move": moves,
         }
         for name, change in changes.items():
@@ -224,13 +230,14 @@ def label(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray]
     names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
     known = [i for i, t in enumerate(texts) if t is not None and any(map(str.isalpha, t))] if model.labels else []
     known.sort(key=lambda i: -len(texts[i]))  # texts of like length meet, which saves steps
+    chunk = CHUNK * MANY // max(MANY, len(model.labels))
     while known:
         size, n = 0, 0
-        while n < len(known) and (not n or size + len(texts[known[n]]) <= CHUNK):
+        while n < len(known) and (not n or size + len(texts[known[n]]) <= chunk):
             size += len(texts[known[n]])
             n += 1
         some, known = known[:n], known[n:]
-        words = Words([texts[i] for i in some])
+        words = Words([texts[i] for i in some], model.bits)
         lengths = np.diff(words.first)
         order = np.argsort(-lengths, kind="stable")
         sums = np.zeros((len(some), len(model.labels)))
@@ -251,22 +258,25 @@ def learn(
     text_col: str = "text",
     key_col: str = "doc_id",
     per_language: int = PER_LANGUAGE,
-    languages: int = LANGUAGES,
     longest: int = LONGEST,
 ) -> Model:
     """A model fitted on the sample; ``docs`` holds only what may be learned from."""
-    usable = docs.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
-    # The count reads no texts but for their length.
-    short = usable.where(F.length(text_col) <= longest)
-    counts = short.groupBy(label_col).agg(F.count("*").alias("n")).orderBy(F.desc("n"), label_col).limit(languages)
-    shares = {r[0]: min(1.0, per_language / r["n"]) for r in counts.collect()}
-    if not shares:
+    usable = docs.select(F.col(label_col).alias("label"), F.col(text_col).alias("text"), F.col(key_col).cast("string").alias("key"))
+    usable = usable.where("label IS NOT NULL AND text IS NOT NULL")
+    counts = usable.groupBy("label").agg(F.count("*").alias("n"))
+    labels = counts.count()
+    if not labels:
         return Model([])
-    share = F.lit(None).cast("double")
-    for name, x in shares.items():
-        share = F.when(F.col(label_col) == name, x).otherwise(share)
-    draw = F.pmod(F.xxhash64(F.col(key_col).cast("string"), F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
-    chosen = short.where(draw < share).select(label_col, text_col).limit(2 * per_language * len(shares)).collect()
+    if labels > MANY:
+        per_language = max(min(LEAST_DOCS, per_language), per_language * MANY // labels)
+        longest = max(min(LEAST_CHARS, longest), longest * MANY // labels)
+    draw = F.pmod(F.xxhash64("key", F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
+    drawn = usable.withColumn("draw", draw).join(F.broadcast(counts), "label").where(F.col("draw") * F.col("n") < per_language)
+    spare = F.greatest(F.length("text") - longest, F.lit(0)) + 1
+    part = F.substring("text", F.pmod(F.xxhash64("key", F.lit("window")), spare).cast("int") + 1, F.lit(longest))
+    rank = F.row_number().over(Window.partitionBy("label").orderBy("draw", "key"))
+    some = drawn.select("label", "draw", "key", part.alias("part")).withColumn("rank", rank).where(F.col("rank") <= 2 * per_language)
+    chosen = some.select("label", "part").collect()
     chosen.sort(key=lambda r: (r[0], r[1]))
     return fit([r[1] for r in chosen], [r[0] for r in chosen]) if chosen else Model([])
 

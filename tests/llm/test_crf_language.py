@@ -107,3 +107,21 @@ def test_empty_tables(spark):
     unlabelled = spark.createDataFrame([(1, "the", None)], df.schema)
     assert [r.lang_pred for r in crf.identify(unlabelled).collect()] == ["und"]
     assert crf.keep_identified(unlabelled).count() == 1
+
+
+def test_all_labels_are_learned(spark):
+    """Forty languages, each with words of its own, the rarest of them only in one text of over 50,000 characters."""
+    def words(j):
+        r = np.random.default_rng(100 + j)
+        letters = list("abcdefghijklmnopqrstuvwxyz")
+        return ["".join(r.choice(letters, 5)) for _ in range(12)]
+
+    rows = [(f"l{j:02}", t) for j in range(39) for t in make(words(j), 10 + j, j)]
+    book = " ".join(make(words(39), 800, 39))
+    assert len(book) > crf.LONGEST
+    rows.append(("rare", book))
+    df = spark.createDataFrame([(i, t, n) for i, (n, t) in enumerate(rows)], "doc_id long, text string, lang string")
+    model = crf.learn(df)
+    assert len(model.labels) == 40 and model.bits < crf.TABLE
+    fresh = [make(words(j), 1, 1000 + j)[0] for j in range(40)]
+    assert crf.label(model, fresh)[0] == [*(f"l{j:02}" for j in range(39)), "rare"]
