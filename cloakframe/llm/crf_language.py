@@ -309,15 +309,13 @@ def identify(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text", l
     return predict(docs.withColumn("held_out", held_out(F.col(key_col))), model, text_col)
 
 
-def keep_identified(
-    docs: DataFrame, key_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", least: float = 0.4
-) -> DataFrame:
-    """The documents whose language is known with a score of ``least`` or more, with all their columns. Without any
-    label to learn from, no document can be judged and all stay."""
+def keep_identified(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> DataFrame:
+    """The documents with a language, that is all but ``und``, with all their columns: the share of one language says
+    nothing against a text in several, or in one that was not learned. Without any label to learn from, no document can
+    be judged and all stay."""
     learned = docs.where(F.col(key_col).isNotNull() & ~held_out(F.col(key_col))).select(key_col, text_col, label_col)
     model = learn(learned, label_col, text_col, key_col)
     if not model.labels:
         return docs
     packed = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"))
-    found = predict(packed, model)
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("row.*")
+    return predict(packed, model).where(F.col("lang_pred") != UNKNOWN).select("row.*")

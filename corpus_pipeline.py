@@ -21,7 +21,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language go: no letter, or no language that has two fifths of the words."""
+    """Documents without a language, those without a letter, go."""
     return crf_language.keep_identified(docs)
 
 

@@ -125,3 +125,13 @@ def test_all_labels_are_learned(spark):
     assert len(model.labels) == 40 and model.bits < crf.TABLE
     fresh = [make(words(j), 1, 1000 + j)[0] for j in range(40)]
     assert crf.label(model, fresh)[0] == [*(f"l{j:02}" for j in range(39)), "rare"]
+
+
+def test_mixed_documents_are_kept(spark):
+    """Three languages in equal parts, and a language that was not learned."""
+    es = "el la los que del por con para una las se su al lo como mas pero sus le ya".split()
+    rows = [(f, t) for f, w in (("en", EN), ("de", DE), ("es", es)) for t in make(w, 40, 7)]
+    mixed = " ".join(EN + DE + es)
+    df = spark.createDataFrame([(i, t, n) for i, (n, t) in enumerate(rows)] + [(900, mixed, None), (901, "kaj estas tio kio", None), (902, "1 2", None)], "doc_id long, text string, lang string")
+    assert {r.doc_id: r.score for r in crf.identify(df).where("doc_id = 900").collect()}[900] < 0.4
+    assert {r.doc_id for r in crf.keep_identified(df).collect()} == set(range(120)) | {900, 901}
