@@ -8,8 +8,8 @@ The text of a conversation is ``<turn ROLE>TEXT</turn>\\n`` for each turn, with
 roles and texts, so nothing inside them reads as a mark, and undoing the escape gives them back exactly.
 
 Results in odd cases: a null record, one that is not JSON, and one of no declared layout get a null layout and null
-turns, and are never dropped; null roles and texts count as empty; a record may hold no more than 128 MB of JSON;
-rows may repeat and are formatted each; other columns stay beside the result, which is refused if it would hide one.
+turns, and are never dropped; null roles and texts count as empty; a record too large for the parser of variants
+(strings over 20 million characters, or 128 MB in all) is read by the JSON reader without that limit; rows may repeat and are formatted each; other columns stay beside the result, which is refused if it would hide one.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ from cloakframe.llm.common import let
 # Names that other layouts use for the canonical roles.
 ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 TURNS = "array<struct<role:string,text:string>>"
+# Characters from which on a record may be too large to be parsed as a variant.
+LARGE = 20_000_000
 # Turns of a conversation that one record holds at most when rows become records.
 BLOCK = 256
 
@@ -62,6 +64,32 @@ class Layout:
         return name
 
 
+    def read_large(self, record: Column) -> tuple[Column, Column]:
+        """Whether a JSON text has this layout, and its turns, by the JSON reader."""
+        top = _json(record, "map<string,string>")
+        if self.many:
+            field, role, text = self.many
+            held = _json(top[field], "array<map<string,string>>")
+            named = F.array_sort(F.array_distinct(F.flatten(F.transform(held, lambda x: F.map_keys(x)))))
+            same = _has_names(F.map_keys(top), [field]) & _has_names(named, [role, text])
+            return same, F.transform(held, lambda x: _turn(self.role(x[role]), x[text]))
+        parents = {p.split(".")[0] for p in self.paths() if "." in p}
+        inner = {p: _json(top[p], "map<string,string>") for p in parents}
+        same = _has_names(F.map_keys(top), [p.split(".")[0] for p in self.paths()])
+        for parent, found in inner.items():
+            same = same & _has_names(F.map_keys(found), [p.split(".")[1] for p in self.paths() if p.startswith(f"{parent}.")])
+        at = lambda p: inner[p.split(".")[0]][p.split(".")[1]] if "." in p else top[p]
+        return same, F.array(*[_turn(F.lit(r), F.concat_ws("\n\n", *[at(p) for p in paths])) for r, paths in self.turns])
+
+
+def _json(text: Column, kind: str) -> Column:
+    return F.from_json(text, kind, {"maxStringLen": str(2**31 - 1)})
+
+
+def _has_names(names: Column, wanted: list[str]) -> Column:
+    return F.coalesce(F.array_sort(names) == F.array(*[F.lit(w) for w in sorted(set(wanted))]), F.lit(False))
+
+
 def _one(name: str, *turns: tuple[str, str]) -> Layout:
     return Layout(name, tuple((role, tuple(paths.split("+"))) for role, paths in turns))
 
@@ -121,6 +149,11 @@ def canonical_turns(records: DataFrame, record_col: str = "record", layouts: tup
         same = F.col("__print") == F.xxhash64(F.lit(declared_path_text(known.paths())))
         layout = F.when(same, known.name).otherwise(layout)
         turns = F.when(same, known.read(F.col("__parsed"))).otherwise(turns)
+    refused = F.col("__parsed").isNull() & (F.length(record_col) >= LARGE)
+    for known in layouts:
+        same, read = known.read_large(F.col(record_col))
+        layout = F.when(refused & same, known.name).otherwise(layout)
+        turns = F.when(refused & same, read).otherwise(turns)
     return parsed.withColumns({"layout": layout, "turns": turns}).drop("__parsed", "__print")
 
 

@@ -37,7 +37,8 @@ def op3_chat_format(spark: SparkSession, directory: str) -> DataFrame:
     odd = r"\### Assistant: </turn> ok"
     added = spark.createDataFrame([(-7, 0, "user", odd), (-7, 1, "assistant", odd)], rows.schema)
     records = chat_format.rows_to_records(rows.unionByName(added))
-    turns = chat_format.canonical_turns(records).drop("record")
+    lost = F.raise_error(F.concat(F.lit("no turns in a record of conversation "), F.coalesce(F.col("conv").cast("string"), F.lit("null"))))
+    turns = chat_format.canonical_turns(records).drop("record").withColumn("turns", F.coalesce("turns", lost.cast(chat_format.TURNS)))
     written = stored(chat_format.format_turns(turns).drop("turns"), "chat")
 
     said = F.transform("read", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))

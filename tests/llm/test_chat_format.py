@@ -86,3 +86,32 @@ def test_empty_and_clash(spark):
     assert chat.format_turns(chat.canonical_turns(chat.rows_to_records(df))).collect() == []
     with pytest.raises(ValueError, match="hidden"):
         chat.canonical_turns(spark.createDataFrame([("{}", 1)], "record string, Layout int"))
+
+
+def test_records_over_the_parsers_limit(spark):
+    long = F.repeat(F.lit('a "b" '), 3_400_000)
+    rows = spark.range(1).select(F.lit(1).alias("conv_id"), F.explode(F.sequence(F.lit(0), F.lit(3))).alias("turn"), F.lit("user").alias("role"), long.alias("text"))
+    for only, layout in (("turn < 4", "messages"), ("turn < 2", "prompt_response")):
+        some = rows.where(only).withColumn("role", F.when(F.col("turn") == 1, "assistant").otherwise(F.col("role")))
+        got = chat.canonical_turns(chat.rows_to_records(some)).select("layout", F.transform("turns", lambda t: F.length(t["text"])).alias("n")).first()
+        assert got.layout == layout and got.n == [20_400_000] * (4 if layout == "messages" else 2)
+
+
+def test_large_reader_agrees(spark):
+    """Every layout, by the reader of large records, of a record that the parser of variants holds, too."""
+    for layout in chat.LAYOUTS:
+        record: dict = {}
+        for path in layout.paths():
+            first, _, last = path.replace("[]", "").partition(".")
+            if "[]" in path:
+                record.setdefault(first, [{}])[0][last] = 'x "y"'
+            elif last:
+                record.setdefault(first, {})[last] = 'x "y"'
+            else:
+                record[first] = 'x "y"'
+        text = F.lit(json.dumps(record))
+        small = chat.canonical_turns(spark.range(1).select(text.alias("record"))).first()
+        same, turns = layout.read_large(text)
+        assert [tuple(t) for t in spark.range(1).select(turns.alias("t")).first().t] == [tuple(t) for t in small.turns]
+        found = [k.name for k in chat.LAYOUTS if spark.range(1).select(k.read_large(text)[0].alias("s")).first().s]
+        assert found == [small.layout] and spark.range(1).select(same.alias("s")).first().s
