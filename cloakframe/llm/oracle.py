@@ -92,4 +92,69 @@ rated AS (
 SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 1000 * lost_chars <= 400 * line_chars AS kept
 FROM rated""",
+    "op12_fill_middle": """
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS w,
+         sha256('1:' || doc_id) AS h FROM documents),
+drawn AS (
+  SELECT *, len(w) AS n, list_transform([1, 9, 17, 25], lambda i: CAST('0x' || h[i : i + 7] AS BIGINT)) AS d FROM docs),
+cut AS (
+  SELECT *, least(d[1] % (n + 1), d[2] % (n + 1)) AS a, greatest(d[1] % (n + 1), d[2] % (n + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR d[3] % 100 >= 90 THEN 'plain'
+              WHEN d[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+parts AS (
+  SELECT *, array_to_string(w[1 : a], '') AS p, array_to_string(w[a + 1 : b], '') AS m, array_to_string(w[b + 1 :], '') AS s
+  FROM cut)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts""",
+    # The checksum is that of ISO 3309, bit by bit; near words are found by the words that they have in common with one
+    # code point less, or as words of one length that differ in one place.
+    "op13_spelling": """
+WITH RECURSIVE runs AS (
+  SELECT doc_id, run, count(*) AS times
+  FROM (SELECT doc_id, unnest(regexp_extract_all(
+          translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\u00C0-\u00FF]+')) AS run
+        FROM documents)
+  WHERE length(run) >= 7 GROUP BY doc_id, run),
+steps AS (
+  SELECT list(v ORDER BY i) AS t
+  FROM (SELECT i, list_reduce(list_prepend(i, [1, 2, 3, 4, 5, 6, 7, 8]),
+          lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS v
+        FROM (SELECT unnest(generate_series(0::BIGINT, 255)) AS i))),
+summed AS (
+  SELECT run, times, xor(list_reduce(
+      list_prepend(4294967295, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+        lambda c: CASE WHEN ord(c) < 128 THEN [ord(c)::BIGINT] ELSE [195::BIGINT, ord(c)::BIGINT - 64] END))),
+      lambda a, x: xor(a // 256, t[xor(a, x) % 256 + 1])), 4294967295) AS h
+  FROM runs, steps),
+counted AS (
+  SELECT word, CAST(sum(times) AS BIGINT) AS n
+  FROM (SELECT times, CASE WHEN h % 31 = 0 THEN run[1 : h % length(run)] || run[h % length(run) + 2 :] ELSE run END AS word
+        FROM summed) WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2),
+less AS (
+  SELECT DISTINCT word, n, word[1 : i - 1] || word[i + 1 :] AS rest FROM (
+    SELECT word, n, unnest(generate_series(1, length(word))) AS i FROM counted)),
+holes AS (
+  SELECT word, n, word[1 : i - 1] || '*' || word[i + 1 :] AS rest FROM (
+    SELECT word, n, unnest(generate_series(1, length(word))) AS i FROM counted)),
+near AS (
+  SELECT l.word, c.word AS other, c.n AS other_n FROM less l JOIN counted c ON l.rest = c.word
+  UNION SELECT c.word, l.word, l.n FROM less l JOIN counted c ON l.rest = c.word
+  UNION SELECT a.word, b.word, b.n FROM holes a JOIN holes b ON a.rest = b.rest AND a.word <> b.word),
+best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, encode(other)) AS form, max(other_n) AS form_n
+  FROM near GROUP BY word),
+formed AS (
+  SELECT c.word, c.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 10 * n THEN form END AS form,
+         CASE WHEN form_n >= 10 * n THEN form_n END AS form_n
+  FROM counted c LEFT JOIN best USING (word)),
+path AS (
+  SELECT word, word AS place, form AS onward FROM formed
+  UNION ALL SELECT p.word, f.word, f.form FROM path p JOIN formed f ON p.onward = f.word)
+SELECT f.word, form, place AS root, n, n_near, form_n FROM formed f JOIN path p ON f.word = p.word AND p.onward IS NULL""",
 }

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cloakframe.llm import chat_format, crf_language, decontaminate, packing, reshard, simhash, token_files, warc, wrapper
+from cloakframe.llm import (
+    chat_format, crf_language, decontaminate, fill_middle, packing, reshard, secrets, simhash, spelling, token_files, warc, wrapper,
+)
 from cloakframe.llm import quality_rules as rules
 from cloakframe.llm.common import new_dir, stored
 from cloakframe.llm.oracle import SQL
@@ -119,8 +121,31 @@ def op8_quality_rules(spark: SparkSession, directory: str) -> DataFrame:
     return judged.drop("cleaned")
 
 
+def op11_secret_crf(spark: SparkSession, directory: str) -> DataFrame:
+    docs = load_table(spark, directory, "documents").select("doc_id", "text")
+    found = secrets.find_secrets(docs, secrets.learn(docs))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+def op12_fill_middle(spark: SparkSession, directory: str) -> DataFrame:
+    docs = load_table(spark, directory, "documents").select("doc_id", "text")
+    restored = fill_middle.restore(F.col("output"), F.col("form"))
+    return fill_middle.fill_in_middle(docs).select(
+        "doc_id", F.col("units").alias("n"), "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(restored, 256).alias("restored_sha256"),
+    )
+
+
+def op13_spelling(spark: SparkSession, directory: str) -> DataFrame:
+    words = spelling.vocabulary(load_table(spark, directory, "documents").select("doc_id", "text"), drop_one_in=31)
+    return spelling.spelling_variants(words)
+
+
 QUERIES: dict[str, Query] = {
     "op10_packing": op10_packing,
+    "op11_secret_crf": op11_secret_crf,
+    "op12_fill_middle": op12_fill_middle,
+    "op13_spelling": op13_spelling,
     "op1_decontaminate": op1_decontaminate,
     "op2_crf_language": op2_crf_language,
     "op3_chat_format": op3_chat_format,
