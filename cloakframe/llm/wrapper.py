@@ -12,9 +12,9 @@ class says menu, header, footer, sidebar, notice, advert, form or reader comment
 several articles, only these are taken. Template text outside ``article`` and ``main`` is left out too, unless nothing
 would remain.
 
-Classes and ids count as whole names, and ids only of plain containers, for those of headings and sections are made of
-their words. No mark reaches a ``main`` below it, nor an ``article``, unless another article or main of the page has
-text: then articles in a comment list or a sidebar go with it. A form that holds half of the page's text is layout.
+Classes and ids count as whole names, or as pairs of what is held and a container; ids only of plain containers, for
+those of headings and sections are made of their words, and of sections where the id names a container. No mark reaches a ``main`` below it, nor an ``article``, unless another article or main of the page has
+text: then articles in a sidebar go with it. Those among readers' comments always do. A form that holds half of the page's text is layout.
 Where nothing but marked text is left, names and forms stop counting, and if need be all marks.
 
 Where no wrapper can be learned (one page, nothing varies, or the content node has no partner in the page), the page's
@@ -24,7 +24,8 @@ Statistics are sums, least and greatest hashes per host and node, so a host with
 in every task; wrappers are broadcast while they are small, and beyond that only those of large hosts are.
 
 Results in odd cases: a null or empty html gives an empty text; a null url belongs to the host without a name; markup
-that is never closed is closed where HTML closes it or at the end; rows may repeat; an empty table gives no rows; other
+that is never closed is closed where HTML closes it or at the end; a tag that never ends takes the rest of the page;
+blocks nested deeper than 256 are one; time grows with the length of the page, however broken it is; rows may repeat; an empty table gives no rows; other
 columns are ignored, so their names cannot clash.
 """
 
@@ -32,11 +33,13 @@ from __future__ import annotations
 
 import html as markup
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from uuid import uuid4
 
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cloakframe.llm.common import stored
@@ -44,7 +47,6 @@ from cloakframe.llm.files import kept
 from cloakframe.operators.hot_keys import left_lookup
 
 # Element names by what they mean to a reader of HTML.
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes".split())
 BLOCK = frozenset(
     "html head body article section main div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th "
@@ -62,25 +64,37 @@ CHROME_ROLES = frozenset("navigation banner contentinfo complementary search dia
 CHROME_WORDS = frozenset(
     "ad ads advert adverts advertisement sponsor sponsored promo sidebar nav navbar navigation menu breadcrumb breadcrumbs "
     "footer masthead cookie cookies consent notice popup modal newsletter subscribe share sharing social related comment "
-    "comments disqus replies pagination pager widget toolbar skip "
-    "site-header page-header site-footer page-footer main-nav main-navigation site-nav site-navigation nav-menu nav-links "
-    "nav-bar main-menu breadcrumb-nav side-bar left-sidebar right-sidebar sidebar-left sidebar-right widget-area "
-    "cookie-banner cookie-bar cookie-notice cookie-consent cookie-policy consent-banner ad-slot ad-container ad-banner "
-    "ad-wrapper banner-ad share-buttons share-links social-share social-links social-media related-posts "
-    "related-articles related-links related-content comment-list comment-form comments-area comments-section "
-    "comment-section post-comments user-comments newsletter-signup newsletter-form subscribe-form skip-link skip-links".split()
+    "comments disqus replies respond pagination pager widget toolbar skip site-header page-header".split()
 )
-# Ids of other elements are the slugs of their texts.
+# A name of two parts is chrome if it is made of what an element holds and a word for a container, or of a word for a
+# place and what it holds: comment-thread, commentlist, post-comments. Other parts of names say nothing.
+_HOLDS = (
+    "ad ads advert sponsor promo sidebar side nav navigation menu breadcrumb breadcrumbs footer cookie cookies consent popup "
+    "modal newsletter subscribe share social related comment comments disqus reply replies pagination widget skip banner".split()
+)
+_CONTAINERS = (
+    "list area section thread threads block box bar banner container wrapper wrap holder form group item items body inner "
+    "content links link buttons button panel notice policy overlay slot unit nav menu posts articles media icons signup "
+    "ad left right top bottom feed".split()
+)
+_PLACES = "site page main post article entry story blog user reader left right top bottom social fb facebook global sticky".split()
+_PLACED = "nav navigation menu sidebar footer comment comments ads ad share related replies cookie newsletter banner".split()
+CHROME_PAIRS = frozenset(f"{x}{dash}{y}" for x in _HOLDS for y in _CONTAINERS for dash in ("-", "")[: 2 - (len(x) < 4 or y == "holder")]) | frozenset(
+    f"{x}-{y}" for x in _PLACES for y in _PLACED
+)
+# Ids of headings and the like are the slugs of their texts. That of a section is one unless it names a container.
 ID_TAGS = frozenset("div ul ol dl table center".split())
+SECTION_IDS = CHROME_PAIRS | {"comment", "comments", "disqus", "replies", "respond"}
 CONTENT_TAGS = frozenset({"article", "main"})
 NEVER_CHROME = CONTENT_TAGS | {"html", "body"}
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|</([a-zA-Z][^\s/>]*)[^>]*>"
-    r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>|<([a-zA-Z][^\s/>]*)([^>]*)>|<[a-zA-Z/][^<>]*\Z",
-    re.S,
-)
-NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+TAG_STOP = re.compile(r">|=\s*([\"'])")
+ATTRIBUTE = re.compile(r"([^\s=\"'>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
+TALK = re.compile("comment|disqus|repl(?:y|ies)", re.I)
+CASES = re.compile("(?<=[a-z0-9])(?=[A-Z])")
+HIDING = frozenset("button select object canvas svg video audio".split())
+DEEPEST = 256  # blocks inside so many others are not told apart from the one around them
 HOLDS_MOST = 0.8
 MIN_PAGES, MIN_SHARE = 3, 0.5  # of different pages
 WHOLE_PAGE, WHOLE_CHAR = 1 << 32, 1 << 20  # what a page and a character weigh; a page's copies share it
@@ -89,44 +103,84 @@ COPIES_SHIPPED = 100_000
 
 
 class Node:
-    __slots__ = ("tag", "label", "chrome", "named", "children", "runs", "order", "parent", "shape", "size", "end")
+    __slots__ = ("tag", "label", "chrome", "named", "talk", "within", "depth", "children", "runs", "order", "parent", "shape", "size", "end")
 
-    def __init__(self, tag: str, label: str, chrome: bool, parent: Node | None, named: bool = False):
+    def __init__(self, tag: str, label: str, chrome: bool, parent: Node | None, named: bool = False, talk: bool = False):
         self.tag, self.label, self.chrome, self.parent = tag, label, chrome, parent
         self.named = named  # whether only its class or id says that it is chrome
+        self.talk = talk  # whether that is because it holds readers' comments
+        self.within = parent is not None and (parent.within or parent.tag in CONTENT_TAGS)  # article or main
+        self.depth = parent.depth + 1 if parent is not None else 0
         self.children: list[Node] = []
         self.runs: list[str] = []  # texts between child elements
         self.order: list = []  # runs and children as they come
 
 
+def names_chrome(token: str) -> bool:
+    """Whether a class says that its element is no content; of ``block__element--variant`` the element decides."""
+    plain = CASES.sub("-", token).lower().split("--")[0]
+    for part in {plain, plain.rsplit("__", 1)[-1]}:
+        part = part.strip("_-").replace("__", "-").replace("_", "-")
+        if part in CHROME_WORDS or part in CHROME_PAIRS:
+            return True
+    return False
+
+
 def _node(tag: str, attributes: str, parent: Node) -> Node:
-    label, chrome = tag, tag in CHROME_TAGS
-    around = parent
-    while around is not None and around.tag not in CONTENT_TAGS:
-        around = around.parent
+    label, chrome, named = tag, tag in CHROME_TAGS, False
+    inside = parent.within or parent.tag in CONTENT_TAGS
     if tag == "header":
-        chrome = around is None  # the header of an article is its headline
-    named = False
+        chrome = not inside  # the header of an article is its headline
     if attributes and "=" in attributes:
-        words: list[str] = []
-        for name, *values in NAMES.findall(attributes):
-            value = next((v for v in values if v), "").lower()
-            if name.lower() == "role":
-                chrome = chrome or value in CHROME_ROLES
-            elif name.lower() == "class":
-                words += value.replace("_", "-").split()
-                label += f".{value}"
-            elif tag in ID_TAGS:
-                words.append(value.strip().replace("_", "-"))
-        if tag not in NEVER_CHROME or tag == "article" and around is not None:
-            named = not chrome and not CHROME_WORDS.isdisjoint(words)
-    return Node(tag, label, chrome or named, parent, named)
+        for name, *values in ATTRIBUTE.findall(attributes):
+            name, value = name.lower(), next((v for v in values if v), "")
+            if name == "role":
+                chrome = chrome or value.lower() in CHROME_ROLES
+            elif name == "class":
+                named = named or any(map(names_chrome, value.split()))
+                label += f".{value.lower()}"
+            elif name == "id" and tag in ID_TAGS:
+                named = named or names_chrome(value.strip())
+            elif name == "id" and tag == "section":
+                named = named or CASES.sub("-", value.strip()).lower().replace("_", "-") in SECTION_IDS
+        talk = named and TALK.search(attributes) is not None
+        named = named and not chrome and (tag not in NEVER_CHROME or tag == "article" and (inside or talk))
+        return Node(tag, label, chrome or named, parent, named, named and talk)
+    return Node(tag, label, chrome, parent)
+
+
+def _tag_end(text: str, at: int) -> int:
+    """Where the tag that is open at a place ends; a quote after an equals sign hides what it holds, if it is closed."""
+    while True:
+        stop = TAG_STOP.search(text, at)
+        if stop is None:
+            return len(text)
+        if stop[1] is None:
+            return stop.end()
+        close = text.find(stop[1], stop.end())
+        if close < 0:
+            return text.find(">", stop.end()) + 1 or len(text)
+        at = close + 1
+
+
+def _hidden_end(text: str, at: int, tag: str) -> int:
+    """Where an element ends whose content is no text; other than raw text, it may hold elements of its own name."""
+    depth = 1
+    for found in re.compile(rf"<(/?){tag}(?![^\s/>])[^>]*>?", re.I).finditer(text, at):
+        if found[1] or tag not in RAW:
+            depth += -1 if found[1] else int(not found[0].endswith("/>"))
+        if not depth:
+            return found.end()
+    return len(text)
 
 
 def parse(text: str) -> Node:
-    """The tree of block elements; inline elements only contribute their text."""
+    """The tree of block elements; inline elements only contribute their text. One pass: no place is looked at again
+    however the markup is broken."""
     root = Node("", "", False, None)
     here, piece, at, size = root, [], 0, len(text)
+    opened: dict[str, int] = {}  # open elements by name
+    flat: dict[str, int] = {}  # those of them that are too deep to be nodes
 
     def flush() -> None:
         nonlocal piece
@@ -137,53 +191,71 @@ def parse(text: str) -> Node:
                 here.order.append(run)
             piece = []
 
-    hidden = None  # name of the raw element that is open
+    def close_to(node: Node) -> None:
+        nonlocal here
+        while here is not node:
+            opened[here.tag] -= 1
+            here = here.parent
+
     while at < size:
-        if hidden:
-            close = re.compile(rf"</{hidden}\b[^>]*>", re.I).search(text, at)
-            at, hidden = (close.end() if close else size), None
-            continue
-        found = TOKEN.search(text, at)
-        if found is None:
+        place = text.find("<", at)
+        if place < 0:
             piece.append(markup.unescape(text[at:]))
             break
-        if found.start() > at:
-            piece.append(markup.unescape(text[at : found.start()]))
-        at = found.end()
-        end, start, attributes, start_2, attributes_2 = found.groups()
-        if end:
-            tag = end.lower()
+        if place > at:
+            piece.append(markup.unescape(text[at:place]))
+        if text.startswith("<!--", place):
+            at = text.find("-->", place + 4) + 3
+            at = size if at < 3 else at
+            continue
+        if text.startswith(("<!", "<?"), place):
+            at = text.find(">", place) + 1 or size
+            continue
+        found = TAG.match(text, place)
+        if found is None:
+            piece.append("<")
+            at = place + 1
+            continue
+        at = _tag_end(text, found.end())
+        tag = found[2].lower()
+        if found[1]:
             if tag not in BLOCK:
                 continue
-            up = here
-            while up is not None and up.tag != tag:
-                up = up.parent
             flush()
-            if up is not None:
-                here = up.parent or root
-        elif start or start_2:
-            tag = (start or start_2).lower()
-            if tag in RAW:
-                hidden = tag
-            elif tag == "br" or tag in VOID and tag not in BLOCK:
-                piece.append(" ")
-            elif tag in BLOCK:
-                flush()
-                ends = SIBLINGS.get(tag, ())
+            if flat.get(tag):
+                flat[tag] -= 1
+            elif opened.get(tag):
+                up = here
+                while up.tag != tag:
+                    up = up.parent
+                close_to(up.parent)
+            continue
+        attributes = text[found.end() : at - 1]
+        if tag in RAW or tag in HIDING and not attributes.endswith("/"):
+            at = _hidden_end(text, at, tag)
+        elif tag == "br":
+            piece.append(" ")
+        elif tag in BLOCK:
+            flush()
+            ends = SIBLINGS.get(tag, ())
+            if any(opened.get(e) for e in ends) or opened.get("p") and tag in CLOSES_P:
                 up = here
                 while up is not root and up.tag not in SCOPES and up.tag not in ends and not (up.tag == "p" and tag in CLOSES_P):
                     up = up.parent
                 if up is not root and (up.tag in ends or up.tag == "p" and tag in CLOSES_P):
-                    here = up.parent
+                    close_to(up.parent)
                     while here is not root and here.tag in ends:
-                        here = here.parent
-                if tag != "hr":
-                    node = _node(tag, attributes or attributes_2 or "", here)
-                    here.children.append(node)
-                    here.order.append(node)
-                    here = node
-            elif tag in ("button", "select", "option", "object", "canvas", "svg", "video", "audio"):
-                hidden = None if tag == "option" else tag
+                        close_to(here.parent)
+            if tag == "hr":
+                continue
+            if here.depth >= DEEPEST:
+                flat[tag] = flat.get(tag, 0) + 1
+                continue
+            node = _node(tag, attributes, here)
+            here.children.append(node)
+            here.order.append(node)
+            here = node
+            opened[tag] = opened.get(tag, 0) + 1
     flush()
     return root
 
@@ -305,7 +377,7 @@ def _marked(root: Node) -> Iterator[tuple[Node, int, str, bool, bool, bool]]:
         _size(root, sizes)
     half = sizes.get(id(root), 0) / 2
 
-    stack: list = [(root, (False, False, False, False), iter(root.order), [0])]
+    stack: list = [(root, (False, False, False, False, False), iter(root.order), [0])]
     while stack:
         node, marks, rest, count = stack[-1]
         for part in rest:
@@ -313,19 +385,20 @@ def _marked(root: Node) -> Iterator[tuple[Node, int, str, bool, bool, bool]]:
                 yield node, count[0], part, *marks[:3]
                 count[0] += 1
                 continue
-            chrome, strong, free, hidden = marks
+            chrome, strong, free, hidden, talk = marks
             if part.tag == "main":
-                chrome = strong = free = hidden = False
+                chrome = strong = free = hidden = talk = False
             elif part.tag == "article":
                 # A form around an article never hides it; what else does, only if the page has another.
-                chrome, strong, free = hidden, strong and hidden, False
+                chrome, strong, free = hidden, strong and hidden, talk
             if part.chrome:
                 form = part.tag == "form"
                 if not (form and sizes[id(part)] >= half):
                     chrome = free = True
                     strong = strong or not (form or part.named)
                     hidden = hidden or not form
-            stack.append((part, (chrome, strong, free, hidden), iter(part.order), [0]))
+                    talk = talk or part.talk
+            stack.append((part, (chrome, strong, free, hidden, talk), iter(part.order), [0]))
             break
         else:
             stack.pop()
@@ -350,10 +423,8 @@ def runs(root: Node) -> list[tuple[Node, int, str, bool]]:
     """(node, number of the run in it, text, inside chrome) in page order."""
     found = list(_marked(root))
 
-    def in_content(node: Node | None) -> bool:
-        while node is not None and node.tag not in CONTENT_TAGS:
-            node = node.parent
-        return node is not None
+    def in_content(node: Node) -> bool:
+        return node.within or node.tag in CONTENT_TAGS
 
     # Articles below a mark are content if no other article or main has text.
     if any(x[3] and not x[5] for x in found) and not any(not x[3] and in_content(x[0]) for x in found):
@@ -433,7 +504,7 @@ def main_text(matcher: Matcher, text: str) -> str:
     tops: set[int] = {k for k, place in matched.items() if place == content} if content is not None else set()
     own: dict[int, tuple[bool, bool]] = {}  # below the content node, inside article or main
 
-    def state(node: Node) -> tuple[bool, bool]:
+    def state(node: Node | None) -> tuple[bool, bool]:
         path = []
         while node is not None and id(node) not in own:
             path.append(node)
@@ -489,12 +560,11 @@ def _broadcast_if_small(df: DataFrame, rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
-def _with_host_rows(pages: DataFrame, lookup: DataFrame, size: Column) -> DataFrame:
-    """Pages with the columns of their host's row: a broadcast while that is small, else a join in which the rows of
-    large hosts are spread, so that no task gets all pages of one."""
-    if (lookup.agg(F.sum(size)).first()[0] or 0) <= SMALL_BYTES:
-        return pages.join(F.broadcast(lookup), "host", "left")
-    return left_lookup(pages, lookup, "host", "host")
+def _by_host(spark: SparkSession, lookup: DataFrame, size: Column) -> Broadcast | None:
+    """host -> the other columns of its row, as one value for all tasks of a worker, if all rows are small."""
+    if (lookup.agg(F.sum(size)).first()[0] or 0) > SMALL_BYTES:
+        return None
+    return spark.sparkContext.broadcast({r[0]: tuple(r[1:]) for r in lookup.collect()})
 
 
 def copies(pages: DataFrame) -> DataFrame:
@@ -517,16 +587,14 @@ def _with_copies(pages: DataFrame, counts: DataFrame) -> DataFrame:
     return found.drop("digest").withColumn("copies", F.coalesce("copies", F.lit(1)))
 
 
-STATS = "array<struct<node:int,run:int,pages:long,least:long,greatest:long,chars:long>>"
-
-
 def wrappers(pages: DataFrame) -> DataFrame:
     """(host, reference, stats, different) for pages (page_id, url, html, host)."""
     chosen = stored(references(pages), "references")
     counts = stored(copies(pages), "copies")
 
-    @F.pandas_udf("array<struct<node:int,run:int,hash:long,chars:long>>")
-    def seen(texts: pd.Series, chosen: pd.Series) -> pd.Series:
+    shape = "array<struct<node:int,run:int,hash:long,chars:long>>"
+
+    def seen_in(texts: pd.Series, chosen: Iterable[str | None]) -> pd.Series:
         out = []
         for text, reference in zip(texts, chosen, strict=True):
             found = observe(_matcher(reference), text or "") if reference else []
@@ -534,8 +602,20 @@ def wrappers(pages: DataFrame) -> DataFrame:
         return pd.Series(out)
 
     weighed = _with_copies(pages.select("host", "html"), counts)
-    joined = _with_host_rows(weighed, chosen, F.octet_length("reference"))
-    found = joined.select("host", "copies", F.explode(seen("html", "reference")).alias("x")).select("host", "copies", "x.*")
+    shipped = _by_host(pages.sparkSession, chosen, F.octet_length("reference"))
+    if shipped:
+        @F.pandas_udf(shape)
+        def seen(texts: pd.Series, hosts: pd.Series) -> pd.Series:
+            return seen_in(texts, [shipped.value.get(h, (None,))[0] for h in hosts])
+
+        parts = weighed.select("host", "copies", seen("html", "host").alias("x"))
+    else:
+        @F.pandas_udf(shape)
+        def seen(texts: pd.Series, chosen: pd.Series) -> pd.Series:
+            return seen_in(texts, chosen)
+
+        parts = left_lookup(weighed, chosen, "host", "host").select("host", "copies", seen("html", "reference").alias("x"))
+    found = parts.select("host", "copies", F.explode("x").alias("x")).select("host", "copies", "x.*")
     # Whole numbers, so that the order of the sums decides nothing.
     sums = found.groupBy("host", "node", "run").agg(
         F.round(F.sum(F.expr(f"{WHOLE_PAGE}L div copies")) / WHOLE_PAGE).cast("long").alias("pages"),
@@ -557,19 +637,39 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     )
     learned = wrappers(rows)
 
-    @F.pandas_udf("string")
-    def text_of(texts: pd.Series, chosen: pd.Series, stats: pd.Series, different: pd.Series) -> pd.Series:
-        out = []
-        for text, reference, rows, n in zip(texts, chosen, stats, different, strict=True):
-            matcher = _matcher(reference)
-            seen = [tuple(r.values()) for r in rows] if rows is not None else []
-            if matcher.wrapper is None or matcher.wrapper[0] != (seen, n):
-                matcher.wrapper = ((seen, n), induce(matcher, seen, n))
-            out.append(main_text(matcher, text))
-        return pd.Series(out)
+    def text_by(text: str, reference: str | None, stats: Callable[[], list], n: int, version: object) -> str:
+        matcher = _matcher(reference)
+        if matcher.wrapper is None or matcher.wrapper[0] != version:
+            matcher.wrapper = (version, induce(matcher, stats(), n))
+        return main_text(matcher, text)
+
+    def rows_of(stats: Iterable | None) -> list[tuple]:
+        return [tuple(r.values() if isinstance(r, dict) else r) for r in stats] if stats is not None else []
 
     size = F.octet_length("reference") + 48 * F.coalesce(F.size("stats"), F.lit(0))
-    joined = _with_host_rows(rows, learned, size)
-    return joined.select(
-        F.col("page_id").alias(id_col), F.col("url").alias(url_col), text_of("html", "reference", "stats", F.coalesce("different", F.lit(0))).alias("text")
-    )
+    learned = learned.withColumn("different", F.coalesce("different", F.lit(0)))
+    shipped = _by_host(pages.sparkSession, learned, size)
+    if shipped:
+        version = uuid4().hex
+
+        @F.pandas_udf("string")
+        def text_of(texts: pd.Series, hosts: pd.Series) -> pd.Series:
+            out = []
+            for text, name in zip(texts, hosts, strict=True):
+                reference, stats, n = shipped.value.get(name, (None, None, 0))
+                out.append(text_by(text, reference, lambda s=stats: rows_of(s), n, (version, name)))
+            return pd.Series(out)
+
+        found = rows.withColumn("text", text_of("html", "host"))
+    else:
+        @F.pandas_udf("string")
+        def text_of(texts: pd.Series, chosen: pd.Series, stats: pd.Series, different: pd.Series) -> pd.Series:
+            out = []
+            for text, reference, some, n in zip(texts, chosen, stats, different, strict=True):
+                seen = rows_of(some)
+                out.append(text_by(text, reference, lambda s=seen: s, n, (seen, n)))
+            return pd.Series(out)
+
+        joined = left_lookup(rows, learned, "host", "host")
+        found = joined.withColumn("text", text_of("html", "reference", "stats", F.coalesce("different", F.lit(0))))
+    return found.select(F.col("page_id").alias(id_col), F.col("url").alias(url_col), "text")

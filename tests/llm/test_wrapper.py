@@ -177,3 +177,87 @@ def test_copies_make_no_template(spark, monkeypatch, broadcast):
     got = extract(spark, rows)
     assert all(got[100 + i] == "\n\n".join(["text copied", *(f"paragraph {k}" for k in range(5))]) for i in range(6))
     assert got[1] == f"text 1 {'.' * 200}"
+
+
+ARTICLE = "<article><h1>Headline</h1><p>First of it.</p><p>Second of it.</p>{}</article>{}"
+SAID = "<p>I liked it.</p><p>So did I.</p>"
+COMMENTS = [
+    f'<section id="comments">{SAID}</section>', f'<section class="post__comments">{SAID}</section>',
+    f'<div class="comment-thread">{SAID}</div>', f'<ol class="commentlist"><li>{SAID}</li></ol>', f'<ul id="comment-list"><li>{SAID}</ul>',
+    f'<div class="Article__Comments--open">{SAID}</div>', f'<section id="readerComments" class=x><div class="comment-thread">{SAID}</div></section>',
+    f'<div id="disqus_thread">{SAID}</div>', f'<div class="story comments-area">{SAID}</div>', f'<div class="cookieBanner">{SAID}</div>',
+    f'<section class="comments"><article class="comment">{SAID}</article></section>',
+]
+
+
+CASES = [ARTICLE.format(*((c, "") if inside else ("", c))) for c in COMMENTS for inside in (True, False)]
+
+
+def test_reader_comments_stay_out():
+    for page in CASES:
+        alone = wrapper.Matcher(page)
+        alone.wrapper = ([], wrapper.induce(alone, []))
+        assert wrapper.main_text(alone, page) == "Headline\n\nFirst of it.\n\nSecond of it.", page
+
+
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_reader_comments_stay_out_of_wrappers(spark, tag):
+    rows, want = [], {}
+    for k, case in enumerate(CASES):
+        for i in range(6):
+            html = case.replace("Headline", f"Headline {i}").replace("First", f"{i}. First").replace("Second", f"{i}. Second")
+            html = html.replace("liked", f"liked {i} of").replace("So did", f"So did {i}")
+            if tag == "div":
+                html = html.replace("<article><h1>", "<div><h1>").replace("</article>", "</div>")
+            rows.append((k * 10 + i, f"http://h{k}/", f"<body>{html}</body>"))
+            want[k * 10 + i] = f"Headline {i}\n\n{i}. First of it.\n\n{i}. Second of it."
+    got = extract(spark, rows)
+    assert {i: t for i, t in got.items() if t != want[i]} == {}
+
+
+@pytest.mark.parametrize(
+    "page,want",
+    [
+        ("<article><div data-id='related'><p>x</p></div><div data-class=\"menu\">y</div><p title='set class=menu here'>z</p></article>", "x\n\ny\n\nz"),
+        ("<article><div aria-label='a' hidden data-role=navigation>x</div><div CLASS = 'menu' >y</div>z</article>", "x\n\nz"),
+        ("<p>super<wbr>cali and a<img src=x>b<input>c<br>d</p>", "supercali and abc d"),
+        ("<p>a<svg><svg><text>in</text></svg><text>still in</text></svg>b<svg/>c</p>", "abc"),
+        ("<p>a<script>if (a < b) '</p>'</script >b</p><style>x", "ab"),
+        ("<p>1 < 2 and 3 <4</p>", "1 < 2 and 3 <4"), ("<p>x</p><a href='never ends", "x"), ("<p title=don't>x</p><p title='it is'>y", "x\n\ny"),
+        ("<p>x<!-- never ends <p>y", "x"), ("<section id='related-work'>x</section><section id=history>y</section>", "x\n\ny"),
+        ("<div class='shareholder social-history adfree menu-of-the-day'>x</div>", "x"),
+    ],
+)
+def test_attributes_and_marks(page, want):
+    matcher = wrapper.Matcher(page)
+    matcher.wrapper = ([], wrapper.induce(matcher, []))
+    assert wrapper.main_text(matcher, f"<body>{page}</body>") == want
+
+
+HOSTILE = {
+    "open tags": "<a ", "end tags": "</x ", "quotes": "<a b='", "other quotes": '<p c="d', "divs": "<div>", "closed divs": "<div>x</div>",
+    "quotes and ends": "<a b='>\"", "items": "<li><blockquote>", "cells": "<td><p>", "comments": "<!--", "equals": "<a = = =", "script": "</script ",
+    "raw": "<script>", "svg": "<svg>", "ends of divs": "</div>", "paragraphs": "<p>", "names": "<p a a a", "spaces": "<p =       ", "less": "<<<", "and": "&amp",
+    "forms": "<form><section>",
+}
+
+
+@pytest.mark.parametrize("name", sorted(HOSTILE))
+def test_broken_markup_takes_linear_time(name):
+    def seconds(size):
+        text = "<article><p>kept</p>" + HOSTILE[name] * (size // len(HOSTILE[name]))
+        matcher = wrapper.Matcher("<body><p>a</p><div>b</div></body>")
+        matcher.wrapper = ([], wrapper.induce(matcher, []))
+        begun = time.process_time()
+        assert wrapper.main_text(matcher, text).startswith("kept")
+        return time.process_time() - begun
+
+    seconds(1000)
+    small, large = min(seconds(50_000) for _ in range(2)), min(seconds(100_000) for _ in range(2))
+    assert large < 1.5 and large < 3.2 * small + 0.05
+
+
+def test_deep_pages_align():
+    deep, deeper = ("<div class=a>" * n + "<p>x</p>" for n in (3000, 9000))
+    matcher = wrapper.Matcher(deep)
+    assert wrapper.observe(matcher, deeper)
