@@ -14,6 +14,9 @@ _PHRASES = (
     "enable javascript|subscribe to our newsletter|powered by|skip to content"
 )
 
+# Ends of sentences of other scripts, and the letters of Thai and Lao, which mark none.
+_OTHER_ENDS = "।॥؟۔؛።፧։។៕။།༎｡．。！？ก-๎ກ-໎"
+
 SQL = {
     "op1_decontaminate": f"""
 WITH docs AS (SELECT doc_id, {_TOKENS} AS w FROM documents),
@@ -64,16 +67,27 @@ repeated AS (
   FROM (SELECT doc_id, unnest(generate_series(i, i + 2)) AS p FROM windows JOIN again USING (doc_id, s))
   GROUP BY doc_id),
 lines AS (
-  SELECT doc_id, line, regexp_matches(line, '[^\\x20\\x09-\\x0D]') AS has_words, length(line) AS chars
-  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)),
+  SELECT doc_id, i, line, regexp_matches(line, '[^\\x20\\x09-\\x0D]') AS has_words, length(line) AS chars,
+         regexp_matches(line, '[.!?…。！？:;]([\\s"''»”’)\\]]|$)|[{_OTHER_ENDS}]') AS ends,
+         lead(line) OVER (PARTITION BY doc_id ORDER BY i) AS following
+  FROM (SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS i
+        FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents))),
+placed AS (
+  SELECT *, count(*) FILTER (NOT has_words) OVER (PARTITION BY doc_id ORDER BY i) AS paragraph,
+         coalesce(regexp_matches(following, '[^\\x20\\x09-\\x0D]') AND (
+           chars >= 25 AND chars >= 0.6 * length(following)
+           OR regexp_matches(following, '^[\\x20\\x09-\\x0D]*["''(\\[]?\\p{{Ll}}')), false) AS goes_on
+  FROM lines),
+ended AS (
+  SELECT *, bool_or(ends) OVER (PARTITION BY doc_id, paragraph ORDER BY i DESC) AS ends_later FROM placed),
 counted AS (
-  SELECT doc_id, line, chars, count(*) OVER (PARTITION BY doc_id) AS n_lines,
+  SELECT doc_id, line, chars, count(*) OVER (PARTITION BY doc_id) AS n_lines, NOT ends AND NOT (goes_on AND ends_later) AS unfinished,
          len(regexp_extract_all(line, '[#*$%&|<>]')) AS symbols, len(regexp_extract_all(line, '[|›»·]')) AS bars
-  FROM lines WHERE has_words),
+  FROM ended WHERE has_words),
 marks AS (
   SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), '[#*$%&|<>›»·]')) AS n FROM documents),
 judged AS (
-  SELECT c.*, (n_lines > 1 AND NOT regexp_matches(line, '[.!?…。！？:;]([\\s"''»”’)\\]]|$)'))
+  SELECT c.*, (n_lines > 1 AND unfinished)
       OR (chars <= 300 AND regexp_matches(lower(line), '{_PHRASES}'))
       OR (symbols >= 3 AND symbols * 12 >= chars) OR (bars >= 3 AND bars * 40 >= chars) AS fails
   FROM counted c),

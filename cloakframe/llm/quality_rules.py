@@ -5,9 +5,10 @@ A line (between ``\\n``) without a word decides nothing and stays. Any other lin
 - *navigation*: at least three of ``| › » ·``, and one for every forty characters,
 - *symbols*: at least three of ``# * $ % & | < >``, and one for every twelve characters,
 - *boilerplate*: at most 300 characters, with one of the phrases in ``BOILERPLATE``,
-- *punctuation*: no sentence ends in it or in a later line of its paragraph (lines with words, none without between),
-  and there are other lines with words; so hard-wrapped prose passes. Lines in Thai or Lao, which mark no ends, pass.
-  With ``by_line`` every line must have an end of its own, by the marks of ``SENTENCE_END`` alone, as the SQL has it.
+- *punctuation*: no sentence ends in it, and it is not a line of hard-wrapped prose, and there are other lines with words.
+  A line is wrapped prose if the next line goes on with it (it starts in lower case, or the line has ``WRAPPED`` characters
+  or more and is at least 0.6 times as long as the next) and a later line of its paragraph (lines with words, none
+  without between) ends a sentence. Lines in Thai or Lao, which mark no ends, pass.
 
 Results in odd cases: a null or empty text has no words, fails the base rules and its cleaned text is null or
 empty; a text of one line is never judged by its punctuation; every row is judged alone, so repeated rows and
@@ -17,6 +18,7 @@ ignored, so their names cannot clash.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -38,16 +40,28 @@ SENTENCE_END = r"[.!?…。！？:;](?:[\s\"'»”’)\]]|$)"
 OTHER_END = r"[।॥؟۔؛።፧։។៕။།༎｡．。！？]"
 NO_ENDS = r"[\u0E01-\u0E4E\u0E81-\u0ECE]"
 CHARS_PER_SEPARATOR, CHARS_PER_SYMBOL, MAX_BOILERPLATE = 40, 12, 300
+GOES_ON = r"^[\x20\x09-\x0D]*[\"'(\[]?\p{Ll}"
+WRAPPED, NEARLY_AS_LONG = 25, 0.6
 MIN_WORDS = 50
 MAX_LOST = 0.4
 
 
 def unfinished_lines(lines: Column) -> Column:
-    """A letter per line: ``w`` if it has words and neither it nor a later line of its paragraph ends a sentence."""
+    """A letter per line: ``w`` if it has words, ends no sentence and is no wrapped prose."""
     ends = lambda x: x.rlike(f"{SENTENCE_END}|{OTHER_END}|{NO_ENDS}")
-    letters = F.transform(lines, lambda x: F.when(~x.rlike(HAS_WORDS), "b").when(ends(x), "e").otherwise("w"))
+
+    def goes_on(x: Column, following: Column) -> Column:
+        near = (F.length(x) >= WRAPPED) & (F.length(x) >= NEARLY_AS_LONG * F.length(following))
+        return following.rlike(HAS_WORDS) & (near | following.rlike(GOES_ON))
+
+    letters = F.transform(
+        lines,
+        lambda x, i: F.when(~x.rlike(HAS_WORDS), "b").when(ends(x), "e").when(goes_on(x, F.get(lines, i + 1)), "c").otherwise("w"),
+    )
+    # Up to each end of a sentence or of a paragraph: what goes on is finished only if an end comes.
     pieces = F.split(F.array_join(letters, ""), "(?<=[eb])")
-    return F.split(F.array_join(F.transform(pieces, lambda x: F.when(x.endswith("e"), F.translate(x, "w", "e")).otherwise(x)), ""), "")
+    settled = F.transform(pieces, lambda x: F.when(x.endswith("e"), F.translate(x, "c", "e")).otherwise(F.translate(x, "c", "w")))
+    return F.split(F.array_join(settled, ""), "")
 
 
 def line_fails(line: Column, unfinished: Column, marked: Column, boilerplate: tuple[str, ...] = BOILERPLATE) -> Column:
@@ -57,7 +71,7 @@ def line_fails(line: Column, unfinished: Column, marked: Column, boilerplate: tu
     separators, symbols = F.regexp_count(line, F.lit(SEPARATORS)), F.regexp_count(line, F.lit(SYMBOLS))
     return (
         unfinished
-        | ((length <= MAX_BOILERPLATE) & F.lower(line).rlike("|".join(boilerplate)))
+        | ((length <= MAX_BOILERPLATE) & F.lower(line).rlike("|".join(map(re.escape, boilerplate))))
         | (marked & (symbols >= 3) & (symbols * CHARS_PER_SYMBOL >= length))
         | (marked & (separators >= 3) & (separators * CHARS_PER_SEPARATOR >= length))
     )
@@ -107,7 +121,6 @@ def quality_rules(
     min_words: int = MIN_WORDS,
     max_lost: float = MAX_LOST,
     boilerplate: tuple[str, ...] = BOILERPLATE,
-    by_line: bool = False,
 ) -> DataFrame:
     """One row per document: counts, verdicts and the text without the lines that fail.
 
@@ -129,8 +142,6 @@ def quality_rules(
             )
 
         def verdicts(single: Column) -> Column:
-            if by_line:
-                return F.transform(lines, lambda x: verdict(x, ~single & ~x.rlike(SENTENCE_END)))
             return let(
                 unfinished_lines(lines),
                 lambda letters: F.transform(lines, lambda x, i: verdict(x, ~single & (F.get(letters, i) == "w"))),

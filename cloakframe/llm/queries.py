@@ -117,8 +117,7 @@ def op10_packing(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def op8_quality_rules(spark: SparkSession, directory: str) -> DataFrame:
-    judged = rules.quality_rules(load_table(spark, directory, "documents"), by_line=True)  # the rule of the SQL
-    return judged.drop("cleaned")
+    return rules.quality_rules(load_table(spark, directory, "documents")).drop("cleaned")
 
 
 def op11_secret_crf(spark: SparkSession, directory: str) -> DataFrame:

@@ -78,7 +78,6 @@ def test_wrapped_and_other_scripts_are_kept(spark):
     )]
     assert [r.n_failed_lines for r in judge(spark, wrapped + other)] == [0] * 9
     assert all(r.kept for r in judge(spark, [*wrapped, paragraphs]))
-    assert all(r.n_failed_lines > 0 for r in judge(spark, wrapped, by_line=True))
 
 
 def test_paragraphs_without_an_end_fail(spark):
@@ -86,3 +85,32 @@ def test_paragraphs_without_an_end_fail(spark):
     assert judge(spark, [text])[0].cleaned == "\n" + GOOD + "\nit goes\non here.\n "
     long = judge(spark, ["no end of it\n" * 100_000])[0]
     assert long.n_failed_lines == 100_000
+
+
+def test_a_menu_above_a_sentence_fails(spark):
+    menu = [f"{word} {i}" for i in range(10) for word in ("Home", "News", "Über uns", "Contact")]
+    got = judge(spark, ["\n".join([*menu, GOOD]), "\n".join([GOOD, *menu[:5], "and it goes on."])])
+    assert [r.n_failed_lines for r in got] == [40, 4]  # the line before one in lower case goes on
+    assert got[0].cleaned == GOOD
+
+
+def test_what_goes_on(spark):
+    long, short = "A line of prose without an end of any kind", "Short one"
+    texts = [f"{long}\n{long}\nThe end.", f"{short}\n{short}\nThe end.", f"{short}\nthe end.", f"{long}\n\nThe end.", f"{long}\n(the end.", f"{long}\nno end"]
+    assert [r.n_failed_lines for r in judge(spark, texts)] == [0, 2, 0, 1, 0, 2]
+
+
+def test_phrases_are_no_patterns(spark):
+    text = "one (c) two.\nOne c two.\n" + GOOD
+    assert judge(spark, [text], boilerplate=("(c)",))[0].n_failed_lines == 1
+
+
+def test_registered_query_keeps_wrapped_prose(spark, tmp_path):
+    from cloakframe.llm.queries import QUERIES
+
+    prose = " ".join(" ".join(f"{w}{i}" for w in GOOD[:-2].split()) + "." for i in range(20))
+    hindi = "\n".join(f"{i} " + "यह एक अच्छा दिन था और वे " * 3 + f"गए{i}।" for i in range(12))
+    rows = [(1, textwrap.fill(prose, 72)), (2, hindi), (3, "\n".join(["Menu entry"] * 60 + [GOOD]))]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in QUERIES["op8_quality_rules"](spark, str(tmp_path)).collect()}
+    assert got[1].kept and got[1].n_failed_lines == got[2].n_failed_lines == 0 and got[3].n_failed_lines == 60
