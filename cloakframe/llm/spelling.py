@@ -8,11 +8,13 @@ grams that start at each place, less those that lie inside an earlier one.
 
 One edit changes only some of them. A gram can be lost if it covers the edit, or if it starts right behind it and a
 new gram swallows it; a new gram reaches no further than the gram that starts behind the edit, as grams inside a
-frequent gram are frequent. The most grams that any single edit can affect is the word's bound. Near words therefore
-share all grams of the one but its bound, and also all grams of the other but that one's; under one order of all grams
-each has a shared gram among its bound + 1 first ones. Only these are listed, rarest first. Lists are merged by gram,
-length of the word and place, where a gram behind the edit may have moved by the difference in length. Each pair that
-meets is then verified.
+frequent gram are frequent. The most grams of a set that any single edit can affect is the set's bound, and near words
+share at least as many grams of a set as it has more than its bound. So a word asks with the least set that has one
+more: two grams with a bound of one, those of which the shortest lists are expected. All grams of all words are listed.
+
+The edit is either behind a shared gram, and then the words agree up to the gram's end, or in front of it, and then they
+agree from its start on. So a list holds the words of one length that have a gram and all in front of it, or it and all
+behind it, in common. Lists of words as long and of words longer by one are merged, and each pair that meets is verified.
 
 The dictionary holds at most ``total / threshold`` frequent grams of each length, and the threshold grows with the
 vocabulary once that is more than ``MOST_GRAMS``, so it can be broadcast. Nothing else is bounded; no list is cut.
@@ -40,6 +42,7 @@ SHORTEST, LONGEST = 3, 6  # code points of a gram
 FREQUENT, MOST_GRAMS = 16, 100_000
 START, END = "\x01", "\x02"
 RATIO = 10
+SHARE = 0.3  # of the words with a gram, those expected to agree in a given code point beside it
 WORDY = 64  # code points from which on words are compared in another way
 
 
@@ -87,7 +90,7 @@ def decompose(text: str, frequent: dict[str, int], shortest: int = SHORTEST, lon
 
 
 def affected_bound(grams: list[tuple[int, int]], length: int, longest: int = LONGEST) -> int:
-    """The most grams that one edit of a word of that length can affect."""
+    """The most of these grams that one edit of a word of that length can affect."""
     spans = np.array(grams)
     places = np.arange(longest - 1, longest - 1 + length)
     started = np.searchsorted(spans[:, 0], places + 1, side="right")
@@ -95,13 +98,27 @@ def affected_bound(grams: list[tuple[int, int]], length: int, longest: int = LON
     return int((started - ended).max())
 
 
-def listed_grams(word: str, frequent: dict[str, int], shortest: int = SHORTEST, longest: int = LONGEST) -> list[tuple[str, int]]:
-    """The grams, with their places, under which a word is listed: of its own, rarest first, its bound and one more."""
-    text = padded(word, longest)
-    grams = decompose(text, frequent, shortest, longest)
-    bound = affected_bound(grams, len(word), longest)
-    ordered = sorted((frequent.get(text[a:b], 0), text[a:b], a) for a, b in grams)
-    return [(gram, place) for _, gram, place in ordered[: bound + 1]]
+def asked_pair(
+    text: str, grams: list[tuple[int, int]], frequent: dict[str, int], longest: int = LONGEST
+) -> tuple[tuple[int, int], tuple[int, int]]:
+    """Of the grams of a padded word two that no edit can both affect, a front and a back one: those for which the fewest
+    words are expected to share the one and all in front of it, or the other and all behind it."""
+
+    def expected(start: int, end: int, further: int) -> float:
+        return frequent.get(text[start:end], 1) * SHARE ** max(0, further)
+
+    edge = longest - 1
+    best, pair, i, front = math.inf, None, 0, (math.inf, None)
+    for start, end in grams:
+        while grams[i][1] < start:  # an edit right in front of a gram can affect it, too
+            a, b = grams[i]
+            front = min(front, (expected(a, b, a - edge), (a, b)))
+            i += 1
+        if front[1] is not None:
+            cost = front[0] + expected(start, end, len(text) - edge - end)
+            if cost < best:
+                best, pair = cost, (front[1], (start, end))
+    return pair
 
 
 def gram_dictionary(
@@ -132,30 +149,52 @@ def near_pairs(
         raise ValueError("grams have at least two code points")
     frequent = words.sparkSession.sparkContext.broadcast(gram_dictionary(words, shortest, longest, least, most_grams))
 
+    edge = longest - 1
+
     def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [
-                (word, n, gram, len(word), place)
-                for word, n in zip(batch["word"], batch["n"], strict=True)
-                for gram, place in listed_grams(word, frequent.value, shortest, longest)
-            ]
-            yield pd.DataFrame(rows, columns=["word", "n", "gram", "size", "place"])
+            rows = []
+            for word, n in zip(batch["word"], batch["n"], strict=True):
+                text = padded(word, longest)
+                grams = decompose(text, frequent.value, shortest, longest)
+                front, back = asked_pair(text, grams, frequent.value, longest)
+                ends = [end - edge for _, end in grams if 0 < end - edge < len(word)]
+                starts = [start - edge for start, _ in grams if 0 < start - edge < len(word)]
+                rows.append((word, n, ends, starts, front[1] - edge, back[0] - edge, parities(word)))
+            yield pd.DataFrame(rows, columns=["word", "n", "ends", "starts", "asked_end", "asked_start", "odd"])
 
     few = f"length(word) < {longest - shortest + 3}"
     checked = words.select(
         F.when(F.expr(few), F.raise_error(F.lit("a word is too short for grams of these lengths"))).otherwise(F.col("word")).alias("word"), "n"
     )
-    lists = checked.mapInPandas(listed, "word string, n long, gram string, size int, place int")
-    # The other word is as long, or one longer with the gram in front of the edit or behind it.
-    moves = F.array(*[F.struct(F.lit(s).alias("longer"), F.lit(p).alias("moved")) for s, p in ((0, 0), (1, 0), (1, 1))])
-    asked = lists.withColumn("move", F.explode(moves)).select(
-        F.col("word").alias("a"), F.col("n").alias("a_n"), "gram",
-        (F.col("size") + F.col("move.longer")).alias("size"), (F.col("place") + F.col("move.moved")).alias("place"),
-        F.col("move.longer").alias("longer"),
-    )
-    held = lists.select(F.col("word").alias("b"), F.col("n").alias("b_n"), "gram", "size", "place")
-    met = asked.join(held, ["gram", "size", "place"]).where((F.col("longer") == 1) | (F.col("a") < F.col("b")))
-    return met.where(one_edit(F.col("a"), F.col("b"))).select("a", "b", "a_n", "b_n").distinct()
+    shape = "word string, n long, ends array<int>, starts array<int>, asked_end int, asked_start int, odd long"
+    lists = stored(checked.mapInPandas(listed, shape), "lists")
+    size = F.length("word")
+
+    # Lists are named by hashes, as the pairs are verified anyway.
+    def up_to(end: Column, size: Column) -> Column:
+        return F.xxhash64(F.lit(0), F.substring("word", 1, end), size)
+
+    def from_(start: Column, size: Column) -> Column:
+        return F.xxhash64(F.lit(1), F.substring("word", start + 1, F.length("word")), size)
+
+    names = F.concat(F.transform("ends", lambda e: up_to(e, size)), F.transform("starts", lambda s: from_(s, size)))
+    held = lists.select(F.explode(names).alias("list"), F.col("word").alias("b"), F.col("n").alias("b_n"), F.col("odd").alias("b_odd"))
+    wanted = F.array(*[f for more in (0, 1) for f in (up_to(F.col("asked_end"), size + more), from_(F.col("asked_start"), size + more))])
+    asked = lists.select(F.explode(wanted).alias("list"), F.col("word").alias("a"), F.col("n").alias("a_n"), F.col("odd").alias("a_odd"))
+    lengths = (F.length("b") == F.length("a") + 1) | (F.length("b") == F.length("a")) & (F.col("a") < F.col("b"))
+    met = asked.join(held, "list").where(lengths & (F.bit_count(F.col("a_odd").bitwiseXOR(F.col("b_odd"))) <= 2))
+    # The number keeps the comparison of words, which is not compiled, out of the join, where it would see all pairs.
+    numbered = met.withColumn("row", F.monotonically_increasing_id())
+    return numbered.where((F.col("row") >= 0) & one_edit(F.col("a"), F.col("b"))).select("a", "b", "a_n", "b_n").distinct()
+
+
+def parities(word: str) -> int:
+    """A bit per letter, set if the word has an odd number of it; one edit changes at most two."""
+    bits = 0
+    for c in word:
+        bits ^= 1 << ord(c) % 62
+    return bits
 
 
 def one_edit(a: Column, b: Column) -> Column:

@@ -31,17 +31,26 @@ def test_every_near_word_is_listed_beside(shortest, longest, letters):
     chance = random.Random(longest)
     least = longest - shortest + 3
     words = ["".join(chance.choices(letters, k=chance.randint(max(least + 1, 7), 14))) for _ in range(60)]
+    edge = longest - 1
     for above in (0, 2, 8, 10**9):
         frequent = dictionary(words, shortest, longest, above)
+
+        def grams(word, frequent=frequent):
+            text = sp.padded(word, longest)
+            return text, sp.decompose(text, frequent, shortest, longest)
+
         for w in words[:20]:
-            grams = set(sp.listed_grams(w, frequent, shortest, longest))
+            text, spans = grams(w)
+            (_, end), (start, _) = pair = sp.asked_pair(text, spans, frequent, longest)
+            assert sp.affected_bound(list(pair), len(w), longest) == 1
             for other in edits(w, letters):
-                moved = len(other) - len(w)
-                for gram, place in sp.listed_grams(other, frequent, shortest, longest):
-                    if (gram, place) in grams or (gram, place - moved) in grams:
-                        break
-                else:
-                    raise AssertionError((w, other, above))
+                if len(other) >= len(w):
+                    theirs, listed = grams(other)
+                    in_front = theirs[:end] == text[:end] and end in {b for _, b in listed}
+                    moved = start + len(other) - len(w)
+                    behind = theirs[moved:] == text[start:] and moved in {a for a, _ in listed}
+                    assert in_front or behind, (w, other, above)
+                    assert 0 < end - edge < len(other) and 0 < moved - edge < len(other) or not (0 < end - edge and start - edge > 0)
 
 
 def test_bound_holds_for_each_edit():
@@ -61,11 +70,11 @@ def test_bound_holds_for_each_edit():
 
 
 def test_lists_are_short():
-    """A gram that could still grow is in at most as many lists as the threshold says."""
+    """A gram that could still grow is in at most as many words as the threshold says."""
     chance = random.Random(4)
     words = sorted({"".join(chance.choices("abcde", k=9)) for _ in range(3000)})
     frequent = dictionary(words, 3, 6, 16)
-    lists = Counter(g for w in words for g, _ in sp.listed_grams(w, frequent) if len(g) < 6)
+    lists = Counter(sp.padded(w)[a:b] for w in words for a, b in sp.decompose(sp.padded(w), frequent) if b - a < 6)
     assert lists and max(lists.values()) <= 16
 
 
