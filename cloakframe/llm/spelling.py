@@ -10,7 +10,8 @@ One edit changes only some of them. A gram can be lost if it covers the edit, or
 new gram swallows it; a new gram reaches no further than the gram that starts behind the edit, as grams inside a
 frequent gram are frequent. The most grams of a set that any single edit can affect is the set's bound, and near words
 share at least as many grams of a set as it has more than its bound. So a word asks with the least set that has one
-more: two grams with a bound of one, those of which the shortest lists are expected. All grams of all words are listed.
+more: two grams with a bound of one, those of which the shortest lists are expected, or in words beyond ``WORDY`` code
+points those in the middle. All words are listed by all grams that others can ask for.
 
 The edit is either behind a shared gram, and then the words agree up to the gram's end, or in front of it, and then they
 agree from its start on. So a list holds the words of one length that have a gram and all in front of it, or it and all
@@ -38,11 +39,12 @@ from pyspark.sql import functions as F
 from cloakframe.llm.common import ascii_lower, let, stored
 
 RUN = "[A-Za-zÀ-ÿ]"
-SHORTEST, LONGEST = 3, 6  # code points of a gram
+SHORTEST, LONGEST = 3, 5  # code points of a gram
 FREQUENT, MOST_GRAMS = 16, 100_000
 START, END = "\x01", "\x02"
 RATIO = 10
 SHARE = 0.3  # of the words with a gram, those expected to agree in a given code point beside it
+BASE, MODULUS = 0x1B873593CC9E2D51, (1 << 61) - 1
 WORDY = 64  # code points from which on words are compared in another way
 
 
@@ -112,7 +114,8 @@ def asked_pair(
     for start, end in grams:
         while grams[i][1] < start:  # an edit right in front of a gram can affect it, too
             a, b = grams[i]
-            front = min(front, (expected(a, b, a - edge), (a, b)))
+            if b > edge:  # not only of padding
+                front = min(front, (expected(a, b, a - edge), (a, b)))
             i += 1
         if front[1] is not None:
             cost = front[0] + expected(start, end, len(text) - edge - end)
@@ -121,6 +124,12 @@ def asked_pair(
     return pair
 
 
+def middle_pair(grams: list[tuple[int, int]], size: int, longest: int = LONGEST) -> tuple[tuple[int, int], tuple[int, int]]:
+    """Such a pair in the middle of a long word, which leaves only a few lists by which others could ask for it."""
+    front = max(g for g in grams if g[1] - longest + 1 <= size // 2)
+    return front, min(g for g in grams if g[0] > front[1])
+
+
 def gram_dictionary(
     words: DataFrame, shortest: int = SHORTEST, longest: int = LONGEST, least: int = FREQUENT, most_grams: int = MOST_GRAMS
 ) -> dict[str, int]:
@@ -144,7 +153,7 @@ def near_pairs(
     words: DataFrame, shortest: int = SHORTEST, longest: int = LONGEST, least: int = FREQUENT, most_grams: int = MOST_GRAMS
 ) -> DataFrame:
     """Each pair of words that differ by one edit, once: a, b and their n. ``words`` has each word (of at least
-    ``longest - shortest + 3`` code points) once, with its n."""
+    ``2 * (longest - shortest) + 3`` code points) once, with its n."""
     if shortest < 2 or longest < shortest:
         raise ValueError("grams have at least two code points")
     frequent = words.sparkSession.sparkContext.broadcast(gram_dictionary(words, shortest, longest, least, most_grams))
@@ -155,33 +164,28 @@ def near_pairs(
         for batch in batches:
             rows = []
             for word, n in zip(batch["word"], batch["n"], strict=True):
-                text = padded(word, longest)
+                text, size = padded(word, longest), len(word)
                 grams = decompose(text, frequent.value, shortest, longest)
-                front, back = asked_pair(text, grams, frequent.value, longest)
-                ends = [end - edge for _, end in grams if 0 < end - edge < len(word)]
-                starts = [start - edge for start, _ in grams if 0 < start - edge < len(word)]
-                rows.append((word, n, ends, starts, front[1] - edge, back[0] - edge, parities(word)))
-            yield pd.DataFrame(rows, columns=["word", "n", "ends", "starts", "asked_end", "asked_start", "odd"])
-
-    few = f"length(word) < {longest - shortest + 3}"
+                up_to, back = running(word), running(word[::-1])
+                ends, starts = ([x - edge for x in some if 0 < x - edge < size] for some in zip(*((e, s) for s, e in grams), strict=True))
+                if size > WORDY:
+                    low, high = size // 2 - longest - 1, size // 2 + longest + 2
+                    ends, starts = ([x for x in some if low <= x <= high] for some in (ends, starts))
+                held = [list_name(0, up_to[e], size) for e in ends] + [list_name(1, back[size - s], size) for s in starts]
+                asked = []
+                for longer in (size, size + 1):
+                    chosen = asked_pair(text, grams, frequent.value, longest) if longer <= WORDY else middle_pair(grams, size, longest)
+                    asked += [list_name(0, up_to[chosen[0][1] - edge], longer), list_name(1, back[size - chosen[1][0] + edge], longer)]
+                rows.append((word, n, held, asked, parities(word)))
+            yield pd.DataFrame(rows, columns=["word", "n", "held", "asked", "odd"])
+
+    few = f"length(word) < {2 * (longest - shortest) + 3}"  # others have two such grams
     checked = words.select(
         F.when(F.expr(few), F.raise_error(F.lit("a word is too short for grams of these lengths"))).otherwise(F.col("word")).alias("word"), "n"
     )
-    shape = "word string, n long, ends array<int>, starts array<int>, asked_end int, asked_start int, odd long"
-    lists = stored(checked.mapInPandas(listed, shape), "lists")
-    size = F.length("word")
-
-    # Lists are named by hashes, as the pairs are verified anyway.
-    def up_to(end: Column, size: Column) -> Column:
-        return F.xxhash64(F.lit(0), F.substring("word", 1, end), size)
-
-    def from_(start: Column, size: Column) -> Column:
-        return F.xxhash64(F.lit(1), F.substring("word", start + 1, F.length("word")), size)
-
-    names = F.concat(F.transform("ends", lambda e: up_to(e, size)), F.transform("starts", lambda s: from_(s, size)))
-    held = lists.select(F.explode(names).alias("list"), F.col("word").alias("b"), F.col("n").alias("b_n"), F.col("odd").alias("b_odd"))
-    wanted = F.array(*[f for more in (0, 1) for f in (up_to(F.col("asked_end"), size + more), from_(F.col("asked_start"), size + more))])
-    asked = lists.select(F.explode(wanted).alias("list"), F.col("word").alias("a"), F.col("n").alias("a_n"), F.col("odd").alias("a_odd"))
+    lists = stored(checked.mapInPandas(listed, "word string, n long, held array<long>, asked array<long>, odd long"), "lists")
+    held = lists.select(F.explode("held").alias("list"), F.col("word").alias("b"), F.col("n").alias("b_n"), F.col("odd").alias("b_odd"))
+    asked = lists.select(F.explode("asked").alias("list"), F.col("word").alias("a"), F.col("n").alias("a_n"), F.col("odd").alias("a_odd"))
     lengths = (F.length("b") == F.length("a") + 1) | (F.length("b") == F.length("a")) & (F.col("a") < F.col("b"))
     met = asked.join(held, "list").where(lengths & (F.bit_count(F.col("a_odd").bitwiseXOR(F.col("b_odd"))) <= 2))
     # The number keeps the comparison of words, which is not compiled, out of the join, where it would see all pairs.
@@ -189,6 +193,20 @@ def near_pairs(
     return numbered.where((F.col("row") >= 0) & one_edit(F.col("a"), F.col("b"))).select("a", "b", "a_n", "b_n").distinct()
 
 
+def running(word: str) -> list[int]:
+    """Hashes of the beginnings of a word: of none of it, of its first code point, and so on."""
+    hashes, h = [0], 0
+    for c in word:
+        h = (h * BASE + ord(c)) % MODULUS
+        hashes.append(h)
+    return hashes
+
+
+def list_name(side: int, hashed: int, size: int) -> int:
+    """The number of a list; should two lists have the same, their words only meet in vain."""
+    return ((hashed * 2 + side) * BASE + size) * BASE % (1 << 63)
+
+
 def parities(word: str) -> int:
     """A bit per letter, set if the word has an odd number of it; one edit changes at most two."""
     bits = 0

@@ -25,12 +25,11 @@ def dictionary(words, shortest, longest, above):
     return {g: n for g, n in counts.items() if n > above}
 
 
-@pytest.mark.parametrize(("shortest", "longest", "letters"), [(3, 6, "abc"), (2, 4, "ab"), (2, 5, "abcdefgh"), (3, 3, "ab")])
+@pytest.mark.parametrize(("shortest", "longest", "letters"), [(3, 5, "abc"), (2, 4, "ab"), (4, 6, "abcdefgh"), (3, 3, "ab")])
 def test_every_near_word_is_listed_beside(shortest, longest, letters):
     """Near words meet in a gram among those that the bound leaves: for all edits of random words."""
     chance = random.Random(longest)
-    least = longest - shortest + 3
-    words = ["".join(chance.choices(letters, k=chance.randint(max(least + 1, 7), 14))) for _ in range(60)]
+    words = ["".join(chance.choices(letters, k=chance.randint(7, 14))) for _ in range(60)]
     edge = longest - 1
     for above in (0, 2, 8, 10**9):
         frequent = dictionary(words, shortest, longest, above)
@@ -50,14 +49,14 @@ def test_every_near_word_is_listed_beside(shortest, longest, letters):
                     moved = start + len(other) - len(w)
                     behind = theirs[moved:] == text[start:] and moved in {a for a, _ in listed}
                     assert in_front or behind, (w, other, above)
-                    assert 0 < end - edge < len(other) and 0 < moved - edge < len(other) or not (0 < end - edge and start - edge > 0)
+                    assert 0 < end - edge < len(other) and 0 < moved - edge < len(other)
 
 
 def test_bound_holds_for_each_edit():
     """No edit takes more grams from a word than its bound says."""
     chance = random.Random(3)
     words = ["".join(chance.choices("abcd", k=chance.randint(7, 12))) for _ in range(80)]
-    frequent = dictionary(words, 3, 6, 3)
+    frequent = dictionary(words, 3, 5, 3)
     for w in words:
         spans = sp.decompose(sp.padded(w), frequent)
         bound = sp.affected_bound(spans, len(w))
@@ -72,9 +71,9 @@ def test_bound_holds_for_each_edit():
 def test_lists_are_short():
     """A gram that could still grow is in at most as many words as the threshold says."""
     chance = random.Random(4)
-    words = sorted({"".join(chance.choices("abcde", k=9)) for _ in range(3000)})
-    frequent = dictionary(words, 3, 6, 16)
-    lists = Counter(sp.padded(w)[a:b] for w in words for a, b in sp.decompose(sp.padded(w), frequent) if b - a < 6)
+    words = sorted({"".join(chance.choices("abcdefghij", k=9)) for _ in range(3000)})
+    frequent = dictionary(words, 3, 5, 16)
+    lists = Counter(sp.padded(w)[a:b] for w in words for a, b in sp.decompose(sp.padded(w), frequent) if b - a < 5)
     assert lists and max(lists.values()) <= 16
 
 
@@ -142,6 +141,19 @@ def test_words_that_are_too_short_are_refused(spark):
         sp.near_pairs(words, shortest=1)
 
 
+def test_long_words_against_brute_force(spark):
+    """Around and beyond the length from which on the middle decides."""
+    chance = random.Random(8)
+    counts = {}
+    for size in (62, 63, 64, 65, 66, 90):
+        for _ in range(4):
+            word = "".join(chance.choices("ab", k=size))
+            counts |= {word: 50, **{w: 3 for w in chance.sample(sorted(edits(word, "ab")), 40)}}
+    words = spark.createDataFrame(list(counts.items()), "word string, n long").repartition(3)
+    for grams in ({}, {"least": 1}):
+        assert sorted(map(tuple, sp.spelling_variants(words, **grams).collect())) == brute(counts)
+
+
 def test_one_edit_of_long_words(spark):
     base = "abcé" * 30
     others = {base[:7] + "x" + base[8:]: True, base + "x": True, "x" + base: True, base[:50] + "é" + base[50:]: True, base: False,
