@@ -26,13 +26,14 @@ from __future__ import annotations
 import random
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cloakframe.llm.files import kept
+
 KINDS = ("assign", "access", "hex", "crf")
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 # The patterns of base spans.
@@ -72,20 +73,16 @@ GROUPS = {
 MARK = np.left_shift(np.uint64(1), np.arange(64, dtype=np.uint64))
 
 
-@lru_cache(2)
-def _powers_up_to(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number modulo 2**64, and their inverses."""
-    both = []
-    for base in (int(ODD), pow(int(ODD), -1, 1 << 64)):
-        power = np.full(n, base, np.uint64)
-        power[0] = 1
-        both.append(np.cumprod(power))
-    return both[0], both[1]
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    power, inverse = _powers_up_to(1 << n.bit_length())
-    return power[:n], inverse[:n]
+def _powers(n: int) -> list[np.ndarray]:
+    """Powers of an odd number modulo 2**64, and their inverses; remembered between batches."""
+    held = kept()
+    if len(held.get("powers", [[]])[0]) < n:
+        held["powers"] = []
+        for base in (int(ODD), pow(int(ODD), -1, 1 << 64)):
+            power = np.full(1 << n.bit_length(), base, np.uint64)
+            power[0] = 1
+            held["powers"].append(np.cumprod(power))
+    return [p[:n] for p in held["powers"]]
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:

@@ -89,6 +89,8 @@ CONTENT_TAGS = frozenset({"article", "main"})
 NEVER_CHROME = CONTENT_TAGS | {"html", "body"}
 
 TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+# A whole tag whose quotes are closed; all others are read by hand.
+PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\"'\s>]))*+)>")
 TAG_STOP = re.compile(r">|=\s*([\"'])")
 ATTRIBUTE = re.compile(r"([^\s=\"'>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
 TALK = re.compile("comment|disqus|repl(?:y|ies)", re.I)
@@ -126,27 +128,42 @@ def names_chrome(token: str) -> bool:
     return False
 
 
-def _node(tag: str, attributes: str, parent: Node) -> Node:
+def _judged(tag: str, attributes: str, inside: bool) -> tuple[str, bool, bool, bool]:
+    """(label, chrome, named, talk) of an element, which stands in an article or main or not."""
     label, chrome, named = tag, tag in CHROME_TAGS, False
-    inside = parent.within or parent.tag in CONTENT_TAGS
     if tag == "header":
         chrome = not inside  # the header of an article is its headline
-    if attributes and "=" in attributes:
-        for name, *values in ATTRIBUTE.findall(attributes):
-            name, value = name.lower(), next((v for v in values if v), "")
-            if name == "role":
-                chrome = chrome or value.lower() in CHROME_ROLES
-            elif name == "class":
-                named = named or any(map(names_chrome, value.split()))
-                label += f".{value.lower()}"
-            elif name == "id" and tag in ID_TAGS:
-                named = named or names_chrome(value.strip())
-            elif name == "id" and tag == "section":
-                named = named or CASES.sub("-", value.strip()).lower().replace("_", "-") in SECTION_IDS
-        talk = named and TALK.search(attributes) is not None
-        named = named and not chrome and (tag not in NEVER_CHROME or tag == "article" and (inside or talk))
-        return Node(tag, label, chrome or named, parent, named, named and talk)
-    return Node(tag, label, chrome, parent)
+    if "=" not in attributes:
+        return label, chrome, False, False
+    for name, *values in ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), next((v for v in values if v), "")
+        if name == "role":
+            chrome = chrome or value.lower() in CHROME_ROLES
+        elif name == "class":
+            named = named or any(map(names_chrome, value.split()))
+            label += f".{value.lower()}"
+        elif name == "id" and tag in ID_TAGS:
+            named = named or names_chrome(value.strip())
+        elif name == "id" and tag == "section":
+            named = named or CASES.sub("-", value.strip()).lower().replace("_", "-") in SECTION_IDS
+    talk = named and TALK.search(attributes) is not None
+    named = named and not chrome and (tag not in NEVER_CHROME or tag == "article" and (inside or talk))
+    return label, chrome or named, named, named and talk
+
+
+def _node(tag: str, attributes: str, parent: Node) -> Node:
+    key = tag, attributes, parent.within or parent.tag in CONTENT_TAGS
+    if len(attributes) > 200:
+        judged = _judged(*key)
+    else:
+        known = kept().setdefault("elements", {})
+        judged = known.get(key)
+        if judged is None:
+            if len(known) >= 20_000:
+                known.clear()
+            judged = known[key] = _judged(*key)
+    label, chrome, named, talk = judged
+    return Node(tag, label, chrome, parent, named, talk)
 
 
 def _tag_end(text: str, at: int) -> int:
@@ -183,13 +200,13 @@ def parse(text: str) -> Node:
     flat: dict[str, int] = {}  # those of them that are too deep to be nodes
 
     def flush() -> None:
-        nonlocal piece
-        if piece:
-            run = " ".join("".join(piece).split())
-            if run:
-                here.runs.append(run)
-                here.order.append(run)
-            piece = []
+        if not piece:
+            return
+        run = " ".join("".join(piece).split())
+        piece.clear()
+        if run:
+            here.runs.append(run)
+            here.order.append(run)
 
     def close_to(node: Node) -> None:
         nonlocal here
@@ -203,22 +220,30 @@ def parse(text: str) -> Node:
             piece.append(markup.unescape(text[at:]))
             break
         if place > at:
-            piece.append(markup.unescape(text[at:place]))
-        if text.startswith("<!--", place):
+            said = text[at:place]
+            piece.append(markup.unescape(said) if "&" in said else said)
+        found = PLAIN_TAG.match(text, place)
+        if found is not None:
+            close, tag, attributes = found.groups()
+            at = found.end()
+        elif text.startswith("<!--", place):
             at = text.find("-->", place + 4) + 3
             at = size if at < 3 else at
             continue
-        if text.startswith(("<!", "<?"), place):
+        elif text.startswith(("<!", "<?"), place):
             at = text.find(">", place) + 1 or size
             continue
-        found = TAG.match(text, place)
-        if found is None:
-            piece.append("<")
-            at = place + 1
-            continue
-        at = _tag_end(text, found.end())
-        tag = found[2].lower()
-        if found[1]:
+        else:
+            found = TAG.match(text, place)
+            if found is None:
+                piece.append("<")
+                at = place + 1
+                continue
+            at = _tag_end(text, found.end())
+            close, tag = found.groups()
+            attributes = text[found.end() : at - 1]
+        tag = tag.lower()
+        if close:
             if tag not in BLOCK:
                 continue
             flush()
@@ -230,7 +255,6 @@ def parse(text: str) -> Node:
                     up = up.parent
                 close_to(up.parent)
             continue
-        attributes = text[found.end() : at - 1]
         if tag in RAW or tag in HIDING and not attributes.endswith("/"):
             at = _hidden_end(text, at, tag)
         elif tag == "br":
