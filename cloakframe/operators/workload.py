@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cloakframe.functions.statements import statement_hash
 from cloakframe.functions.text import any_of, decimal_ratio, has_text, hash_text, one_line, or_zero
 
 MS = "decimal(18,3)"
@@ -34,13 +35,14 @@ def _stamped(summary: DataFrame) -> DataFrame:
 # -- slow statements ---------------------------------------------------------------------------
 
 
-def statement_stats(log: DataFrame) -> DataFrame:
-    """Per statement (hash and text): executions, times, reads, first and last run.
+def with_statement_hash(log: DataFrame, text_col: str = "query_text") -> DataFrame:
+    """The log with hashes that the texts give: runs whose texts differ in literals, comments or layout are one statement."""
+    return log.withColumn("query_hash", statement_hash(F.col(text_col)))
 
-    Grouping on the text too keeps the aggregate a hash aggregate: ``min`` or ``first`` of a string
-    would force a sort of the raw log.
-    """
-    return log.groupBy("query_hash", "query_text").agg(
+
+def statement_stats(log: DataFrame) -> DataFrame:
+    """Per statement hash: executions, times, reads, first and last run. No text takes part."""
+    return log.groupBy("query_hash").agg(
         F.count("*").alias("execution_count"),
         F.sum("elapsed_us").alias("total_elapsed_us"),
         F.max("elapsed_us").alias("max_elapsed_us"),
@@ -52,6 +54,29 @@ def statement_stats(log: DataFrame) -> DataFrame:
     )
 
 
+# Statements up to this number are sent to all tasks for the lookup of their texts: hashes and times only.
+SHIPPED_STATEMENTS = 10_000
+
+
+def with_texts(statements: DataFrame, log: DataFrame, top_count: int | None) -> DataFrame:
+    """Statements with their text, looked up when only the wanted ones are left.
+
+    Of several texts of one hash it is that of the last run, and of several last runs the one that sorts first; the
+    rows of other runs are gone before any text moves.
+    """
+    wanted = statements.select(F.col("query_hash").alias("__hash"), F.col("last_execution_time").alias("__last"))
+    if top_count is not None and top_count <= SHIPPED_STATEMENTS:
+        wanted = F.broadcast(wanted)
+    rows = log.select("query_hash", "query_text", "executed_at")
+    last_runs = rows.join(
+        wanted, F.col("query_hash").eqNullSafe(F.col("__hash")) & F.col("executed_at").eqNullSafe(F.col("__last"))
+    )
+    texts = last_runs.groupBy("__hash").agg(F.min("query_text").alias("query_text"))
+    if top_count is not None and top_count <= SHIPPED_STATEMENTS:
+        texts = F.broadcast(texts)
+    return statements.join(texts, F.col("query_hash").eqNullSafe(F.col("__hash")), "left").drop("__hash")
+
+
 def _listing(found: DataFrame, top_count: int | None, *order: Column | str) -> DataFrame:
     """The first rows in an order, or all of them in none."""
     return found if top_count is None else found.orderBy(*order).limit(top_count)
@@ -63,11 +88,13 @@ def slow_groups(
     minimum_ms: int = 1000,
     database: str | None = None,
     text_chars: int | None = None,
+    texts: bool = True,
 ) -> DataFrame:
     """Statements whose average elapsed time reaches the threshold, slowest first, top k.
 
     Averages divide whole microseconds before they become milliseconds. ``top_count=None`` gives all statements,
-    which is what summaries need; texts are whole unless ``text_chars`` says how much to show.
+    which is what summaries need (they need no ``texts``); texts are whole unless ``text_chars`` says how much to show.
+    A statement is a hash; its text is looked up for the statements in the result (see ``with_texts``).
     """
     stats = statement_stats(log).withColumns(
         {
@@ -75,10 +102,12 @@ def slow_groups(
             "avg_cpu_us": _div("total_cpu_us", "execution_count"),
         }
     )
+    slow = _listing(stats.where(F.col("avg_elapsed_us") >= minimum_ms * 1000), top_count, F.desc("avg_elapsed_us"), "query_hash")
+    found = with_texts(slow, log, top_count) if texts else slow.withColumn("query_text", F.lit(None).cast("string"))
     is_binary = isinstance(log.schema["query_hash"].dataType, T.BinaryType)
-    shown = stats.where(F.col("avg_elapsed_us") >= minimum_ms * 1000).select(
+    shown = found.select(
         (hash_text(F.col("query_hash")) if is_binary else F.col("query_hash")).alias("query_hash"),
-        "query_text",
+        one_line(F.col("query_text"), text_chars).alias("query_text"),
         "execution_count",
         _ms(F.col("total_elapsed_us")).alias("total_elapsed_ms"),
         _ms(F.col("avg_elapsed_us")).alias("avg_elapsed_ms"),
@@ -94,8 +123,7 @@ def slow_groups(
         _ms(F.col("total_cpu_us")).alias("total_worker_time_ms"),
         F.lit(database).cast("string").alias("database_name"),
     )
-    top = _listing(shown, top_count, F.desc("avg_elapsed_ms"), "query_hash", "query_text")
-    return top.withColumn("query_text", one_line(F.col("query_text"), text_chars))
+    return shown if top_count is None else shown.orderBy(F.desc("avg_elapsed_ms"), "query_hash")
 
 
 def slow_groups_summary(slow: DataFrame, minimum_ms: int = 1000) -> DataFrame:

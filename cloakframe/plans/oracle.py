@@ -611,10 +611,12 @@ def _catalog() -> dict[str, str]:
 # -- workload ------------------------------------------------------------------------------------
 
 _SLOW = f"""
-, g AS (SELECT query_hash, query_text, count(*) AS execution_count, CAST(sum(elapsed_us) AS BIGINT) AS el,
+, g AS (SELECT query_hash, count(*) AS execution_count, CAST(sum(elapsed_us) AS BIGINT) AS el,
     max(elapsed_us) AS mx, CAST(sum(cpu_us) AS BIGINT) AS cp, CAST(sum(logical_reads) AS BIGINT) AS total_logical_reads,
     CAST(sum(physical_reads) AS BIGINT) AS total_physical_reads, max(executed_at) AS last_execution_time,
-    min(executed_at) AS creation_time FROM query_log GROUP BY query_hash, query_text),
+    min(executed_at) AS creation_time FROM query_log GROUP BY query_hash),
+texts AS (SELECT l.query_hash, min(l.query_text) AS query_text FROM query_log l JOIN g
+  ON l.query_hash = g.query_hash AND l.executed_at = g.last_execution_time GROUP BY l.query_hash),
 slow AS (SELECT query_hash,
     replace(replace(replace(query_text, chr(13), ' '), chr(10), ' '), chr(9), ' ') AS query_text,
     execution_count, {_ms('el')} AS total_elapsed_ms, {_ms('el // execution_count')} AS avg_elapsed_ms,
@@ -622,8 +624,19 @@ slow AS (SELECT query_hash,
     total_logical_reads, total_logical_reads // execution_count AS avg_logical_reads, total_physical_reads,
     total_physical_reads // execution_count AS avg_physical_reads, last_execution_time, creation_time,
     {_ms('cp')} AS total_worker_time_ms, el // execution_count AS avg_us, cp
-  FROM g WHERE el // execution_count >= 1000000)"""
-_SLOW_TOP = "ORDER BY avg_us DESC, query_hash, query_text LIMIT 50"
+  FROM g JOIN texts USING (query_hash) WHERE el // execution_count >= 1000000)"""
+_SLOW_TOP = "ORDER BY avg_us DESC, query_hash LIMIT 50"
+
+# The lexer without nesting of comments, which the logs do not have.
+_LEXED = r"""
+, lexed AS (SELECT *, list_filter(list_transform(regexp_extract_all(query_text,
+    '[nN]?''[^'']*(?:''''[^'']*)*(?:''|\z)|--[^\r\n]*|/\*(?:[^*]|\*+[^*/])*(?:\*+/|\**\z)|"[^"]*(?:""[^"]*)*(?:"|\z)|'
+    || '\[[^\]]*(?:\]\][^\]]*)*(?:\]|\z)|[\p{L}_@#$][\p{L}\p{N}_@#$]*|0[xX][0-9A-Fa-f]*|'
+    || '(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|[^\s]'),
+    lambda t: CASE WHEN t[1:2] IN ('--', '/*') THEN NULL WHEN regexp_matches(t, '^(?:[nN]?''|[.]?[0-9])') THEN '?'
+      WHEN t[1] IN ('"', '[') THEN t ELSE lower(t) END), lambda t: t IS NOT NULL) AS tokens FROM query_log),
+hashed AS (SELECT * EXCLUDE (tokens), substr(sha256(regexp_replace(array_to_string(tokens, ' '),
+    '(^| )in \( (?:[-+] )?\?(?: , (?:[-+] )?\?)* \)', '\1in ( ? )', 'g')), 1, 32) AS shape FROM lexed)"""
 
 _USAGE = """
 , u AS (SELECT schema_name, table_name, object_key, count(*) FILTER (WHERE access = 'R') AS user_seeks,
@@ -709,6 +722,12 @@ def _one_decimal(hundredths: str) -> str:
 def _workload() -> dict[str, str]:
     slow, usage = ("query_log",), ("usage_objects", "usage_log")
     return {
+        "statement_shapes": with_derived(slow, f"{_LEXED} SELECT query_id, shape AS statement_hash FROM hashed"),
+        "slow_shapes": with_derived(
+            slow,
+            f"{_LEXED}{_SLOW.replace('query_hash', 'shape').replace('query_log', 'hashed')} "
+            f"SELECT shape AS query_hash, * EXCLUDE (avg_us, cp, shape) FROM slow {_SLOW_TOP.replace('query_hash', 'shape')}",
+        ),
         "slow_groups": with_derived(slow, f"{_SLOW} SELECT * EXCLUDE (avg_us, cp) FROM slow {_SLOW_TOP}"),
         "slow_groups_summary": with_derived(
             slow,
@@ -901,6 +920,22 @@ def _dml() -> dict[str, str]:
         "update_rows": with_derived(("dml_target",), updated),
         "delete_rows": with_derived(("dml_target",), deleted),
         "merge_rows": with_derived(both, merged),
+        "table_after_insert": with_derived(both, "SELECT * FROM dml_target UNION ALL SELECT * FROM dml_source"),
+        "table_after_update": with_derived(
+            ("dml_target",),
+            """SELECT o_orderkey, o_custkey, CASE WHEN o_custkey % 100 = 1 THEN 'U' ELSE o_orderstatus END AS o_orderstatus,
+  CASE WHEN o_custkey % 100 = 1 THEN CAST(o_custkey AS DOUBLE) ELSE o_totalprice END AS o_totalprice FROM dml_target""",
+        ),
+        "table_after_delete": with_derived(("dml_target",), deleted),
+        "table_after_merge": with_derived(both, merged),
+        "commands_affected": with_derived(
+            both,
+            f"""SELECT 'insert' AS operation, (SELECT count(*) FROM dml_source) AS affected_rows,
+    (SELECT count(*) FROM dml_target) + (SELECT count(*) FROM dml_source) AS rows_after
+  UNION ALL SELECT 'update', (SELECT count(*) FROM dml_target WHERE o_custkey % 100 = 1), (SELECT count(*) FROM dml_target)
+  UNION ALL SELECT 'delete', {failed}, (SELECT count(*) FROM ({deleted}))
+  UNION ALL SELECT 'merge', (SELECT count(*) FROM dml_source), (SELECT count(*) FROM ({merged}))""",
+        ),
         # A merge touches each source row once here: keys are unique, and a row updates or inserts.
         "dml_affected": with_derived(
             both,

@@ -10,10 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cloakframe.functions import detect, mask, names
+from cloakframe.functions.statements import statement_hash
 from cloakframe.operators import audit, catalog, dml, masking, query, search, workload
 from cloakframe.plans.derived import derived, register_used
 from cloakframe.plans.passthrough import CAPPED, PASSTHROUGH, SQL_SCALARS_SPARK
 from cloakframe.session import work_dir
+from cloakframe.sources import file_table
 from cloakframe.sources.tables import load_table, load_tables, result_json, table_path
 from cloakframe.streaming.masking import mask_stream, read_stream
 
@@ -260,8 +262,17 @@ def _slow_groups(spark: SparkSession, directory: str) -> DataFrame:
     return workload.slow_groups(derived(spark, directory, "query_log")).drop("database_name")
 
 
+def _slow_shapes(spark: SparkSession, directory: str) -> DataFrame:
+    return workload.slow_groups(workload.with_statement_hash(derived(spark, directory, "query_log"))).drop("database_name")
+
+
+def _statement_shapes(spark: SparkSession, directory: str) -> DataFrame:
+    log = derived(spark, directory, "query_log")
+    return log.select("query_id", statement_hash(F.col("query_text")).alias("statement_hash"))
+
+
 def _slow_groups_summary(spark: SparkSession, directory: str) -> DataFrame:
-    slow = workload.slow_groups(derived(spark, directory, "query_log"), top_count=None)
+    slow = workload.slow_groups(derived(spark, directory, "query_log"), top_count=None, texts=False)
     return workload.slow_groups_summary(slow).drop("analysis_timestamp")
 
 
@@ -377,6 +388,35 @@ def _dml_affected(spark: SparkSession, directory: str) -> DataFrame:
     return counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(counts[3])
 
 
+def _commanded(kind: str, spark: SparkSession, directory: str) -> tuple[DataFrame, int]:
+    """A table after a command on it, read back, and the rows the command affected."""
+    path = f"{work_dir(spark)}/table-{kind}-{uuid4().hex}"
+    file_table.create_table(derived(spark, directory, "dml_target").repartitionByRange(32, "o_custkey"), path)
+    if kind == "insert":
+        rows = file_table.insert_into(path, derived(spark, directory, "dml_source"))
+    elif kind == "update":
+        sets = {"o_orderstatus": F.lit("U"), "o_totalprice": F.col("o_custkey").cast("double")}
+        rows = file_table.update_table(spark, path, F.col("o_custkey") % 100 == 1, sets)
+    elif kind == "delete":
+        rows = file_table.delete_from(spark, path, F.col("o_orderstatus") == "F")
+    else:
+        rows = file_table.merge_into(path, derived(spark, directory, "dml_source"), ["o_orderkey"])
+    return file_table.read_table(spark, path), rows
+
+
+def _after(kind: str) -> Query:
+    return lambda spark, directory: _commanded(kind, spark, directory)[0]
+
+
+def _commands_affected(spark: SparkSession, directory: str) -> DataFrame:
+    """What each command counted while it wrote, beside the rows of the table it left."""
+    results = []
+    for kind in ("insert", "update", "delete", "merge"):
+        table, rows = _commanded(kind, spark, directory)
+        results.append(table.agg(F.lit(kind).alias("operation"), F.lit(rows).cast("long").alias("affected_rows"), F.count("*").alias("rows_after")))
+    return results[0].unionByName(results[1]).unionByName(results[2]).unionByName(results[3])
+
+
 QUERIES: dict[str, Query] = {
     # names
     "classify_columns": _table(masking.classify_columns, "column_names"),
@@ -456,6 +496,8 @@ QUERIES: dict[str, Query] = {
     "database_info": _database_info,
     # workload
     "slow_groups": _slow_groups,
+    "slow_shapes": _slow_shapes,
+    "statement_shapes": _statement_shapes,
     "slow_groups_binary": _slow_groups_binary,
     "slow_groups_summary": _slow_groups_summary,
     "usage_scores": _usage_scores,
@@ -483,4 +525,9 @@ QUERIES: dict[str, Query] = {
     "delete_rows": _rewritten("delete"),
     "merge_rows": _rewritten("merge"),
     "dml_affected": _dml_affected,
+    "table_after_insert": _after("insert"),
+    "table_after_update": _after("update"),
+    "table_after_delete": _after("delete"),
+    "table_after_merge": _after("merge"),
+    "commands_affected": _commands_affected,
 }

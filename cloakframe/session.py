@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -44,15 +47,22 @@ def local_session(cores: int | str = "*", app_name: str = "cloakframe", memory:
     return spark
 
 
+@lru_cache
+def _local_dir() -> str:
+    made = tempfile.mkdtemp(prefix="cloakframe-")
+    atexit.register(shutil.rmtree, made, ignore_errors=True)
+    return made
+
+
 def work_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    A machine-local folder is made only for a local master; on a cluster the setting is required,
-    because executors and a restarted driver must see the same files.
+    A machine-local folder is made only for a local master, one per process, and removed when that ends; on a cluster
+    the setting is required, because executors and a restarted driver must see the same files.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="cloakframe-")
+        return _local_dir()
     raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")

@@ -55,9 +55,26 @@ def test_empty_logs(spark):
     assert w.wait_bottlenecks(waits).count() == 0
 
 
-def test_statements_stay_a_hash_aggregate(spark, data_dir):
-    text = w.slow_groups(derived(spark, data_dir, "query_log"))._jdf.queryExecution().executedPlan().toString()
-    assert "SortAggregate" not in text and "HashAggregate" in text and "TakeOrderedAndProject" in text
+def test_texts_are_looked_up_late(spark, data_dir):
+    """The aggregate over all rows is a hash aggregate without any text; texts move for the top statements only."""
+    frame = w.slow_groups(derived(spark, data_dir, "query_log"))
+    text = frame._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in text and "TakeOrderedAndProject" in text
+    exchanges = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+    below = text.split("TakeOrderedAndProject")[-1].split("BroadcastExchange")[0]
+    assert exchanges and "SortAggregate" not in below and "query_text" not in below
+
+
+def test_text_of_several_and_null_keys(spark):
+    rows = [("a", "old", 1), ("a", "second", 2), ("a", "first", 2), (None, "null hash", 5), ("b", None, 1), ("b", None, None)]
+    log = spark.createDataFrame(rows, "query_hash string, query_text string, n int").select(
+        "query_hash", "query_text", F.lit(5_000_000).cast("long").alias("elapsed_us"), F.lit(1).cast("long").alias("cpu_us"),
+        F.lit(1).cast("long").alias("logical_reads"), F.lit(1).cast("long").alias("physical_reads"), F.timestamp_seconds("n").alias("executed_at"),
+    )
+    for top in (50, None, 20_000):
+        got = {r.query_hash: (r.query_text, r.execution_count) for r in w.slow_groups(log, top_count=top).collect()}
+        assert got == {"a": ("first", 3), None: ("null hash", 1), "b": (None, 2)}
+    assert [r.query_text for r in w.slow_groups(log, texts=False).collect()] == [None] * 3
 
 
 @pytest.mark.parametrize(
