@@ -45,6 +45,40 @@ def _files(spark: SparkSession, directory: str, table: str) -> DataFrame:
     return spark.read.format("binaryFile").load(table_path(directory, table)).select("path", "length", "modificationTime")
 
 
+def _table_of(directory: str, path: Column) -> Column:
+    base = re.escape(directory.rstrip("/").split("/")[-1])
+    return F.regexp_extract(path, rf"/{base}/([^/]+)\.parquet(?:/.*)?$", 1)
+
+
+def _recursive(spark: SparkSession, directory: str, source: str, schema: str | None = None) -> DataFrame:
+    reader = spark.read.format(source).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    return (reader.schema(schema) if schema else reader).load(directory)
+
+
+def file_facts(spark: SparkSession, directory: str) -> DataFrame:
+    """(table_name, path, bytes, modified) of each file of all tables of a directory, from one listing of it."""
+    listed = _recursive(spark, directory, "binaryFile")
+    return listed.select(
+        _table_of(directory, F.col("path")).alias("table_name"), "path", F.col("length").alias("bytes"), F.col("modificationTime").alias("modified")
+    ).where("table_name <> ''")
+
+
+def table_facts(spark: SparkSession, directory: str) -> DataFrame:
+    """(table_name, row_count, file_count, bytes, modified) of all tables of a directory.
+
+    One listing and one scan of all footers, whatever the number of tables: the schema names a column that no file
+    has, so nothing but the numbers of rows is read.
+    """
+    sizes = file_facts(spark, directory).groupBy("table_name").agg(
+        F.count("*").alias("file_count"), F.sum("bytes").alias("bytes"), F.max("modified").alias("modified")
+    )
+    rows = _recursive(spark, directory, "parquet", "`__no such column` int")
+    counts = rows.groupBy(_table_of(directory, F.col("_metadata.file_path")).alias("table_name")).agg(F.count("*").alias("row_count"))
+    return sizes.join(counts, "table_name", "left").select(
+        "table_name", F.coalesce("row_count", F.lit(0)).alias("row_count"), "file_count", "bytes", "modified"
+    )
+
+
 def _row_count(df: DataFrame) -> Column:
     """The number of rows as a scalar subquery; counting needs no column, so only footers are read."""
     return df.agg(F.count("*")).scalar()
@@ -79,45 +113,37 @@ def table_inventory(
     schema_filter: str | None = None,
     constraints: Constraints | None = None,
     tables: tuple[str, ...] = TABLES,
+    with_columns: bool = True,
 ) -> DataFrame:
     """Each table with row count, size, change time, key flags, description and columns.
 
+    The facts come from one pass over the directory (``table_facts``); only the columns need a look at each table, which
+    ``with_columns=False`` spares where there are thousands.
     ``name_pattern`` is looked for anywhere in the name, with the wildcards of LIKE.
     """
     declared = constraints or Constraints()
     chosen = [t for t in tables if schema_filter in (None, "", SCHEMA_NAME)]
     if name_pattern:
         chosen = [t for t in chosen if _like(t, f"%{name_pattern}%")]
-    schema = (
-        "table_name string, schema_name string, table_type string, modified_date timestamp, row_count bigint, "
-        "data_size_mb bigint, description string, has_primary_key boolean, has_foreign_keys boolean, "
-        "column_count bigint, columns array<string>"
-    )
-    if not chosen:
-        return spark.createDataFrame([], schema)
-    frames = []
+    known = []
     for t in chosen:
-        df = load_table(spark, directory, t, tables)
-        columns = ", ".join(_sql_text(c) for c in df.columns)
-        frames.append(
-            _files(spark, directory, t)
-            .agg(F.max("modificationTime").alias("modified"), F.sum("length").alias("bytes"))
-            .withColumn("n", _row_count(df))
-            .selectExpr(
-                f"{_sql_text(t)} AS table_name",
-                f"{_sql_text(SCHEMA_NAME)} AS schema_name",
-                f"{_sql_text(BASE_TABLE)} AS table_type",
-                "modified AS modified_date",
-                "n AS row_count",
-                "coalesce(bytes div 1048576, 0) AS data_size_mb",
-                f"{_sql_text(declared.descriptions.get(t))} AS description",
-                f"{t in declared.primary_keys} AS has_primary_key",
-                f"{t in declared.foreign_keys} AS has_foreign_keys",
-                f"{len(df.columns)}L AS column_count",
-                f"array({columns}) AS columns",
+        columns = load_table(spark, directory, t, tables).columns if with_columns else None
+        known.append(
+            (
+                t, SCHEMA_NAME, BASE_TABLE, declared.descriptions.get(t), t in declared.primary_keys, t in declared.foreign_keys,
+                len(columns) if with_columns else None, columns,
             )
         )
-    return _union(frames).orderBy("schema_name", "table_name")
+    names_of = spark.createDataFrame(
+        known,
+        "table_name string, schema_name string, table_type string, description string, has_primary_key boolean, "
+        "has_foreign_keys boolean, column_count bigint, columns array<string>",
+    )
+    found = names_of.join(table_facts(spark, directory), "table_name").selectExpr(
+        "table_name", "schema_name", "table_type", "modified AS modified_date", "row_count", "bytes div 1048576 AS data_size_mb",
+        "description", "has_primary_key", "has_foreign_keys", "column_count", "columns",
+    )
+    return found.orderBy("schema_name", "table_name")
 
 
 def table_stats(spark: SparkSession, directory: str, table: str, tables: tuple[str, ...] = TABLES) -> DataFrame:
@@ -140,19 +166,14 @@ def table_stats(spark: SparkSession, directory: str, table: str, tables: tuple[s
 
 def database_info(spark: SparkSession, directory: str, tables: tuple[str, ...] = TABLES) -> DataFrame:
     """Table count, table names, total rows and total size of a directory of tables."""
-    sizes = [
-        _files(spark, directory, t)
-        .agg(F.sum("length").alias("bytes"))
-        .withColumn("n", _row_count(load_table(spark, directory, t, tables)))
-        for t in tables
-    ]
     listed = ", ".join(_sql_text(t) for t in sorted(tables))
-    return _union(sizes).selectExpr(
+    facts = table_facts(spark, directory).where(F.col("table_name").isin(*tables))
+    return facts.agg(F.sum("row_count").alias("n"), F.sum("bytes").alias("bytes")).selectExpr(
         f"{_sql_text(directory.rstrip('/').split('/')[-1])} AS database_name",
         f"{len(tables)} AS table_count",
         f"array({listed}) AS tables",
-        "coalesce(sum(n), 0L) AS row_count",
-        "coalesce(sum(bytes), 0) / 1048576D AS size_mb",
+        "coalesce(n, 0L) AS row_count",
+        "coalesce(bytes, 0) / 1048576D AS size_mb",
         "'Query results are automatically filtered for PII protection' AS note",
     )
 

@@ -539,11 +539,21 @@ def _search_catalog() -> str:
 def _distinct_counts() -> str:
     return " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(DISTINCT {c}) AS distinct_count FROM {t}"
-        for t in registry.DISTINCT_TABLES
+        for t in TABLES
         for c, _ in _fields(t)
     )
 
 
+def _profile_of_files() -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count, "
+        + (f"CAST(max(length({c})) AS INTEGER)" if kind == "string" else "CAST(NULL AS INTEGER)")
+        + f" AS max_length, CASE WHEN count(DISTINCT {c}) < 100 THEN count(DISTINCT {c}) END AS distinct_if_few FROM {t}"
+        for t in TABLES
+        for c, kind in _fields(t)
+    )
+
+
 def _search(source: str, kind: str, term: str, described: bool) -> str:
     t = term.lower()
     name = "lower(object_name)"
@@ -585,6 +595,7 @@ def _catalog() -> dict[str, str]:
         "table_inventory_filtered": _table_inventory(("events", "documents")),
         "search_catalog": _search_catalog(),
         "column_distinct_counts": _distinct_counts(),
+        "profile_of_files": _profile_of_files(),
         "table_stats": "SELECT 'lineitem' AS table_name, 'default' AS schema_name, count(*) AS row_count FROM lineitem",
         "database_info": f"""SELECT {len(TABLES)} AS table_count, '{'; '.join(sorted(TABLES))}' AS tables,
   CAST({' + '.join(f'(SELECT count(*) FROM {t})' for t in TABLES)} AS BIGINT) AS row_count,

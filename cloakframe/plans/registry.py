@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from cloakframe.functions import detect, mask, names
 from cloakframe.functions.statements import statement_hash
-from cloakframe.operators import audit, catalog, dml, masking, query, search, workload
+from cloakframe.operators import audit, catalog, dml, masking, profile, query, search, workload
 from cloakframe.plans.derived import derived, register_used
 from cloakframe.plans.passthrough import CAPPED, PASSTHROUGH, SQL_SCALARS_SPARK
 from cloakframe.session import work_dir
@@ -31,7 +31,6 @@ SEARCH_TERM = "Ma"
 KEYWORD = "ring"
 DOCUMENT_KEYWORD = "that"
 CATALOG_TERM = "or%e"
-DISTINCT_TABLES = ("nation", "customer", "supplier", "part", "orders", "documents", "labels")
 
 PRIMARY_KEYS = {
     "region": ["r_regionkey"], "nation": ["n_nationkey"], "customer": ["c_custkey"], "supplier": ["s_suppkey"],
@@ -200,8 +199,17 @@ def _search_catalog(spark: SparkSession, directory: str) -> DataFrame:
     return search.search_catalog(spark, directory, CATALOG_TERM, wildcards=True, descriptions=constraints().descriptions)
 
 
+def _profile_of_files(spark: SparkSession, directory: str) -> DataFrame:
+    """The profile from statistics kept per file; of distinct values the numbers that a sketch gives exactly."""
+    store = f"{work_dir(spark)}/profile-{uuid4().hex}"
+    profile.refresh_profile(spark, directory, store)
+    found = profile.stored_profile(spark, directory, store)
+    few = F.when(F.col("distinct_estimate") < 100, F.col("distinct_estimate"))
+    return found.withColumn("distinct_if_few", few).drop("ordinal", "data_type", "distinct_estimate")
+
+
 def _column_distinct_counts(spark: SparkSession, directory: str) -> DataFrame:
-    return catalog.column_distinct_counts(load_tables(spark, directory, DISTINCT_TABLES))
+    return catalog.column_distinct_counts(load_tables(spark, directory))
 
 
 def _exists_flags(spark: SparkSession, directory: str) -> DataFrame:
@@ -492,6 +500,7 @@ QUERIES: dict[str, Query] = {
     "table_inventory_filtered": _table_inventory_filtered,
     "search_catalog": _search_catalog,
     "column_distinct_counts": _column_distinct_counts,
+    "profile_of_files": _profile_of_files,
     "table_stats": _table_stats,
     "database_info": _database_info,
     # workload
