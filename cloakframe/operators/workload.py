@@ -40,9 +40,9 @@ def with_statement_hash(log: DataFrame, text_col: str = "query_text") -> DataFra
     return log.withColumn("query_hash", statement_hash(F.col(text_col)))
 
 
-def statement_stats(log: DataFrame) -> DataFrame:
+def statement_stats(log: DataFrame, *more_keys: str) -> DataFrame:
     """Per statement hash: executions, times, reads, first and last run. No text takes part."""
-    return log.groupBy("query_hash").agg(
+    return log.groupBy("query_hash", *more_keys).agg(
         F.count("*").alias("execution_count"),
         F.sum("elapsed_us").alias("total_elapsed_us"),
         F.max("elapsed_us").alias("max_elapsed_us"),
@@ -89,14 +89,16 @@ def slow_groups(
     database: str | None = None,
     text_chars: int | None = None,
     texts: bool = True,
+    stats: DataFrame | None = None,
 ) -> DataFrame:
     """Statements whose average elapsed time reaches the threshold, slowest first, top k.
 
     Averages divide whole microseconds before they become milliseconds. ``top_count=None`` gives all statements,
     which is what summaries need (they need no ``texts``); texts are whole unless ``text_chars`` says how much to show.
-    A statement is a hash; its text is looked up for the statements in the result (see ``with_texts``).
+    A statement is a hash; its text is looked up for the statements in the result (see ``with_texts``). ``stats`` are
+    its ``statement_stats`` where they are known already, as from a rollup; then the log serves the texts alone.
     """
-    stats = statement_stats(log).withColumns(
+    stats = (statement_stats(log) if stats is None else stats).withColumns(
         {
             "avg_elapsed_us": _div("total_elapsed_us", "execution_count"),
             "avg_cpu_us": _div("total_cpu_us", "execution_count"),
@@ -303,24 +305,19 @@ def impact_priority(improvement: Column) -> Column:
     return F.when(improvement > HIGH_ABOVE, "High").when(improvement > MEDIUM_ABOVE, "Medium").otherwise("Low")
 
 
-def impact_ranking(
-    log: DataFrame, top_count: int | None = 25, schema_name: str = "dbo", database: str | None = None
-) -> DataFrame:
-    """Suggestions ranked by average cost x average impact x (seeks + scans), top k; all with ``top_count=None``.
+SUGGESTION_TEXTS = ("equality_columns", "inequality_columns", "included_columns")
+SUGGESTION_KEYS = ("database_name", "schema_name", "table_name", *SUGGESTION_TEXTS)
 
-    Schema and database come from the rows where the log has them (``schema_name``, ``database_name``), so equal
-    names in two schemas stay apart; else they are the given ones.
-    """
+
+def suggestion_totals(log: DataFrame, *more_keys: str, schema_name: str = "dbo", database: str | None = None) -> DataFrame:
+    """Per suggestion: seeks, scans, sums of cost and impact, last uses."""
     if "schema_name" not in log.columns:
         log = log.withColumn("schema_name", F.lit(schema_name))
     if "database_name" not in log.columns:
         log = log.withColumn("database_name", F.lit(database).cast("string"))
-    text_columns = ["equality_columns", "inequality_columns", "included_columns"]
-    named = log.where(F.col("table_name").isNotNull()).withColumns(
-        {c: F.coalesce(F.col(c), F.lit("")) for c in text_columns}
-    )
+    named = log.where(F.col("table_name").isNotNull()).withColumns({c: F.coalesce(F.col(c), F.lit("")) for c in SUGGESTION_TEXTS})
     seek, scan = F.col("access") == "seek", F.col("access") == "scan"
-    grouped = named.groupBy("database_name", "schema_name", "table_name", *text_columns).agg(
+    return named.groupBy(*SUGGESTION_KEYS, *more_keys).agg(
         F.count_if(seek).alias("user_seeks"),
         F.count_if(scan).alias("user_scans"),
         F.sum("cost_units").alias("cost_units"),
@@ -329,6 +326,22 @@ def impact_ranking(
         F.max(F.when(seek, F.col("used_at"))).alias("last_user_seek"),
         F.max(F.when(scan, F.col("used_at"))).alias("last_user_scan"),
     )
+
+
+def impact_ranking(
+    log: DataFrame | None,
+    top_count: int | None = 25,
+    schema_name: str = "dbo",
+    database: str | None = None,
+    totals: DataFrame | None = None,
+) -> DataFrame:
+    """Suggestions ranked by average cost x average impact x (seeks + scans), top k; all with ``top_count=None``.
+
+    Schema and database come from the rows where the log has them (``schema_name``, ``database_name``), so equal
+    names in two schemas stay apart; else they are the given ones. ``totals`` are the ``suggestion_totals`` where they
+    are known already.
+    """
+    grouped = suggestion_totals(log, schema_name=schema_name, database=database) if totals is None else totals
     averaged = grouped.withColumns(
         {
             "avg_total_user_cost": decimal_ratio(F.col("cost_units"), F.col("n") * COST_UNITS, 6),
@@ -340,13 +353,12 @@ def impact_ranking(
     measured = averaged.withColumn("improvement_measure", (per_use * uses).cast("decimal(18,2)"))
     table, equality = F.col("table_name"), F.col("equality_columns")
     inequality, included = F.col("inequality_columns"), F.col("included_columns")
-    names = ["database_name", "schema_name", "table_name", *text_columns]
-    top = _listing(measured, top_count, F.desc("improvement_measure"), *names)
+    top = _listing(measured, top_count, F.desc("improvement_measure"), *SUGGESTION_KEYS)
     return top.select(
         "database_name",
         "schema_name",
         "table_name",
-        *text_columns,
+        *SUGGESTION_TEXTS,
         "improvement_measure",
         "user_seeks",
         "user_scans",
@@ -449,24 +461,24 @@ def wait_description(kind: Column) -> Column:
     return _first(hits, OTHER_DESCRIPTION)
 
 
-def wait_totals(log: DataFrame) -> DataFrame:
-    """Waits per type, without benign types and types that never waited."""
-    grouped = log.where(~F.col("wait_type").isin(*BENIGN_WAITS)).groupBy("wait_type").agg(
+def wait_totals(log: DataFrame, *more_keys: str) -> DataFrame:
+    """Waits per type, without benign types."""
+    return log.where(~F.col("wait_type").isin(*BENIGN_WAITS)).groupBy("wait_type", *more_keys).agg(
         F.count("*").alias("waiting_tasks_count"),
         F.sum("wait_ms").alias("wait_time_ms"),
         F.max("wait_ms").alias("max_wait_time_ms"),
         F.sum("signal_ms").alias("signal_wait_time_ms"),
     )
-    return grouped.where(F.col("wait_time_ms") > 0)
 
 
-def wait_share(log: DataFrame, top_count: int | None = 20) -> DataFrame:
-    """Wait types by their share of all waits, top k; all with ``top_count=None``.
+def wait_share(log: DataFrame | None, top_count: int | None = 20, totals: DataFrame | None = None) -> DataFrame:
+    """Wait types that ever waited by their share of all waits, top k; all with ``top_count=None``. ``totals`` are the
+    ``wait_totals`` where they are known already.
 
     The total is a scalar subquery over the grouped rows, so nothing is windowed in one partition. It sums
     every column of the groups: then it asks for the same shuffle as the detail, which Spark runs once.
     """
-    totals = wait_totals(log)
+    totals = (wait_totals(log) if totals is None else totals).where(F.col("wait_time_ms") > 0)
     sums = totals.agg(F.struct(*[F.sum(c).alias(c) for c in totals.columns if c != "wait_type"]).alias("sums"))
     total = sums.scalar().getField("wait_time_ms")
     kind = F.col("wait_type")

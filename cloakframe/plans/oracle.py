@@ -554,6 +554,39 @@ def _profile_of_files() -> str:
     )
 
 
+def _relationships_found() -> str:
+    columns = [(t, c, "n" if k in ("int", "bigint") else "s") for t in TABLES for c, k in _fields(t) if k in ("int", "bigint", "string")]
+    values = " UNION ALL ".join(
+        f"SELECT {i} AS col, '{kind}' AS kind, CAST({c} AS VARCHAR) AS v, count(*) AS n FROM {t} WHERE {c} IS NOT NULL GROUP BY {c}"
+        for i, (t, c, kind) in enumerate(columns)
+    )
+    named = ", ".join(f"({i}, '{t}', '{c}')" for i, (t, c, _) in enumerate(columns))
+    return f"""WITH held AS ({values}), named(col, t, c) AS (VALUES {named}),
+own AS (SELECT col, count(*) AS n_values, max(n) AS most FROM held GROUP BY col),
+shared AS (SELECT a.col AS child, b.col AS parent, count(*) AS n FROM held a JOIN held b ON a.kind = b.kind AND a.v = b.v AND a.col <> b.col
+  GROUP BY a.col, b.col)
+SELECT x.t AS child_table, x.c AS child_column, y.t AS parent_table, y.c AS parent_column, o.n_values
+FROM shared s JOIN own o ON s.child = o.col AND s.n = o.n_values JOIN own p ON s.parent = p.col AND p.most = 1
+  JOIN named x ON x.col = s.child JOIN named y ON y.col = s.parent"""
+
+
+def _keys_found() -> str:
+    """All sets of one or two columns without nulls and repeats, less those that hold a smaller one."""
+    parts = []
+    for t in TABLES:
+        names = [c for c, k in _fields(t) if not k.startswith("array")]
+        sets = [(c,) for c in names] + [(a, b) for i, a in enumerate(names) for b in names[i + 1 :]]
+        for chosen in sets:
+            whole = " AND ".join(f"count({c}) = count(*)" for c in chosen)
+            parts.append(
+                f"SELECT '{t}' AS table_name, {list(chosen)!r} AS cols FROM {t} "
+                f"HAVING count(*) > 0 AND {whole} AND count(DISTINCT ({', '.join(chosen)})) = count(*)"
+            )
+    union = " UNION ALL ".join(parts)
+    return f"""WITH u AS ({union}) SELECT table_name, array_to_string(cols, ',') AS key_columns FROM u a
+WHERE NOT EXISTS (SELECT 1 FROM u b WHERE b.table_name = a.table_name AND len(b.cols) < len(a.cols) AND list_has_all(a.cols, b.cols))"""
+
+
 def _search(source: str, kind: str, term: str, described: bool) -> str:
     t = term.lower()
     name = "lower(object_name)"
@@ -596,6 +629,8 @@ def _catalog() -> dict[str, str]:
         "search_catalog": _search_catalog(),
         "column_distinct_counts": _distinct_counts(),
         "profile_of_files": _profile_of_files(),
+        "relationships_found": _relationships_found(),
+        "keys_found": _keys_found(),
         "table_stats": "SELECT 'lineitem' AS table_name, 'default' AS schema_name, count(*) AS row_count FROM lineitem",
         "database_info": f"""SELECT {len(TABLES)} AS table_count, '{'; '.join(sorted(TABLES))}' AS tables,
   CAST({' + '.join(f'(SELECT count(*) FROM {t})' for t in TABLES)} AS BIGINT) AS row_count,
@@ -957,8 +992,13 @@ def _dml() -> dict[str, str]:
     }
 
 
+def _rolled_up(found: dict[str, str]) -> dict[str, str]:
+    """Merged batches give what one pass over the log gives."""
+    return {f"{name}_rolled_up": found[name] for name in ("slow_groups", "impact_ranking", "wait_share")}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {**_pii(), **_tables(), **_query(), **_catalog(), **_workload(), **_audit(), **_dml()}
+    return {**_rolled_up(_workload()), **_pii(), **_tables(), **_query(), **_catalog(), **_workload(), **_audit(), **_dml()}
 
 
 # Queries whose result depends on the clock.

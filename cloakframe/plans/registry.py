@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from cloakframe.functions import detect, mask, names
 from cloakframe.functions.statements import statement_hash
-from cloakframe.operators import audit, catalog, dml, masking, profile, query, search, workload
+from cloakframe.operators import audit, catalog, discovery, dml, masking, profile, query, rollup, search, workload
 from cloakframe.plans.derived import derived, register_used
 from cloakframe.plans.passthrough import CAPPED, PASSTHROUGH, SQL_SCALARS_SPARK
 from cloakframe.session import work_dir
@@ -208,6 +208,14 @@ def _profile_of_files(spark: SparkSession, directory: str) -> DataFrame:
     return found.withColumn("distinct_if_few", few).drop("ordinal", "data_type", "distinct_estimate")
 
 
+def _relationships_found(spark: SparkSession, directory: str) -> DataFrame:
+    return discovery.find_relationships(load_tables(spark, directory))
+
+
+def _keys_found(spark: SparkSession, directory: str) -> DataFrame:
+    return discovery.found_keys(load_tables(spark, directory))
+
+
 def _column_distinct_counts(spark: SparkSession, directory: str) -> DataFrame:
     return catalog.column_distinct_counts(load_tables(spark, directory))
 
@@ -270,6 +278,30 @@ def _slow_groups(spark: SparkSession, directory: str) -> DataFrame:
     return workload.slow_groups(derived(spark, directory, "query_log")).drop("database_name")
 
 
+def _rolled_up(kind: rollup.Rollup, source: str, spark: SparkSession, directory: str) -> tuple[DataFrame, DataFrame]:
+    """A log and its aggregates merged from four stored batches, of which the last comes twice."""
+    log = derived(spark, directory, source)
+    store = f"{work_dir(spark)}/rollup-{source}-{uuid4().hex}"
+    for batch in (0, 1, 2, 3, 3):
+        rollup.add_batch(kind, log.where(F.coalesce(F.dayofyear(kind.time), F.lit(0)) % 4 == batch), store, str(batch))
+    return log, rollup.merged(kind, spark, store)
+
+
+def _slow_groups_rolled_up(spark: SparkSession, directory: str) -> DataFrame:
+    log, stats = _rolled_up(rollup.STATEMENTS, "query_log", spark, directory)
+    return workload.slow_groups(log, stats=stats).drop("database_name")
+
+
+def _impact_ranking_rolled_up(spark: SparkSession, directory: str) -> DataFrame:
+    _, totals = _rolled_up(rollup.SUGGESTIONS, "candidate_log", spark, directory)
+    return workload.impact_ranking(None, totals=totals).drop("database_name")
+
+
+def _wait_share_rolled_up(spark: SparkSession, directory: str) -> DataFrame:
+    _, totals = _rolled_up(rollup.WAITS, "wait_log", spark, directory)
+    return workload.wait_share(None, totals=totals)
+
+
 def _slow_shapes(spark: SparkSession, directory: str) -> DataFrame:
     return workload.slow_groups(workload.with_statement_hash(derived(spark, directory, "query_log"))).drop("database_name")
 
@@ -501,11 +533,16 @@ QUERIES: dict[str, Query] = {
     "search_catalog": _search_catalog,
     "column_distinct_counts": _column_distinct_counts,
     "profile_of_files": _profile_of_files,
+    "relationships_found": _relationships_found,
+    "keys_found": _keys_found,
     "table_stats": _table_stats,
     "database_info": _database_info,
     # workload
     "slow_groups": _slow_groups,
     "slow_shapes": _slow_shapes,
+    "slow_groups_rolled_up": _slow_groups_rolled_up,
+    "impact_ranking_rolled_up": _impact_ranking_rolled_up,
+    "wait_share_rolled_up": _wait_share_rolled_up,
     "statement_shapes": _statement_shapes,
     "slow_groups_binary": _slow_groups_binary,
     "slow_groups_summary": _slow_groups_summary,
