@@ -9,12 +9,15 @@ A *window* is ``window`` consecutive words of a test item; an item of fewer word
    offset-adjusted lists are intersected: an alignment stays if all the chosen terms of some window gave it.
 4. Alignments that stay are compared with the document's words, which gives the windows that occur.
 
-Postings meet terms in a broadcast join while the test set is small, else in a shuffled one; documents meet their
-few alignments in one shuffled join on the id. No step gathers a term's or an item's postings in one task.
+Documents are known by two hashes of their text, so ids may be null or repeat and copies share their alignments.
+Postings meet terms in a broadcast join while the test set is small, else in a shuffled one. Texts meet their
+alignments in a broadcast join, too, while these are few; beyond that a bitmap of the hashes, of fixed size, tells in the
+scan which texts may have any: only those are shuffled, all others pass. No step gathers a term's or an item's
+postings in one task.
 
 Results in odd cases: a null or empty text has no words, so it is never hit and matches no item; items without
 words match nothing; equal items give the same windows and each of their ids is listed; a null item id is left out
-of the lists; rows that share an id, or have none, are judged each by their own text; an empty table on either side
+of the lists; rows that share an id, or have none, are judged each by their own text, however many; an empty table on either side
 gives no hits; other columns are ignored, so their names cannot clash.
 """
 
@@ -24,16 +27,56 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cloakframe.llm.common import let, stored, tokens
+from cloakframe.operators.hot_keys import left_lookup
 
 WINDOW = 13
 LISTS = 2
-# Test terms, items and alignments up to this many rows are broadcast; beyond, the joins are shuffled.
-MAX_BROADCAST_ROWS = 200_000
+# Test terms, items and alignments up to this many rows and bytes are broadcast; beyond, the joins are shuffled.
+MAX_BROADCAST_ROWS, MAX_BROADCAST_BYTES = 200_000, 48 << 20
+BITMAP = 1 << 26  # bits, that is 8 MB
 
 
-def _small(df: DataFrame, rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """The frame, marked for a broadcast if a count shows that it has few rows."""
-    return F.broadcast(df) if df.count() <= rows else df
+def _is_small(df: DataFrame, size: Column | None = None) -> bool:
+    """Whether the rows, and the bytes that ``size`` gives for each, are few enough to be sent to all tasks."""
+    rows, held = df.agg(F.count("*"), F.coalesce(F.sum(size if size is not None else F.lit(0)), F.lit(0))).first()
+    return rows <= MAX_BROADCAST_ROWS and held <= MAX_BROADCAST_BYTES
+
+
+def _small(df: DataFrame, size: Column | None = None) -> DataFrame:
+    """The frame, marked for a broadcast if a count shows that it is small."""
+    return F.broadcast(df) if _is_small(df, size) else df
+
+
+def _bytes(words: Column) -> Column:
+    """About what an array of words takes in memory."""
+    return F.octet_length(F.array_join(words, "        "))
+
+
+def text_key(text: Column) -> Column:
+    return F.struct(F.xxhash64(text).alias("h1"), F.xxhash64(F.lit("second"), text).alias("h2"))
+
+
+def _with_alignments(texts: DataFrame, aligned: DataFrame) -> DataFrame:
+    """Rows with a ``key`` with the alignments (``found``) of theirs, or null."""
+    held = F.aggregate("found", F.lit(0), lambda a, x: a + 64 + _bytes(x["words"]) + F.size(x["items"]) * 32)
+    if _is_small(aligned, held):
+        return texts.join(F.broadcast(aligned), F.col("key") == F.col("doc"), "left").drop("doc")
+
+    def spot(key: Column) -> Column:
+        return F.pmod(key["h1"], F.lit(BITMAP))
+
+    marks = aligned.groupBy(F.bitmap_bucket_number(spot(F.col("doc"))).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(spot(F.col("doc")))).alias("bits")
+    )
+    place = F.bitmap_bit_position(spot(F.col("key")))
+    byte = F.conv(F.hex(F.substring("bits", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    bit = F.pmod(F.floor(byte / F.pow(F.lit(2), F.pmod(place, F.lit(8)))), F.lit(2)) == 1
+    columns = texts.columns
+    marked = texts.join(F.broadcast(marks), F.bitmap_bucket_number(spot(F.col("key"))) == F.col("bucket"), "left").select(
+        *columns, F.coalesce(bit, F.lit(False)).alias("maybe")
+    )
+    some = left_lookup(marked.where("maybe").drop("maybe"), aligned, "key", "doc")
+    return some.unionByName(marked.where("NOT maybe").drop("maybe"), allowMissingColumns=True)
 
 
 def phrases(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -86,7 +129,7 @@ def alignments(index: DataFrame, probed: DataFrame) -> DataFrame:
         .agg(F.collect_set("at").alias("met"))
     )
     whole = F.exists("probes", lambda p: F.size(F.array_except(p, F.col("met"))) == 0)
-    return met.join(_small(probed), "phrase").where(whole).drop("met", "probes")
+    return met.join(_small(probed, _bytes(F.col("words"))), "phrase").where(whole).drop("met", "probes")
 
 
 def _occurrences(doc_words: Column, found: Column, window: int) -> Column:
@@ -136,15 +179,16 @@ def decontaminate(
 def _judged(docs, items, id_col, text_col, item_col, item_text_col, window, lists) -> DataFrame:
     """As ``decontaminate``, with the whole input row in ``row``, which costs nothing unless it is used."""
     listed = phrases(items, item_col, item_text_col)
-    index = postings(docs, id_col, text_col)
+    keyed = docs.select(text_key(F.col(text_col)).alias("key"), F.col(text_col).alias("text"))
+    index = postings(keyed, "key", "text")
     probed = stored(probes(listed, term_counts(index, listed), window, lists), "probes")
-    aligned = (
-        alignments(index, probed)
-        .groupBy("doc")
-        .agg(F.collect_list(F.struct("shift", "words", "items")).alias("found"))
+    aligned = stored(
+        alignments(index, probed).groupBy("doc").agg(F.collect_list(F.struct("shift", "words", "items")).alias("found")), "alignments"
+    )
+    texts = docs.select(
+        F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.struct("*").alias("row"), text_key(F.col(text_col)).alias("key")
     )
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.struct("*").alias("row"))
-    joined = texts.join(aligned, F.col("id").eqNullSafe(F.col("doc")), "left")
+    joined = _with_alignments(texts, aligned)
     matches = let(
         F.col("__words"),
         lambda w: F.filter(

@@ -39,7 +39,7 @@ def run(spark, docs, items, window=13, lists=2):
 @pytest.mark.parametrize("lists", [1, 2, 3])
 def test_random_texts(spark, monkeypatch, broadcast, lists):
     if not broadcast:
-        monkeypatch.setattr(decontaminate, "_small", lambda df, rows=0: df)
+        monkeypatch.setattr(decontaminate, "_is_small", lambda df, size=None: False)
     random.seed(lists)
     word = lambda: random.choice(["a", "b", "c", "the", "Ä", "ä", "x1"])
     items = [(i, " ".join(word() for _ in range(random.randint(1, 7)))) for i in range(8)]
@@ -56,6 +56,25 @@ def test_odd_rows(spark):
     assert run(spark, docs, items) == brute(docs, items, 13)
 
 
+@pytest.mark.parametrize("bits", [1 << 15, 1 << 26, None])
+def test_table_without_ids(spark, monkeypatch, bits):
+    """Many texts, no ids, many items; the bitmap may let others through, but loses none."""
+    if bits:
+        monkeypatch.setattr(decontaminate, "_is_small", lambda df, size=None: False)
+        monkeypatch.setattr(decontaminate, "BITMAP", bits)
+    chance = random.Random(9)
+    items = [(i, " ".join(f"t{i}x{k}" for k in range(6))) for i in range(60)]
+    docs = [(None, f"lead {chance.choice(items)[1] if k % 3 else 'no item'} tail w{k % 150}") for k in range(400)]
+    assert run(spark, docs, items, 5) == brute(docs, items, 5)
+
+
+def test_texts_are_not_shuffled(spark, data_dir):
+    from cloakframe.llm.queries import QUERIES
+
+    plan = QUERIES["op1_decontaminate"](spark, data_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+
+
 def test_empty_tables(spark):
     assert run(spark, [], [(1, "a b")]) == []
     assert run(spark, [(1, "a b")], []) == [(1, 2, 0, [], False)]
