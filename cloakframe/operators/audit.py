@@ -18,6 +18,8 @@ INJECTION_PATTERNS = (
     r"--\s*$",
     r"\/\*.*\*\/",
 )
+# A literal part of each pattern: texts without it are not searched.
+INJECTION_PARTS = (";", "UN", "--", "/*")
 # Aggregate functions that add to the score.
 AGGREGATES = ("COUNT", "SUM", "AVG", "MIN", "MAX", "GROUP_CONCAT")
 
@@ -37,7 +39,8 @@ def _safety_columns(text: Column) -> dict[str, Column]:
         (text.contains(fn.upper()), f"Query contains dangerous function: {fn}") for fn in DANGEROUS_FUNCTIONS
     ]
     hints = [
-        (text.rlike("(?Uid)" + p), f"Potential SQL injection pattern detected: {p}") for p in INJECTION_PATTERNS
+        (text.contains(part) & text.rlike("(?Uid)" + p), f"Potential SQL injection pattern detected: {p}")
+        for part, p in zip(INJECTION_PARTS, INJECTION_PATTERNS, strict=True)
     ]
     return {"__writes": _messages(*writes), "__dangers": _messages(*dangers), "warnings": _messages(*hints)}
 
@@ -68,15 +71,16 @@ def audit_complexity(log: DataFrame, text: str = "query_text") -> DataFrame:
     upper = log.withColumn("__text", F.upper(F.col(text)))
     t = F.col("__text")
 
-    def hits(pattern: str) -> Column:
-        return F.regexp_count(t, F.lit("(?U)" + pattern))
+    def hits(pattern: str, part: str) -> Column:
+        """How often a pattern occurs; texts without its literal part are not searched."""
+        return F.when(t.contains(part), F.regexp_count(t, F.lit("(?U)" + pattern))).otherwise(0)
 
     counted = upper.withColumns(
         {
-            "join_count": hits(r"\bJOIN\b"),
-            "subquery_count": hits(r"\(\s*SELECT\b"),
-            "aggregate_count": hits(rf"\b(?:{'|'.join(AGGREGATES)})\s*\("),
-            "has_window_functions": t.rlike(r"(?U)\bOVER\s*\("),
+            "join_count": hits(r"\bJOIN\b", "JOIN"),
+            "subquery_count": hits(r"\(\s*SELECT\b", "SELECT"),
+            "aggregate_count": hits(rf"\b(?:{'|'.join(AGGREGATES)})\s*\(", "("),
+            "has_window_functions": t.contains("OVER") & t.rlike(r"(?U)\bOVER\s*\("),
             "has_recursive_cte": t.contains("WITH") & t.contains("UNION"),
         }
     ).drop("__text")
@@ -211,6 +215,68 @@ def plan_operators(plans: DataFrame, text: str = "plan_text") -> DataFrame:
     )
 
 
+def plan_tree(plans: DataFrame, text: str = "plan_text") -> DataFrame:
+    """The operator elements of each plan text with their nesting: depth, parent, children and own cost.
+
+    Open and close marks are folded in order with a stack of open elements. A self-closing element holds nothing; a close
+    mark without an open one is passed over; elements that are never closed end with the text. An element's own cost is
+    its subtree's (``EstimatedTotalSubtreeCost``) less those of its children; where it states none, its ``EstimateCPU``.
+    """
+    keep = [c for c in plans.columns if c != text]
+    marks = F.regexp_extract_all(F.col(text), F.lit(r"<RelOp\b[^>]*>|</RelOp\s*>"), F.lit(0))
+    first = F.struct(
+        F.lit(0).alias("count"), F.array().cast("array<int>").alias("open"),
+        F.array().cast("array<struct<no:int,parent:int,depth:int,mark:string>>").alias("found"),
+    )
+
+    def step(state: Column, mark: Column) -> Column:
+        open_, no = state["open"], state["count"] + 1
+        inside = F.size(open_)
+        closed = F.struct(
+            state["count"].alias("count"), F.slice(open_, 1, F.greatest(inside - 1, F.lit(0))).alias("open"), state["found"].alias("found")
+        )
+        element = F.struct(
+            no.alias("no"), F.when(inside > 0, F.get(open_, inside - 1)).alias("parent"), inside.alias("depth"), mark.alias("mark")
+        )
+        opened = F.struct(
+            no.alias("count"), F.when(mark.endswith("/>"), open_).otherwise(F.concat(open_, F.array(no))).alias("open"),
+            F.concat(state["found"], F.array(element)).alias("found"),
+        )
+        return F.when(mark.startswith("</"), closed).otherwise(opened)
+
+    folded = F.aggregate(marks, first, step, lambda state: state["found"])
+
+    def attribute(mark: Column, name: str) -> Column:
+        return F.regexp_extract(mark, rf'\b{name}="([^"]+)"', 1)
+
+    parsed = F.transform(
+        folded,
+        lambda e: F.struct(
+            e["no"].alias("no"), e["parent"].alias("parent"), e["depth"].alias("depth"), attribute(e["mark"], "PhysicalOp").alias("type"),
+            attribute(e["mark"], "EstimatedTotalSubtreeCost").alias("subtree"), attribute(e["mark"], "EstimateCPU").alias("cpu"),
+        ),
+    )
+    costed = F.transform(
+        "__parsed",
+        lambda e: F.struct(
+            e["no"].alias("no"), e["parent"].alias("parent"), e["depth"].alias("depth"), e["type"].alias("type"),
+            F.when(e["subtree"] != "", _decimal_or_zero(e["subtree"])).alias("subtree"), _decimal_or_zero(e["cpu"]).alias("cpu"),
+        ),
+    )
+
+    def with_children(e: Column) -> Column:
+        below = F.filter("__costed", lambda c: c["parent"] == e["no"])
+        cost = "decimal(38,12)"
+        held = F.aggregate(below, F.lit(0).cast(cost), lambda a, c: (a + F.coalesce(c["subtree"], F.lit(0))).cast(cost))
+        return F.struct(
+            e["no"].alias("operator_no"), e["type"].alias("operator_type"), e["depth"].alias("depth"), e["parent"].alias("parent_no"),
+            F.size(below).alias("children"), F.coalesce(e["subtree"].cast(cost) - held, e["cpu"]).cast(cost).alias("own_cost"),
+        )
+
+    steps = plans.select(*keep, parsed.alias("__parsed")).select(*keep, costed.alias("__costed"))
+    return steps.select(*keep, F.inline(F.transform("__costed", with_children)))
+
+
 def plan_operator_totals(plans: DataFrame, text: str = "plan_text") -> DataFrame:
     """Operators of all plans rolled up by type."""
     return plan_operators(plans, text).groupBy("operator_type").agg(

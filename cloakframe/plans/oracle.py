@@ -936,6 +936,21 @@ o AS (SELECT plan_id, CAST(operator_no AS INTEGER) AS operator_no, regexp_extrac
   AS DECIMAL(38,12)), 0) AS estimated_cost FROM plan_log) SELECT plan_id, CAST(estimated_cost AS DECIMAL(38,12)) AS estimated_cost,
   CASE WHEN estimated_cost < 1 THEN 'Low' WHEN estimated_cost < 10 THEN 'Medium' WHEN estimated_cost < 100 THEN 'High'
   ELSE 'Very High' END AS resource_usage FROM c""",
+        ),
+        "plan_tree": with_derived(
+            plan,
+            """, marks AS (SELECT plan_id, unnest(m) AS mark, generate_subscripts(m, 1) AS pos
+    FROM (SELECT plan_id, regexp_extract_all(plan_text, '<RelOp\\b[^>]*>|</RelOp\\s*>') AS m FROM plan_log)),
+  levels AS (SELECT *, mark LIKE '<RelOp%' AS opens,
+    sum(CASE WHEN mark LIKE '</%' THEN -1 WHEN mark LIKE '%/>' THEN 0 ELSE 1 END) OVER (PARTITION BY plan_id ORDER BY pos)
+      - CASE WHEN mark LIKE '<RelOp%' AND mark NOT LIKE '%/>' THEN 1 ELSE 0 END AS depth FROM marks),
+  numbered AS (SELECT *, row_number() OVER (PARTITION BY plan_id ORDER BY pos) AS no FROM levels WHERE opens),
+  placed AS (SELECT c.*, (SELECT max(p.no) FROM numbered p WHERE p.plan_id = c.plan_id AND p.pos < c.pos AND p.depth = c.depth - 1) AS parent
+    FROM numbered c)
+SELECT plan_id, CAST(no AS INTEGER) AS operator_no, regexp_extract(mark, 'PhysicalOp="([^"]+)"', 1) AS operator_type,
+  CAST(depth AS INTEGER) AS depth, CAST(parent AS INTEGER) AS parent_no,
+  CAST((SELECT count(*) FROM placed d WHERE d.plan_id = c.plan_id AND d.parent = c.no) AS INTEGER) AS children,
+  CAST(TRY_CAST(regexp_extract(mark, 'EstimateCPU="([^"]+)"', 1) AS DECIMAL(38,12)) AS DECIMAL(38,12)) AS own_cost FROM placed c""",
         ),
         "plan_operators": with_derived(plan, f"{operators} SELECT * FROM o"),
         "plan_operator_totals": with_derived(

@@ -563,6 +563,7 @@ QUERIES: dict[str, Query] = {
     "audit_validation": _audit_validation,
     "audit_cost_estimate": _audit_cost_estimate,
     "plan_costs": _plan_costs,
+    "plan_tree": _table(audit.plan_tree, "plan_log"),
     "plan_operators": _table(audit.plan_operators, "plan_log"),
     "plan_operator_totals": _table(audit.plan_operator_totals, "plan_log"),
     # DML

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cloakframe.operators import audit
+from cloakframe.plans.derived import derived
 
 
 def one(spark, operator, text, **extra):
@@ -144,3 +145,55 @@ def test_a_cost_that_is_not_set(spark):
     log = spark.createDataFrame([("SELECT 1", None)], "query_text string, estimated_cost decimal(18,2)")
     row = audit.audit_cost_estimate(log).first()
     assert (row["message"], row["resource_usage"]) == ("Cost estimation completed. Estimated cost: 0", "Low")
+
+
+def test_plan_tree_against_an_xml_parser(spark, data_dir):
+    """Depth, parent, children and own cost as an XML parser finds them, on plans of a log and on made ones."""
+    import random
+    import xml.etree.ElementTree as ET
+    from decimal import Decimal
+
+    chance = random.Random(3)
+
+    def element(depth):
+        attributes = f'PhysicalOp="Op{chance.randrange(9)}" EstimatedTotalSubtreeCost="{chance.randrange(100)}.5" EstimateCPU="0.25"'
+        inner = "".join(element(depth + 1) for _ in range(chance.randrange(0, 4 if depth < 4 else 1)))
+        if not inner and chance.random() < 0.5:
+            return f"<RelOp {attributes} />"
+        return f"<RelOp {attributes}><Other>{inner}</Other></RelOp>"
+
+    texts = [f"<Plan>{element(0)}{element(0)}</Plan>" for _ in range(60)]
+    texts += [r.plan_text for r in derived(spark, data_dir, "plan_log").limit(200).collect()]
+    wanted = []
+    for i, text in enumerate(texts):
+        number = 0
+
+        def walk(node, parent, depth):
+            nonlocal number
+            mine, children, below = (parent, depth, None), 0, Decimal(0)
+            if node.tag == "RelOp":
+                number += 1
+                mine = (number, depth + 1, node)
+            found = []
+            for child in node:
+                found += walk(child, mine[0], mine[1])
+            if node.tag != "RelOp":
+                return found
+            children, below = len(found), sum((c for c in found), Decimal(0))
+            cost = node.get("EstimatedTotalSubtreeCost")
+            own = Decimal(cost) - below if cost else Decimal(node.get("EstimateCPU"))
+            wanted.append((i, mine[0], node.get("PhysicalOp"), depth, parent, children, own))
+            return [Decimal(cost or 0)]
+
+        walk(ET.fromstring(text), None, 0)
+    plans = spark.createDataFrame(list(enumerate(texts)), "i int, plan_text string")
+    got = [tuple(r) for r in audit.plan_tree(plans).collect()]
+    assert sorted(got) == sorted(wanted, key=lambda r: r[:2])
+
+
+def test_plan_tree_of_broken_texts(spark):
+    op = lambda n, end=">": f'<RelOp PhysicalOp="{n}" EstimateCPU="1"{end}'
+    texts = [None, "", f"</RelOp>{op('a')}{op('b')}", f"{op('a', '/>')}{op('b')}</RelOp></RelOp>{op('c')}", "<RelOps><RelOp/>"]
+    plans = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] * 2, "i int, plan_text string")
+    got = sorted((r.i, r.operator_no, r.operator_type, r.depth, r.parent_no) for r in audit.plan_tree(plans).collect())
+    assert got == sorted([(2, 1, "a", 0, None), (2, 2, "b", 1, 1), (3, 1, "a", 0, None), (3, 2, "b", 0, None), (3, 3, "c", 0, None), (4, 1, "", 0, None)] * 2)
