@@ -411,6 +411,9 @@ def _tables() -> dict[str, str]:
         "masking_report": _from("people", f"count(*) AS total_rows, count(*) FILTER (WHERE {changed}) AS masked_rows"),
         "mask_documents": f"SELECT {documents} FROM documents",
         "mask_stream": f"SELECT {documents} FROM documents",
+        "mask_stream_counts": "SELECT count(*) AS total_rows, count(*) FILTER (WHERE "
+        + " OR ".join(f"{masked(c)} IS DISTINCT FROM {c}" for c in ("text", "lang", "source"))
+        + ") AS masked_rows FROM documents",
         "mask_pages": f"SELECT page_id, {masked('url')} AS url, {masked('html')} AS html FROM pages",
     }
 

@@ -17,7 +17,7 @@ from cloakframe.plans.passthrough import CAPPED, PASSTHROUGH, SQL_SCALARS_SPARK
 from cloakframe.session import work_dir
 from cloakframe.sources import file_table
 from cloakframe.sources.tables import load_table, load_tables, result_json, table_path
-from cloakframe.streaming.masking import mask_stream, read_stream
+from cloakframe.streaming.masking import mask_stream, mask_stream_counted, read_stream, stream_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -139,6 +139,14 @@ def _mask_stream(spark: SparkSession, directory: str) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{run}/out")
 
 
+def _mask_stream_counts(spark: SparkSession, directory: str) -> DataFrame:
+    path = table_path(directory, "documents").removesuffix("parquet") + "{parquet}"
+    stream = read_stream(spark, path, load_table(spark, directory, "documents").schema)
+    run = f"{work_dir(spark)}/mask-counts-{uuid4().hex}"
+    mask_stream_counted(stream, f"{run}/out", f"{run}/counts", f"{run}/checkpoint").awaitTermination()
+    return stream_counts(spark, f"{run}/counts")
+
+
 # -- query -------------------------------------------------------------------------------------
 
 
@@ -510,6 +518,7 @@ QUERIES: dict[str, Query] = {
     "masking_report": _table(masking.masking_report, "people"),
     "mask_nested": _mask_nested,
     "mask_stream": _mask_stream,
+    "mask_stream_counts": _mask_stream_counts,
     # query
     "bounded_query": _passthrough(FLAGSHIP_SQL, query.DEFAULT_MAX_ROWS),
     "result_json": _result_json,
