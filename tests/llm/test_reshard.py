@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 from itertools import product
@@ -28,27 +29,56 @@ def test_flow_is_cheapest():
             if all(low <= p + q <= high for p, q in zip(x, y)):
                 cost = sum(n for a, row in enumerate((x, y)) for j, n in enumerate(row) if a != j)
                 best = cost if best is None else min(best, cost)
-        flow = reshard.transfers(old, shards, 0.5)
+        flow, moved = reshard.transfers(old, [1] * shards, 0.5)
         sizes = Counter()
         for (_, j), n in flow.items():
             sizes[j] += n
         assert sum(flow.values()) == total and all(low <= sizes[j] <= high for j in range(shards))
-        assert sum(n for (a, j), n in flow.items() if a != j) == best
+        assert sum(n for (a, j), n in flow.items() if a != j) == best == moved
 
 
 def test_nothing_moves_without_need():
     blocks = {(a, b, -1): 10 for a in range(4) for b in range(50)}
-    assert all(j == key[0] for key, j in reshard.assign_blocks(blocks, 4).items())
+    assert all(j == key[0] for key, j in reshard.assign_blocks(blocks, [1] * 4)[0].items())
 
 
 def test_growth_moves_only_the_new_shares():
     blocks = {(a, b, -1): 10 for a in range(4) for b in range(250)}
-    chosen = reshard.assign_blocks(blocks, 5)
+    chosen, _ = reshard.assign_blocks(blocks, [1] * 5)
     sizes = Counter(chosen.values())
     assert max(sizes.values()) - min(sizes.values()) <= 5
     assert sum(j != key[0] for key, j in chosen.items()) <= 205
 
 
+@pytest.mark.parametrize("capacities", [[1] * 12, [1] * 13, [1] * 16, [1] * 7, [3, 1, 1, 2, 5, 1, 1], [1, 2] * 10])
+def test_moves_are_the_least_but_for_rounding(capacities):
+    """Old shards of uneven sizes; sizes keep to the capacities within a block."""
+    chance = random.Random(len(capacities))
+    blocks = {(a, b, -1): chance.randint(80, 120) * (1 + a % 3) for a in range(12) for b in range(256)}
+    chosen, least = reshard.assign_blocks(blocks, capacities)
+    moved = sum(n for key, n in blocks.items() if chosen[key] != key[0])
+    largest, total = max(blocks.values()), sum(blocks.values())
+    assert least - largest * len(capacities) <= moved <= least + largest * len(capacities)
+    sizes = Counter()
+    for key, j in chosen.items():
+        sizes[j] += blocks[key]
+    for j, c in enumerate(capacities):
+        mean = total * c / sum(capacities)
+        assert abs(sizes[j] - mean) <= reshard.SLACK * mean + 2 * largest
+
+
+def test_a_thousand_shards():
+    chance = random.Random(1)
+    old = {a: chance.randint(10**9, 3 * 10**9) for a in range(1000)}
+    begun = time.perf_counter()
+    flow, moved = reshard.transfers(old, [1] * 1000)
+    assert time.perf_counter() - begun < 10
+    limits = reshard.bounds(sum(old.values()), [1] * 1000)
+    surplus = sum(max(0, n - limits[a][1]) for a, n in old.items())
+    assert moved == max(surplus, sum(max(0, limits[a][0] - n) for a, n in old.items()))
+    assert sum(flow.values()) == sum(old.values())
+
+
 def test_query(spark, data_dir):
     rows = QUERIES["op5_reshard"](spark, data_dir).collect()
     docs = {d.doc_id: (d.text or "").encode() for d in load_table(spark, data_dir, "documents").collect()}
@@ -89,6 +119,32 @@ def test_a_text_larger_than_a_shard_is_cut(spark):
     assert len(sizes) == 8 and max(sizes) < 1.2 * min(sizes)
 
 
+def test_capacities_of_shards(spark):
+    df = spark.range(6000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id") * 7919).alias("text"))
+    plan = reshard.plan_reshard(df, F.col("doc_id") % 4, [1, 1, 2, 4])
+    sizes = {r.shard: r.n for r in plan.placed.groupBy("shard").agg(F.sum(F.length("text") + 1).alias("n")).collect()}
+    assert all(abs(sizes[j] - plan.total * c / 8) < 0.02 * plan.total for j, c in enumerate([1, 1, 2, 4]))
+    assert plan.least <= plan.moved + 4 * plan.total // 1024 and plan.moved <= plan.least + 4 * plan.total // 512
+    for wrong in ([], [1, 0], 0):
+        with pytest.raises(ValueError):
+            reshard.plan_reshard(df, F.lit(0), wrong)
+
+
+def test_files_of_a_shard(spark, monkeypatch, request):
+    """A shard beyond the size of a file is dealt to several tasks."""
+    monkeypatch.setattr(reshard, "FILE_BYTES", 4000)
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    request.addfinalizer(lambda: [spark.conf.set(k, v) for k, v in kept.items()])
+    spark.conf.set("spark.sql.shuffle.partitions", "48")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # the texts are too small to be worth a task each
+    df = rows(spark, 3000).withColumn("doc_id", F.col("doc_id").cast("long"))
+    plan = reshard.plan_reshard(df, F.pmod(F.coalesce(F.xxhash64("text"), F.lit(0)), F.lit(3)), 4)
+    written = reshard.rewrite(plan, new_dir(spark, "s"), only_changed=False)
+    sizes = [r.n for r in written.groupBy("_metadata.file_path").agg(F.sum(F.coalesce(F.length("text"), F.lit(0)) + 1).alias("n")).collect()]
+    assert len(sizes) > 12 and max(sizes) < plan.total / 4
+    assert written.count() == df.count()
+
+
 def test_empty_and_clash(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     plan = reshard.plan_reshard(df, F.lit(0), 4)
