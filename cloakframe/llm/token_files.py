@@ -7,16 +7,18 @@ documents it wants and decompresses only those.
 
 Files follow each other in ascending order of the document id: a range partition each, sorted.
 
-Words between ASCII white space are encoded one by one and remembered, as the tokenizer never joins anything across
+Words between ASCII white space are encoded one by one and remembered where the tokenizer never joins anything across
 white space, nor a letter or digit with the punctuation behind it; a test holds the result against the encoding of
-whole texts.
+whole texts. That is so for tokenizers whose definition has the parts in ``WORDWISE``. With any other definition, texts
+are encoded whole.
 
-Results in odd cases: a null or empty text has the end id only; null ids come first; rows with equal ids are ordered
-by text and each gets its frame; an empty table gives no file and no rows; other columns are ignored.
+Results in odd cases: a null or empty text has the end id only; null ids come first; rows with equal ids each get
+their frame, in an order that a hash of the text and the text decide; an empty table gives no file and no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import zlib
@@ -42,6 +44,42 @@ REMEMBERED, REMEMBERED_STEMS = 500_000, 600_000  # words, and words without punc
 MARKS = b".,;:!?"
 
 
+# The parts of a definition for which words can be encoded apart.
+WORDWISE = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "post_processor": None,
+    "truncation": None,
+}
+
+
+def is_wordwise(definition: str) -> bool:
+    """Whether a tokenizer has the parts that encoding word by word relies on: those named, a model of byte pairs without
+    chance, and only special tokens beside it, which start with ``<`` and hold no white space."""
+    parts = json.loads(definition)
+    added = parts.get("added_tokens") or []
+    plain = all(
+        t["content"].startswith("<") and not t["content"].split()[1:] and not (t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"])
+        for t in added
+    )
+    model = parts["model"]
+    return plain and model.get("type") == "BPE" and not model.get("dropout") and all(parts.get(k) == v for k, v in WORDWISE.items())
+
+
 def byte_signs() -> dict[int, str]:
     """The sign that stands for each byte in a byte-level vocabulary: itself if it is printable in Latin-1, else the
     next one from 256 on."""
@@ -60,6 +98,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.model, self.signs = self.tokenizer.model, byte_signs()
+        self.wordwise = is_wordwise(definition)
         self.ids: dict[bytes, bytes] = {}
         self.stems: dict[str, bytes] = {}
 
@@ -100,6 +139,8 @@ class Encoder:
         self.ids.update((w, known[a] + known[b] if b else known[a]) for w, (a, b) in cut.items())
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if not self.wordwise:
+            return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         split = [t.encode().split() for t in texts]
         new = set(chain.from_iterable(split)).difference(self.ids)
         if len(new) + len(self.ids) > REMEMBERED:

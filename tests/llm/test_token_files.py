@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 import random
 import zlib
 
@@ -35,6 +36,22 @@ def test_words_encode_like_whole_texts():
         assert np.frombuffer(data, "<u4").tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+@pytest.mark.parametrize("change", [None, "normalizer", "pre_tokenizer", "added_tokens"])
+def test_other_tokenizers_encode_whole_texts(change):
+    """Another vocabulary, or this one with a part that words apart would get wrong."""
+    definition = json.loads(open(public_tokenizers.path("byte_bpe_50k.json") if change is None else PATH, encoding="utf-8").read())
+    if change == "added_tokens":
+        definition[change].append({**definition[change][0], "id": 49408, "content": "two words", "normalized": False})
+    elif change:
+        definition[change] = {"type": "NFC"} if change == "normalizer" else {"type": "Whitespace"}
+    text = json.dumps(definition)
+    whole, encoder = Tokenizer.from_str(text), token_files.Encoder(text)
+    assert not token_files.is_wordwise(text) and token_files.is_wordwise(open(PATH, encoding="utf-8").read())
+    texts = ["Hello world, this is a Test.", "", " two words\n\n twice  two words", "É é\u0301 1234 it's <|endoftext|> x"]
+    for t, data in zip(texts, encoder.encode(texts), strict=True):
+        assert np.frombuffer(data, "<u4").tolist() == whole.encode(t, add_special_tokens=False).ids
+
+
 def test_forgetting_changes_nothing(monkeypatch):
     monkeypatch.setattr(token_files, "REMEMBERED", 3)
     monkeypatch.setattr(token_files, "REMEMBERED_STEMS", 3)
