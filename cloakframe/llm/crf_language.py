@@ -35,6 +35,7 @@ TABLE, LEAST_TABLE = 18, 10  # bits of the hashed tables
 SLICE = 1 << 21  # scores that are added up at once
 CHUNK = 2_000_000  # bytes of text that are scored at once
 STEPS, SEQUENCES, LENGTH, RATE = 150, 192, 40, 0.3
+LONG, BLOCK = 4_096, 256  # words of a text from which on the recursion goes by blocks, and words of a block
 ODD = 0x9E3779B97F4A7C15
 
 WORD = np.zeros(256, bool)
@@ -150,6 +151,49 @@ def marginals(scores: np.ndarray, first: np.ndarray, lengths: np.ndarray, move:
         back[:n] = _normal(after @ step.T)
 
 
+def blocked_marginals(scores: np.ndarray, first: np.ndarray, move: np.ndarray, block: int = BLOCK) -> np.ndarray:
+    """The probabilities of all words of texts that start at the words ``first``: forward-backward as ``marginals`` does
+    it, but over all texts as one sequence that is cut into blocks of equal length. Products of a block's moves come from
+    steps over all blocks at once, then the messages between blocks, then the words inside; so one long text takes as
+    many array operations as many short ones."""
+    n, k = scores.shape
+    block = max(1, min(block, n))
+    rows = -(-n // block)
+    local, fresh = np.ones((rows * block, k)), np.zeros(rows * block, bool)
+    local[:n] = np.exp(scores - scores.max(axis=1, keepdims=True)) + 1e-12
+    fresh[first[first < n]] = True
+    fresh[n:] = True
+    local, fresh = local.reshape(rows, block, k), fresh.reshape(rows, block)
+    step = np.exp(move.astype(float) - float(move.max()))
+
+    def moves(t: int) -> np.ndarray:
+        return np.where(fresh[:, t, None, None], 1.0, step) * local[:, t, None, :]
+
+    product = moves(0)
+    for t in range(1, block):
+        product = product @ moves(t)
+        product /= product.max(axis=(1, 2), keepdims=True)
+    enter, leave = np.ones((rows, k)), np.ones((rows, k))
+    for r in range(1, rows):
+        enter[r] = enter[r - 1] @ product[r - 1]
+        enter[r] /= enter[r].sum()
+        back = rows - r
+        leave[back - 1] = product[back] @ leave[back]
+        leave[back - 1] /= leave[back - 1].sum()
+    ahead, state = np.empty((rows, block, k)), enter
+    for t in range(block):
+        state = (state[:, None] @ moves(t))[:, 0]
+        state /= state.sum(axis=1, keepdims=True)
+        ahead[:, t] = state
+    state = leave
+    for t in range(block - 1, -1, -1):
+        ahead[:, t] *= state
+        state = (moves(t) @ state[:, :, None])[:, :, 0]
+        state /= state.sum(axis=1, keepdims=True)
+    held = ahead.reshape(-1, k)[:n]
+    return held / held.sum(axis=1, keepdims=True)
+
+
 def fit(texts: list[str], names: list[str], seed: int = 7) -> Model:
     """Learns the weights from labelled texts."""
     labels = sorted(set(names))
@@ -242,8 +286,14 @@ def label(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray]
         order = np.argsort(-lengths, kind="stable")
         sums = np.zeros((len(some), len(model.labels)))
         first = words.first[:-1][order]
-        for _, held, _ in marginals(model.scores(words), first, lengths[order], model.move):
-            sums[: len(held)] += held
+        if lengths.max(initial=0) > LONG:
+            # Rows of scores are in the order of the texts, so sums over them are differences of running sums.
+            held = blocked_marginals(model.scores(words), words.first[:-1], model.move)
+            running = np.concatenate((np.zeros((1, held.shape[1])), np.cumsum(held, axis=0)))
+            sums[:] = (running[words.first[1:]] - running[words.first[:-1]])[order]
+        else:
+            for _, held, _ in marginals(model.scores(words), first, lengths[order], model.move):
+                sums[: len(held)] += held
         means = sums / np.maximum(lengths[order], 1)[:, None]
         for row, mean in zip(order.tolist(), means, strict=True):
             if lengths[row]:
@@ -252,6 +302,41 @@ def label(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray]
     return names, scores
 
 
+def word_labels(model: Model, text: str | None) -> list[tuple[int, int, str, float]]:
+    """(start, end, language, probability) of each word of a text, in code points of the text."""
+    words = Words([text or ""], model.bits) if model.labels else None
+    if words is None or not len(words):
+        return []
+    held = blocked_marginals(model.scores(words), words.first[:-1], model.move)
+    # Words are runs of bytes of the lower-cased text, whose places are told by counting its code points; lower case
+    # may be longer than what it comes from.
+    lower = [c.lower() for c in text]
+    sizes = np.fromiter((len(c.encode("utf-8", "replace")) for c in lower), np.int64, len(lower))
+    ends = np.cumsum(sizes)
+    starts = np.searchsorted(ends, words.start - 1, side="right")
+    stops = np.searchsorted(ends, words.start - 1 + words.lengths - 1, side="right") + 1
+    best = held.argmax(axis=1)
+    return [
+        (int(a), int(b), model.labels[j], float(p))
+        for a, b, j, p in zip(starts, stops, best, held[np.arange(len(best)), best], strict=True)
+    ]
+
+
+def label_words(docs: DataFrame, model: Model, key_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per word of each text: the key, start and end (code points, end exclusive), word, lang and probability.
+    Texts without words, or a model without labels, give no rows."""
+    shipped = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("array<struct<start:int,end:int,lang:string,probability:double>>")
+    def of(texts: pd.Series) -> pd.Series:
+        names = ("start", "end", "lang", "probability")
+        return pd.Series([[dict(zip(names, w, strict=True)) for w in word_labels(shipped.value, t if isinstance(t, str) else None)] for t in texts])
+
+    rows = docs.select(F.col(key_col).alias("key"), F.col(text_col).alias("text"), F.explode(of(F.col(text_col))).alias("w"))
+    word = F.substring("text", F.col("w.start") + 1, F.col("w.end") - F.col("w.start"))
+    return rows.select(F.col("key").alias(key_col), "w.start", "w.end", word.alias("word"), "w.lang", "w.probability")
+
+
 def learn(
     docs: DataFrame,
     label_col: str = "lang",

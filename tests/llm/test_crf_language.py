@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import itertools
+import time
 import zlib
 from itertools import product
 
@@ -135,3 +137,88 @@ def test_mixed_documents_are_kept(spark):
     df = spark.createDataFrame([(i, t, n) for i, (n, t) in enumerate(rows)] + [(900, mixed, None), (901, "kaj estas tio kio", None), (902, "1 2", None)], "doc_id long, text string, lang string")
     assert {r.doc_id: r.score for r in crf.identify(df).where("doc_id = 900").collect()}[900] < 0.4
     assert {r.doc_id for r in crf.keep_identified(df).collect()} == set(range(120)) | {900, 901}
+
+
+def some_model(labels="abc", seed=4):
+    draws = np.random.default_rng(seed)
+    model = crf.Model(list(labels))
+    for name in ("pair", "triple", "prefix", "suffix", "lexicon", "move"):
+        table = getattr(model, name)
+        table[:] = draws.normal(size=table.shape)
+    return model
+
+
+def test_blocks_give_the_same_marginals():
+    draws = np.random.default_rng(5)
+    for sizes in ([1], [7], [0, 3, 0, 12, 1], [40, 0]):
+        n = sum(sizes)
+        scores, move = draws.normal(size=(n, 3)).astype(np.float32), draws.normal(size=(3, 3)).astype(np.float32)
+        first = np.concatenate(([0], np.cumsum(sizes)))[:-1]
+        order = np.argsort(-np.array(sizes), kind="stable")
+        wanted = np.empty((n, 3))
+        lengths = np.array(sizes)[order]
+        for at, held, _ in crf.marginals(scores, first[order], lengths, move):
+            wanted[at] = held
+        for block in (1, 2, 5, 16, 100):
+            assert np.allclose(crf.blocked_marginals(scores, first, move, block), wanted, atol=1e-4)
+
+
+def test_long_and_short_texts_score_alike(monkeypatch):
+    model = some_model()
+    texts = ["one two three", None, "", "ünd Straße", "a b c " * 50, "123"]
+    names, scores = crf.label(model, texts)
+    monkeypatch.setattr(crf, "LONG", 0)
+    again, blocked = crf.label(model, texts)
+    assert names == again and np.allclose(scores, blocked, atol=1e-4)
+
+
+def test_a_very_long_text_ends_soon():
+    begun = time.perf_counter()
+    names, scores = crf.label(some_model("ab"), ["the quick brown fox " * 1_000_000])
+    assert names[0] in "ab" and time.perf_counter() - begun < 60
+
+
+def test_document_against_brute_force():
+    """Features, lexicon and label of a document recomputed word by word, over all paths."""
+    model, text = some_model("ab"), "Ein word, été"
+    words = [w.encode() for w in ("ein", "word", "été")]
+    slot = crf.Words._slot
+    dummy = crf.Words([""], model.bits)
+
+    def scores(word):
+        c = [32, *word, 32]
+        total = model.prefix[slot(dummy, np.array([word[0] << 16 | (word[1] if len(word) > 1 else 0) << 8 | (word[2] if len(word) > 2 else 0)]), 2)[0]].astype(float)
+        n = len(word)
+        total = total + model.suffix[slot(dummy, np.array([word[-1] << 16 | (word[-2] if n > 1 else 0) << 8 | (word[-3] if n > 2 else 0)]), 3)[0]]
+        for i in range(1, n + 1):
+            total = total + model.pair[c[i - 1] << 8 | c[i]] + model.triple[slot(dummy, np.array([c[i - 1] << 16 | c[i] << 8 | c[i + 1]]), 1)[0]]
+        alone = crf.Words([word.decode()], model.bits)
+        return total + model.lexicon[alone.whole[0]] * model.trust
+
+    local = [scores(w) for w in words]
+    weights = {}
+    for path in itertools.product(range(2), repeat=3):
+        weights[path] = np.exp(sum(local[i][y] for i, y in enumerate(path)) + sum(model.move[a, b] for a, b in itertools.pairwise(path)))
+    total = sum(weights.values())
+    marginal = [[sum(w for p, w in weights.items() if p[i] == y) / total for y in range(2)] for i in range(3)]
+    names, found = crf.label(model, [text])
+    means = np.mean(marginal, axis=0)
+    assert names == [model.labels[int(means.argmax())]] and abs(found[0] - means.max()) < 1e-3
+    labels = crf.word_labels(model, text)
+    assert [text[a:b] for a, b, _, _ in labels] == ["Ein", "word", "été"]
+    assert all(abs(p - max(m)) < 1e-3 and name == model.labels[int(np.argmax(m))] for (_, _, name, p), m in zip(labels, marginal, strict=True))
+
+
+def test_words_of_code_switched_texts(spark):
+    english = "the house and the garden with many people in the old town "
+    german = "das haus und der garten mit vielen leuten in der alten stadt "
+    rows = [(i, (english if i % 2 else german) * 3, "en" if i % 2 else "de") for i in range(40)]
+    model = crf.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    mixed = f"{english}{german}"
+    docs = spark.createDataFrame([(1, mixed), (2, None), (3, "İ x 1"), (4, "")], "doc_id long, text string")
+    got = crf.label_words(docs, model).orderBy("doc_id", "start").collect()
+    ours = [r for r in got if r.doc_id == 1]
+    assert [r.word for r in ours] == mixed.split() and all(mixed[r.start : r.end] == r.word for r in ours)
+    right = sum(r.lang == ("en" if r.start < len(english) else "de") for r in ours)
+    assert right >= 0.9 * len(ours) and all(0 < r.probability <= 1 for r in ours)
+    assert {r.word for r in got if r.doc_id == 3} == {"İ", "x"} and {r.doc_id for r in got} == {1, 3}
