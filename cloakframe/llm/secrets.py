@@ -11,7 +11,7 @@ Viterbi runs over all texts of a batch at once, as products of small max-plus ma
 many array operations as many short ones.
 
 The field is trained on a bounded sample, at most ``PER_KIND`` windows around base spans and as many from anywhere,
-chosen by a hash. The labels are what the patterns found, less runs of digits only, which are numbers of other kinds
+chosen by a hash; base spans are looked for in ``POOL`` times as many texts. The labels are what the patterns found, less runs of digits only, which are numbers of other kinds
 more often than keys. Copies of each window with the secret redrawn from other alphabets, with and without the words
 before it, teach the field what the patterns do not say; windows without a secret come again with addresses, paths,
 numbers, dates and names strewn in. Everything else covers all rows and whole texts.
@@ -29,9 +29,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cloakframe.llm.common import stored
 from cloakframe.llm.files import kept
 
 KINDS = ("assign", "access", "hex", "crf")
@@ -45,7 +46,7 @@ ACCESS, HEX = re.compile("AKIA[A-Z0-9]{14,}"), re.compile("[0-9a-f]{16,}")
 HINT = r"[0-9a-f]{16}|AKIA[A-Z0-9]{14}|(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]"
 
 SHORTEST = 8
-PER_KIND, WINDOW, LENGTH = 1_500, 600, 64  # windows of each kind, their code points and tokens
+PER_KIND, POOL, WINDOW, LENGTH = 1_500, 1_000, 600, 64  # windows of each kind, texts to look in for each, code points and tokens
 STEPS, BATCH, RATE, COPIES = 160, 192, 0.25, 2
 CHUNK, BLOCK = 2_000_000, 256  # code points that are tagged at once; steps of a block
 BITS = 16
@@ -439,7 +440,9 @@ def _gradient(scores: np.ndarray, gold: np.ndarray, real: np.ndarray, move: np.n
 def learn(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text", per_kind: int = PER_KIND, window: int = WINDOW) -> Model:
     """A field fitted on windows around base spans and on others, at most ``per_kind`` of each."""
     keyed = docs.select(
-        F.xxhash64(F.coalesce(F.col(key_col).cast("string"), F.lit("")), F.lit("secrets")).alias("draw"), F.col(text_col).alias("text")
+        # By the text, too, as ids may be null or repeat.
+        F.xxhash64(F.coalesce(F.col(key_col).cast("string"), F.lit("")), text_col, F.lit("secrets")).alias("draw"),
+        F.col(text_col).alias("text"),
     ).where("text IS NOT NULL")
 
     def windows(around: bool):
@@ -456,16 +459,22 @@ def learn(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text", per_
 
         return cut
 
-    def sample(some: DataFrame, around: bool) -> list[tuple[str, int]]:
-        parts = some.select("draw", windows(around)("text", "draw").alias("w")).select("draw", "w.part", "w.file")
-        chosen = parts.orderBy("draw", "part").limit(per_kind).collect()
-        return [(r["part"], r["file"]) for r in chosen]
+    def share(salt: str) -> Column:
+        return F.pmod(F.xxhash64("draw", F.lit(salt)), F.lit(1 << 30)) / float(1 << 30)
 
-    hits = sample(keyed.where(F.col("text").rlike(HINT)), True)
-    total = docs.count()
-    below = 2 * per_kind / max(1, total)
-    drawn = F.pmod("draw", F.lit(1 << 30)) / float(1 << 30)
-    return fit(hits + sample(keyed.where(drawn < below), False))
+    def sample(some: DataFrame, around: bool) -> DataFrame:
+        return some.select("draw", windows(around)("text", "draw").alias("w")).select("draw", "w.part", "w.file")
+
+    def gathered(parts: DataFrame) -> list[tuple[str, int]]:
+        """About a fifth more than wanted are drawn, whatever the number of tasks, and the rest is cut off."""
+        rows = sorted(parts.collect(), key=lambda r: (r["draw"], r["part"]))
+        return [(r["part"], r["file"]) for r in rows[:per_kind]]
+
+    total = max(1, docs.count())
+    pool = keyed.where(share("pool") < POOL * per_kind / total)
+    hits = stored(sample(pool.where(F.col("text").rlike(HINT)), True), "hits")
+    around = gathered(hits.where(share("hits") < 1.2 * per_kind / max(1, hits.count())))
+    return fit(around + gathered(sample(keyed.where(share("any") < 1.2 * per_kind / total), False)))
 
 
 def find_secrets(docs: DataFrame, model: Model, text_col: str = "text", shortest: int = SHORTEST) -> DataFrame:
