@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cloakframe.operators import workload as w
+from cloakframe.plans import registry
 from cloakframe.plans.derived import derived
 
 LOG = "query_hash {h}, query_text string, elapsed_us bigint, cpu_us bigint, logical_reads bigint, physical_reads bigint, executed_at timestamp_ntz"
@@ -77,6 +78,29 @@ def test_text_of_several_and_null_keys(spark):
     assert [r.query_text for r in w.slow_groups(log, texts=False).collect()] == [None] * 3
 
 
+def test_texts_of_one_hash_stay_apart(spark):
+    """A slow text is not hidden by a fast one of its hash, and of ties the texts that sort first are listed."""
+    rows = [("a", "slow", 3_000_000, 1), ("a", "slow", 1_000_000, 1), ("b", None, 2_000_000, 1), (None, "x\ty", 2_000_000, 1)]
+    rows += [("a", f"fast {i}", 10, 1) for i in range(50)] + [("t", f"tie {i:02}", 1_500_000, 1) for i in range(60)]
+    statements = log(spark, rows).repartition(7)
+    whole = w.slow_groups(statements, top_count=None, by_text=True)
+    assert whole.count() == 63
+    got = [(r.query_hash, r.query_text, r.execution_count) for r in w.slow_groups(statements, by_text=True).collect()]
+    assert set(got[:3]) == {("a", "slow", 2), ("b", None, 1), (None, "x y", 1)}
+    assert got[3:] == [("t", f"tie {i:02}", 1) for i in range(47)]
+    with pytest.raises(ValueError):
+        w.slow_groups(statements, stats=w.statement_stats(statements), by_text=True)
+
+
+def _odd_log(spark, directory, _):
+    return log(spark, [("a", f"text {i}", 2_000_000 if i % 2 else 10, 1) for i in range(100)])
+
+
+def test_slow_groups_query_takes_texts_apart(spark, monkeypatch):
+    monkeypatch.setattr(registry, "derived", _odd_log)
+    assert registry.QUERIES["slow_groups"](spark, "").count() == 50
+
+
 @pytest.mark.parametrize(
     "uses,score,category",
     [(0, "0", "Unused"), (1, "0.01", "Light"), (99, "0.99", "Light"), (100, "1", "Moderate"), (999, "9.99", "Moderate"),
