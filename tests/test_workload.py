@@ -96,9 +96,10 @@ def _odd_log(spark, directory, _):
     return log(spark, [("a", f"text {i}", 2_000_000 if i % 2 else 10, 1) for i in range(100)])
 
 
-def test_slow_groups_query_takes_texts_apart(spark, monkeypatch):
+@pytest.mark.parametrize("name", ["slow_groups", "slow_groups_binary"])
+def test_slow_groups_query_takes_texts_apart(spark, monkeypatch, name):
     monkeypatch.setattr(registry, "derived", _odd_log)
-    assert registry.QUERIES["slow_groups"](spark, "").count() == 50
+    assert registry.QUERIES[name](spark, "").count() == 50
 
 
 @pytest.mark.parametrize(
