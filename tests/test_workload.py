@@ -102,6 +102,12 @@ def test_slow_groups_query_takes_texts_apart(spark, monkeypatch, name):
     assert registry.QUERIES[name](spark, "").count() == 50
 
 
+def test_slow_groups_summary_query_takes_texts_apart(spark, monkeypatch):
+    monkeypatch.setattr(registry, "derived", _odd_log)
+    row = registry.QUERIES["slow_groups_summary"](spark, "").first()
+    assert (row["total_queries"], row["average_execution_ms"]) == (50, Decimal(2000))
+
+
 @pytest.mark.parametrize(
     "uses,score,category",
     [(0, "0", "Unused"), (1, "0.01", "Light"), (99, "0.99", "Light"), (100, "1", "Moderate"), (999, "9.99", "Moderate"),
