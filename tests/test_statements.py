@@ -131,3 +131,36 @@ def test_statements_of_a_log(spark):
     )
     slow = w.slow_groups(w.with_statement_hash(log)).collect()
     assert [(r.query_text, r.execution_count) for r in slow] == [("SELECT y FROM t", 1), ("SELECT x FROM t WHERE k = 4", 5)]
+    assert w.slow_groups(w.with_statement_hash(log), unhashed=log).collect() == slow
+
+
+def test_shapes_are_taken_once(spark, tmp_path):
+    """Of the whole log shapes are taken by one scan; the lookup takes them below the filter by time."""
+    ones = [f"1L AS {c}" for c in ("cpu_us", "logical_reads", "physical_reads")]
+    text = "concat('SELECT ', id % 7, ' FROM t', id % 5) AS query_text"
+    spark.range(100).selectExpr(text, "id * 1000000 AS elapsed_us", *ones, "timestamp_seconds(id) AS executed_at").write.parquet(f"{tmp_path}/log")
+    log = spark.read.parquet(f"{tmp_path}/log")
+    slow = w.slow_groups(w.with_statement_hash(log), unhashed=log)
+    assert len(slow.collect()) == 5
+    final = slow._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "ReusedExchange" in final
+    scans = final.split("regexp_extract_all(")[1:]
+    assert len(scans) == 2 and "LeftSemi" in scans[-1] + scans[0]
+
+
+def test_against_the_pattern_of_tokens(spark):
+    """Runs of words and signs, set apart afterwards, give what one token after another gives: deep comments, marks beside
+    letters, letters whose lower case depends on their neighbours."""
+    token = rf"{st.STRING}|{st.COMMENT}|{st.NAME}|{st.WORD}|{st.NUMBER}|[^\s]"
+
+    def placed(t):
+        kept = F.when(t.rlike(r'^["\[]'), t).otherwise(F.lower(t))
+        return F.when(t.rlike(r"^(?:--|/\*)"), F.lit(None)).when(t.rlike(r"^(?:[nN]?'|[0-9]|\.[0-9])"), F.lit("?")).otherwise(kept)
+
+    chance = random.Random(2)
+    pieces = ["/*" * 9, "/*" * 7, "*/" * 8, "/", "*", "-", "--", "'", '"', "[", "]", "\u0130", "\u0391\u03a3", "\u0307", "\u00b2", "\u0663", "N'", "n", ".", "1", ".5", "1e",
+              "\u00a0", "\x0b", " ", "\n", "$1", "\\", "\U0001d49c", "in (1,-2)", "a"]
+    rows = [("".join(chance.choices(pieces, k=chance.randint(0, 20))),) for _ in range(5000)]
+    tokens = F.filter(F.transform(F.regexp_extract_all("t", F.lit(token), F.lit(0)), placed), lambda t: t.isNotNull())
+    old = F.regexp_replace(F.array_join(tokens, " "), st.IN_LIST, "in ( ? )")
+    assert spark.createDataFrame(rows, "t string").repartition(4).where(old != st.statement_shape(F.col("t"))).collect() == []
