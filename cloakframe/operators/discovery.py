@@ -7,7 +7,9 @@ another if they share all its values. A value that every column holds is one row
 
 *Keys* are minimal sets of columns without nulls whose values never repeat. They are searched by size: sets that hold a
 smaller key are left out, as are those whose distinct counts, from sketches, multiply to less than the rows. One scan
-sketches all sets of a size, one more counts exactly those that may be unique.
+sketches all sets of a size. Of those that may be unique most show a repeat within a small part of the values or rows,
+which is looked at first where a table is large: a repeat there is a repeat. Whatever is left is checked over all rows by
+one hash of 64 bits; if none of these repeats, no value does. Where one repeats, rows with it are compared by 128 bits.
 
 Values are compared by 128 bits of hashes of their texts; integers of all widths compare with each other, texts with
 texts. Nulls are no values.
@@ -15,6 +17,7 @@ texts. Nulls are no values.
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from functools import reduce
 from itertools import combinations
 from math import prod
@@ -25,14 +28,19 @@ from pyspark.sql import types as T
 
 MARGIN = 0.9  # of a sketch's estimate; its error is a fraction of that
 PRECISION = 12
+SHARES, SHARED_ROWS = (64, 8), 200_000  # parts of the values looked at before all of them, and rows from which it pays
 
 
 def _name(column: str) -> Column:
     return F.col("`" + column.replace("`", "``") + "`")
 
 
+def _hash(*columns: Column) -> Column:
+    return F.xxhash64(*columns)
+
+
 def _hashes(*columns: Column) -> tuple[Column, Column]:
-    return F.xxhash64(*columns), F.xxhash64(F.lit("second"), *columns)
+    return _hash(*columns), F.xxhash64(F.lit("second"), *columns)
 
 
 def _kind(data_type: T.DataType) -> str | None:
@@ -89,6 +97,47 @@ def find_relationships(frames: dict[str, DataFrame], keys_only: bool = True) ->
     )
 
 
+def _without(sets: list[tuple[str, ...]], numbers: Collection[int]) -> list[tuple[str, ...]]:
+    return [s for i, s in enumerate(sets) if i not in numbers]
+
+
+def _part(value: Column, share: int) -> Column:
+    """A part of the values, and of all rows, where a value that is frequent shows."""
+    return (F.pmod(value, F.lit(share)) == 0) | (F.rand(1) < 1 / share)
+
+
+def _repeated(df: DataFrame, sets: list[tuple[str, ...]], where: list[Column] | None = None) -> set[int]:
+    """Numbers of the sets of which some values repeat, among the rows that a condition per set names or among all."""
+    items = []
+    for i, s in enumerate(sets):
+        h1, h2 = _hashes(*map(_name, s))
+        item = F.struct(F.lit(i).alias("set"), h1.alias("h1"), h2.alias("h2"))
+        items.append(item if where is None else F.when(where[i], item))
+    listed = F.array(*items) if where is None else F.array_compact(F.array(*items))
+    counted = df.select(F.explode(listed).alias("v")).groupBy("v").agg(F.count("*").alias("n"))
+    return {r[0] for r in counted.where("n > 1").select("v.set").distinct().collect()}
+
+
+def _unique(df: DataFrame, sets: list[tuple[str, ...]]) -> tuple[list[tuple[str, ...]], int]:
+    """The sets whose values never repeat, and the number of scans.
+
+    Rows are shuffled as they are: nearly all hashes differ, and to look for equal ones in the tasks first would fill memory.
+    """
+    items = [F.struct(F.lit(i).alias("set"), _hash(*map(_name, s)).alias("h")) for i, s in enumerate(sets)]
+    rows = df.select(F.explode(F.array(*items)).alias("v")).select("v.*").repartition("set", "h")
+    twice = rows.groupBy("set", "h").agg(F.count("*").alias("n")).where("n > 1")
+    seen = {r[0]: r[1] for r in twice.groupBy("set").agg(F.min("h")).collect()}
+    if not seen:
+        return sets, 1
+    unsure, scans = [s for i, s in enumerate(sets) if i in seen], 2
+    hashes = [seen[i] for i in sorted(seen)]
+    repeats = _repeated(df, unsure, [_hash(*map(_name, s)) == h for s, h in zip(unsure, hashes, strict=True)])
+    unsure = _without(unsure, repeats)
+    if unsure:  # two values of one hash
+        unsure, scans = _without(unsure, _repeated(df, unsure)), 3
+    return [s for i, s in enumerate(sets) if i not in seen or s in unsure], scans
+
+
 def find_keys(df: DataFrame, max_columns: int = 3) -> tuple[list[tuple[str, ...]], int]:
     """The minimal keys of at most so many columns, and the number of scans it took. An empty table has none."""
     usable = [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType))]
@@ -114,14 +163,18 @@ def find_keys(df: DataFrame, max_columns: int = 3) -> tuple[list[tuple[str, ...]
             sets = [s for s, n in zip(sets, estimates, strict=True) if n >= MARGIN * rows]
         if not sets or not rows:
             continue
-        items = []
-        for i, s in enumerate(sets):
-            h1, h2 = _hashes(*map(_name, s))
-            items.append(F.struct(F.lit(i).alias("set"), h1.alias("h1"), h2.alias("h2")))
-        counted = df.select(F.explode(F.array(*items)).alias("v")).groupBy("v").agg(F.count("*").alias("n"))
-        repeated = {r[0] for r in counted.where("n > 1").select("v.set").distinct().collect()}
-        scans += 1
-        keys += [s for i, s in enumerate(sets) if i not in repeated]
+        if rows < SHARED_ROWS:
+            keys += _without(sets, _repeated(df, sets))
+            scans += 1
+            continue
+        for share in SHARES:
+            if sets:
+                sets = _without(sets, _repeated(df, sets, [_part(_hash(*map(_name, s)), share) for s in sets]))
+                scans += 1
+        if sets:
+            found, more = _unique(df, sets)
+            keys += found
+            scans += more
     return keys, scans
 
 

@@ -3,6 +3,8 @@ from __future__ import annotations
 import random
 from itertools import combinations
 
+from pyspark.sql import functions as F
+
 from cloakframe.operators import discovery
 from cloakframe.plans.registry import FOREIGN_KEYS
 from cloakframe.sources.tables import load_tables
@@ -66,3 +68,30 @@ def test_keys_against_brute_force(spark):
         assert scans <= 6
     assert discovery.find_keys(spark.createDataFrame([], "a int, b string"))[0] == []
     assert discovery.find_keys(spark.createDataFrame([(1, None)], "a int, b string"))[0] == [("a",)]
+
+
+def test_repeats_show_in_a_part_of_a_large_table(spark, monkeypatch):
+    """Only what shows no repeat in a part is checked over all rows, and the answer is exact: a single repeat counts."""
+    checked, unique = [], discovery._unique
+
+    def recorded(df, sets):
+        checked.extend(sets)
+        return unique(df, sets)
+
+    monkeypatch.setattr(discovery, "_unique", recorded)
+    monkeypatch.setattr(discovery, "SHARED_ROWS", 1000)
+    # near repeats one value in twenty, hot one value in one of twelve rows, once two rows of all.
+    df = spark.range(0, 40_000, numPartitions=4).selectExpr(
+        "id AS key", "IF(id % 20 = 0, id + 1, id) AS near", "IF(id % 12 = 0, 0, id) AS hot", "IF(id = 77, 78, id) AS once", "id % 3 AS few"
+    )
+    assert discovery.find_keys(df, 1)[0] == [("key",)]
+    assert ("near",) not in checked and ("hot",) not in checked and {("key",), ("once",)} <= set(checked)
+    others = df.drop("key")
+    assert sorted(discovery.find_keys(others, 2)[0]) == brute([tuple(r) for r in others.collect()], others.columns, 2)
+
+
+def test_values_of_one_hash_are_no_repeat(spark, monkeypatch):
+    hashed = discovery._hash
+    monkeypatch.setattr(discovery, "SHARED_ROWS", 10)
+    monkeypatch.setattr(discovery, "_hash", lambda *columns: F.pmod(hashed(*columns), F.lit(64)))
+    assert discovery.find_keys(spark.range(500).selectExpr("id AS a", "id % 499 AS b", "id % 9 AS c"), 1)[0] == [("a",)]
