@@ -40,7 +40,8 @@ SKIPPABLE, SEEK_TABLE, SEEKABLE, CHECKSUMS = 0x184D2A5D, 0x184D2A5E, 0x8F92EAB1,
 ENTRY, FOOTER = "<III", "<IBI"
 ENTRY_SIZE, FOOTER_SIZE = struct.calcsize(ENTRY), struct.calcsize(FOOTER)
 END_ID = 1
-REMEMBERED, REMEMBERED_STEMS = 500_000, 600_000  # words, and words without punctuation, that a worker remembers at most
+# Words, and words without punctuation, that a worker remembers at most before those not met again go; twice as many in all.
+REMEMBERED, REMEMBERED_STEMS = 500_000, 400_000
 MARKS = b".,;:!?"
 
 
@@ -101,6 +102,7 @@ class Encoder:
         self.wordwise = is_wordwise(definition)
         self.ids: dict[bytes, bytes] = {}
         self.stems: dict[str, bytes] = {}
+        self.older_ids, self.older_stems = {}, {}
 
     @staticmethod
     def parts(word: bytes) -> tuple[str, str]:
@@ -120,22 +122,27 @@ class Encoder:
         return text, behind
 
     def _learn(self, words: set[bytes]) -> None:
-        cut = {w: self.parts(w) for w in words}
-        new = {p for pair in cut.values() for p in pair if p}.difference(self.stems)
+        letters = {w: w.lower().decode() for w in words if w.isalpha()}  # ASCII letters, most of the words
+        cut = {w: self.parts(w) for w in words.difference(letters)}
+        needed = {*letters.values(), *chain.from_iterable(cut.values())} - {""}
+        new = needed.difference(self.stems)
         if len(new) + len(self.stems) > REMEMBERED_STEMS:
-            self.stems.clear()
-            new = {p for pair in cut.values() for p in pair if p}
+            self.stems, self.older_stems = {}, self.stems
+            new = needed
+        again = {p: self.older_stems[p] for p in new if p in self.older_stems}
+        self.stems.update(again)
+        new = new.difference(again)
         # Lower-case letters below U+0180 are one word to the tokenizer and stay as they are, so its model is asked
         # directly; for everything else it runs as a whole.
-        plain = {p for p in new if p.isalpha() and max(p) < "\u0180" and "\u0130" not in p}
-        tokenize, signs = self.model.tokenize, self.signs
+        plain = {p for p in new if p.isalpha() and (p.isascii() or max(p) < "\u0180" and "\u0130" not in p)}
+        tokenize, signs, known = self.model.tokenize, self.signs, self.stems
         for p in plain:
             found = tokenize(p if p.isascii() else p.encode().decode("latin-1").translate(signs))
-            self.stems[p] = array("I", [t.id for t in found]).tobytes()
+            known[p] = array("I", [t.id for t in found]).tobytes()
         listed = list(new - plain)
         encoded = self.tokenizer.encode_batch_fast(listed, add_special_tokens=False)
-        self.stems.update((p, array("I", e.ids).tobytes()) for p, e in zip(listed, encoded, strict=True))
-        known = self.stems
+        known.update((p, array("I", e.ids).tobytes()) for p, e in zip(listed, encoded, strict=True))
+        self.ids.update(zip(letters, map(known.__getitem__, letters.values()), strict=True))
         self.ids.update((w, known[a] + known[b] if b else known[a]) for w, (a, b) in cut.items())
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -144,9 +151,11 @@ class Encoder:
         split = [t.encode().split() for t in texts]
         new = set(chain.from_iterable(split)).difference(self.ids)
         if len(new) + len(self.ids) > REMEMBERED:
-            self.ids.clear()
+            self.ids, self.older_ids = {}, self.ids
             new = set(chain.from_iterable(split))
-        self._learn(new)
+        again = {w: self.older_ids[w] for w in new if w in self.older_ids}
+        self.ids.update(again)
+        self._learn(new.difference(again))
         return [b"".join(map(self.ids.__getitem__, words)) for words in split]
 
 

@@ -122,3 +122,16 @@ def test_frames_are_public_format(spark, odd):
     raw = open(row.path.removeprefix("file://"), "rb")
     plain = zstandard.ZstdDecompressor().stream_reader(raw, read_across_frames=True).read()
     assert len(plain) == 4 * row.units
+
+
+def test_words_met_again_are_not_learned_again(monkeypatch):
+    """When a worker's memory is full, words that come again stay in it."""
+    monkeypatch.setattr(token_files, "REMEMBERED", 4)
+    monkeypatch.setattr(token_files, "REMEMBERED_STEMS", 4)
+    encoder, learned, learn = token_files.Encoder(open(PATH, encoding="utf-8").read()), [], token_files.Encoder._learn
+    monkeypatch.setattr(token_files.Encoder, "_learn", lambda self, words: (learned.extend(words), learn(self, words))[1])
+    for k in range(30):
+        text = f"often, usual x{k} y{k}!"
+        data, = encoder.encode([text])
+        assert np.frombuffer(data, "<u4").tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
+    assert learned.count(b"often,") == learned.count(b"usual") == 1 and len(encoder.ids) <= 4
